@@ -21,7 +21,7 @@ from bulletin.functions.basics import (
     WS,
     find,
     find_all,
-    has_any_ci,
+    has_any,
     let,
     lines,
     non_empty,
@@ -218,11 +218,12 @@ def format_publish(epoch: Column, publish_text: Column, zone: str = "UTC") -> Co
 
 
 def line_kind(line: Column) -> Column:
-    return (
-        F.when(has_any_ci(line, rules.DEADLINE_WORDS), "deadline")
-        .when(has_any_ci(line, rules.PUBLISH_WORDS), "publish")
-        .when(has_any_ci(line, rules.EVENT_WORDS), "event")
-        .otherwise("mentioned")
+    return let(
+        F.lower(line),
+        lambda low: F.when(has_any(low, rules.DEADLINE_WORDS), "deadline")
+        .when(has_any(low, rules.PUBLISH_WORDS), "publish")
+        .when(has_any(low, rules.EVENT_WORDS), "event")
+        .otherwise("mentioned"),
     )
 
 

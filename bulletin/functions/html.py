@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import html as html_lib
+import json
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -18,14 +19,65 @@ IMG = r"(?i)<img\b[^>]*>"
 VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
-@F.pandas_udf(T.StringType())
-def _unescape_batch(values: pd.Series) -> pd.Series:
-    return values.map(html_lib.unescape, na_action="ignore")
+# The HTML entity names, from the standard library: name (most end in ";") -> text.
+_NAMED = json.dumps(html5, ensure_ascii=False)
+# Names that also count without their semicolon, longest first.
+_SHORT_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+# Windows-1252 stands in for the C1 controls in numeric references.
+_C1_TEXT = {i: bytes([i]).decode("cp1252", errors="ignore") or chr(i) for i in range(0x80, 0xA0)}
+
+
+def _code_point(n: Column) -> Column:
+    """Text of a numeric reference; forbidden code points vanish, impossible ones become U+FFFD."""
+    c1 = F.get(F.array(*[F.lit(t) for t in _C1_TEXT.values()]), (n - 0x80).cast("int"))
+    forbidden = (
+        n.between(1, 8) | (n == 0x0B) | n.between(0x0E, 0x1F) | (n == 0x7F) | n.between(0xFDD0, 0xFDEF)
+        | (n % 0x10000).isin(0xFFFE, 0xFFFF)
+    )
+    return (
+        F.when(n.isNull() | (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("\ufffd"))
+        .when(n.between(0x80, 0x9F), c1)
+        .when(forbidden, "")
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+    )
+
+
+def _reference(after: Column) -> Column:
+    """What follows an ``&``, with its reference decoded or the ``&`` put back."""
+    shape = r"^(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+    def decoded(s: Column) -> Column:
+        named = lambda name: F.try_element_at(F.from_json(F.lit(_NAMED), "map<string,string>"), name)
+        hexed = F.conv(F.regexp_extract(s, "^#[xX]0*([0-9a-fA-F]{1,7});?$", 1), 16, 10).try_cast("bigint")
+        number = F.when(s.rlike("^#[xX]"), hexed).otherwise(
+            F.regexp_extract(s, "^#0*([0-9]{1,9});?$", 1).try_cast("bigint")
+        )
+        zero = s.rlike("^#[xX]?0+;?$")
+        short = F.regexp_extract(s, f"^(?:{_SHORT_NAMES})", 0)
+        by_prefix = let(
+            short, lambda n: F.when(n != "", F.concat(named(n), F.substring(s, F.length(n) + 1, F.length(s))))
+        )
+        text = F.when(F.startswith(s, F.lit("#")), let(F.when(zero, 0).otherwise(number), _code_point)).otherwise(
+            F.coalesce(named(s), by_prefix, F.concat(F.lit("&"), s))
+        )
+        return F.when(s == "", F.concat(F.lit("&"), after)).otherwise(
+            F.concat(text, F.substring(after, F.length(s) + 1, F.length(after)))
+        )
+
+    return let(F.regexp_extract(after, shape, 0), decoded)
 
 
 def unescape(col: Column) -> Column:
-    """Character references decoded. Only rows that hold an ``&`` are sent to Python."""
-    return F.coalesce(_unescape_batch(F.when(F.contains(col, F.lit("&")), col)), col)
+    """Character references decoded, in the JVM; a text without ``&`` is passed through.
+
+    ``col`` is named once, so chains of cleaning steps stay linear.
+    """
+    return let(
+        F.split(col, "&", -1),
+        lambda parts: F.when(F.size(parts) == 1, F.get(parts, F.lit(0))).otherwise(
+            F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(_reference(p))), "")
+        ),
+    )
 
 
 def strip_tags(col: Column) -> Column:
@@ -206,28 +258,30 @@ def blocks_to_text(page: Column) -> Column:
     return strip(F.regexp_replace(out, r"\n{2,}", "\n"))
 
 
-def html_string(payload: Column) -> Column:
-    """First string holding ``<`` and ``>`` in a JSON payload.
+def html_string(payload: str) -> Column:
+    """First string holding ``<`` and ``>`` in the JSON payload column of that name.
 
     The known keys are followed three levels deep, in order; after them any other
     string of the payload counts, in document order.
     """
     known = [""] + [f".{k}" for k in rules.HTML_KEYS]
     paths = [f"${a}{b}{c}" for a in known for b in (known if a else [""]) for c in (known if b else [""])]
-
-    def usable(text: Column) -> Column:
-        return let(strip(text), lambda t: F.when(F.contains(t, F.lit("<")) & F.contains(t, F.lit(">")), t))
-
-    def at(variant: Column, path: str) -> Column:
-        value = F.try_variant_get(variant, path, "variant")
-        return F.when(F.schema_of_variant(value) == "STRING", usable(F.try_variant_get(variant, path, "string")))
-
+    # One parsed expression: the coalesce stops at the first path that holds markup.
+    at_path = (
+        "CASE WHEN schema_of_variant(try_variant_get(v, '{0}', 'variant')) = 'STRING' "
+        "AND contains(try_variant_get(v, '{0}', 'string'), '<') AND contains(try_variant_get(v, '{0}', 'string'), '>') "
+        "THEN try_variant_get(v, '{0}', 'string') END"
+    )
+    by_key = F.expr(
+        f"transform(array(try_parse_json(`{payload}`)), v -> coalesce({', '.join(at_path.format(p) for p in paths)}))[0]"
+    )
     # Possessive, so that a long string is scanned in a loop and not by recursion.
-    strings = find_all(payload, r'"((?:[^"\\]++|\\.)*+)"', 1)
+    strings = find_all(F.col(payload), r'"((?:[^"\\]++|\\.)*+)"', 1)
     decoded = F.transform(
         F.filter(strings, lambda s: F.contains(s, F.lit("<"))),
-        lambda s: usable(F.try_variant_get(F.try_parse_json(F.concat(F.lit('"'), s, F.lit('"'))), "$", "string")),
+        lambda s: F.try_variant_get(F.try_parse_json(F.concat(F.lit('"'), s, F.lit('"'))), "$", "string"),
+    )
+    anywhere = F.get(
+        F.filter(decoded, lambda s: F.contains(s, F.lit("<")) & F.contains(s, F.lit(">"))), F.lit(0)
     )
-    anywhere = F.get(F.filter(decoded, lambda s: s.isNotNull()), F.lit(0))
-    by_key = let(F.try_parse_json(payload), lambda v: F.coalesce(*[at(v, p) for p in paths]))
-    return text_or_empty(F.coalesce(by_key, anywhere))
+    return text_or_empty(strip(F.coalesce(by_key, anywhere)))

@@ -89,8 +89,11 @@ def raw_clean(col: Column) -> Column:
 
 
 def drop_leading_blank(items: Column) -> Column:
-    first = F.array_position(F.transform(items, lambda x: strip(x) != ""), F.lit(True))
-    return F.when(first == 0, F.slice(items, 1, 0)).otherwise(F.slice(items, F.greatest(first, F.lit(1)).cast("int"), F.size(items)))
+    def cut(xs: Column) -> Column:
+        first = F.array_position(F.transform(xs, lambda x: strip(x) != ""), F.lit(True)).cast("int")
+        return let(first, lambda n: F.when(n == 0, F.slice(xs, 1, 0)).otherwise(F.slice(xs, F.greatest(n, F.lit(1)), F.size(xs))))
+
+    return let(items, cut)
 
 
 def normalize_headings(col: Column, title: Column) -> Column:
@@ -115,10 +118,12 @@ def normalize_headings(col: Column, title: Column) -> Column:
 
 
 def quality_score(col: Column) -> Column:
-    text = strip(text_or_empty(col))
-    noise = count_of(text, f"(?iu){rules.NOISE_WORDS}")
-    tags = count_of(text, r"<[a-zA-Z/][^>]*>")
-    return count_of(text, CJK) * 3 + F.length(text) - noise * 20 - tags * 10
+    def measure(text: Column) -> Column:
+        noise = count_of(text, f"(?iu){rules.NOISE_WORDS}")
+        tags = count_of(text, r"<[a-zA-Z/][^>]*>")
+        return count_of(text, CJK) * 3 + F.length(text) - noise * 20 - tags * 10
+
+    return let(strip(text_or_empty(col)), measure)
 
 
 def mojibake_score(col: Column) -> Column:
@@ -255,7 +260,7 @@ def clip_pattern(limit: Column | int) -> Column:
 
 
 def clip_units(col: Column, limit: Column | int) -> Column:
-    return strip(F.regexp_extract(text_or_empty(col), clip_pattern(limit), 0))
+    return strip(F.call_function("regexp_extract", text_or_empty(col), clip_pattern(limit), F.lit(0)))
 
 
 def body_budget(summary: Column) -> Column:
@@ -266,11 +271,14 @@ def body_budget(summary: Column) -> Column:
 
 def compress_body(content: Column, summary: Column, section: Column) -> Column:
     """Body within its unit budget; a report that carries an abstract is never cut."""
-    clean = normalize_space(content)
-    whole = ((section == rules.REPORT_SECTION) & content.rlike("(?:内容摘要|报告摘要)[：:]")) | (
-        text_units(summary) + text_units(clean) <= rules.ITEM_UNITS
-    )
-    return F.when(whole, clean).otherwise(clip_units(clean, body_budget(summary)))
+
+    def fit(clean: Column) -> Column:
+        whole = ((section == rules.REPORT_SECTION) & clean.rlike("(?:内容摘要|报告摘要)[：:]")) | (
+            text_units(summary) + text_units(clean) <= rules.ITEM_UNITS
+        )
+        return F.when(whole, clean).otherwise(clip_units(clean, body_budget(summary)))
+
+    return let(normalize_space(content), fit)
 
 
 def item_summary(content: Column) -> Column:
@@ -285,7 +293,7 @@ def feed_summary(digest: Column, content: Column) -> Column:
 
 def summary_repeats(summary: Column, content: Column) -> Column:
     squeeze = lambda c: F.regexp_replace(text_or_empty(c), f"{WS}+", "")
-    return (squeeze(summary) != "") & F.startswith(squeeze(content), squeeze(summary))
+    return let(squeeze(summary), lambda key: (key != "") & F.startswith(squeeze(content), key))
 
 
 def filter_snippet(digest: Column, content: Column, image_texts: Column) -> Column:
@@ -340,8 +348,8 @@ def fit_field(col: Column, field: str, fallback: str = "", boilerplate: list[str
         text = strip(unescape(text))
     for pattern in boilerplate or []:
         text = strip(F.regexp_replace(text, pattern, ""))
-    text = F.when(text == "", F.lit(fallback)).otherwise(text)
-    fitted = fit_bytes(text, max_chars, max_bytes, "..." if field == "digest" else "")
+    text = F.coalesce(non_empty(text), F.lit(fallback))
+    fitted = let(text, lambda t: fit_bytes(t, max_chars, max_bytes, "..." if field == "digest" else ""))
     return F.coalesce(non_empty(fitted), F.lit(fallback))
 
 

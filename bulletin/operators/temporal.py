@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bulletin import rules
 from bulletin.functions import dates as D
-from bulletin.functions.basics import text_or_empty
+from bulletin.functions.basics import let, text_or_empty
 from bulletin.functions.dates import RunClock
 from bulletin.operators.decisions import decide
 
@@ -48,50 +48,59 @@ def temporal_relevance(
 ) -> DataFrame:
     """Deadline beats event beats publish date; the latest of the deciding kind is the basis.
 
-    Everything is computed inside the row, so the operator adds no shuffle.
+    Everything is one expression inside the row: no shuffle, and a filter on ``keep``
+    that Catalyst pushes down still evaluates it once.
     """
+    now, cutoff = D.ntz(clock.now), D.ntz(clock.cutoff)
     grace = D.ntz(clock.now - dt.timedelta(hours=rules.EVENT_GRACE_HOURS))
-    staged = with_signals(df, clock, text, fallback).withColumn(
-        "_latest",
-        F.struct(*[D.latest(F.col("signals"), kind).alias(kind) for kind in ("deadline", "event", "publish")]),
-    )
-    deadline, event, publish = (F.col(f"_latest.{k}") for k in ("deadline", "event", "publish"))
-    keep = (
-        F.when(deadline.isNotNull(), deadline >= D.ntz(clock.now))
-        .when(event.isNotNull(), event >= grace)
-        .when(publish.isNotNull(), publish >= D.ntz(clock.cutoff))
-        .otherwise(True)
-    )
-    kind_reason = (
-        F.when(deadline.isNotNull(), F.when(keep, "deadline_active").otherwise("deadline_expired"))
-        .when(event.isNotNull(), F.when(keep, "event_active").otherwise("event_expired"))
-        .when(publish.isNotNull(), F.when(keep, "publish_recent").otherwise("publish_older_than_cutoff"))
-        .otherwise("no_parseable_date_keep")
+
+    def judge(latest: Column) -> Column:
+        deadline, event, publish = latest["deadline"], latest["event"], latest["publish"]
+        reason = (
+            F.when(deadline >= now, "deadline_active").when(deadline < now, "deadline_expired")
+            .when(event >= grace, "event_active").when(event < grace, "event_expired")
+            .when(publish >= cutoff, "publish_recent").when(publish < cutoff, "publish_older_than_cutoff")
+            .otherwise("no_parseable_date_keep")
+        )
+        return F.struct(reason.alias("reason"), F.coalesce(deadline, event, publish).alias("basis"))
+
+    found = D.signals(notice_text() if text is None else text, clock, fallback)
+    verdict = let(
+        found,
+        lambda s: let(
+            F.struct(*[D.latest(s, kind).alias(kind) for kind in ("deadline", "event", "publish")]), judge
+        ),
     )
-    staged = staged.withColumn("basis", F.coalesce(deadline, event, publish))
-    return decide(staged, keep, kind_reason, "temporal_filter").drop("_latest")
+    dropped = ("deadline_expired", "event_expired", "publish_older_than_cutoff")
+    return _from_verdict(df, verdict, dropped, "temporal_filter")
+
+
+def _from_verdict(df: DataFrame, verdict: Column, dropped: tuple[str, ...], stage: str) -> DataFrame:
+    """keep, reason and basis from one struct expression."""
+    staged = df.withColumn("_v", verdict)
+    reason = F.col("_v.reason")
+    return decide(staged.withColumn("basis", F.col("_v.basis")), ~reason.isin(*dropped), reason, stage).drop("_v")
 
 
 def publish_recency(df: DataFrame, clock: RunClock) -> DataFrame:
     """Recent, undated, or old with a date still to come."""
-    staged = df.withColumn("_raw", D.publish_date_text(F.col("content"))).withColumn(
-        "_published", D.parse_datetime_text(F.col("_raw"), clock)
-    )
-    published = F.col("_published")
-    recent = published >= D.ntz(clock.cutoff)
-    ahead = D.has_current_or_future_date(F.col("content"), clock)
-    reason = (
-        F.when(published.isNull(), "no_parseable_publish_date_keep")
-        .when(recent, "publish_recent")
-        .when(ahead, "publish_old_but_effective")
-        .otherwise("publish_older_than_cutoff")
-    )
-    staged = staged.withColumns(
-        {"basis": F.coalesce(D.iso_minute(published), F.col("_raw")), "reason": reason}
+    cutoff = D.ntz(clock.cutoff)
+
+    def judge(p: Column) -> Column:
+        ahead = D.has_current_or_future_date(F.col("content"), clock)
+        reason = (
+            F.when(p["at"].isNull(), "no_parseable_publish_date_keep")
+            .when(p["at"] >= cutoff, "publish_recent")
+            .when(ahead, "publish_old_but_effective")
+            .otherwise("publish_older_than_cutoff")
+        )
+        return F.struct(reason.alias("reason"), F.coalesce(D.iso_minute(p["at"]), p["raw"]).alias("basis"))
+
+    verdict = let(
+        D.publish_date_text(F.col("content")),
+        lambda raw: let(F.struct(raw.alias("raw"), D.parse_datetime_text(raw, clock).alias("at")), judge),
     )
-    return staged.withColumns(
-        {"keep": F.col("reason") != "publish_older_than_cutoff", "stage": F.lit("ranked_raw_publish_filter")}
-    ).drop("_raw", "_published")
+    return _from_verdict(df, verdict, ("publish_older_than_cutoff",), "ranked_raw_publish_filter")
 
 
 def publish_prefilter(df: DataFrame, clock: RunClock, days_limit: int | None = None, column: str = "publish_ts") -> DataFrame:

@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call-site capture costs several JVM round trips per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -21,6 +23,7 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bulletin")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )

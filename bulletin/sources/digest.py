@@ -9,7 +9,7 @@ from bulletin import rules
 from bulletin.functions.basics import clamp_score, find, non_empty, strip, unix_lines, text_or_empty, WS, DIGIT as D, FULLWIDTH_DIGITS
 
 # A heading needs something after its marker.
-SECTION_START = rf"(?md)(?=^# (?:(?!\n){WS})*[^\n]*\S)"
+SECTION_START = r"(?md)(?=^# [^\n]*\S)"
 ITEM_START = r"(?md)(?=^## [^\n]*\S)"
 
 
@@ -34,19 +34,27 @@ def read_digest_items(documents: DataFrame, doc: str = "doc_path") -> DataFrame:
     Sections and items are cut with lookahead splits inside the row, so a document is
     parsed where it was read: no window, no shuffle.
     """
-    sections = documents.select(doc, F.posexplode(F.split(unix_lines(F.col("text")), SECTION_START)).alias("section_ord", "block"))
+    text = unix_lines(F.col("text"))
+    # Text before the first heading is piece 0; a document that starts with one has no such piece.
+    sections = documents.select(
+        doc, F.posexplode(F.split(text, SECTION_START)).alias("_s", "block"), text.rlike(r"^# [^\n]*\S").cast("int").alias("_starts")
+    )
     headed = F.col("block").rlike(r"^# [^\n]*\S")
     named = sections.select(
         doc,
-        "section_ord",
+        (F.col("_s") + F.col("_starts")).alias("section_ord"),
         F.when(headed, _first_line(F.col("block"), 2)).otherwise(rules.UNFILED_SECTION).alias("section"),
         F.when(headed, _rest(F.col("block"))).otherwise(F.col("block")).alias("block"),
     )
-    items = named.select(doc, "section_ord", "section", F.posexplode(F.split("block", ITEM_START)).alias("_i", "item"))
+    items = named.select(
+        doc, "section_ord", "section",
+        F.posexplode(F.split("block", ITEM_START)).alias("_i", "item"),
+        F.col("block").rlike(r"^## [^\n]*\S").cast("int").alias("_starts"),
+    )
     items = items.where(F.col("item").rlike(r"^## [^\n]*\S"))
     return items.select(
         doc, "section", "section_ord",
-        F.col("_i").alias("item_ord"),
+        (F.col("_i") + F.col("_starts")).alias("item_ord"),
         _first_line(F.col("item"), 3).alias("title"),
         strip(_rest(F.col("item"))).alias("content"),
     )
