@@ -19,8 +19,11 @@ IMG = r"(?i)<img\b[^>]*>"
 VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
-# The HTML entity names, from the standard library: name (most end in ";") -> text.
-_NAMED = json.dumps(html5, ensure_ascii=False)
+# The HTML entity names of the standard library, by first letter: a map column is
+# searched from end to end, so one flat map would be slow.
+_NAMED: dict[str, dict[str, str]] = {}
+for _name, _text in html5.items():
+    _NAMED.setdefault(_name[0], {})[_name] = _text
 # Names that also count without their semicolon, longest first.
 _SHORT_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
 # Windows-1252 stands in for the C1 controls in numeric references.
@@ -47,7 +50,8 @@ def _reference(after: Column) -> Column:
     shape = r"^(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 
     def decoded(s: Column) -> Column:
-        named = lambda name: F.try_element_at(F.from_json(F.lit(_NAMED), "map<string,string>"), name)
+        names = F.from_json(F.lit(json.dumps(_NAMED, ensure_ascii=False)), "map<string,map<string,string>>")
+        named = lambda name: F.try_element_at(F.try_element_at(names, F.left(name, F.lit(1))), name)
         hexed = F.conv(F.regexp_extract(s, "^#[xX]0*([0-9a-fA-F]{1,7});?$", 1), 16, 10).try_cast("bigint")
         number = F.when(s.rlike("^#[xX]"), hexed).otherwise(
             F.regexp_extract(s, "^#0*([0-9]{1,9});?$", 1).try_cast("bigint")
@@ -58,7 +62,7 @@ def _reference(after: Column) -> Column:
             short, lambda n: F.when(n != "", F.concat(named(n), F.substring(s, F.length(n) + 1, F.length(s))))
         )
         text = F.when(F.startswith(s, F.lit("#")), let(F.when(zero, 0).otherwise(number), _code_point)).otherwise(
-            F.coalesce(named(s), by_prefix, F.concat(F.lit("&"), s))
+            F.coalesce(F.when(F.endswith(s, F.lit(";")), named(s)), by_prefix, F.concat(F.lit("&"), s))
         )
         return F.when(s == "", F.concat(F.lit("&"), after)).otherwise(
             F.concat(text, F.substring(after, F.length(s) + 1, F.length(after)))

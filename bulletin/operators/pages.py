@@ -137,7 +137,7 @@ def table_cells(df: DataFrame, page: str = "page_id") -> DataFrame:
 
 def tables_to_rows(df: DataFrame, page: str = "page_id") -> DataFrame:
     """Every table as Markdown: a header row, a rule, padded body rows; pipes escaped."""
-    escaped = F.regexp_replace("cell", r"\|", r"\\\\|")
+    escaped = F.replace("cell", F.lit("|"), F.lit("\\|"))
     rows = table_cells(df, page).groupBy(page, "table_no", "row_no").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("col_no", escaped.alias("cell")))), lambda s: s["cell"]

@@ -700,7 +700,7 @@ def compress_body(rows: DataFrame) -> DataFrame:
     )
 
 
-@on(I.ARTICLES)
+@on(I.PLAIN_ARTICLES)
 def fallback_summary(articles: DataFrame) -> DataFrame:
     return articles.select(
         "notice_id", X.feed_summary(F.col("digest"), F.col("content")).alias("feed_summary"),
@@ -902,7 +902,7 @@ def full_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def account_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return issue.account_feed(I.view(spark, sf_dir, I.ARTICLES), CLOCK)
+    return issue.account_feed(I.view(spark, sf_dir, I.PLAIN_ARTICLES), CLOCK)
 
 
 @query

@@ -55,6 +55,9 @@ SELECT doc_id AS ordinal, doc_id AS notice_id,
 FROM {{documents}}
 """
 
+# The same articles without any Markdown or HTML mark in their text.
+PLAIN_ARTICLES = ARTICLES.replace(" text AS content", " translate(text, '*_#>-`<[]&', '') AS content")
+
 # One payload per document: two records, alias field names, the list under varying keys.
 FEEDS = f"""
 SELECT doc_id AS feed_id, source AS account_keyword,
