@@ -26,7 +26,8 @@ DIGIT = r"[0-9\x{ff10}-\x{ff19}]"
 FULLWIDTH_DIGITS = "".join(map(chr, range(0xFF10, 0xFF1A)))
 CJK = r"[\x{4e00}-\x{9fff}]"
 WORD = r"[A-Za-z0-9_]+"
-LINE_BREAK = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
+RARE_BREAK = r"[\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
+LINE_BREAK = rf"\r\n|\n|{RARE_BREAK}"
 
 
 def text_or_empty(col: Column) -> Column:
@@ -51,12 +52,16 @@ def collapse(col: Column) -> Column:
     return strip(F.regexp_replace(col, f"{WS}+", " "))
 
 
-def lines(col: Column) -> Column:
-    return F.split(text_or_empty(col), LINE_BREAK, -1)
+def unix_lines(col: Column) -> Column:
+    """Every line end becomes ``\\n``; texts that already use it only pay one scan."""
+    return let(
+        text_or_empty(col),
+        lambda t: F.when(t.rlike(RARE_BREAK), F.regexp_replace(t, rf"\r\n|{RARE_BREAK}", "\n")).otherwise(t),
+    )
 
 
-def unix_lines(col: Column) -> Column:
-    return F.regexp_replace(text_or_empty(col), LINE_BREAK, "\n")
+def lines(col: Column) -> Column:
+    return F.split(unix_lines(col), "\n", -1)
 
 
 def find(col: Column, pattern: str, group: int = 1) -> Column:
@@ -82,8 +87,19 @@ def has_any(col: Column, words: Sequence[str]) -> Column:
     return reduce(lambda acc, w: acc | col.contains(w), [w for w in words if w], F.lit(False))
 
 
+def fold(col: Column) -> Column:
+    """Lower case, with the letters that match i, s and k when case is ignored."""
+    return F.lower(F.translate(col, "\u0130\u0131\u017f\u212a", "iisk"))
+
+
 def has_any_ci(col: Column, words: Sequence[str]) -> Column:
-    return has_any(F.lower(col), [w.lower() for w in words])
+    lowered = [w.lower() for w in words if w]
+    return let(F.lower(col), lambda low: has_any(low, lowered))
+
+
+def has_words(folded: Column, alternatives: str) -> Column:
+    """``a|b|c`` as substring tests on folded text: several times faster than one regex."""
+    return has_any(folded, alternatives.lower().split("|"))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -192,21 +192,21 @@ def next_week_window(day: Column, clock: RunClock) -> Column:
 
 def parse_epoch(value: Column, zone: str = "UTC") -> Column:
     """Digits or one of three date shapes -> epoch seconds; not positive or unreadable -> NULL."""
-    text = strip(value)
-    digits = F.when(text.rlike(r"^[0-9]+\z"), text.try_cast("bigint"))
-    shapes = [
-        (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}\z", "yyyy-M-d H:m:s"),
-        (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}\z", "yyyy-M-d H:m"),
-        (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z", "yyyy-M-d"),
-    ]
-    stamps = [
-        F.unix_timestamp(F.convert_timezone(F.lit(zone), F.lit("UTC"), F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")).cast("timestamp"))
-        if zone != "UTC"
-        else F.unix_timestamp(F.try_to_timestamp(text, F.lit(fmt)))
-        for _, fmt in shapes
-    ]
-    parsed = F.coalesce(*[F.when(text.rlike(shape), stamp) for (shape, _), stamp in zip(shapes, stamps)])
-    return F.when(digits.isNotNull(), F.when(digits > 0, digits)).otherwise(parsed)
+    shapes = {
+        "yyyy-M-d H:m:s": r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}\z",
+        "yyyy-M-d H:m": r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}\z",
+        "yyyy-M-d": r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z",
+    }
+
+    def read(text: Column) -> Column:
+        digits = text.try_cast("bigint")
+        out = F.when(text.rlike(r"^[0-9]+\z"), F.when(digits > 0, digits))
+        for fmt, shape in shapes.items():
+            moment = F.try_to_timestamp(text, F.lit(fmt))
+            out = out.when(text.rlike(shape), F.unix_timestamp(F.to_utc_timestamp(moment, zone)))
+        return out
+
+    return let(strip(value), read)
 
 
 def format_publish(epoch: Column, publish_text: Column, zone: str = "UTC") -> Column:
@@ -244,12 +244,12 @@ def signals(text: Column, clock: RunClock, fallback: Column | None = None) -> Co
     Built inside the row: no shuffle, and lines without a date cost one regex test.
     ``fallback`` adds a publish signal after the others.
     """
-    numbered = F.transform(lines(text), lambda line, i: F.struct((i + 1).alias("line_no"), strip(line).alias("line")))
+    numbered = F.transform(lines(text), lambda line, i: F.struct((i + 1).alias("line_no"), line.alias("line")))
     dated = F.filter(numbered, lambda n: n["line"].rlike(ANY_DATE))
 
     def of_line(n: Column) -> Column:
         return let(
-            F.struct(n["line_no"].alias("line_no"), n["line"].alias("line"), line_kind(n["line"]).alias("kind")),
+            F.struct(n["line_no"].alias("line_no"), strip(n["line"]).alias("line"), line_kind(n["line"]).alias("kind")),
             lambda k: F.transform(
                 F.transform(find_all(k["line"], SIGNAL), lambda raw: strip(raw)),
                 lambda raw, i: F.struct(

@@ -182,17 +182,18 @@ def repair_mojibake(col: Column) -> Column:
 
 def trim_report_text(col: Column, title: Column) -> Column:
     """Cut to the first start marker and before the first end marker."""
-    text = text_or_empty(col)
-    starts = F.array(
-        F.instr(text, F.lit("**报告题目")),
-        F.instr(text, F.lit("报告题目：")),
-        F.instr(text, F.concat(F.lit("### "), text_or_empty(title))),
-        F.when(text_or_empty(title) != "", F.instr(text, title)),
-    )
-    begun = let(
-        F.array_min(F.filter(starts, lambda p: p > 0)),
-        lambda p: F.when(p.isNull(), text).otherwise(F.substring(text, p, F.length(text))),
-    )
+
+    def begun(text: Column) -> Column:
+        starts = F.array(
+            F.instr(text, F.lit("**报告题目")),
+            F.instr(text, F.lit("报告题目：")),
+            F.instr(text, F.concat(F.lit("### "), text_or_empty(title))),
+            F.when(text_or_empty(title) != "", F.instr(text, title)),
+        )
+        return let(
+            F.array_min(F.filter(starts, lambda p: p > 0)),
+            lambda p: F.when(p.isNull(), text).otherwise(F.substring(text, p, F.length(text))),
+        )
 
     def ended(body: Column) -> Column:
         ends = F.array(*[F.instr(body, F.lit(m)) for m in rules.REPORT_END_MARKERS])
@@ -201,7 +202,8 @@ def trim_report_text(col: Column, title: Column) -> Column:
             lambda p: F.when(p.isNull(), body).otherwise(F.substring(body, F.lit(1), p - 1)),
         )
 
-    return strip(F.regexp_replace(let(begun, ended), r"\n{3,}", "\n\n"))
+    whole = let(let(text_or_empty(col), begun), ended)
+    return strip(F.regexp_replace(whole, r"\n{3,}", "\n\n"))
 
 
 def report_text(col: Column, title: Column) -> Column:
@@ -214,12 +216,12 @@ def report_text(col: Column, title: Column) -> Column:
 def lecture_segment(col: Column) -> Column:
     """From the first ``第N讲：`` up to the lecturer's label."""
     start = rf"第{D}+讲："
-    whole = F.regexp_extract(col, rf"{start}[\s\S]*", 0)
     bounded = rf"^({start}[\s\S]*?)(?:教师|主讲人)"
-    return (
-        F.when(~col.rlike(start), col)
+    return let(
+        F.regexp_extract(col, rf"{start}[\s\S]*", 0),
+        lambda whole: F.when(whole == "", col)
         .when(whole.rlike(bounded), strip(F.regexp_extract(whole, bounded, 1)))
-        .otherwise(whole)
+        .otherwise(whole),
     )
 
 
@@ -287,8 +289,8 @@ def item_summary(content: Column) -> Column:
 
 def feed_summary(digest: Column, content: Column) -> Column:
     """First non-empty of digest and content, cleaned, on one line, 100 characters."""
-    first = F.coalesce(non_empty(clean_markdown(digest)), non_empty(clean_markdown(content)))
-    return text_or_empty(F.substring(collapse(first), 1, rules.FEED_SUMMARY_CHARS))
+    own = let(clean_markdown(digest), lambda d: F.when(d != "", d))
+    return F.substring(collapse(F.coalesce(own, clean_markdown(content))), 1, rules.FEED_SUMMARY_CHARS)
 
 
 def summary_repeats(summary: Column, content: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from bulletin import rules
-from bulletin.functions.basics import find, let, non_empty, strip, text_or_empty
+from bulletin.functions.basics import find, let, strip, text_or_empty
 from bulletin.functions.html import unescape
 
 SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
@@ -20,11 +20,11 @@ QUERY = r"^[^?#]*\?([^#]*)"
 def normalize_url(url: Column, site: str = rules.ARTICLE_SITE, entities: bool = True) -> Column:
     """Entities decoded, ``//`` and ``/`` made absolute; blank is NULL."""
     decoded = unescape(url) if entities else url
-    clean = non_empty(strip(F.replace(decoded, F.lit("&amp;"), F.lit("&"))))
-    return (
-        F.when(F.startswith(clean, F.lit("//")), F.concat(F.lit("https:"), clean))
+    return let(
+        strip(F.replace(decoded, F.lit("&amp;"), F.lit("&"))),
+        lambda clean: F.when(F.startswith(clean, F.lit("//")), F.concat(F.lit("https:"), clean))
         .when(F.startswith(clean, F.lit("/")), F.concat(F.lit(site), clean))
-        .otherwise(clean)
+        .when(clean != "", clean),
     )
 
 
@@ -68,13 +68,13 @@ def canonical_url(url: Column, ignore: Sequence[str] = tuple(rules.TRACKING_KEYS
     """URL without tracking parameters and fragment, for use as a dedup key; empty for NULL."""
     scheme = F.lower(find(url, SCHEME))
     authority = find(url, AUTHORITY)
-    query = non_empty(canonical_query(find(url, QUERY), ignore))
+    query = let(canonical_query(find(url, QUERY), ignore), lambda q: F.when(q != "", F.concat(F.lit("?"), q)).otherwise(""))
     return text_or_empty(
         F.concat(
             F.coalesce(F.concat(scheme, F.lit(":")), F.lit("")),
             F.coalesce(F.concat(F.lit("//"), authority), F.lit("")),
             F.regexp_extract(url, PATH, 1),
-            F.coalesce(F.concat(F.lit("?"), query), F.lit("")),
+            query,
         )
     )
 

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bulletin import rules
-from bulletin.functions.basics import non_empty, strip, text_or_empty
+from bulletin.functions.basics import strip, text_or_empty
 from bulletin.functions.dates import RunClock, first_stamp_eod
-from bulletin.operators.decisions import decide, kept
+from bulletin.operators.decisions import decide
 from bulletin.operators.order import positions, top_k
 from bulletin.operators.temporal import expired_event
 
@@ -86,21 +86,14 @@ def first_n(df: DataFrame) -> DataFrame:
 
 
 def section_selection(df: DataFrame, clock: RunClock) -> DataFrame:
-    """The final cut of a digest: reports by date, everything else by feed order, one pass."""
+    """The final cut of a digest: reports by date, everything else by feed order.
+
+    Rows travel whole through one bounded rank, so the input is read once.
+    """
     is_report = F.col("section").eqNullSafe(F.lit(rules.REPORT_SECTION))
     judged = expired_event(df, clock)
-    active = judged.where(F.col("keep") | ~is_report)
-    order = active.select(
-        "notice_id", "section", "ordinal",
-        F.when(is_report, first_stamp_eod(F.col("content"))).alias("_at"),
-    )
+    active = judged.where(F.col("keep") | ~is_report).drop("keep", "reason", "stage", "event_at")
+    placed = active.withColumn("_at", F.when(is_report, first_stamp_eod(F.col("content"))))
     widest = max(rules.SECTION_LIMIT, rules.ACCOUNT_LIMIT)
-    head = top_k(order, SECTION, [F.col("_at").desc_nulls_last(), F.col("ordinal")], widest, rank="rank")
-    head = head.where(F.col("rank") <= section_limit(F.col("section")))
-    return df.join(head.select("notice_id", "rank"), "notice_id", "inner")
-
-
-__all__ = [
-    "first_n", "item_index", "kept", "latest_events_topk", "newest_first", "non_empty",
-    "rank_in_section", "section_limit", "section_selection", "topk_per_section",
-]
+    head = top_k(placed, SECTION, [F.col("_at").desc_nulls_last(), F.col("ordinal")], widest, rank="rank")
+    return head.where(F.col("rank") <= section_limit(F.col("section"))).drop("_at")

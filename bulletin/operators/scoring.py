@@ -6,56 +6,80 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bulletin import rules
-from bulletin.functions.basics import clamp_score, has_any, hits, strip, text_or_empty
+from bulletin.functions.basics import clamp_score, fold, has_any, has_words, let, strip, text_or_empty
 from bulletin.functions.dates import RunClock, all_dates_past
 
 
-def rule_score(title: Column, content: Column) -> Column:
-    """Sum of the points of every rule that hits the title or the body, once each."""
-    text = F.concat(text_or_empty(title), F.lit("\n"), text_or_empty(content))
+def with_folded(df: DataFrame) -> DataFrame:
+    """Add the case-folded title, text and head that every rule reads, computed once per row."""
+    title, content = text_or_empty(F.col("title")), text_or_empty(F.col("content"))
+    return df.withColumns(
+        {
+            "_title": fold(title),
+            "_text": fold(F.concat(title, F.lit("\n"), content)),
+            "_head": fold(F.concat(title, F.lit("\n"), F.substring(content, 1, rules.HEAD_CHARS))),
+        }
+    )
+
+
+def _without_folded(df: DataFrame) -> DataFrame:
+    return df.drop("_title", "_text", "_head")
+
+
+def points(folded_text: Column) -> Column:
+    """Sum of the points of every rule that hits, once each."""
     total = F.lit(rules.BASE_SCORE)
-    for points, pattern in rules.SCORE_RULES:
-        total = total + F.when(hits(text, pattern), points).otherwise(0)
+    for gain, words in rules.SCORE_RULES:
+        total = total + F.when(has_words(folded_text, words), gain).otherwise(0)
     return clamp_score(total)
 
 
-def expired_cap(title: Column, content: Column) -> Column:
-    """How far an expired library item may still score, by topic."""
-    text = F.concat(text_or_empty(title), F.lit("\n"), text_or_empty(content))
+def rule_score(title: Column, content: Column) -> Column:
+    return let(fold(F.concat(text_or_empty(title), F.lit("\n"), text_or_empty(content))), points)
+
+
+def _expired_bound(folded_title: Column, folded_text: Column) -> Column:
     return (
-        F.when(hits(title, rules.LIB_WRITING), 20)
-        .when(hits(title, rules.LIB_TOOL), 15)
-        .when(hits(text, rules.LIB_WEAK), 10)
+        F.when(has_words(folded_title, rules.LIB_WRITING), 20)
+        .when(has_words(folded_title, rules.LIB_TOOL), 15)
+        .when(has_words(folded_text, rules.LIB_WEAK), 10)
         .otherwise(rules.EXPIRED_CAP_DEFAULT)
     )
 
 
-def guardrail_rules(
-    section: Column, title: Column, content: Column, clock: RunClock
-) -> list[tuple[str, Column, str, Column]]:
-    """(tag, condition, "cap" or "floor", bound) in the order they apply."""
-    title, content = text_or_empty(title), text_or_empty(content)
-    text = F.concat(title, F.lit("\n"), content)
-    head = F.concat(title, F.lit("\n"), F.substring(content, 1, rules.HEAD_CHARS))
-    publicity = hits(text, rules.PUBLICITY)
+def expired_cap(df: DataFrame) -> DataFrame:
+    """How far an expired library item may still score, by topic."""
+    return _without_folded(with_folded(df).withColumn("cap", _expired_bound(F.col("_title"), F.col("_text"))))
+
+
+def guardrail_rules(clock: RunClock) -> list[tuple[str, Column, str, Column]]:
+    """(tag, condition, "cap" or "floor", bound) in the order they apply, over folded columns."""
+    section, title, text, head = (F.col(c) for c in ("section", "_title", "_text", "_head"))
+    publicity = has_words(text, rules.PUBLICITY)
     library = section.eqNullSafe(F.lit(rules.LIBRARY_SECTION))
-    report = section.eqNullSafe(F.lit(rules.REPORT_SECTION)) | hits(title, rules.REPORT_TITLE)
+    report = section.eqNullSafe(F.lit(rules.REPORT_SECTION)) | has_words(title, rules.REPORT_TITLE)
+    outsiders = has_words(text, rules.NON_UNDERGRAD) & ~has_words(text, rules.UNDERGRAD)
     training = (
-        ~publicity & ~hits(title, rules.SHOWCASE) & hits(text, rules.TRAINING) & hits(head, rules.TRAINING_STAGE)
+        has_words(text, rules.TRAINING)
+        & has_words(head, rules.TRAINING_STAGE)
+        & ~publicity
+        & ~has_words(title, rules.SHOWCASE)
     )
+    # Folding moves no digit or date mark, so dates can be read from the folded text.
+    past = library & all_dates_past(text, clock)
     return [
-        ("cap_general_culture_lecture", hits(text, rules.CULTURE), "cap", F.lit(20)),
-        ("cap_general_activity", hits(text, rules.ACTIVITY), "cap", F.lit(35)),
+        ("cap_general_culture_lecture", has_words(text, rules.CULTURE), "cap", F.lit(20)),
+        ("cap_general_activity", has_words(text, rules.ACTIVITY), "cap", F.lit(35)),
         ("cap_publicity", publicity, "cap", F.lit(25)),
-        ("cap_non_undergrad", hits(text, rules.NON_UNDERGRAD) & ~hits(text, rules.UNDERGRAD), "cap", F.lit(10)),
+        ("cap_non_undergrad", outsiders, "cap", F.lit(10)),
         ("floor_physics_report", report, "floor", F.lit(80)),
         ("floor_actionable_training", training, "floor", F.lit(55)),
-        ("floor_life_impact", hits(head, rules.LIFE), "floor", F.lit(45)),
-        ("floor_lib_service_impact", library & hits(text, rules.LIB_SERVICE), "floor", F.lit(90)),
-        ("cap_lib_weak_topic", library & hits(text, rules.LIB_WEAK), "cap", F.lit(15)),
-        ("cap_lib_research_tool", library & hits(title, rules.LIB_TOOL), "cap", F.lit(20)),
-        ("cap_lib_research_tool", library & hits(title, rules.LIB_WRITING), "cap", F.lit(30)),
-        ("cap_expired_activity", library & all_dates_past(text, clock), "cap", expired_cap(title, content)),
+        ("floor_life_impact", has_words(head, rules.LIFE), "floor", F.lit(45)),
+        ("floor_lib_service_impact", library & has_words(text, rules.LIB_SERVICE), "floor", F.lit(90)),
+        ("cap_lib_weak_topic", library & has_words(text, rules.LIB_WEAK), "cap", F.lit(15)),
+        ("cap_lib_research_tool", library & has_words(title, rules.LIB_TOOL), "cap", F.lit(20)),
+        ("cap_lib_research_tool", library & has_words(title, rules.LIB_WRITING), "cap", F.lit(30)),
+        ("cap_expired_activity", past, "cap", _expired_bound(title, text)),
     ]
 
 
@@ -64,7 +88,11 @@ def score_guardrails(df: DataFrame, clock: RunClock) -> DataFrame:
 
     Floors come after the general caps and therefore beat them; the library caps come last.
     """
-    steps = guardrail_rules(F.col("section"), F.col("title"), F.col("content"), clock)
+    return _without_folded(_guarded(with_folded(df), clock))
+
+
+def _guarded(df: DataFrame, clock: RunClock) -> DataFrame:
+    steps = guardrail_rules(clock)
     # Conditions first, as plain boolean columns; least/greatest skip the NULL of a rule that is off.
     staged = df.withColumn("_g", F.struct(*[cond.alias(f"c{i}") for i, (_, cond, _, _) in enumerate(steps)]))
     adjusted, tags = F.col("score"), []
@@ -88,23 +116,21 @@ def score_guardrails(df: DataFrame, clock: RunClock) -> DataFrame:
 
 def with_rule_score(df: DataFrame, clock: RunClock) -> DataFrame:
     """Rule score, its reason and the guardrails."""
-    scored = df.withColumns(
-        {"score": rule_score(F.col("title"), F.col("content")), "reason": F.lit(rules.BASE_SCORE_REASON)}
+    scored = with_folded(df).withColumns(
+        {"score": points(F.col("_text")), "reason": F.lit(rules.BASE_SCORE_REASON)}
     )
-    return score_guardrails(scored, clock)
+    return _without_folded(_guarded(scored, clock))
 
 
 def account_section(account: Column, title: Column, digest: Column, content: Column) -> Column:
     """Section of an account article; the first rule that fits wins."""
     account, title = strip(text_or_empty(account)), strip(text_or_empty(title))
-    text = F.lower(
-        F.concat_ws("\n", account, title, strip(text_or_empty(digest)), strip(text_or_empty(content)))
-    )
     union, science, club, welfare, other = (F.lit(s) for s in rules.ACCOUNT_SECTIONS)
-    return (
-        F.when(has_any(account, rules.UNION_WORDS) | has_any(title, rules.UNION_WORDS), union)
+    return let(
+        F.lower(F.concat_ws("\n", account, title, strip(text_or_empty(digest)), strip(text_or_empty(content)))),
+        lambda text: F.when(has_any(account, rules.UNION_WORDS) | has_any(title, rules.UNION_WORDS), union)
         .when(has_any(account, rules.SCIENCE_ACCOUNTS) | has_any(text, rules.SCIENCE_WORDS), science)
         .when(has_any(text, rules.WELFARE_WORDS), welfare)
         .when(has_any(text, rules.CLUB_WORDS), club)
-        .otherwise(other)
+        .otherwise(other),
     )

@@ -497,7 +497,7 @@ def score_guardrails(notices: DataFrame) -> DataFrame:
 
 @on(I.NOTICES)
 def expired_cap(notices: DataFrame) -> DataFrame:
-    return notices.select("notice_id", scoring.expired_cap(F.col("title"), F.col("content")).alias("cap"))
+    return scoring.expired_cap(notices).select("notice_id", "cap")
 
 
 @on(I.NOTICES)

@@ -13,7 +13,7 @@ from bulletin.operators.dedup import dedupe_articles
 from bulletin.operators.filters import mark_items
 from bulletin.operators.ranking import rank_in_section, section_selection, topk_per_section
 from bulletin.operators.scoring import account_section, with_rule_score
-from bulletin.operators.sections import complete_sections, section_ord
+from bulletin.operators.sections import section_ord
 from bulletin.operators.shorten import shorten
 from bulletin.operators.temporal import publish_prefilter, publish_recency, temporal_relevance
 from bulletin.plans.render import render_articles, render_digest
@@ -41,17 +41,13 @@ def final_items(items: DataFrame, clock: RunClock) -> DataFrame:
     """Time filter, section cut and shortening: what the digest prints."""
     fallback: Column = inline_date(F.col("content"))
     in_time = kept(temporal_relevance(items, clock, fallback=fallback)).drop("basis")
-    return shorten(section_selection(in_time.drop("rank"), clock))
+    return shorten(section_selection(in_time, clock))
 
 
 def full_issue(notices: DataFrame, sections: DataFrame, clock: RunClock, clean: bool = True) -> DataFrame:
     """Rank, select, filter by time, shorten, complete, render: one text per section."""
-    chosen = final_items(selected_issue(notices, clock, clean).drop("rank", "score", "reason", "tags"), clock)
-    present = chosen.select("section", "title", "content", "summary", "show_summary", "rank")
-    placeholders = complete_sections(present, sections).where(F.col("placeholder")).select(
-        "section", "title", "content", F.lit("").alias("summary"), F.lit(False).alias("show_summary"), F.lit(1).alias("rank")
-    )
-    return render_digest(present.unionByName(placeholders), sections)
+    best = selected_issue(notices, clock, clean).drop("rank", "score", "reason", "tags")
+    return render_digest(final_items(best, clock), sections, complete=True)
 
 
 def refilter_issue(items: DataFrame, sections: DataFrame, clock: RunClock) -> DataFrame:

@@ -44,10 +44,11 @@ def selected_block() -> Column:
     return F.concat_ws(BLANK, F.concat(F.lit("## "), F.col("title")), non_empty(F.col("content")))
 
 
-def render_digest(items: DataFrame, sections: DataFrame) -> DataFrame:
+def render_digest(items: DataFrame, sections: DataFrame, complete: bool = False) -> DataFrame:
     """One text per section: heading, lead, then its few selected items.
 
     ``items`` holds at most the section limit per section (``rank`` is their order).
+    ``complete`` gives a section without items the placeholder card.
     """
     block = F.concat_ws(
         BLANK,
@@ -59,7 +60,10 @@ def render_digest(items: DataFrame, sections: DataFrame) -> DataFrame:
         F.expr(f"listagg(block, '{BLANK}') WITHIN GROUP (ORDER BY rank)").alias("_items"),
         F.count(F.lit(1)).alias("_n"),
     )
-    joined = sections.join(texts, "section", "left").withColumn("items", F.coalesce(F.col("_n"), F.lit(0)))
+    joined = sections.join(texts, "section", "left").withColumn("items", F.coalesce(F.col("_n"), F.lit(int(complete))))
+    if complete:
+        card = F.lit(f"## {rules.PLACEHOLDER_TITLE}{BLANK}{rules.PLACEHOLDER_BODY}")
+        joined = joined.withColumn("_items", F.coalesce(F.col("_items"), card))
     return joined.select(
         "section", "section_ord", "items",
         F.concat_ws(

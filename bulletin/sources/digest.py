@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bulletin import rules
-from bulletin.functions.basics import clamp_score, find, non_empty, strip, unix_lines, text_or_empty, WS, DIGIT as D, FULLWIDTH_DIGITS
+from bulletin.functions.basics import clamp_score, find, let, non_empty, strip, unix_lines, text_or_empty, WS, DIGIT as D, FULLWIDTH_DIGITS
 
 # A heading needs something after its marker.
-SECTION_START = r"(?md)(?=^# [^\n]*\S)"
-ITEM_START = r"(?md)(?=^## [^\n]*\S)"
+# The marker is tested first and the line start second, which is far cheaper per character.
+SECTION_START = r"(?=# [^\n]*\S)(?<![^\n])"
+ITEM_START = r"(?=## [^\n]*\S)(?<![^\n])"
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -25,7 +26,8 @@ def _first_line(block: Column, marker: int) -> Column:
 
 
 def _rest(block: Column) -> Column:
-    return F.regexp_extract(block, r"^[^\n]*\n([\s\S]*)\z", 1)
+    at = F.instr(block, F.lit("\n"))
+    return F.when(at > 0, F.substring(block, at + 1, F.length(block))).otherwise("")
 
 
 def read_digest_items(documents: DataFrame, doc: str = "doc_path") -> DataFrame:
@@ -34,27 +36,20 @@ def read_digest_items(documents: DataFrame, doc: str = "doc_path") -> DataFrame:
     Sections and items are cut with lookahead splits inside the row, so a document is
     parsed where it was read: no window, no shuffle.
     """
-    text = unix_lines(F.col("text"))
-    # Text before the first heading is piece 0; a document that starts with one has no such piece.
-    sections = documents.select(
-        doc, F.posexplode(F.split(text, SECTION_START)).alias("_s", "block"), text.rlike(r"^# [^\n]*\S").cast("int").alias("_starts")
+    # Text before the first heading is piece 0; where there is none, an empty piece keeps the numbering.
+    cut = lambda text, start, marker: let(
+        text, lambda t: F.when(t.rlike(rf"^{marker} [^\n]*\S"), F.concat(F.array(F.lit("")), F.split(t, start))).otherwise(F.split(t, start))
     )
-    headed = F.col("block").rlike(r"^# [^\n]*\S")
+    sections = documents.select(doc, F.posexplode(cut(unix_lines(F.col("text")), SECTION_START, "#")).alias("section_ord", "block"))
+    headed = F.col("section_ord") > 0
     named = sections.select(
         doc,
-        (F.col("_s") + F.col("_starts")).alias("section_ord"),
+        "section_ord",
         F.when(headed, _first_line(F.col("block"), 2)).otherwise(rules.UNFILED_SECTION).alias("section"),
-        F.when(headed, _rest(F.col("block"))).otherwise(F.col("block")).alias("block"),
+        F.posexplode(cut(F.col("block"), ITEM_START, "##")).alias("item_ord", "item"),
     )
-    items = named.select(
-        doc, "section_ord", "section",
-        F.posexplode(F.split("block", ITEM_START)).alias("_i", "item"),
-        F.col("block").rlike(r"^## [^\n]*\S").cast("int").alias("_starts"),
-    )
-    items = items.where(F.col("item").rlike(r"^## [^\n]*\S"))
-    return items.select(
-        doc, "section", "section_ord",
-        (F.col("_i") + F.col("_starts")).alias("item_ord"),
+    return named.where(F.col("item_ord") > 0).select(
+        doc, "section", "section_ord", "item_ord",
         _first_line(F.col("item"), 3).alias("title"),
         strip(_rest(F.col("item"))).alias("content"),
     )
