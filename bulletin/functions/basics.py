@@ -112,7 +112,8 @@ def join_lines(items: Column) -> Column:
 
 
 def clamp_score(col: Column) -> Column:
-    return F.greatest(F.lit(0), F.least(F.lit(100), col))
+    """0..100; NULL stays NULL, which least and greatest alone would lose."""
+    return F.when(col.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(100), col)))
 
 
 def fill_in_order(content: Column, pattern: str, replacements: Column) -> Column:

@@ -14,10 +14,12 @@ from bulletin.functions.basics import (
     FULLWIDTH_DIGITS,
     WORD,
     WS,
+    clamp_score,
     collapse,
     count_of,
     find,
     find_all,
+    has_any,
     join_lines,
     let,
     lines,
@@ -28,33 +30,35 @@ from bulletin.functions.basics import (
 )
 from bulletin.functions.html import TAG, escape, unescape
 
+# (marks, pattern, replacement): a step runs only on texts that hold one of its marks.
 # In these patterns (?d) makes \n the only line end, as ^ and $ are meant.
-_MARKUP_BEFORE_ENTITIES = [
-    (r"(?is)<(script|style)[^>]*>.*?</\1>", " "),
-    (r"(?i)<br\s*/?>", "\n"),
-    (r"(?i)</?(?:" + "|".join(rules.BLOCK_TAGS) + r")[^>]*>", "\n"),
-    (TAG, " "),
+_MARKUP = [
+    ("<", r"(?is)<(script|style)[^>]*>.*?</\1>", " "),
+    ("<", r"(?i)<br\s*/?>", "\n"),
+    ("<", r"(?i)</?(?:" + "|".join(rules.BLOCK_TAGS) + r")[^>]*>", "\n"),
+    ("<", TAG, " "),
 ]
 _MARKDOWN = [
-    (r"!\[([^\]]*)\]\([^)]*\)", "$1"),
-    (r"\[([^\]]+)\]\([^)]*\)", "$1"),
-    (r"`{1,3}([^`]+)`{1,3}", "$1"),
-    (rf"(?md)^{WS}{{0,3}}>{WS}?", ""),
-    (rf"(?md)^{WS}*[-*_]{{3,}}{WS}*$", ""),
-    (rf"(?md)^{WS}*#{{1,6}}{WS}*([^#\n]+?){WS}*$", "### $1"),
-    (r"(?<!\*)\*\*([^*\n]+)\*\*(?!\*)", "$1"),
-    (r"(?<!_)__([^_\n]+)__(?!_)", "$1"),
-    (r"(?<!\*)\*([^*\n]+)\*(?!\*)", "$1"),
-    (r"(?<!_)_([^_\n]+)_(?!_)", "$1"),
-    (r"\\([*_#`>\-])", "$1"),
-    (r"\n[ \t]+", "\n"),
-    (r"[ \t]+\n", "\n"),
-    (r"\n{3,}", "\n\n"),
+    ("[", r"!\[([^\]]*)\]\([^)]*\)", "$1"),
+    ("[", r"\[([^\]]+)\]\([^)]*\)", "$1"),
+    ("`", r"`{1,3}([^`]+)`{1,3}", "$1"),
+    (">", rf"(?md)^{WS}{{0,3}}>{WS}?", ""),
+    ("---|***|___|-*|-_|*-|*_|_-|_*", rf"(?md)^{WS}*[-*_]{{3,}}{WS}*$", ""),
+    ("#", rf"(?md)^{WS}*#{{1,6}}{WS}*([^#\n]+?){WS}*$", "### $1"),
+    # The mark comes before the look-behind, so most characters fail on the first test.
+    ("**", r"\*\*(?<!\*\*\*)([^*\n]+)\*\*(?!\*)", "$1"),
+    ("__", r"__(?<!___)([^_\n]+)__(?!_)", "$1"),
+    ("*", r"\*(?<!\*\*)([^*\n]+)\*(?!\*)", "$1"),
+    ("_", r"_(?<!__)([^_\n]+)_(?!_)", "$1"),
+    ("\\", r"\\([*_#`>\-])", "$1"),
+    ("\n |\n\t", r"\n[ \t]+", "\n"),
+    (" \n|\t\n", r"[ \t]+\n", "\n"),
+    ("\n\n\n", r"\n{3,}", "\n\n"),
 ]
 _STRAY = [
-    (r"(?md)^[ \t]*\*{3,}[ \t]*$", ""),
-    (r"\*{4,}", ""),
-    (r"\n[ \t\n]*\n", "\n\n"),
+    ("***", r"(?md)^[ \t]*\*{3,}[ \t]*$", ""),
+    ("****", r"\*{4,}", ""),
+    ("\n\n|\n |\n\t", r"\n[ \t\n]*\n", "\n\n"),
 ]
 
 
@@ -64,12 +68,21 @@ def _chain(col: Column, steps: list[tuple[str, str]]) -> Column:
     return col
 
 
+def _marked_chain(col: Column, steps: list[tuple[str, str, str]]) -> Column:
+    def step(marks: str, pattern: str, replacement: str):
+        return lambda t: F.when(has_any(t, marks.split("|")), F.regexp_replace(t, pattern, replacement)).otherwise(t)
+
+    for marks, pattern, replacement in steps:
+        col = let(col, step(marks, pattern, replacement))
+    return col
+
+
 def clean_markdown(col: Column) -> Column:
     """Residual HTML and Markdown marks removed, headings lowered to ``###``."""
     out = F.replace(text_or_empty(col), F.lit("\ufeff"), F.lit(""))
-    out = unescape(_chain(out, _MARKUP_BEFORE_ENTITIES))
+    out = unescape(_marked_chain(out, _MARKUP))
     out = F.replace(out, F.lit("&nbsp;"), F.lit(" "))
-    return strip(_chain(strip(_chain(out, _MARKDOWN)), _STRAY))
+    return strip(_marked_chain(strip(_marked_chain(out, _MARKDOWN)), _STRAY))
 
 
 def normalize_space(col: Column) -> Column:
@@ -147,14 +160,20 @@ def best_candidate(candidates: Column) -> Column:
 def latin1_reading(line: Column) -> Column:
     """The line's latin-1 bytes read as UTF-8, NULL where that is impossible."""
     return F.when(
-        line.rlike(r"^[\x{00}-\x{ff}]*\z") & line.rlike(r"[\x{80}-\x{ff}]"),
+        line.rlike(r"^[\x{00}-\x{ff}]*\z") & line.rlike(r"[\x{c2}-\x{f4}]"),
         let(F.encode(line, "ISO-8859-1"), lambda b: F.when(F.is_valid_utf8(b.cast("string")), b.cast("string"))),
     )
 
 
-def _cp1252_line(line: str) -> str | None:
+# The characters Windows-1252 has in place of the C1 controls.
+_CP1252_TAIL = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+# A UTF-8 lead byte followed by a continuation byte, both seen as single-byte characters.
+_MISREAD = rf"[\x{{c2}}-\x{{f4}}][\x{{80}}-\x{{bf}}{_CP1252_TAIL}]"
+
+
+def _cp1252_line(line: str | None) -> str | None:
     try:
-        return line.encode("cp1252").decode("utf-8")
+        return None if line is None else line.encode("cp1252").decode("utf-8")
     except (UnicodeEncodeError, UnicodeDecodeError):
         return None
 
@@ -167,15 +186,16 @@ def _cp1252_batch(values: pd.Series) -> pd.Series:
 def repair_mojibake(col: Column) -> Column:
     """Line by line, the best of: as is, latin-1 bytes as UTF-8, cp1252 bytes as UTF-8.
 
-    Spark has no cp1252 encoder, so texts with a suspicious character, and only
-    those, go through one Arrow batch call.
+    Only a line with a misread byte pair has another reading. Spark has no cp1252
+    encoder, so texts with such a line, and only those, go through one Arrow batch call.
     """
     parts = lines(col)
-    rereads = _cp1252_batch(F.when(text_or_empty(col).rlike(r"[\x{80}-\x{ff}]"), parts))
+    suspicious = F.transform(parts, lambda p: F.when(p.rlike(_MISREAD), p))
+    rereads = _cp1252_batch(F.when(text_or_empty(col).rlike(_MISREAD), suspicious))
     fixed = F.zip_with(
         parts,
-        F.coalesce(rereads, F.transform(parts, lambda p: F.lit(None).cast("string"))),
-        lambda p, cp: best_candidate(F.array(p, latin1_reading(p), cp)),
+        F.coalesce(rereads, F.array().cast("array<string>")),
+        lambda p, cp: F.when(p.rlike(_MISREAD), best_candidate(F.array(p, latin1_reading(p), cp))).otherwise(p),
     )
     return join_lines(fixed)
 
@@ -406,10 +426,8 @@ def embedded_score(content: Column) -> Column:
     scored = find_all(
         content, rf"(?md)^{WS}*{rules.SCORE_LABEL}:(?:(?!\n){WS})*({D}{{1,3}})/100", 1
     )
-    return F.coalesce(
-        F.least(F.lit(100), F.translate(F.try_element_at(scored, F.lit(-1)), FULLWIDTH_DIGITS, "0123456789").cast("int")),
-        F.lit(0),
-    )
+    last = F.translate(F.try_element_at(scored, F.lit(-1)), FULLWIDTH_DIGITS, "0123456789").cast("int")
+    return F.coalesce(let(last, clamp_score), F.lit(0))
 
 
 def without_score_lines(content: Column) -> Column:

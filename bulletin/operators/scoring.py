@@ -31,7 +31,7 @@ def points(folded_text: Column) -> Column:
     total = F.lit(rules.BASE_SCORE)
     for gain, words in rules.SCORE_RULES:
         total = total + F.when(has_words(folded_text, words), gain).otherwise(0)
-    return clamp_score(total)
+    return let(total, clamp_score)
 
 
 def rule_score(title: Column, content: Column) -> Column:

@@ -22,6 +22,7 @@ from bulletin.operators import decisions as dec
 from bulletin.operators import dedup, filters, joins, model, pages, ranking, reports, scoring, sections, temporal
 from bulletin.plans import inputs as I
 from bulletin.plans import issue, render
+from bulletin.plans.inputs import table
 from bulletin.session import checkpoint_dir
 from bulletin.sources import digest, feeds, sinks
 
@@ -52,10 +53,6 @@ def on(view_sql: str) -> Callable[[Callable[[DataFrame], DataFrame]], Query]:
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def judged(df: DataFrame, *more) -> DataFrame:
     return df.select("notice_id", "keep", "reason", *more)
 

@@ -238,10 +238,24 @@ FROM {{documents}}
 """
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give text work on a table of very few splits every core.
+
+    A scan with at least as many splits as cores, as any large table has, is left as it is.
+    Filters and column pruning still reach the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run a view over the tables it names."""
     names = set(re.findall(r"(?<!\{)\{([a-z]+)\}(?!\})", sql))
-    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names}
+    tables = {name: table(spark, sf_dir, name) for name in names}
     return spark.sql(sql, **tables)
 
 

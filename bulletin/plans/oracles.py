@@ -546,9 +546,9 @@ _is_score = f"regexp_matches({trim('line')}, '^重要性评分:{WS}*{DIGIT}{{1,3
 add(
     "parse_embedded_score",
     f"""WITH {_LINES}, bl AS (SELECT doc_id, section_ord, item_ord, {_body_lines} FROM items),
- sc AS (SELECT doc_id, section_ord, item_ord, least(100, CAST(arg_max(regexp_extract({trim('line')}, '^重要性评分:{WS}*({DIGIT}{{1,3}})/100', 1), k) FILTER (WHERE {_is_score}) AS INT)) AS score,
+ sc AS (SELECT doc_id, section_ord, item_ord, CAST(arg_max(regexp_extract({trim('line')}, '^重要性评分:{WS}*({DIGIT}{{1,3}})/100', 1), k) FILTER (WHERE {_is_score}) AS INT) AS score,
   string_agg(CASE WHEN NOT {_is_score} AND NOT starts_with({trim('line')}, '排序依据:') THEN line END, {NL} ORDER BY k) AS rest FROM bl GROUP BY 1, 2, 3)
- SELECT doc_id, section_ord, item_ord, coalesce(score, 0) AS score, {trim(swap(trim("coalesce(rest, '')"), chr(92) + 'n{3,}', chr(10) * 2))} AS content FROM sc""",
+ SELECT doc_id, section_ord, item_ord, least(100, coalesce(score, 0)) AS score, {trim(swap(trim("coalesce(rest, '')"), chr(92) + 'n{3,}', chr(10) * 2))} AS content FROM sc""",
 )
 
 # --- dates -------------------------------------------------------------------
