@@ -9,6 +9,7 @@ from bulletin import rules
 from bulletin.functions.basics import WS, fill_in_order, find_all, non_empty, strip
 from bulletin.functions.text import squeeze_blank_lines, title_key
 from bulletin.operators.order import top_k
+from bulletin.operators.rows import explode_once
 
 IMAGE_TOKEN = r"\[\[IMG_OCR_([0-9]+)\]\]"
 
@@ -110,7 +111,7 @@ def markdown_image_texts(notices: DataFrame, texts: DataFrame, keep_image: bool
     Texts are joined per distinct target, then handed back per notice in image order.
     """
     image = r"!\[[^\]]*\]\(([^)]+)\)"
-    found = notices.select("notice_id", F.posexplode(find_all(F.col("content"), image, 0)).alias("pos", "whole"))
+    found = explode_once(notices, ["notice_id"], find_all(F.col("content"), image, 0), "pos", "whole")
     inner = strip(F.regexp_extract("whole", image, 1))
     bare = F.when(inner.rlike(r"^<.*>\z"), strip(F.substring(inner, F.lit(2), F.length(inner) - 2))).otherwise(inner)
     found = found.withColumn("path", strip(F.split_part(bare, F.lit('"'), F.lit(1))))

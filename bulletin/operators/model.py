@@ -17,6 +17,7 @@ from bulletin.functions.basics import clamp_score, collapse, non_empty, strip, t
 from bulletin.functions.text import clean_markdown, clip_units, json_block, normalize_headings, normalize_space, quality_score
 from bulletin.operators.order import top_k
 from bulletin.operators.ranking import item_index
+from bulletin.operators.rows import explode_once
 from bulletin.operators.scoring import score_guardrails
 
 CHUNK_ITEMS = 40
@@ -24,10 +25,14 @@ CHUNK_ITEMS = 40
 
 def ranking_requests(df: DataFrame, chunk_items: int = CHUNK_ITEMS, measure: DataFrame | None = None) -> DataFrame:
     """One prompt per section and chunk of items; the item index runs through the section."""
-    indexed = item_index(df, measure)
+    # Only the excerpt travels through the numbering, not the whole text.
+    excerpt = df.select(
+        "section", "ordinal", "title",
+        F.substring(text_or_empty(F.col("content")), 1, rules.RANKING_BODY_CHARS).alias("excerpt"),
+    )
+    indexed = item_index(excerpt, measure)
     candidate = F.concat(
-        F.col("item_index").cast("string"), F.lit(". 标题: "), text_or_empty(F.col("title")), F.lit("\n正文摘录:\n"),
-        F.substring(text_or_empty(F.col("content")), 1, rules.RANKING_BODY_CHARS),
+        F.col("item_index").cast("string"), F.lit(". 标题: "), text_or_empty(F.col("title")), F.lit("\n正文摘录:\n"), F.col("excerpt")
     )
     chunked = indexed.select(
         "section", "item_index", F.floor((F.col("item_index") - 1) / chunk_items).cast("bigint").alias("chunk"),
@@ -49,10 +54,7 @@ def whole_number(col: Column) -> Column:
 def score_responses(responses: DataFrame) -> DataFrame:
     """Usable (section, item_index, score, reason) rows of the replies; bad entries are skipped."""
     schema = "struct<items: array<struct<index:string, score:string, reason:string>>>"
-    entries = responses.select(
-        "section",
-        F.posexplode(F.from_json(json_block(F.col("raw")), schema)["items"]).alias("pos", "e"),
-    )
+    entries = explode_once(responses, ["section"], F.from_json(json_block(F.col("raw")), schema)["items"], "pos", "e")
     parsed = entries.select(
         "section", "pos",
         whole_number(F.col("e.index")).alias("item_index"),
@@ -115,9 +117,8 @@ def selection_responses(items: DataFrame, responses: DataFrame, limit: int = rul
     ``items`` carries ``item_index``; indices out of range find no item and fall away.
     """
     schema = "struct<keep_indices: array<string>>"
-    picks = responses.select(
-        "section", F.posexplode(F.from_json(json_block(F.col("raw")), schema)["keep_indices"]).alias("pos", "i")
-    ).select("section", "pos", whole_number(F.col("i")).cast("bigint").alias("item_index"))
+    replies = F.from_json(json_block(F.col("raw")), schema)["keep_indices"]
+    picks = explode_once(responses, ["section"], replies, "pos", "i").select("section", "pos", whole_number(F.col("i")).cast("bigint").alias("item_index"))
     picks = picks.where(F.col("item_index").isNotNull()).groupBy("section", "item_index").agg(F.min("pos").alias("pos"))
     picked = top_k(items.join(picks, ["section", "item_index"]), ["section"], [F.col("pos")], limit, rank="pick")
     answered = picked.select("section").distinct()

@@ -80,32 +80,25 @@ def positions(
             path.append(key)
     keyed = keyed.drop("_span")
 
+    # Structs as keys: they compare NULL members as equal, and one exchange on the path
+    # serves the numbering window and the join of the offsets.
+    keyed = keyed.withColumn("_path", F.struct(*group, *path))
     before = Window.unboundedPreceding
-    counts = keyed.groupBy(*group, *path).agg(F.count(F.lit(1)).alias("_n"))
-    inside = Window.partitionBy(*group, path[0]).orderBy(*(path[1:] or path)).rowsBetween(before, -1)
-    counts = counts.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    ahead = Window.partitionBy(*group).orderBy(path[0]).rowsBetween(before, -1)
+    counts = keyed.groupBy("_path").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_coarse", F.struct(*[F.col(f"_path.{c}") for c in [*group, path[0]]]))
+    inside = Window.partitionBy("_coarse").orderBy("_path").rowsBetween(before, -1)
+    ahead = (
+        Window.partitionBy(F.struct(*[F.col(f"_coarse.{c}") for c in group])).orderBy("_coarse").rowsBetween(before, -1)
+    )
     coarse = (
-        counts.groupBy(*group, path[0])
+        counts.groupBy("_coarse")
         .agg(F.sum("_n").alias("_n"))
-        .withColumn("_ahead", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
-        .drop("_n")
+        .select("_coarse", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
     )
-    offsets = _join_same(counts.drop("_n"), coarse, [*group, path[0]])
-    local = Window.partitionBy(*group, *path).orderBy(*keys)
+    offsets = counts.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(coarse, "_coarse")
+    local = Window.partitionBy("_path").orderBy(*keys)
     numbered = keyed.withColumn("_local", F.row_number().over(local))
-    out = _join_same(numbered, offsets, [*group, *path])
+    out = numbered.join(offsets.select("_path", "_inside", "_ahead"), "_path")
     return out.withColumn(name, (F.col("_local") + F.col("_inside") + F.col("_ahead")).cast("bigint")).drop(
-        *[c for c in path if c.startswith("_range_")], "_local", "_inside", "_ahead"
+        "_path", *[c for c in path if c.startswith("_range_")], "_local", "_inside", "_ahead"
     )
-
-
-def _join_same(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Equi-join in which NULL equals NULL."""
-    renamed = right
-    for c in on:
-        renamed = renamed.withColumnRenamed(c, f"_r_{c}")
-    cond = F.lit(True)
-    for c in on:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-    return left.join(renamed, cond, "inner").drop(*[f"_r_{c}" for c in on])

@@ -25,6 +25,7 @@ from bulletin.functions.basics import (
 from bulletin.functions.dates import FULL_DATE
 from bulletin.functions.text import squeeze_blank_lines
 from bulletin.functions.urls import normalize_url, resolve_resource, resolve_url
+from bulletin.operators.rows import explode_once
 
 TABLE = r"(?i)<table[\s\S]*?</table>"
 ROW = r"(?i)<tr[\s\S]*?</tr>"
@@ -83,7 +84,7 @@ def _attribute(tag: Column, name: str) -> Column:
 def explode_links(df: DataFrame, page: str = "page_id") -> DataFrame:
     """One row per link of a listing: absolute address, text and the date written in the link."""
     whole = r"(?i)<a\b[^>]*>[\s\S]*?</a>"
-    links = df.select(page, "url", F.posexplode(find_all(F.col("html"), whole)).alias("pos", "link"))
+    links = explode_once(df, [page, "url"], find_all(F.col("html"), whole), "pos", "link")
     tag = F.regexp_extract("link", r"(?i)^<a\b[^>]*>", 0)
     click = r"""(?i)(?:href\s*=|open\(|url\s*=)\s*['"]([^'"]+)"""
     href = F.coalesce(
@@ -102,7 +103,7 @@ def explode_links(df: DataFrame, page: str = "page_id") -> DataFrame:
 def event_listing(df: DataFrame, page: str = "page_id") -> DataFrame:
     """Event blocks of a listing page: date, title, place, price, poster; what is missing reads N/A."""
     blocks = F.slice(F.split("html", r"""(?i)<div[^>]*class=["'][^"']*timemain_a[^"']*["'][^>]*>""", -1), 2, 2**31 - 1)
-    rows = df.select(page, "url", F.posexplode(blocks).alias("pos", "block"))
+    rows = explode_once(df, [page, "url"], blocks, "pos", "block")
 
     def inner(pattern: str) -> Column:
         matched = F.when(F.col("block").rlike(pattern), F.regexp_extract("block", pattern, 1))
@@ -127,9 +128,9 @@ def event_listing(df: DataFrame, page: str = "page_id") -> DataFrame:
 
 def table_cells(df: DataFrame, page: str = "page_id") -> DataFrame:
     """Long form of every table: one row per cell, plain text."""
-    tables = df.select(page, F.posexplode(find_all(F.col("html"), TABLE)).alias("table_no", "t"))
-    rows = tables.select(page, "table_no", F.posexplode(find_all(F.col("t"), ROW)).alias("row_no", "r"))
-    cells = rows.select(page, "table_no", "row_no", F.posexplode(find_all(F.col("r"), CELL)).alias("col_no", "c"))
+    tables = explode_once(df, [page], find_all(F.col("html"), TABLE), "table_no", "t")
+    rows = explode_once(tables, [page, "table_no"], find_all(F.col("t"), ROW), "row_no", "r")
+    cells = explode_once(rows, [page, "table_no", "row_no"], find_all(F.col("r"), CELL), "col_no", "c")
     return cells.select(
         page, *[(F.col(c) + 1).alias(c) for c in ("table_no", "row_no", "col_no")], H.strip_tags(F.col("c")).alias("cell")
     )
@@ -181,7 +182,7 @@ def html_to_text(df: DataFrame, page: str = "page_id", raw_mode: bool = True) ->
 
 def extract_images(df: DataFrame, page: str = "page_id", site: str = rules.ARTICLE_SITE) -> DataFrame:
     """Images with an address, numbered in page order, with the token that stands for them."""
-    tags = df.select(page, F.posexplode(find_all(F.col("html"), H.IMG)).alias("pos", "tag"))
+    tags = explode_once(df, [page], find_all(F.col("html"), H.IMG), "pos", "tag")
     named = tags.select(page, "pos", normalize_url(H.image_source(F.col("tag")), site).alias("image_url"))
     listed = named.where(F.col("image_url").isNotNull()).groupBy(page).agg(
         F.array_sort(F.collect_list(F.struct("pos", "image_url"))).alias("images")

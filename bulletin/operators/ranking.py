@@ -10,18 +10,21 @@ from bulletin.functions.basics import strip, text_or_empty
 from bulletin.functions.dates import RunClock, first_stamp_eod
 from bulletin.operators.decisions import decide
 from bulletin.operators.order import positions, top_k
+from bulletin.operators.rows import settle
 from bulletin.operators.temporal import expired_event
 
 SECTION = ["section"]
 
 
-def rank_in_section(df: DataFrame, measure: DataFrame | None = None) -> DataFrame:
-    """Position by score, best first, feed order inside a score."""
-    ranked = positions(
-        df.withColumn("_worst", (-F.col("score")).cast("bigint")),
-        SECTION, ["_worst", "ordinal"], "rank", exact=["_worst"], measure=measure,
-    )
-    return ranked.drop("_worst")
+def rank_in_section(scored: DataFrame, carry: tuple[str, ...] = ("notice_id", "reason")) -> DataFrame:
+    """Position by score, best first, feed order inside a score.
+
+    Counting and numbering both read the scores, so the scored rows are settled once,
+    without their text; join the text back by ``notice_id`` where it is printed.
+    """
+    narrow = settle(scored.select(*carry, "section", "ordinal", "score"))
+    worst = narrow.withColumn("_worst", (-F.col("score")).cast("bigint"))
+    return positions(worst, SECTION, ["_worst", "ordinal"], "rank", exact=["_worst"]).drop("_worst")
 
 
 def item_index(df: DataFrame, measure: DataFrame | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from bulletin.functions import dates as D
 from bulletin.functions.basics import let, text_or_empty
 from bulletin.functions.dates import RunClock
 from bulletin.operators.decisions import decide
+from bulletin.operators.rows import explode_once
 
 
 def notice_text() -> Column:
@@ -24,7 +25,7 @@ def with_signals(df: DataFrame, clock: RunClock, text: Column | None = None, fal
 
 def signal_rows(df: DataFrame, key: str = "notice_id") -> DataFrame:
     """One row per signal of a table made by ``with_signals``."""
-    return df.select(key, F.explode("signals").alias("s")).select(key, "s.*")
+    return explode_once(df, [key], F.col("signals"), "_i", "s").select(key, "s.*")
 
 
 def distinct_signals(rows: DataFrame, key: str = "notice_id") -> DataFrame:

@@ -414,7 +414,7 @@ def _scored(notices: DataFrame) -> DataFrame:
 
 @on(I.NOTICES)
 def rank_in_section(notices: DataFrame) -> DataFrame:
-    return ranking.rank_in_section(_scored(notices), measure=notices).select("notice_id", "section", "score", "rank")
+    return ranking.rank_in_section(_scored(notices)).select("notice_id", "section", "score", "rank")
 
 
 @on(I.NOTICES)
@@ -858,8 +858,7 @@ def model_call(notices: DataFrame) -> DataFrame:
 @query
 def render_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     notices = I.view(spark, sf_dir, I.NOTICES)
-    ranked = ranking.rank_in_section(_scored(notices), measure=notices)
-    return render.render_ranked(ranked, issue_sections(spark))
+    return render.render_ranked(ranking.rank_in_section(_scored(notices)), notices, issue_sections(spark))
 
 
 @query

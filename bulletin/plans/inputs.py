@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RUN_DATE = "2026-04-20"
 
@@ -241,11 +242,14 @@ FROM {{documents}}
 def spread(df: DataFrame) -> DataFrame:
     """Give text work on a table of very few splits every core.
 
-    A scan with at least as many splits as cores, as any large table has, is left as it is.
-    Filters and column pruning still reach the scan.
+    A scan with at least as many splits as cores, as any large table has, is left as it is:
+    there every filter belongs in the scan. Here the always-true random filter keeps
+    costly text filters above the exchange, on all cores; column pruning still applies.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores).where(F.rand(0) >= 0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -16,7 +16,7 @@ from bulletin.operators.scoring import account_section, with_rule_score
 from bulletin.operators.sections import section_ord
 from bulletin.operators.shorten import shorten
 from bulletin.operators.temporal import publish_prefilter, publish_recency, temporal_relevance
-from bulletin.plans.render import render_articles, render_digest
+from bulletin.plans.render import render_articles, render_digest, render_ranked
 
 
 def scored_notices(notices: DataFrame, clock: RunClock, clean: bool = True) -> DataFrame:
@@ -27,9 +27,11 @@ def scored_notices(notices: DataFrame, clock: RunClock, clean: bool = True) -> D
     return with_rule_score(recent, clock)
 
 
-def ranked_issue(notices: DataFrame, clock: RunClock) -> DataFrame:
-    """Every recent notice with its rank inside its section."""
-    return rank_in_section(scored_notices(notices, clock), measure=notices)
+def ranked_issue(notices: DataFrame, sections: DataFrame, clock: RunClock) -> DataFrame:
+    """Every recent notice by rank, as ordered blocks."""
+    ranks = rank_in_section(scored_notices(notices, clock))
+    bodies = notices.select("notice_id", "title", raw_clean(F.col("content")).alias("content"))
+    return render_ranked(ranks, bodies, sections)
 
 
 def selected_issue(notices: DataFrame, clock: RunClock, clean: bool = True) -> DataFrame:

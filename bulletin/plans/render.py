@@ -15,28 +15,36 @@ from bulletin.functions import text as X
 from bulletin.functions.basics import lines, non_empty, strip, text_or_empty
 from bulletin.functions.dates import format_publish
 from bulletin.functions.html import escape
+from bulletin.operators.rows import explode_once
 from bulletin.operators.sections import card_lead, section_lead
 
 BLANK = "\n\n"
 
 
-def render_ranked(ranked: DataFrame, sections: DataFrame) -> DataFrame:
-    """Blocks of the ranked issue: a heading per section (block 0), then its items by rank."""
-    counts = ranked.groupBy("section").agg(F.count(F.lit(1)).alias("_n"))
+def render_ranked(ranks: DataFrame, bodies: DataFrame, sections: DataFrame) -> DataFrame:
+    """Blocks of the ranked issue: a heading per section (block 0), then its items by rank.
+
+    ``ranks`` are the narrow rows of ``rank_in_section``; ``bodies`` brings title and content.
+    """
+    counts = ranks.groupBy("section").agg(F.count(F.lit(1)).alias("_n"))
     heading = F.concat(F.lit("# "), F.col("section"))
     empty = F.lit(f"{BLANK}## {rules.PLACEHOLDER_TITLE}{BLANK}{rules.RANKED_EMPTY_BODY}")
     heads = sections.join(counts, "section", "left").select(
         "section", "section_ord", F.lit(0).cast("bigint").alias("block"),
         F.when(F.col("_n").isNull(), F.concat(heading, empty)).otherwise(heading).alias("text"),
     )
-    body = F.concat_ws(
+    text = F.concat_ws(
         BLANK,
         F.concat(F.lit("## "), F.col("title")),
         F.concat(F.lit(f"{rules.SCORE_LABEL}: "), F.col("score").cast("string"), F.lit("/100")),
         F.concat(F.lit(f"{rules.BASIS_LABEL}: "), non_empty(strip(F.col("reason")))),
         non_empty(F.col("content")),
     )
-    items = ranked.join(sections, "section").select("section", "section_ord", F.col("rank").cast("bigint").alias("block"), body.alias("text"))
+    items = (
+        ranks.join(sections, "section")
+        .join(bodies.select("notice_id", "title", "content"), "notice_id")
+        .select("section", "section_ord", F.col("rank").cast("bigint").alias("block"), text.alias("text"))
+    )
     return heads.unionByName(items)
 
 
@@ -135,7 +143,7 @@ def _readable(line: Column) -> Column:
 
 def classify_lines(documents: DataFrame, doc: str = "doc_id", brand_lines: tuple[str, ...] = (), inline: bool = False) -> DataFrame:
     """Every line of every document with its kind, label and value; the first rule that fits wins."""
-    raw = documents.select(doc, F.posexplode(lines(F.col("text"))).alias("_n", "_line"))
+    raw = explode_once(documents, [doc], lines(F.col("text")), "_n", "_line")
     # In two steps, so that the repair is evaluated once per line.
     bare = raw.select(doc, (F.col("_n") + 1).alias("line_no"), strip(F.replace("_line", F.lit("﻿"), F.lit(""))).alias("line"))
     line = F.col("line")

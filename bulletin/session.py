@@ -34,9 +34,10 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a temporary one only where none is set."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    fresh = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(fresh)
-    return fresh
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return folder

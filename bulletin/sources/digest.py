@@ -36,17 +36,18 @@ def read_digest_items(documents: DataFrame, doc: str = "doc_path") -> DataFrame:
     Sections and items are cut with lookahead splits inside the row, so a document is
     parsed where it was read: no window, no shuffle.
     """
+    # The outer explode keeps Catalyst from evaluating the split twice (see operators.rows).
     # Text before the first heading is piece 0; where there is none, an empty piece keeps the numbering.
     cut = lambda text, start, marker: let(
         text, lambda t: F.when(t.rlike(rf"^{marker} [^\n]*\S"), F.concat(F.array(F.lit("")), F.split(t, start))).otherwise(F.split(t, start))
     )
-    sections = documents.select(doc, F.posexplode(cut(unix_lines(F.col("text")), SECTION_START, "#")).alias("section_ord", "block"))
+    sections = documents.select(doc, F.posexplode_outer(cut(unix_lines(F.col("text")), SECTION_START, "#")).alias("section_ord", "block"))
     headed = F.col("section_ord") > 0
     named = sections.select(
         doc,
         "section_ord",
         F.when(headed, _first_line(F.col("block"), 2)).otherwise(rules.UNFILED_SECTION).alias("section"),
-        F.posexplode(cut(F.col("block"), ITEM_START, "##")).alias("item_ord", "item"),
+        F.posexplode_outer(cut(F.col("block"), ITEM_START, "##")).alias("item_ord", "item"),
     )
     return named.where(F.col("item_ord") > 0).select(
         doc, "section", "section_ord", "item_ord",

@@ -10,6 +10,7 @@ from bulletin.functions.basics import non_empty, strip, text_or_empty
 from bulletin.functions.dates import parse_epoch
 from bulletin.functions.urls import normalize_url
 from bulletin.operators.order import top_k
+from bulletin.operators.rows import explode_once
 
 
 def first_list(payload: Column) -> Column:
@@ -34,7 +35,7 @@ def first_value(record: Column, names: list[str]) -> Column:
 
 def normalize_articles(feeds: DataFrame, site: str = rules.ARTICLE_SITE, zone: str = "UTC", entities: bool = True) -> DataFrame:
     """Article rows of feed payloads (feed_id, raw, account_keyword); records without an address go."""
-    records = feeds.select("feed_id", "account_keyword", F.posexplode(first_list(F.col("raw"))).alias("pos", "r"))
+    records = explode_once(feeds, ["feed_id", "account_keyword"], first_list(F.col("raw")), "pos", "r")
     r = F.col("r")
     value = lambda field: first_value(r, rules.FIELD_ALIASES[field])
     aid = F.try_variant_get(r, "$.aid", "string")
@@ -57,7 +58,7 @@ def normalize_articles(feeds: DataFrame, site: str = rules.ARTICLE_SITE, zone: s
 
 def account_candidates(replies: DataFrame) -> DataFrame:
     """(keyword, pos, fakeid) candidates of account-search replies (keyword, keyword_ord, raw)."""
-    rows = replies.select("keyword", "keyword_ord", F.posexplode(first_list(F.col("raw"))).alias("pos", "r"))
+    rows = explode_once(replies, ["keyword", "keyword_ord"], first_list(F.col("raw")), "pos", "r")
     return rows.select(
         "keyword", "keyword_ord", "pos", strip(first_value(F.col("r"), rules.ACCOUNT_ID_KEYS)).alias("fakeid")
     )

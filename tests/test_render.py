@@ -31,8 +31,9 @@ def test_refilter_renders_the_smoke_digest(spark):
 
 
 def test_ranked_blocks(spark):
-    ranked = spark.createDataFrame([("a", 1, "t", 80, "r", "c"), ("a", 2, "u", 5, "", "")], "section string, rank int, title string, score int, reason string, content string")
-    blocks = render.render_ranked(ranked, section_table(spark, ["a", "b"])).orderBy("section_ord", "block").collect()
+    ranks = spark.createDataFrame([(1, "a", 1, 80, "r"), (2, "a", 2, 5, "")], "notice_id int, section string, rank int, score int, reason string")
+    bodies = spark.createDataFrame([(1, "t", "c"), (2, "u", ""), (3, "v", "w")], "notice_id int, title string, content string")
+    blocks = render.render_ranked(ranks, bodies, section_table(spark, ["a", "b"])).orderBy("section_ord", "block").collect()
     assert [b.text for b in blocks] == [
         "# a", "## t\n\n重要性评分: 80/100\n\n排序依据: r\n\nc", "## u\n\n重要性评分: 5/100",
         "# b\n\n## 占位卡片\n\n本版块 raw 模式未抓取到一周内发布的条目。",
