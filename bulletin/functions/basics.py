@@ -65,8 +65,11 @@ def lines(col: Column) -> Column:
 
 
 def find(col: Column, pattern: str, group: int = 1) -> Column:
-    """First match of a group, NULL when there is none (or it is empty)."""
-    return non_empty(F.regexp_extract(col, pattern, group))
+    """First match of a group, NULL when there is none (or it is empty).
+
+    Through ``let``, because NULLIF inside a branch or a lambda would search twice.
+    """
+    return let(F.regexp_extract(col, pattern, group), lambda found: F.when(found != "", found))
 
 
 def find_all(col: Column, pattern: str, group: int = 0) -> Column:

@@ -11,7 +11,7 @@ from bulletin.functions.dates import RunClock, first_stamp_eod
 from bulletin.operators.decisions import decide
 from bulletin.operators.order import positions, top_k
 from bulletin.operators.rows import settle
-from bulletin.operators.temporal import expired_event
+from bulletin.operators.temporal import event_expired, expired_event
 
 SECTION = ["section"]
 
@@ -94,9 +94,8 @@ def section_selection(df: DataFrame, clock: RunClock) -> DataFrame:
     Rows travel whole through one bounded rank, so the input is read once.
     """
     is_report = F.col("section").eqNullSafe(F.lit(rules.REPORT_SECTION))
-    judged = expired_event(df, clock)
-    active = judged.where(F.col("keep") | ~is_report).drop("keep", "reason", "stage", "event_at")
-    placed = active.withColumn("_at", F.when(is_report, first_stamp_eod(F.col("content"))))
+    expired = is_report & event_expired(F.col("content"), clock)
+    placed = df.where(~expired).withColumn("_at", F.when(is_report, first_stamp_eod(F.col("content"))))
     widest = max(rules.SECTION_LIMIT, rules.ACCOUNT_LIMIT)
     head = top_k(placed, SECTION, [F.col("_at").desc_nulls_last(), F.col("ordinal")], widest, rank="rank")
     return head.where(F.col("rank") <= section_limit(F.col("section"))).drop("_at")

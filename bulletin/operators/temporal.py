@@ -118,10 +118,17 @@ def publish_prefilter(df: DataFrame, clock: RunClock, days_limit: int | None = N
     return decide(df, ts.isNull() | (ts >= bound), reason, "publish_prefilter")
 
 
+def _event_limit(clock: RunClock) -> Column:
+    return D.ntz(clock.now - dt.timedelta(hours=rules.EVENT_GRACE_HOURS))
+
+
+def event_expired(content: Column, clock: RunClock) -> Column:
+    """The labelled event time is more than half a day past; no readable time is not."""
+    return F.coalesce(D.labelled_datetime(content, rules.EVENT_LABELS) < _event_limit(clock), F.lit(False))
+
+
 def expired_event(df: DataFrame, clock: RunClock) -> DataFrame:
-    """Labelled event time more than half a day past; no readable time keeps."""
-    at = D.labelled_datetime(F.col("content"), rules.EVENT_LABELS)
-    limit = D.ntz(clock.now - dt.timedelta(hours=rules.EVENT_GRACE_HOURS))
-    staged = df.withColumn("event_at", at)
-    gone = F.coalesce(F.col("event_at") < limit, F.lit(False))
+    """Flag items whose labelled event is over, keeping the time as ``event_at``."""
+    staged = df.withColumn("event_at", D.labelled_datetime(F.col("content"), rules.EVENT_LABELS))
+    gone = F.coalesce(F.col("event_at") < _event_limit(clock), F.lit(False))
     return decide(staged, ~gone, F.when(gone, "expired_physics_event").otherwise("event_open"), "section_filter")

@@ -243,13 +243,13 @@ def spread(df: DataFrame) -> DataFrame:
     """Give text work on a table of very few splits every core.
 
     A scan with at least as many splits as cores, as any large table has, is left as it is:
-    there every filter belongs in the scan. Here the always-true random filter keeps
-    costly text filters above the exchange, on all cores; column pruning still applies.
+    there every filter belongs in the scan. Here the always-true filter, which is not deterministic
+    for Catalyst, keeps costly text filters above the exchange, on all cores.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores).where(F.rand(0) >= 0)
+    return df.repartition(cores).where(F.spark_partition_id() >= 0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
