@@ -12,8 +12,13 @@ from bulletin.functions.basics import non_empty, strip, text_or_empty
 
 
 def section_table(spark: SparkSession, names: Sequence[str] = tuple(rules.REQUIRED_SECTIONS)) -> DataFrame:
-    """sections(section, section_ord): a fixed list from the rules."""
-    return spark.createDataFrame(list(zip(names, range(1, len(names) + 1))), "section string, section_ord int")
+    """sections(section, section_ord) of a fixed list.
+
+    Inline VALUES have an exact size, so the planner can see that broadcasting them is safe.
+    """
+    rows = ", ".join(f"(:s{i}, {i})" for i in range(1, len(names) + 1))
+    args = {f"s{i}": name for i, name in enumerate(names, start=1)}
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(section, section_ord)", args=args)
 
 
 def section_ord(names: Sequence[str], section: Column) -> Column:

@@ -723,7 +723,7 @@ def filter_snippet(articles: DataFrame) -> DataFrame:
 
 @on(I.ARTICLES)
 def fit_field(articles: DataFrame) -> DataFrame:
-    title = F.concat(F.lit("\\u4e07\\u6709 "), F.col("title"), F.lit("  关于本学期各项安排的详细通知与说明"), F.substring("content", 1, 30))
+    title = F.concat(F.lit("\\u901a\\u77e5 "), F.col("title"), F.lit("  关于本学期各项安排的详细通知与说明"), F.substring("content", 1, 30))
     n = F.col("notice_id")
     source = F.when(n % 3 == 0, F.col("url")).when(n % 3 == 1, "ftp://e.com/x").otherwise("https://")
     fields = {

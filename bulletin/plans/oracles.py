@@ -695,7 +695,7 @@ def fit(x: str, chars: int, limit: int, dots: str = "") -> str:
 _sizes = ", ".join(f"length({c}) AS {c}_chars, strlen({c}) AS {c}_bytes" for c in ("title", "author", "digest", "source_url"))
 add(
     "fit_field",
-    f"""WITH a AS (SELECT notice_id, CASE WHEN notice_id % 10 = 0 THEN '周报' ELSE {collapse("'万有 ' || title || '  关于本学期各项安排的详细通知与说明' || substr(content, 1, 30)")} END AS t0, {collapse('account')} AS a0,
+    f"""WITH a AS (SELECT notice_id, CASE WHEN notice_id % 10 = 0 THEN '周报' ELSE {collapse("'通知 ' || title || '  关于本学期各项安排的详细通知与说明' || substr(content, 1, 30)")} END AS t0, {collapse('account')} AS a0,
  {collapse("digest || ' ' || substr(content, 1, 300)")} AS d0, CASE WHEN notice_id % 3 = 0 THEN url ELSE '' END AS source_url FROM {ARTICLES} a),
  b AS (SELECT notice_id, {fit('t0', 32, 64)} AS title, {fit('a0', 4, 12)} AS author, {fit('d0', 54, 120, '...')} AS digest, source_url FROM a) SELECT *, {_sizes} FROM b""",
 )
