@@ -230,3 +230,21 @@ def ocr_text(payload: Column) -> Column:
 
 def link_date(text: Column) -> Column:
     return text_or_empty(let(text, lambda t: find(t, rf"20{D}{{2}}[年\-/.]{D}{{1,2}}[月\-/.]{D}{{1,2}}日?", 0)))
+
+
+def article_details(articles: DataFrame, stored: DataFrame, raw_mode: bool = True) -> DataFrame:
+    """Bring the stored page of every article: text, publish time and author.
+
+    An equi-join on the address; an article whose page is not stored keeps empty fields.
+    """
+    fields = stored.select(
+        F.col("url").alias("_url"),
+        H.article_body(F.col("html")).alias("html"),
+        H.page_publish_time(F.col("html")).alias("publish_text"),
+        H.page_author(F.col("html")).alias("author"),
+    )
+    text = H.blocks_to_text(H.drop_images(F.col("html")) if raw_mode else F.col("html"))
+    joined = articles.drop("content", "publish_text", "author").join(fields, F.col("url") == F.col("_url"), "left")
+    return joined.withColumns(
+        {"content": text, "publish_text": text_or_empty(F.col("publish_text")), "author": text_or_empty(F.col("author"))}
+    ).drop("_url", "html")

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from bulletin import rules
 from bulletin.functions.basics import non_empty, strip, text_or_empty
 from bulletin.functions.dates import inline_date
-from bulletin.functions.text import json_block, labelled_field, report_summary
+from bulletin.functions.text import json_block, labelled_field, report_summary, report_text
+from bulletin.operators.decisions import kept
+from bulletin.operators.filters import report_classifier
 
 REPORT_FIELDS = "struct<title:string, speaker:string, time:string, location:string, summary:string>"
 
@@ -56,3 +58,10 @@ def build_report(df: DataFrame) -> DataFrame:
         tail,
     )
     return f.withColumn("body", strip(body))
+
+
+def report_job(df: DataFrame) -> DataFrame:
+    """Page texts to report notices: repaired and trimmed, filtered to reports, labelled."""
+    staged = df if "raw" in df.columns else df.withColumn("raw", F.lit(None).cast("string"))
+    trimmed = staged.withColumn("content", report_text(F.col("content"), F.col("title")))
+    return build_report(kept(report_classifier(trimmed)))

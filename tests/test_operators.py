@@ -259,3 +259,17 @@ def test_previous_issue(spark):
     old = spark.createDataFrame([("ax b",)], "title string")
     assert [r.notice_id for r in joins.previous_issue_anti(now, old).collect()] == [2]
     assert joins.previous_issue_anti(now).count() == 2
+
+
+def test_report_job(spark):
+    broken = "报告人：王".encode().decode("latin-1")
+    rows = [("学术报告", f"导航\n学术报告 一\n{broken}\n报告时间：2026年4月2日  \n上一篇\n无", "u"), ("招聘信息", "报告", "v"), ("讲座", "讲座 公告", "w")]
+    out = reports.report_job(spark.createDataFrame(rows, "title string, content string, url string")).collect()
+    assert len(out) == 1 and out[0].speaker == "王" and out[0].event_time == "2026年4月2日" and "上一篇" not in out[0].body
+
+
+def test_article_details(spark):
+    articles = spark.createDataFrame([(1, "u"), (2, "missing")], "ordinal int, url string")
+    html = '<em id="publish_time"> 2026-04-01 </em><div id="js_content"><p>一&amp;二</p><img src=x><p>三</p></div>var author = "编";'
+    out = {r.ordinal: (r.content, r.publish_text, r.author) for r in pages.article_details(articles, spark.createDataFrame([("u", html)], "url string, html string")).collect()}
+    assert out == {1: ("一&二\n三", "2026-04-01", "编"), 2: ("", "", "")}

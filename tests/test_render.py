@@ -96,3 +96,16 @@ def test_decision_log_is_partitioned_and_rerunnable(spark, tmp_path):
     for day in ("2026-04-20", "2026-04-21", "2026-04-20"):
         sinks.write_decisions(log, str(tmp_path / "log"), day)
     assert spark.read.json(str(tmp_path / "log")).count() == 2
+
+
+def test_item_block(spark):
+    df = spark.createDataFrame([("题", "# 题\n\n**正** 文\n## 小")], "title string, content string")
+    assert df.select(render.item_block()).first()[0] == "## 题\n\n正 文\n### 小"
+
+
+def test_ranked_issue_end_to_end(spark):
+    rows = [(i, "教务通知", f"选课 {i}" if i % 2 else f"音乐会 {i}", "发布时间：2026-04-18\n**正文**", i) for i in range(6)] + [(9, "教务通知", "旧", "发布时间：2026-04-01", 9)]
+    notices = spark.createDataFrame(rows, "notice_id int, section string, title string, content string, ordinal int")
+    blocks = issue.ranked_issue(notices, section_table(spark, ["教务通知", "图书馆信息"]), CLOCK).orderBy("section_ord", "block").collect()
+    assert [b.text.split("\n")[0] for b in blocks] == ["# 教务通知", "## 选课 1", "## 选课 3", "## 选课 5", "## 音乐会 0", "## 音乐会 2", "## 音乐会 4", "# 图书馆信息"]
+    assert blocks[1].text.endswith("正文") and "重要性评分: 80/100" in blocks[1].text
