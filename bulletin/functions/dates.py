@@ -209,11 +209,16 @@ def parse_epoch(value: Column, zone: str = "UTC") -> Column:
     return let(strip(value), read)
 
 
+def local_time(epoch: Column, zone: str = "UTC") -> Column:
+    """Epoch seconds as naive wall time of ``zone``, whatever the session's zone is."""
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    utc = start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), epoch)
+    return utc if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+
+
 def format_publish(epoch: Column, publish_text: Column, zone: str = "UTC") -> Column:
     """Epoch as ``yyyy-MM-dd HH:mm``, else the page's own text, else ``N/A``."""
-    moment = F.timestamp_seconds(F.nullif(epoch, F.lit(0)))
-    if zone != "UTC":
-        moment = F.from_utc_timestamp(moment, zone)
+    moment = local_time(F.nullif(epoch, F.lit(0)), zone)
     return F.coalesce(F.date_format(moment, "yyyy-MM-dd HH:mm"), non_empty(strip(publish_text)), F.lit("N/A"))
 
 
@@ -266,15 +271,19 @@ def signals(text: Column, clock: RunClock, fallback: Column | None = None) -> Co
     found = F.flatten(F.transform(dated, of_line))
     if fallback is None:
         return found
-    extra = F.struct(
-        F.lit(2**31 - 1).alias("line_no"),
-        F.lit(1).alias("pos"),
-        F.lit("publish").alias("kind"),
-        fallback.alias("raw"),
-        parse_datetime_text(fallback, clock).alias("parsed"),
-        F.lit("fallback_publish_date").alias("context"),
-    )
-    return F.concat(found, F.when(non_empty(fallback).isNotNull(), F.array(extra)).otherwise(F.slice(F.array(extra), 1, 0)))
+
+    def extra(back: Column) -> Column:
+        signal = F.struct(
+            F.lit(2**31 - 1).alias("line_no"),
+            F.lit(1).alias("pos"),
+            F.lit("publish").alias("kind"),
+            back.alias("raw"),
+            parse_datetime_text(back, clock).alias("parsed"),
+            F.lit("fallback_publish_date").alias("context"),
+        )
+        return F.filter(F.array(signal), lambda s: text_or_empty(s["raw"]) != "")
+
+    return F.concat(found, let(fallback, extra))
 
 
 def latest(signal_array: Column, kind: str) -> Column:

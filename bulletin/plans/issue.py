@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bulletin import rules
-from bulletin.functions.dates import RunClock, inline_date
+from bulletin.functions.dates import RunClock, format_publish, inline_date
 from bulletin.functions.text import feed_summary, filter_snippet, raw_clean
 from bulletin.operators.decisions import kept
 from bulletin.operators.dedup import dedupe_articles
@@ -64,7 +64,7 @@ def account_feed(articles: DataFrame, clock: RunClock, model_filter: bool = Fals
     text = F.concat_ws(
         "\n", *[F.nullif(F.col(c), F.lit("")) for c in ("title", "digest", "publish_text", "content")]
     )
-    fallback = F.date_format(F.timestamp_seconds("publish_ts"), "yyyy-MM-dd HH:mm")
+    fallback = format_publish(F.col("publish_ts"), F.col("publish_text"), clock.zone)
     in_time = kept(temporal_relevance(recent, clock, text=text, fallback=fallback)).drop("basis")
     no_notes = F.array().cast("array<string>")
     staged = in_time.withColumns(
@@ -80,4 +80,4 @@ def account_feed(articles: DataFrame, clock: RunClock, model_filter: bool = Fals
         "section", account_section(F.col("account"), F.col("title"), F.col("digest"), F.col("content"))
     )
     filed = filed.withColumn("section_ord", section_ord(rules.ACCOUNT_SECTIONS, F.col("section")))
-    return render_articles(filed).select("section", "section_ord", "ordinal", "text")
+    return render_articles(filed, zone=clock.zone).select("section", "section_ord", "ordinal", "text")

@@ -823,7 +823,7 @@ add("render_articles", f"SELECT notice_id, {article_sql(chr(39) * 2).replace(f'n
 _PLAIN = v(I.PLAIN_ARTICLES)
 _PLAIN_UNIQUE = f"(SELECT * FROM {_KEYED.replace(ARTICLES, _PLAIN)} k QUALIFY row_number() OVER (PARTITION BY dedupe_key ORDER BY ordinal) = 1)"
 _FEED_TEXT = f"concat_ws({NL}, title, nullif(digest, ''), nullif(publish_text, ''), content)"
-_FEED_BACK = "coalesce(strftime(make_timestamp(publish_ts * 1000000), '%Y-%m-%d %H:%M'), '')"
+_FEED_BACK = _PUBLISHED
 _FEED_SUMMARY = f"substr({collapse(chr(99) + 'oalesce(nullif(digest, ' + chr(39) * 2 + '), content)')}, 1, 100)"
 add(
     "account_feed",

@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Settled rows go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Call-site capture costs several JVM round trips per column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

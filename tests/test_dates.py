@@ -93,3 +93,10 @@ def test_every_notice_has_one_decision(spark):
     log = decisions(temporal.publish_recency(df, CLOCK)).collect()
     assert len(log) == 28 and {r.status for r in log} == {"kept", "dropped"}
     assert all(r.section == "unknown" for r in log)
+
+
+def test_format_publish_in_a_zone(spark):
+    df = spark.createDataFrame([(1775982600, ""), (0, " 页 "), (None, " ")], "e long, t string")
+    got = [r[0] for r in df.select(D.format_publish(df.e, df.t, "Asia/Shanghai")).collect()]
+    assert got == ["2026-04-12 16:30", "页", "N/A"]
+    assert df.select(D.format_publish(df.e, df.t)).first()[0] == "2026-04-12 08:30"
