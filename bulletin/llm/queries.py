@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bulletin.llm import exact_dedup, mixing, sharding
+from bulletin.llm import decontaminate, exact_dedup, html_density, language_id, mixing, near_dedup, secret_scan, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +65,70 @@ FROM norm WINDOW w AS (PARTITION BY t)
 @_query
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.matches(docs, items).select("doc_id", "item_id", "similarity", "start_word")
+
+
+# The test items have five words or more.
+ORACLES["op9_decontaminate"] = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents
+), iw AS (
+  SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM benchmark
+), ds AS (
+  SELECT doc_id, len(w) AS n, p - 1 AS pos, array_to_string(w[p:p + 4], ' ') AS s FROM dw, unnest(range(1, len(w) - 3)) AS t(p)
+), its AS (
+  SELECT item_id, len(w) AS item_words, array_to_string(w[p:p + 4], ' ') AS s FROM iw, unnest(range(1, len(w) - 3)) AS t(p)
+), kinds AS (
+  SELECT item_id, item_words, s, count(*) AS n FROM its GROUP BY ALL
+), spots AS (
+  SELECT DISTINCT d.doc_id, k.item_id, k.item_words, greatest(least(d.pos, d.n - k.item_words), 0) AS start
+  FROM ds d JOIN kinds k ON d.s = k.s
+), held AS (
+  SELECT p.doc_id, p.item_id, p.item_words, p.start, d.s, count(*) AS n
+  FROM spots p JOIN ds d ON d.doc_id = p.doc_id AND d.pos BETWEEN p.start AND p.start + p.item_words - 5 GROUP BY ALL
+), shared AS (
+  SELECT h.doc_id, h.item_id, h.item_words, h.start, sum(h.n) AS own, sum(least(h.n, coalesce(k.n, 0))) AS common
+  FROM held h LEFT JOIN kinds k ON h.item_id = k.item_id AND h.s = k.s GROUP BY ALL
+), scored AS (
+  SELECT doc_id, item_id, start, common / (own + item_words - 4 - common) AS similarity FROM shared
+)
+SELECT doc_id, item_id, max(similarity) AS similarity, arg_max(start, (similarity, -start))::BIGINT AS start_word
+FROM scored WHERE similarity >= 0.8 GROUP BY ALL
+"""
+
+
+@_query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.train(docs.filter(~language_id.held_out()))
+    said = language_id.identify(docs.select("doc_id", "text", language_id.held_out().alias("held_out")), model)
+    return said.select("doc_id", "held_out", "lang_pred", "score", "rejected", "cross_entropy")
+
+
+@_query
+def op6_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_density.extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@_query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.write_warc(_table(spark, sf_dir, "pages"))
+    return warc.read_warc(spark, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "warc_file")
+
+
+@_query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = secret_scan.train(secret_scan.default_samples(docs))
+    return secret_scan.report(secret_scan.scan(docs, model))
+
+
+@_query
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_texts", "class_size", "keep")
