@@ -9,9 +9,11 @@ process stops once its text's places are all filled earlier: work per text is ab
 its number of shingles rather than that times the places.
 
 Signatures are banded. Exact copies are one text from the start. In a bucket every text is
-held against the bucket's best-connected text, then those in other classes against the best
-of those, and what still crosses classes pair by pair; all pairs are verified by exact
-multiset overlap, and verified links are joined to classes.
+held against the bucket's best-connected text, then all that is in another class against
+the best of the others, and what still crosses classes once more within the texts that
+share a second band. So candidates grow with the members of buckets, not with their pairs.
+All of them are verified by exact multiset overlap, and verified links are joined to
+classes.
 """
 
 from __future__ import annotations
@@ -131,7 +133,7 @@ def _verify(size: int, similarity: float):
     return run
 
 
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float, size: int, run: int = 2000) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, similarity: float, size: int, run: int = 400) -> DataFrame:
     """The `pairs` (leader, tid) at `similarity` or more; a leader's members are dealt out in runs of about `run`."""
     counts = pairs.groupBy("leader").agg(F.ceil(F.count("*") / run).cast("int").alias("_salts"))
     counts = settle(counts, "near-leaders")
@@ -163,6 +165,30 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _second_best(open_: DataFrame) -> DataFrame:
+    """The best text outside the class of the bucket's leader, against all of the other classes."""
+    lead = open_.groupBy("band", "key").agg(F.max(F.struct("degree", "tid", "label")).alias("_lead"))
+    rest = open_.join(lead, ["band", "key"]).filter("label <> _lead.label")
+    second = rest.groupBy("band", "key").agg(F.max(F.struct("degree", "tid", "label")).alias("_second"))
+    return open_.join(second, ["band", "key"]).filter("label <> _second.label").select(F.col("_second.tid").alias("leader"), "tid")
+
+
+def _meeting(open_: DataFrame, texts: DataFrame) -> DataFrame:
+    """Within buckets that hold several classes: texts that share a second band, each against one drawn from them.
+
+    A passage that very many documents share fills buckets with texts that are otherwise
+    apart. Two texts at the threshold share many bands, so they meet again in a second one,
+    while those that only share the passage hardly do.
+    """
+    bands = texts.select("tid", "bands")
+    each = open_.select("band", "key", "tid", "label").join(bands, "tid").select("band", "key", "tid", "label", F.posexplode("bands").alias("_band", "_key"))
+    both = F.sort_array(F.array(F.struct("band", "key"), F.struct(F.col("_band").alias("band"), F.col("_key").alias("key"))))
+    each = each.filter("band <> _band").select(F.xxhash64(both).alias("meet"), "tid", "label")
+    lead = F.max(F.struct(F.xxhash64("meet", "tid").alias("lot"), F.col("tid"), F.col("label"))).alias("_lead")
+    crossed = each.groupBy("meet").agg(lead, F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo <> _hi").select("meet", "_lead")
+    return each.join(crossed, "meet").filter("label <> _lead.label").select(F.col("_lead.tid").alias("leader"), "tid")
+
+
 def near_duplicates(
     docs: DataFrame, similarity: float = 0.8, size: int = 5, bands: int = 24, rows: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -191,24 +217,14 @@ def near_duplicates(
     pairs = inside.join(best, ["band", "key"]).select(F.col("_lead.tid").alias("leader"), "tid").filter("leader <> tid").distinct()
     done = settle(pairs, "near-pairs")
     links = settle(verified(done, fetched, similarity, size), "near-links")
-    for last in (False, True):
+    for narrow in (False, True):
         labels = components(links.select(F.col("leader").alias("a"), F.col("tid").alias("b")))
         classed = inside.join(labels, "tid", "left").withColumn("label", F.coalesce("label", "tid"))
         split = classed.groupBy("band", "key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo <> _hi").select("band", "key")
         open_ = settle(classed.join(split, ["band", "key"]), "near-open")
-        if last:
-            # Every pair of a bucket that still crosses classes.
-            a, b = (open_.select("band", "key", F.col("tid").alias(t), F.col("label").alias(f"_{t}")) for t in ("leader", "tid"))
-            pairs = a.join(b, ["band", "key"]).filter("leader < tid and _leader <> _tid")
-        else:
-            # The best text outside the class of the bucket's leader, against all of the other classes.
-            lead = open_.groupBy("band", "key").agg(F.max(F.struct("degree", "tid", "label")).alias("_lead"))
-            rest = open_.join(lead, ["band", "key"]).filter("label <> _lead.label")
-            second = rest.groupBy("band", "key").agg(F.max(F.struct("degree", "tid", "label")).alias("_second"))
-            pairs = open_.join(second, ["band", "key"]).filter("label <> _second.label").select(F.col("_second.tid").alias("leader"), "tid")
-        pairs = pairs.select("leader", "tid").distinct()
+        pairs = _meeting(open_, texts) if narrow else _second_best(open_)
         known = done.unionByName(done.select(F.col("tid").alias("leader"), F.col("leader").alias("tid")))
-        pairs = settle(pairs.join(known, ["leader", "tid"], "left_anti"), "near-pairs")
+        pairs = settle(pairs.distinct().join(known, ["leader", "tid"], "left_anti"), "near-pairs")
         done = done.unionByName(pairs)
         links = settle(links.unionByName(verified(pairs, fetched, similarity, size)), "near-links")
     labels = components(links.select(F.col("leader").alias("a"), F.col("tid").alias("b")))
