@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bulletin.llm import decontaminate, exact_dedup, html_density, language_id, mixing, near_dedup, secret_scan, sharding, warc
+from bulletin.llm import decontaminate, exact_dedup, html_density, language_id, mixing, near_dedup, repeats, secret_scan, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -132,3 +133,12 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "class_texts", "class_size", "keep")
+
+
+@_query
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return found.select(
+        "doc_id", "n_bytes", removed.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )

@@ -28,9 +28,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the offsets of its values; nulls are empty."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.large_string())
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
