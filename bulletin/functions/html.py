@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Iterator
 from html.entities import html5
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,7 +17,6 @@ from bulletin.functions.basics import WS, collapse, find, find_all, hits, let, s
 
 TAG = r"<[^>]+>"
 IMG = r"(?i)<img\b[^>]*>"
-VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
 # The HTML entity names of the standard library, by first letter: a map column is
@@ -92,57 +92,38 @@ def drop_images(col: Column) -> Column:
     return F.regexp_replace(col, IMG, "")
 
 
-class _Containers(HTMLParser):
-    """Inner HTML of the article containers of one page; void tags count as balanced."""
+_OPENING = re.compile(r"""<([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""")
+_NAMES = re.compile(r"""(?i)\b(id|class)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=False)
-        self.found: list[str] = []
-        self._open: list[str] = []
-        self._parts: list[str] | None = None
 
-    def handle_starttag(self, tag, attrs):
-        if self._parts is not None:
-            self._parts.append(self.get_starttag_text())
-            if tag not in VOID_TAGS:
-                self._open.append(tag)
-            return
-        given = {name: value or "" for name, value in attrs}
-        if given.get("id") == rules.CONTAINER_ID or any(c in given.get("class", "") for c in rules.CONTAINER_CLASSES):
-            self._open, self._parts = [tag], []
+def _is_container(attributes: str) -> bool:
+    for name, *values in _NAMES.findall(attributes):
+        value = "".join(values)
+        if name.lower() == "id" and value == rules.CONTAINER_ID:
+            return True
+        if name.lower() == "class" and any(c in value for c in rules.CONTAINER_CLASSES):
+            return True
+    return False
 
-    def handle_startendtag(self, tag, attrs):
-        if self._parts is not None:
-            self._parts.append(self.get_starttag_text())
 
-    def handle_endtag(self, tag):
-        if self._parts is None or tag in VOID_TAGS:
-            return
-        self._open.pop()
-        if self._open:
-            self._parts.append(f"</{tag}>")
-        else:
-            self.found.append("".join(self._parts))
-            self._parts = None
-
-    def handle_data(self, data):
-        self._add(data)
-
-    def handle_entityref(self, name):
-        self._add(f"&{name};")
-
-    def handle_charref(self, name):
-        self._add(f"&#{name};")
-
-    def _add(self, piece: str) -> None:
-        if self._parts is not None:
-            self._parts.append(piece)
+def _containers(page: str) -> Iterator[str]:
+    """Inner HTML of the outermost article containers; the end tag is the one that balances its own name."""
+    at = 0
+    while opening := _OPENING.search(page, at):
+        at = opening.end()
+        if not _is_container(opening[2]):
+            continue
+        depth = 1
+        for tag in re.compile(rf"(?i)<(/?){re.escape(opening[1])}(?=[\s/>])[^>]*>").finditer(page, at):
+            depth += -1 if tag[1] else 1
+            if not depth:
+                yield page[at : tag.start()]
+                at = tag.end()
+                break
 
 
 def _longest_container(page: str) -> str | None:
-    parser = _Containers()
-    parser.feed(page)
-    return max(parser.found, key=len) if parser.found else None
+    return max(_containers(page), key=len, default=None)
 
 
 @F.pandas_udf(T.StringType())
@@ -160,13 +141,7 @@ def container_html(page: Column) -> Column:
 
 def longest_block(page: Column) -> Column:
     """Longest flat candidate block; the earlier pattern wins a tie."""
-    patterns = [
-        r"""(?i)<div[^>]+id=["']vsb_content["'][^>]*>([\s\S]*?)</div>""",
-        r"""(?i)<div[^>]+class=["'][^"']*wp_articlecontent[^"']*["'][^>]*>([\s\S]*?)</div>""",
-        r"""(?i)<div[^>]+class=["'][^"']*content[^"']*["'][^>]*>([\s\S]*?)</div>""",
-        r"(?i)<article[^>]*>([\s\S]*?)</article>",
-    ]
-    candidates = F.concat(*[find_all(page, p, 1) for p in patterns])
+    candidates = F.concat(*[find_all(page, p, 1) for p in rules.BLOCK_PATTERNS])
     scored = F.transform(candidates, lambda c, i: F.struct(F.length(c).alias("n"), (-i).alias("i"), c.alias("c")))
     return F.array_max(scored)["c"]
 
@@ -198,11 +173,11 @@ def article_body(page: Column) -> Column:
 
 
 def page_publish_time(page: Column, entities: bool = True) -> Column:
-    return _page_field(page, r'id="publish_time"[^>]*>([\s\S]*?)</', r'publish_time\s*=\s*"(.*?)"', entities)
+    return _page_field(page, *rules.PUBLISH_TIME_FIELD, entities)
 
 
 def page_author(page: Column, entities: bool = True) -> Column:
-    return _page_field(page, r'id="js_author_name"[^>]*>([\s\S]*?)</', r'var\s+author\s*=\s*"(.*?)"', entities)
+    return _page_field(page, *rules.AUTHOR_FIELD, entities)
 
 
 def _page_field(page: Column, by_id: str, by_script: str, entities: bool) -> Column:
@@ -214,17 +189,11 @@ def _page_field(page: Column, by_id: str, by_script: str, entities: bool) -> Col
 
 def sanitize_fragment(page: Column) -> Column:
     """Publishable fragment: the page's main block or body, without document-level and script markup."""
-    main = find(page, r"""(?i)<main[^>]*class=["'][^"']*page[^"']*["'][^>]*>([\s\S]*?)</main>""")
+    main = find(page, rules.MAIN_BLOCK)
     body = find(page, r"(?i)<body[^>]*>([\s\S]*?)</body>")
     out = strip(F.coalesce(main, body, page))
-    for pattern in (
-        r"(?i)<!DOCTYPE[^>]*>",
-        r"(?i)</?(?:html|head|body|meta|title|link)[^>]*>",
-        r"(?i)<script[^>]*>[\s\S]*?</script>",
-        r"(?i)<style[^>]*>[\s\S]*?</style>",
-        WS + r"""(?i:loading=(?:'.*?'|".*?"))""",
-    ):
-        out = F.regexp_replace(out, pattern, "")
+    for pattern in rules.FRAGMENT_CUTS:
+        out = F.regexp_replace(out, pattern.format(ws=WS), "")
     return strip(F.regexp_replace(out, r"\n{3,}", "\n\n"))
 
 
@@ -262,30 +231,36 @@ def blocks_to_text(page: Column) -> Column:
     return strip(F.regexp_replace(out, r"\n{2,}", "\n"))
 
 
+def _first_markup(payload: str) -> str:
+    """Depth-first: known keys of an object first, then its other values in their order."""
+    try:
+        waiting = [json.loads(payload)]
+    except (ValueError, RecursionError):
+        return ""
+    while waiting:
+        value = waiting.pop()
+        if isinstance(value, str):
+            text = value.strip()
+            if "<" in text and ">" in text:
+                return text
+        elif isinstance(value, dict):
+            known = [value[k] for k in rules.HTML_KEYS if k in value]
+            waiting += reversed(known + [v for k, v in value.items() if k not in rules.HTML_KEYS])
+        elif isinstance(value, list):
+            waiting += reversed(value)
+    return ""
+
+
+@F.pandas_udf(T.StringType())
+def _markup_batch(payloads: pd.Series) -> pd.Series:
+    return payloads.map(_first_markup, na_action="ignore")
+
+
 def html_string(payload: str) -> Column:
-    """First string holding ``<`` and ``>`` in the JSON payload column of that name.
+    """First string holding ``<`` and ``>`` in the JSON payload column of that name, at any depth; else empty.
 
-    The known keys are followed three levels deep, in order; after them any other
-    string of the payload counts, in document order.
+    Payloads without both marks, even as escapes, stay in the JVM.
     """
-    known = [""] + [f".{k}" for k in rules.HTML_KEYS]
-    paths = [f"${a}{b}{c}" for a in known for b in (known if a else [""]) for c in (known if b else [""])]
-    # One parsed expression: the coalesce stops at the first path that holds markup.
-    at_path = (
-        "CASE WHEN schema_of_variant(try_variant_get(v, '{0}', 'variant')) = 'STRING' "
-        "AND contains(try_variant_get(v, '{0}', 'string'), '<') AND contains(try_variant_get(v, '{0}', 'string'), '>') "
-        "THEN try_variant_get(v, '{0}', 'string') END"
-    )
-    by_key = F.expr(
-        f"transform(array(try_parse_json(`{payload}`)), v -> coalesce({', '.join(at_path.format(p) for p in paths)}))[0]"
-    )
-    # Possessive, so that a long string is scanned in a loop and not by recursion.
-    strings = find_all(F.col(payload), r'"((?:[^"\\]++|\\.)*+)"', 1)
-    decoded = F.transform(
-        F.filter(strings, lambda s: F.contains(s, F.lit("<"))),
-        lambda s: F.try_variant_get(F.try_parse_json(F.concat(F.lit('"'), s, F.lit('"'))), "$", "string"),
-    )
-    anywhere = F.get(
-        F.filter(decoded, lambda s: F.contains(s, F.lit("<")) & F.contains(s, F.lit(">"))), F.lit(0)
-    )
-    return text_or_empty(strip(F.coalesce(by_key, anywhere)))
+    raw = F.col(payload)
+    mark = lambda c, code: F.contains(raw, F.lit(c)) | F.contains(F.lower(raw), F.lit(f"\\u00{code}"))
+    return text_or_empty(strip(_markup_batch(F.when(mark("<", "3c") & mark(">", "3e"), raw))))

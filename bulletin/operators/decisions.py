@@ -28,15 +28,18 @@ def kept(df: DataFrame) -> DataFrame:
     return df.where(F.col("keep")).drop("keep", "reason", "stage")
 
 
-def decisions(df: DataFrame, details: Column | None = None) -> DataFrame:
-    """Decision log rows; missing descriptive columns are empty."""
+def decisions(df: DataFrame, details: Column | None = None, time: str = "") -> DataFrame:
+    """Decision log rows of a filter; missing descriptive columns are empty. ``time`` is the run's, as text."""
     have = set(df.columns)
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in have else F.lit("")
     empty_map = F.create_map().cast("map<string,string>")
+    # A model's answer brings its own status, which may also be undecided.
+    status = F.col("status") if "status" in have else F.when(F.col("keep"), "kept").otherwise("dropped")
     return df.select(
+        F.lit(time).alias("time"),
         F.coalesce(non_empty(text("section")), F.lit("unknown")).alias("section"),
         text("title").alias("title"),
-        F.when(F.col("keep"), "kept").otherwise("dropped").alias("status"),
+        status.alias("status"),
         F.col("reason"),
         F.col("stage"),
         text("date").alias("date"),
@@ -46,6 +49,12 @@ def decisions(df: DataFrame, details: Column | None = None) -> DataFrame:
     )
 
 
+def event_records(df: DataFrame, status: str, reason: Column | str, stage: str, time: str = "", details: Column | None = None) -> DataFrame:
+    """Log rows that no filter makes: items ``found``, sections left ``empty``, stages that ended in an ``error``."""
+    named = F.lit(reason) if isinstance(reason, str) else reason
+    return decisions(df.withColumns({"status": F.lit(status), "reason": named, "stage": F.lit(stage)}), details, time)
+
+
 def decision_summary(log: DataFrame) -> DataFrame:
     """Counts of all records, per status, and per section by status and by reason, in one pass."""
     known = lambda c: F.coalesce(non_empty(F.col(c)), F.lit("unknown")).alias(c)

@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from bulletin.functions.basics import non_empty
 from bulletin.functions.urls import canonical_url
 from bulletin.operators.decisions import decide
-from bulletin.operators.order import first_per_key, positions
-
-DATES_PER_ROW = 1000
+from bulletin.operators.order import first_per_key
 
 
 def article_key() -> Column:
@@ -42,26 +40,18 @@ def dedupe_urls(df: DataFrame, key: str = "notice_id") -> DataFrame:
 
 
 def merge_by_title(df: DataFrame) -> DataFrame:
-    """One event per title: attributes of its last listing, all dates from last to first.
+    """One event per title: attributes of its last listing and the number of its dates."""
+    last = F.max_by(F.struct("location", "price", "absolute_src", "ordinal"), F.col("ordinal"))
+    merged = df.groupBy("title").agg(last.alias("last"), F.count(F.lit(1)).alias("n_dates"))
+    return merged.select("title", "last.location", "last.price", "last.absolute_src", F.col("last.ordinal").alias("ordinal"), "n_dates")
+
 
-    ``dates`` holds at most ``DATES_PER_ROW`` dates; a title with more continues in
-    further rows numbered by ``part``, so no task ever holds a whole hot title.
+def title_dates(df: DataFrame) -> DataFrame:
+    """The dates of every event, one row each; an event prints them by ``place`` ascending, last listing first.
+
+    A title may have any number of dates, so they stay rows.
     """
-    last = df.groupBy("title").agg(
-        F.max_by(F.struct("location", "price", "absolute_src", "ordinal"), F.col("ordinal")).alias("last")
-    )
-    placed = positions(
-        df.select("title", "date", (-F.col("ordinal")).alias("_back")), ["title"], ["_back"], "_pos"
-    )
-    parts = placed.groupBy("title", F.floor((F.col("_pos") - 1) / DATES_PER_ROW).cast("int").alias("part")).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("_pos", "date"))), lambda s: s["date"]
-        ).alias("dates")
-    )
-    return parts.join(last, "title").select(
-        "title", "part", "dates", "last.location", "last.price", "last.absolute_src",
-        F.col("last.ordinal").alias("ordinal"),
-    )
+    return df.select("title", "date", (-F.col("ordinal")).alias("place"))
 
 
 def duplicate_titles(df: DataFrame) -> DataFrame:

@@ -16,24 +16,65 @@ from bulletin import rules
 from bulletin.functions.basics import clamp_score, collapse, non_empty, strip, text_or_empty
 from bulletin.functions.text import clean_markdown, clip_units, json_block, normalize_headings, normalize_space, quality_score
 from bulletin.operators.order import top_k
-from bulletin.operators.ranking import item_index
+from bulletin.operators.ranking import item_index, section_limit
 from bulletin.operators.rows import explode_once
 from bulletin.operators.scoring import score_guardrails
 
 CHUNK_ITEMS = 40
+#: Sections whose final cut is a rule and never a reply.
+OWN_RULE_SECTIONS = (rules.REPORT_SECTION, rules.OTHER_SECTION)
 
 
 def ranking_requests(df: DataFrame, chunk_items: int = CHUNK_ITEMS, measure: DataFrame | None = None) -> DataFrame:
     """One prompt per section and chunk of items; the item index runs through the section."""
-    # Only the excerpt travels through the numbering, not the whole text.
-    excerpt = df.select(
-        "section", "ordinal", "title",
-        F.substring(text_or_empty(F.col("content")), 1, rules.RANKING_BODY_CHARS).alias("excerpt"),
-    )
-    indexed = item_index(excerpt, measure)
+    body = F.substring(text_or_empty(F.col("content")), 1, rules.RANKING_BODY_CHARS)
+    return _section_requests(df, F.concat(F.lit(". 标题: "), text_or_empty(F.col("title")), F.lit("\n正文摘录:\n"), body), chunk_items, measure)
+
+
+def selection_requests(df: DataFrame, chunk_items: int = CHUNK_ITEMS, excerpt_chars: int = 500, measure: DataFrame | None = None) -> DataFrame:
+    """Candidates of the sections that have more items than their limit; reports and accounts have rules of their own."""
+    open_ = df.where(~F.col("section").isin(*OWN_RULE_SECTIONS))
+    crowded = open_.groupBy("section").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rules.SECTION_LIMIT).select("section")
+    body = F.substring(normalize_space(F.col("content")), 1, excerpt_chars)
     candidate = F.concat(
-        F.col("item_index").cast("string"), F.lit(". 标题: "), text_or_empty(F.col("title")), F.lit("\n正文摘录:\n"), F.col("excerpt")
+        F.lit(". 标题: "), text_or_empty(F.col("title")), F.lit("\n发布日期: "), text_or_empty(F.col("date")), F.lit("\n正文摘录: "), body
+    )
+    return _section_requests(open_.join(crowded, "section", "left_semi"), candidate, chunk_items, measure)
+
+
+def summary_requests(df: DataFrame, excerpt_chars: int = 2500) -> DataFrame:
+    """One prompt per item: its title, source and the head of its text."""
+    return df.select(
+        "notice_id",
+        F.concat(
+            F.lit("标题: "), text_or_empty(F.col("title")), F.lit("\n来源: "), text_or_empty(F.col("section")),
+            F.lit("\n正文:\n"), F.substring(text_or_empty(F.col("content")), 1, excerpt_chars),
+        ).alias("prompt"),
     )
+
+
+def clean_requests(df: DataFrame, source: str = "crawler", excerpt_chars: int = 3000) -> DataFrame:
+    """One prompt per item that has any text after the rules have cleaned it."""
+    cleaned = df.select("notice_id", clean_markdown(F.col("content")).alias("_text")).where(F.col("_text") != "")
+    return cleaned.select("notice_id", F.concat(F.lit(f"Source: {source}\n\nMarkdown:\n"), F.substring("_text", 1, excerpt_chars)).alias("prompt"))
+
+
+def report_requests(df: DataFrame, excerpt_chars: int = 3000) -> DataFrame:
+    """One prompt per report page: title, date, address and the head of its text."""
+    return df.select(
+        "notice_id",
+        F.concat(
+            F.lit("页面标题："), text_or_empty(F.col("title")), F.lit("\n发布日期："), text_or_empty(F.col("publish_date")), F.lit("\n链接："),
+            text_or_empty(F.col("url")), F.lit("\n原文如下：\n"), F.substring(text_or_empty(F.col("content")), 1, excerpt_chars),
+        ).alias("prompt"),
+    )
+
+
+def _section_requests(df: DataFrame, candidate: Column, chunk_items: int, measure: DataFrame | None) -> DataFrame:
+    """Prompts of numbered candidates, ``chunk_items`` to a prompt; an unlimited chunk is one prompt per section."""
+    # Only the candidate's text travels through the numbering, not the whole body.
+    indexed = item_index(df.select("section", "ordinal", candidate.alias("_body")), measure)
+    candidate = F.concat(F.col("item_index").cast("string"), F.col("_body"))
     chunked = indexed.select(
         "section", "item_index", F.floor((F.col("item_index") - 1) / chunk_items).cast("bigint").alias("chunk"),
         candidate.alias("candidate"),
@@ -114,8 +155,19 @@ def decision_responses(responses: DataFrame) -> DataFrame:
 def selection_responses(items: DataFrame, responses: DataFrame, limit: int = rules.SECTION_LIMIT) -> DataFrame:
     """Items a reply keeps, in reply order; a section without a usable reply keeps its first ones.
 
-    ``items`` carries ``item_index``; indices out of range find no item and fall away.
+    Sections of at most ``limit`` items pass whole, and those with rules of their own keep
+    their first items, whatever the replies say. ``items`` carries ``item_index``; indices
+    out of range find no item and fall away.
     """
+    sizes = items.groupBy("section").agg(F.max("item_index").alias("_n"))
+    exempt = F.col("section").isin(*OWN_RULE_SECTIONS)
+    sized = items.join(sizes, "section")
+    small = (F.col("_n") <= limit) & ~exempt
+    first_few = exempt & (F.col("item_index") <= section_limit(F.col("section")))
+    ruled = sized.where(small | first_few).withColumns(
+        {"pick": F.col("item_index").cast("int"), "reason": F.when(small, "within_limit").otherwise("section_rule")}
+    ).drop("_n")
+    items = sized.where(~exempt & (F.col("_n") > limit)).drop("_n")
     schema = "struct<keep_indices: array<string>>"
     replies = F.from_json(json_block(F.col("raw")), schema)["keep_indices"]
     picks = explode_once(responses, ["section"], replies, "pos", "i").select("section", "pos", whole_number(F.col("i")).cast("bigint").alias("item_index"))
@@ -123,9 +175,10 @@ def selection_responses(items: DataFrame, responses: DataFrame, limit: int = rul
     picked = top_k(items.join(picks, ["section", "item_index"]), ["section"], [F.col("pos")], limit, rank="pick")
     answered = picked.select("section").distinct()
     first = items.where(F.col("item_index") <= limit).join(answered, "section", "left_anti")
-    return picked.drop("pos").withColumn("reason", F.lit("llm_section_selection")).unionByName(
+    chosen = picked.drop("pos").withColumn("reason", F.lit("llm_section_selection")).unionByName(
         first.withColumns({"pick": F.col("item_index").cast("int"), "reason": F.lit("fallback_max_items_per_section")})
     )
+    return chosen.unionByName(ruled)
 
 
 def feed_summary_response(raw: Column, fallback: Column) -> Column:

@@ -6,7 +6,7 @@ sorts a whole group in one task:
 * ``first_per_key`` and ``top_k`` filter on a literal rank bound, which lets Spark
   keep only the leading rows of each group on the map side before the shuffle;
 * ``positions`` numbers every row of every group exactly, by splitting groups into
-  value ranges, counting those, and numbering each range on its own.
+  quantile ranges, counting those, and numbering each range on its own.
 """
 
 from __future__ import annotations
@@ -16,7 +16,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGE_ROWS = 500_000
+from bulletin.functions.basics import let
+
+#: Quantile ranges per key, and bounds that one coarse step skips.
+RANGES, RANGE_STEP = 256, 16
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -32,6 +35,13 @@ def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
     return out if rank else out.drop(name)
 
 
+def _range_of(key: Column, bounds: Column) -> Column:
+    """Number of the quantile range that ``key`` lies in: a coarse step over the bounds, then a fine one."""
+    coarse = F.size(F.filter(bounds, lambda b, i: (i % RANGE_STEP == 0) & (b <= key)))
+    fine = lambda c: F.size(F.filter(F.slice(bounds, F.greatest(c - 1, F.lit(0)) * RANGE_STEP + 1, F.lit(RANGE_STEP)), lambda b: b <= key))
+    return let(coarse, lambda c: F.greatest(c - 1, F.lit(0)) * RANGE_STEP + fine(c)).cast("bigint")
+
+
 def positions(
     df: DataFrame,
     group: Sequence[str],
@@ -39,46 +49,41 @@ def positions(
     name: str,
     exact: Sequence[str] = (),
     measure: DataFrame | None = None,
-    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Add the 1-based position of every row inside its group, by integer ``keys`` ascending.
 
-    The span of each key is cut into equal ranges of about ``range_rows`` rows. A row's
-    path is (range of key 1, key 1, ..., range of the last key), and paths sort like
-    rows. Rows are counted per path with map-side partial aggregation, running totals
-    turn the counts into offsets, and only rows sharing a path are sorted together.
+    Each key is cut at its quantiles into ``RANGES`` ranges, so an outlier or a cluster of
+    values moves bounds and not loads. A row's path is (range of key 1, key 1, ..., range of
+    the last key), and paths sort like rows. Rows are counted per path with map-side partial
+    aggregation, running totals turn the counts into offsets, and only rows sharing a path
+    are sorted together.
 
     Keys named in ``exact`` have few values (a score) and are their own range. The
-    span of the others is one aggregate over ``measure`` (by default ``df``), read as a
-    scalar subquery. It only sets the range width, so ``measure`` may be any cheaper
+    quantiles of the others are one aggregate over ``measure`` (by default ``df``), read as a
+    scalar subquery. They set ranges and never results, so ``measure`` may be any cheaper
     table with the same keys, such as the rows before a filter.
     """
     group, keys = list(group), list(keys)
     measured = [k for k in keys if k not in exact]
     keyed, path = df, []
     if measured:
-        span = (
+        shares = [i / RANGES for i in range(1, RANGES)]
+        bounds = (
             (df if measure is None else measure)
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                *[F.min(k).cast("double").alias(f"lo_{k}") for k in measured],
-                *[F.max(k).cast("double").alias(f"hi_{k}") for k in measured],
-            )
+            .agg(*[F.percentile_approx(F.col(k).cast("bigint"), shares, 4 * RANGES).alias(f"at_{k}") for k in measured])
             .select(F.struct("*"))
             .scalar()
         )
-        keyed = keyed.withColumn("_span", span)
+        keyed = keyed.withColumn("_bounds", bounds)
     for key in keys:
         if key in exact:
             path.append(key)
             continue
-        lo, hi, n = F.col(f"_span.lo_{key}"), F.col(f"_span.hi_{key}"), F.greatest(F.col("_span.n"), F.lit(1))
-        width = F.greatest(F.lit(1.0), F.ceil((hi - lo + 1) * float(range_rows) / n).cast("double"))
-        keyed = keyed.withColumn(f"_range_{key}", F.floor((F.col(key).cast("double") - lo) / width).cast("bigint"))
+        keyed = keyed.withColumn(f"_range_{key}", _range_of(F.col(key).cast("bigint"), F.col(f"_bounds.at_{key}")))
         path.append(f"_range_{key}")
         if key != keys[-1]:
             path.append(key)
-    keyed = keyed.drop("_span")
+    keyed = keyed.drop("_bounds")
 
     # Structs as keys: they compare NULL members as equal, and one exchange on the path
     # serves the numbering window and the join of the offsets.

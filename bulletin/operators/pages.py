@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +21,7 @@ from bulletin.functions.basics import (
     text_or_empty,
 )
 from bulletin.functions.dates import FULL_DATE
-from bulletin.functions.text import squeeze_blank_lines
+from bulletin.functions.text import best_candidate, squeeze_blank_lines
 from bulletin.functions.urls import normalize_url, resolve_resource, resolve_url
 from bulletin.operators.rows import explode_once
 
@@ -32,34 +30,20 @@ ROW = r"(?i)<tr[\s\S]*?</tr>"
 CELL = r"(?i)<t[hd][\s\S]*?</t[hd]>"
 TABLE_TOKEN = r"\[\[TABLE_[0-9]+\]\]"
 
-_CJK = re.compile("[一-鿿]")
-_QUALITY = re.compile(rules.QUALITY_WORDS)
-_BROKEN = re.compile("[À-ÿ]{2,}|锟|�")
-
-
-def _quality(text: str) -> tuple[int, int, int]:
-    readable = len(_CJK.findall(text)) + 2 * len(_QUALITY.findall(text))
-    return readable, -len(_BROKEN.findall(text)), -len(text)
-
-
-def _decode(raw: bytes, charsets: list[str]) -> str:
-    readings = []
+def _readings(raw: bytes, charsets: list[str]) -> list[str]:
+    """What the bytes say in each charset that accepts them whole; else UTF-8 with replacements."""
+    found = []
     for charset in charsets:
         try:
-            readings.append(raw.decode(charset))
+            found.append(raw.decode(charset))
         except (LookupError, UnicodeDecodeError):
             continue
-    return max(readings, key=_quality) if readings else raw.decode("utf-8", errors="replace")
+    return found or [raw.decode("utf-8", errors="replace")]
 
 
-@F.pandas_udf(T.StringType())
-def _decode_batch(raw: pd.Series, header: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            None if r is None else _decode(bytes(r), ["utf-8", "gb18030", *([h] if h else [])])
-            for r, h in zip(raw, header)
-        ]
-    )
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _readings_batch(raw: pd.Series, header: pd.Series) -> pd.Series:
+    return pd.Series([None if r is None else _readings(bytes(r), ["utf-8", "gb18030", *([h] if h else [])]) for r, h in zip(raw, header)])
 
 
 def decode_pages(df: DataFrame, raw: str = "raw", content_type: str = "content_type") -> DataFrame:
@@ -70,7 +54,7 @@ def decode_pages(df: DataFrame, raw: str = "raw", content_type: str = "content_t
     charset = text_or_empty(find(F.col(content_type), r"(?i)charset=([\w-]+)"))
     as_text = F.col(raw).cast("string")
     ascii_only = F.is_valid_utf8(as_text) & (F.length(as_text) == F.octet_length(F.col(raw)))
-    decoded = _decode_batch(F.when(~ascii_only, F.col(raw)), charset)
+    decoded = let(_readings_batch(F.when(~ascii_only, F.col(raw)), charset), best_candidate)
     return df.withColumn("html", F.coalesce(decoded, as_text))
 
 
@@ -102,7 +86,8 @@ def explode_links(df: DataFrame, page: str = "page_id") -> DataFrame:
 
 def event_listing(df: DataFrame, page: str = "page_id") -> DataFrame:
     """Event blocks of a listing page: date, title, place, price, poster; what is missing reads N/A."""
-    blocks = F.slice(F.split("html", r"""(?i)<div[^>]*class=["'][^"']*timemain_a[^"']*["'][^>]*>""", -1), 2, 2**31 - 1)
+    pieces = F.split("html", r"""(?i)<div[^>]*class=["'][^"']*timemain_a[^"']*["'][^>]*>""", -1)
+    blocks = F.filter(pieces, lambda _, i: i > 0)
     rows = explode_once(df, [page, "url"], blocks, "pos", "block")
 
     def inner(pattern: str) -> Column:
@@ -136,76 +121,82 @@ def table_cells(df: DataFrame, page: str = "page_id") -> DataFrame:
     )
 
 
-def tables_to_rows(df: DataFrame, page: str = "page_id") -> DataFrame:
-    """Every table as Markdown: a header row, a rule, padded body rows; pipes escaped."""
-    escaped = F.replace("cell", F.lit("|"), F.lit("\\|"))
-    rows = table_cells(df, page).groupBy(page, "table_no", "row_no").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("col_no", escaped.alias("cell")))), lambda s: s["cell"]
-        ).alias("cells")
-    )
-    tables = rows.groupBy(page, "table_no").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("row_no", "cells"))), lambda s: s["cells"]).alias("rows")
-    )
-    width = F.array_max(F.transform("rows", lambda r: F.size(r)))
+def _markdown_tables(html: Column) -> Column:
+    """Every table with a cell as ``table_no, columns, table_rows, markdown``: header row, rule, padded body rows."""
     bar = lambda items: F.concat(F.lit("| "), F.array_join(items, " | "), F.lit(" |"))
-    padded = F.transform("rows", lambda r: bar(F.concat(r, F.array_repeat(F.lit(""), F.col("width") - F.size(r)))))
-    sized = tables.withColumn("width", width).withColumn("lines", padded)
-    rule = bar(F.array_repeat(F.lit("---"), F.col("width")))
-    return sized.select(
-        page, "table_no", F.col("width").alias("columns"), F.size("rows").alias("table_rows"),
-        F.array_join(
-            F.concat(F.slice("lines", 1, 1), F.array(rule), F.slice("lines", 2, 2**31 - 1)), "\n"
-        ).alias("markdown"),
-    )
+    cell = lambda c: F.replace(H.strip_tags(c), F.lit("|"), F.lit("\\|"))
+    row = lambda r: F.transform(find_all(r, CELL), cell)
+    rows = lambda t: F.filter(F.transform(find_all(t, ROW), row), lambda r: F.size(r) > 0)
+
+    def render(cells: Column, n: Column) -> Column:
+        def lay(width: Column) -> Column:
+            padded = F.transform(cells, lambda r: bar(F.concat(r, F.array_repeat(F.lit(""), width - F.size(r)))))
+            rule = bar(F.array_repeat(F.lit("---"), width))
+            lines = let(padded, lambda p: F.concat(F.slice(p, 1, 1), F.array(rule), F.slice(p, F.lit(2), F.size(p))))
+            return F.struct(
+                n.alias("table_no"), width.alias("columns"), F.size(cells).alias("table_rows"), F.array_join(lines, "\n").alias("markdown")
+            )
+
+        return let(F.array_max(F.transform(cells, lambda r: F.size(r))), lay)
+
+    # An empty table has no width and goes.
+    each = lambda t, i: let(rows(t), lambda cells: F.when(F.size(cells) > 0, render(cells, i + 1)))
+    return F.filter(F.transform(find_all(html, TABLE), each), lambda t: t.isNotNull())
+
+
+def tables_to_rows(df: DataFrame, page: str = "page_id") -> DataFrame:
+    """Every table as Markdown, one row each; pipes escaped. Work inside the page's row."""
+    return df.select(page, F.explode(_markdown_tables(F.col("html"))).alias("t")).select(page, "t.*")
 
 
 def html_to_text(df: DataFrame, page: str = "page_id", raw_mode: bool = True) -> DataFrame:
-    """Page block to plain Markdown text with its tables kept; every line break doubled."""
+    """Page block to plain Markdown text with its tables kept; every line break doubled. Work inside the page's row."""
     source = H.drop_images(F.col("html")) if raw_mode else F.col("html")
-    staged = df.select(page, source.alias("html"))
-    marked = F.regexp_replace("html", TABLE, "[[TABLE_0]]")
-    text = staged.select(page, H.blocks_to_text(marked).alias("text"))
-    tables = tables_to_rows(staged, page).groupBy(page).agg(
-        F.map_from_entries(F.collect_list(F.struct("table_no", "markdown"))).alias("_tables")
-    )
-    joined = text.join(tables, page, "left")
-    swaps = F.transform(
-        find_all(F.col("text"), TABLE_TOKEN),
-        lambda _, i: F.concat(
-            F.lit("\n\n"), text_or_empty(F.try_element_at(F.col("_tables"), i + 1)), F.lit("\n\n")
-        ),
-    )
-    filled = squeeze_blank_lines(fill_in_order(F.col("text"), TABLE_TOKEN, swaps))
-    return joined.select(page, F.replace(filled, F.lit("\n"), F.lit("\n\n")).alias("text"))
+
+    def fill(html: Column) -> Column:
+        text = H.blocks_to_text(F.regexp_replace(html, TABLE, "[[TABLE_0]]"))
+
+        def place(found: Column) -> Column:
+            tables = F.map_from_entries(F.transform(_markdown_tables(html), lambda t: F.struct(t["table_no"], t["markdown"])))
+            put = lambda known: F.transform(
+                find_all(found, TABLE_TOKEN),
+                lambda _, i: F.concat(F.lit("\n\n"), F.coalesce(F.try_element_at(known, i + 1), F.lit("")), F.lit("\n\n")),
+            )
+            return let(let(tables, put), lambda swaps: fill_in_order(found, TABLE_TOKEN, swaps))
+
+        return let(text, place)
+
+    filled = squeeze_blank_lines(let(source, fill))
+    return df.select(page, F.replace(filled, F.lit("\n"), F.lit("\n\n")).alias("text"))
+
+
+def _addressed_images(html: Column, site: str) -> Column:
+    """Images of a page in order as (pos, image_url); those without an address have none."""
+    return F.transform(find_all(html, H.IMG), lambda tag, i: F.struct(i.alias("pos"), normalize_url(H.image_source(tag), site).alias("image_url")))
+
+
+def _image_token(number: Column) -> Column:
+    return F.concat(F.lit("[[IMG_OCR_"), number.cast("string"), F.lit("]]"))
 
 
 def extract_images(df: DataFrame, page: str = "page_id", site: str = rules.ARTICLE_SITE) -> DataFrame:
-    """Images with an address, numbered in page order, with the token that stands for them."""
-    tags = explode_once(df, [page], find_all(F.col("html"), H.IMG), "pos", "tag")
-    named = tags.select(page, "pos", normalize_url(H.image_source(F.col("tag")), site).alias("image_url"))
-    listed = named.where(F.col("image_url").isNotNull()).groupBy(page).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "image_url"))).alias("images")
-    )
-    return listed.select(page, F.posexplode("images").alias("i", "image")).select(
-        page, (F.col("i") + 1).alias("idx"), "image.pos", "image.image_url",
-        F.concat(F.lit("[[IMG_OCR_"), (F.col("i") + 1).cast("string"), F.lit("]]")).alias("token"),
+    """Images with an address, numbered in page order, with the token that stands for them. Work inside the page's row."""
+    listed = F.filter(_addressed_images(F.col("html"), site), lambda x: x["image_url"].isNotNull())
+    return df.select(page, F.posexplode(listed).alias("i", "image")).select(
+        page, (F.col("i") + 1).alias("idx"), "image.pos", "image.image_url", _image_token(F.col("i") + 1).alias("token")
     )
 
 
 def mark_images(df: DataFrame, page: str = "page_id", site: str = rules.ARTICLE_SITE) -> DataFrame:
-    """Page HTML with every image replaced by its token, images without address dropped."""
-    tokens = extract_images(df, page, site).groupBy(page).agg(
-        F.map_from_entries(F.collect_list(F.struct("pos", "token"))).alias("_tokens")
-    )
-    joined = df.join(tokens, page, "left")
-    swaps = F.transform(
-        find_all(F.col("html"), H.IMG),
-        lambda _, i: F.coalesce(
-            F.concat(F.lit("<p>"), F.try_element_at(F.col("_tokens"), i), F.lit("</p>")), F.lit("")
-        ),
-    )
-    return joined.withColumn("html", fill_in_order(F.col("html"), H.IMG, swaps)).drop("_tokens")
+    """Page HTML with every image replaced by its token, images without address dropped. Work inside the page's row."""
+
+    def tokens(images: Column) -> Column:
+        number = lambda i: F.size(F.filter(F.slice(images, F.lit(1), i + 1), lambda x: x["image_url"].isNotNull()))
+        token = lambda x, i: F.when(x["image_url"].isNotNull(), F.concat(F.lit("<p>"), _image_token(number(i)), F.lit("</p>"))).otherwise("")
+        return F.transform(images, token)
+
+    swaps = let(_addressed_images(F.col("html"), site), tokens)
+    return df.withColumn("html", fill_in_order(F.col("html"), H.IMG, swaps))
 
 
 def resolve_resource_urls(df: DataFrame) -> DataFrame:

@@ -34,11 +34,12 @@ def item_index(df: DataFrame, measure: DataFrame | None = None) -> DataFrame:
 
 def newest_first(df: DataFrame, measure: DataFrame | None = None) -> DataFrame:
     """Position by publish time, newest first; no time counts as zero."""
-    staged = df.withColumns({"_age": -F.coalesce(F.col("publish_ts"), F.lit(0)), "_all": F.lit(0)})
-    base = measure
-    if base is not None:
-        base = base.withColumn("_age", -F.coalesce(F.col("publish_ts"), F.lit(0)))
-    return positions(staged, ["_all"], ["_age", "ordinal"], "position", measure=base).drop("_age", "_all")
+    # Rows without a time are a class of their own, and do not set the ranges of the others.
+    stamp = F.coalesce(F.col("publish_ts"), F.lit(0))
+    keys = {"_late": F.signum(-stamp).cast("bigint"), "_age": -F.nullif(stamp, F.lit(0)).cast("bigint")}
+    staged = df.withColumns({**keys, "_age": F.coalesce(keys["_age"], F.lit(0)), "_all": F.lit(0)})
+    base = None if measure is None else measure.withColumns(keys)
+    return positions(staged, ["_all"], ["_late", "_age", "ordinal"], "position", exact=["_late"], measure=base).drop("_late", "_age", "_all")
 
 
 def section_limit(section: Column) -> Column:

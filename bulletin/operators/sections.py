@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bulletin import rules
@@ -28,6 +28,19 @@ def section_ord(names: Sequence[str], section: Column) -> Column:
     ).cast("int")
 
 
+def placed_sections(items: DataFrame, sections: DataFrame) -> DataFrame:
+    """Every section of the list, then those of ``items`` that it lacks, by their first item.
+
+    Section names are few; only they meet in one task.
+    """
+    own = items.where(F.col("section").isNotNull()).groupBy("section").agg(F.min("ordinal").alias("_first"))
+    extra = own.join(sections, "section", "left_anti")
+    last = sections.agg(F.coalesce(F.max("section_ord"), F.lit(0)).alias("n")).scalar()
+    place = F.row_number().over(Window.orderBy("_first", "section")) + last
+    listed = sections.select("section", F.col("section_ord").cast("int").alias("section_ord"))
+    return listed.unionByName(extra.select("section", place.cast("int").alias("section_ord")))
+
+
 def _mapped(section: Column, leads: dict[str, str]) -> Column:
     pairs = [F.lit(x) for kv in leads.items() for x in kv]
     return F.try_element_at(F.create_map(*pairs), section)
@@ -103,8 +116,11 @@ def first_nonempty_feed(df: DataFrame, group: str = "feed_group") -> DataFrame:
     return df.join(best, group).where(F.col("prio") == F.col("_best")).drop("_best")
 
 
-def fallback_issue(items: DataFrame, errors: DataFrame, brand: str = "") -> DataFrame:
-    """The explanatory issue, present only when there is no item at all."""
+def fallback_issue(items: DataFrame, errors: DataFrame, brand: str = "", preface: str = rules.FALLBACK_PREFACE) -> DataFrame:
+    """The explanatory issue, present only when there is no item at all.
+
+    ``errors`` has a row per stage of a run, which are few.
+    """
     spark = items.sparkSession
     any_item = items.select(F.lit(1).alias("one")).limit(1).agg(F.count("one").alias("n")).scalar()
     lines = errors.where(text_or_empty(F.col("error")) != "").agg(
@@ -123,8 +139,8 @@ def fallback_issue(items: DataFrame, errors: DataFrame, brand: str = "") -> Data
                 )
             ),
             F.lit("- 无详细错误信息"),
-        ).alias("content")
-    )
+        ).alias("_lines")
+    ).select(F.concat(F.lit(preface), F.col("_lines")).alias("content"))
     note = lines.select(
         F.lit(0).alias("section_ord"), F.lit(brand).alias("section"), F.lit("本期说明").alias("title"), "content"
     )
@@ -135,11 +151,11 @@ def fallback_issue(items: DataFrame, errors: DataFrame, brand: str = "") -> Data
 
 
 def section_buckets(items: DataFrame, sections: DataFrame) -> DataFrame:
-    """Item count per section in the fixed order; sections without items are reported empty."""
+    """Item count per section in the fixed order, unlisted sections last; sections without items are reported empty."""
     counts = items.groupBy("section").agg(
         F.count(F.lit(1)).alias("items"), F.min("ordinal").alias("first_ordinal"), F.max("ordinal").alias("last_ordinal")
     )
-    joined = sections.join(counts, "section", "left")
+    joined = placed_sections(items, sections).join(counts, "section", "left")
     return joined.select(
         "section", "section_ord",
         F.coalesce(F.col("items"), F.lit(0)).alias("items"),

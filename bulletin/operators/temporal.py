@@ -28,20 +28,23 @@ def signal_rows(df: DataFrame, key: str = "notice_id") -> DataFrame:
     return explode_once(df, [key], F.col("signals"), "_i", "s").select(key, "s.*")
 
 
-def distinct_signals(rows: DataFrame, key: str = "notice_id") -> DataFrame:
-    """One row per (kind, raw, parsed) of a notice, with the first context."""
-    first = F.min_by(F.struct("line_no", "pos", "context"), F.struct("line_no", "pos"))
-    return (
-        rows.groupBy(key, "kind", "raw", "parsed")
-        .agg(first.alias("f"))
-        .select(key, "kind", "raw", "parsed", "f.line_no", "f.pos", "f.context")
+def distinct_signals(df: DataFrame, key: str = "notice_id") -> DataFrame:
+    """One row per (kind, raw, parsed) of a row made by ``with_signals``, with the first context. Work inside the row."""
+    same = lambda a, b: (a["kind"] == b["kind"]) & a["raw"].eqNullSafe(b["raw"]) & a["parsed"].eqNullSafe(b["parsed"])
+    place = lambda s: F.struct(s["line_no"], s["pos"])
+    earlier = lambda s: F.exists("signals", lambda o: same(o, s) & (place(o) < place(s)))
+    firsts = F.filter("signals", lambda s: ~earlier(s))
+    return df.select(key, F.explode(firsts).alias("s")).select(
+        key, *[F.col(f"s.{c}").alias(c) for c in ("kind", "raw", "parsed", "line_no", "pos", "context")]
     )
 
 
-def latest_signals(rows: DataFrame, key: str = "notice_id") -> DataFrame:
-    """Latest parsed time per kind, one row per notice."""
-    of = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("parsed"))).alias(kind)
-    return rows.groupBy(key).agg(of("deadline"), of("event"), of("publish"))
+def latest_signals(df: DataFrame, key: str = "notice_id") -> DataFrame:
+    """Latest parsed time per kind of every row that has a signal. Work inside the row."""
+    of = lambda kind: F.array_max(
+        F.transform(F.filter("signals", lambda s: s["kind"] == kind), lambda s: s["parsed"])
+    ).alias(kind)
+    return df.where(F.size("signals") > 0).select(key, of("deadline"), of("event"), of("publish"))
 
 
 def temporal_relevance(

@@ -67,7 +67,7 @@ def with_model_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("notice_id"), (F.col("quality") == 1).alias("model_keep")
     )
-    return notices.join(labels, "notice_id", "left").withColumn("snippet", F.substring("content", 1, 60))
+    return notices.join(labels, "notice_id", "left").withColumn("snippet", F.col("content"))
 
 
 # --- sources and sinks -------------------------------------------------------
@@ -117,7 +117,9 @@ def explode_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def payload_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    payload = F.to_json(F.struct(F.lit("ok").alias("msg"), F.struct(F.col("url"), F.col("html").alias("page")).alias("data")))
+    # The page lies in a list below an unknown key; a key that looks like markup never counts.
+    inner = F.array(F.struct(F.col("url"), F.col("html").alias("page")))
+    payload = F.to_json(F.struct(F.lit("ok").alias("<msg>"), F.lit("plain").alias("text"), F.struct(inner.alias("pages")).alias("data")))
     stored = table(spark, sf_dir, "pages").select("page_id", payload.alias("raw"))
     return stored.select("page_id", H.html_string("raw").alias("html"))
 
@@ -193,7 +195,7 @@ def temporal_relevance(notices: DataFrame) -> DataFrame:
 
 @on(I.NOTICES)
 def keyword_rules(notices: DataFrame) -> DataFrame:
-    return notices.select("notice_id", filters.keyword_rule(F.col("title"), F.substring("content", 1, 60)).alias("decision"))
+    return notices.select("notice_id", filters.keyword_rule(F.col("title"), F.col("content")).alias("decision"))
 
 
 @query
@@ -341,8 +343,8 @@ def image_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stage_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     stages = spark.createDataFrame([*rules.STAGE_SECTIONS, ("crawl_lib", "新清华学堂")], "stage string, section string")
-    notices = I.view(spark, sf_dir, I.NOTICES).where(F.col("section") != "教务通知")
-    return sections.stage_errors(notices, I.view(spark, sf_dir, I.STAGE_ERRORS), stages)
+    # The whole notice table has every section but the one of the failed hall feed.
+    return sections.stage_errors(I.view(spark, sf_dir, I.NOTICES), I.view(spark, sf_dir, I.STAGE_ERRORS), stages)
 
 
 # --- dedup -------------------------------------------------------------------
@@ -350,7 +352,8 @@ def stage_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @on(I.ARTICLES)
 def dedupe_articles(articles: DataFrame) -> DataFrame:
-    return dedup.dedupe_articles(articles.unionByName(articles.withColumn("ordinal", F.col("ordinal") + 1_000_000_000))).select("ordinal", "dedupe_key")
+    twice = [articles.withColumn("ordinal", F.struct(F.lit(copy).alias("copy"), F.col("ordinal").alias("at"))) for copy in (0, 1)]
+    return dedup.dedupe_articles(twice[0].unionByName(twice[1])).select(F.col("ordinal.at").alias("ordinal"), "dedupe_key")
 
 
 @on(I.ARTICLES)
@@ -361,15 +364,28 @@ def dedupe_urls(articles: DataFrame) -> DataFrame:
 
 @on(I.HALL)
 def merge_by_title(rows: DataFrame) -> DataFrame:
-    return dedup.merge_by_title(rows).select(
-        "title", "part", F.array_join("dates", ",").alias("dates"), "location", "price", "absolute_src"
-    )
+    return dedup.merge_by_title(rows).select("title", "n_dates", "location", "price", "absolute_src")
+
+
+@on(I.HALL)
+def title_dates(rows: DataFrame) -> DataFrame:
+    return dedup.title_dates(rows)
+
+
+@on(I.HALL)
+def event_blocks(rows: DataFrame) -> DataFrame:
+    return render.event_blocks(dedup.merge_by_title(rows), dedup.title_dates(rows))
+
+
+@on(I.HALL)
+def duplicate_titles(rows: DataFrame) -> DataFrame:
+    return dedup.duplicate_titles(rows).select("ordinal", "keep", "reason")
 
 
 @on(I.NOTICES)
 def distinct_signals(notices: DataFrame) -> DataFrame:
-    rows = temporal.signal_rows(temporal.with_signals(notices, CLOCK, fallback=D.inline_date(F.col("content"))))
-    return temporal.distinct_signals(rows).select(
+    signals = temporal.with_signals(notices, CLOCK, fallback=D.inline_date(F.col("content")))
+    return temporal.distinct_signals(signals).select(
         "notice_id", "kind", "raw", D.iso_minute(F.col("parsed")).alias("parsed"), "context"
     )
 
@@ -384,7 +400,7 @@ def decision_summary(log: DataFrame) -> DataFrame:
 
 @on(I.NOTICES)
 def latest_signal(notices: DataFrame) -> DataFrame:
-    latest = temporal.latest_signals(temporal.signal_rows(temporal.with_signals(notices, CLOCK)))
+    latest = temporal.latest_signals(temporal.with_signals(notices, CLOCK))
     return latest.select("notice_id", *[D.iso_minute(F.col(k)).alias(k) for k in ("deadline", "event", "publish")])
 
 
@@ -400,7 +416,7 @@ def visible_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def section_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    articles = I.view(spark, sf_dir, I.ARTICLES).where(~F.col("title").startswith("百团招新"))
+    articles = I.view(spark, sf_dir, I.ARTICLES)
     filed = articles.withColumn("section", scoring.account_section(*map(F.col, ("account", "title", "digest", "content"))))
     return sections.section_buckets(filed, sections.section_table(spark, [*rules.ACCOUNT_SECTIONS, "空栏目"]))
 
@@ -461,8 +477,8 @@ def union_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     hall = I.view(spark, sf_dir, I.HALL).select(F.col("ordinal").alias("notice_id"), "title", "price")
     accounts = I.view(spark, sf_dir, I.ARTICLES).select("notice_id", "title", "url")
     feed_list = [
-        ("info", of("教务通知")), ("myhome", None), ("lib", of("图书馆信息")), ("hall", hall),
-        ("physics", of("物理系学术报告")), ("accounts", accounts),
+        ("info", of("教务通知")), ("myhome", of("家园网信息")), ("learn", None), ("lib", of("图书馆信息")), ("hall", hall),
+        ("physics", of("物理系学术报告")), ("accounts", accounts), ("other", of("其他公众号信息")),
     ]
     return sections.union_feeds(feed_list).select("feed", "feed_ord", "notice_id", "title", "section", "price", "url")
 
@@ -475,8 +491,11 @@ def complete_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fallback_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nothing = I.view(spark, sf_dir, I.NOTICES).where(F.col("section") == "无此栏目")
-    return sections.fallback_issue(nothing, I.view(spark, sf_dir, I.STAGE_ERRORS), brand="周报")
+    """Of a run that found nothing, and of one that found the notices, which needs no such issue."""
+    notices, errors = I.view(spark, sf_dir, I.NOTICES), I.view(spark, sf_dir, I.STAGE_ERRORS)
+    runs = {"empty": notices.limit(0), "filled": notices}
+    empty, filled = (sections.fallback_issue(found, errors, brand="周报").withColumn("run", F.lit(run)) for run, found in runs.items())
+    return empty.unionByName(filled)
 
 
 # --- scoring -----------------------------------------------------------------
@@ -618,8 +637,7 @@ def extract_images(stored: DataFrame) -> DataFrame:
 
 @on(I.DIRTY)
 def normalize_headings(rows: DataFrame) -> DataFrame:
-    body = F.replace("dirty", F.lit('<div class="a">'), F.lit(""))
-    return rows.select("doc_id", X.normalize_headings(body, F.col("title")).alias("body"))
+    return rows.select("doc_id", X.normalize_headings(F.col("dirty"), F.col("title")).alias("body"))
 
 
 @on(I.DIRTY)
@@ -697,7 +715,7 @@ def compress_body(rows: DataFrame) -> DataFrame:
     )
 
 
-@on(I.PLAIN_ARTICLES)
+@on(I.ARTICLES)
 def fallback_summary(articles: DataFrame) -> DataFrame:
     return articles.select(
         "notice_id", X.feed_summary(F.col("digest"), F.col("content")).alias("feed_summary"),
@@ -723,13 +741,13 @@ def filter_snippet(articles: DataFrame) -> DataFrame:
 
 @on(I.ARTICLES)
 def fit_field(articles: DataFrame) -> DataFrame:
-    title = F.concat(F.lit("\\u901a\\u77e5 "), F.col("title"), F.lit("  关于本学期各项安排的详细通知与说明"), F.substring("content", 1, 30))
+    title = F.concat(F.lit("\\u901a\\u77e5 "), F.col("title"), F.lit("  关于本学期各项安排的详细通知与说明"), F.col("content"))
     n = F.col("notice_id")
     source = F.when(n % 3 == 0, F.col("url")).when(n % 3 == 1, "ftp://e.com/x").otherwise("https://")
     fields = {
         "title": X.fit_field(F.when(n % 10 == 0, " ").otherwise(title), "title", fallback="周报"),
         "author": X.fit_field(F.col("account"), "author"),
-        "digest": X.fit_field(F.concat("digest", F.lit(" "), F.substring("content", 1, 300)), "digest", fallback="已整理"),
+        "digest": X.fit_field(F.concat("digest", F.lit(" "), "content"), "digest", fallback="已整理"),
         "source_url": X.fit_field(source, "source_url"),
     }
     sizes = [
@@ -799,10 +817,30 @@ def scored_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @on(I.NOTICES)
 def decision_requests(notices: DataFrame) -> DataFrame:
-    staged = notices.withColumns({"snippet": F.substring("content", 1, 60), "date": D.inline_date(F.col("content"))})
+    staged = notices.withColumns({"snippet": F.col("content"), "date": D.inline_date(F.col("content"))})
     return model.decision_requests(staged, "筛选规则:")
 
 
+@on(I.NOTICES)
+def selection_requests(notices: DataFrame) -> DataFrame:
+    return model.selection_requests(notices.withColumn("date", D.inline_date(F.col("content"))), measure=notices).drop("candidates")
+
+
+@on(I.NOTICES)
+def summary_requests(notices: DataFrame) -> DataFrame:
+    return model.summary_requests(notices)
+
+
+@on(I.NOTICES)
+def clean_requests(notices: DataFrame) -> DataFrame:
+    return model.clean_requests(notices)
+
+
+@on(I.REPORTS)
+def report_requests(rows: DataFrame) -> DataFrame:
+    return model.report_requests(rows.withColumn("publish_date", D.inline_date(F.col("content"))))
+
+
 @on(I.DECISION_REPLIES)
 def decision_responses(replies: DataFrame) -> DataFrame:
     return model.decision_responses(replies).select("notice_id", "model_keep", "status", "reason")
@@ -819,7 +857,7 @@ def selection_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def summary_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("  摘要\n"), F.substring("text", 1, 300))).when(F.col("doc_id") % 3 == 0, "")
+    raw = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("  摘要\n"), F.col("text"))).when(F.col("doc_id") % 3 == 0, "")
     rows = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"), raw.alias("raw"))
     return model.summary_responses(rows).select("doc_id", "feed_summary", "digest_summary")
 
@@ -829,7 +867,7 @@ def gated_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     notices = I.view(spark, sf_dir, I.NOTICES)
     replies = notices.where(F.col("notice_id") % 3 != 0).select(
         "notice_id",
-        F.when(F.col("notice_id") % 3 == 1, F.concat(F.lit("整理："), "content")).otherwise(F.substring("content", 1, 50)).alias("raw"),
+        F.when(F.col("notice_id") % 3 == 1, F.concat(F.lit("整理："), "content")).otherwise("整理要点").alias("raw"),
     )
     return model.gated_clean(notices, replies).select("notice_id", "accepted", "content")
 
@@ -848,7 +886,7 @@ def _keyword_answer(prompts: list[str]) -> list[str | None]:
 
 @on(I.NOTICES)
 def model_call(notices: DataFrame) -> DataFrame:
-    requests = notices.select("notice_id", F.concat(F.lit("标题: "), "title", F.lit("\n"), F.substring("content", 1, 40)).alias("prompt"))
+    requests = notices.select("notice_id", F.concat(F.lit("标题: "), "title", F.lit("\n"), F.col("content")).alias("prompt"))
     return model.decision_responses(model.model_call(requests, _keyword_answer, "notice_id"))
 
 
@@ -893,17 +931,22 @@ def render_cards(docs: DataFrame) -> DataFrame:
 
 @query
 def full_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return issue.full_issue(I.view(spark, sf_dir, I.NOTICES), issue_sections(spark), CLOCK, clean=False)
+    return issue.full_issue(I.view(spark, sf_dir, I.NOTICES), issue_sections(spark), CLOCK)
+
+
+@query
+def ranked_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return issue.ranked_issue(I.view(spark, sf_dir, I.NOTICES), issue_sections(spark), CLOCK)
 
 
 @query
 def account_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return issue.account_feed(I.view(spark, sf_dir, I.PLAIN_ARTICLES), CLOCK)
+    return issue.account_feed(I.view(spark, sf_dir, I.ARTICLES), CLOCK)
 
 
 @query
 def refilter_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = digest.read_digest_items(I.view(spark, sf_dir, I.DIGESTS), "doc_id")
-    place = F.col("doc_id") * 1_000_000 + F.col("section_ord") * 1000 + F.col("item_ord")
+    place = F.struct("doc_id", "section_ord", "item_ord")
     staged = items.select(place.alias("notice_id"), "section", "title", "content", place.alias("ordinal"))
     return issue.refilter_issue(staged, issue_sections(spark), CLOCK)

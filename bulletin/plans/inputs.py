@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 RUN_DATE = "2026-04-20"
 
@@ -56,9 +55,6 @@ SELECT doc_id AS ordinal, doc_id AS notice_id,
 FROM {{documents}}
 """
 
-# The same articles without any Markdown or HTML mark in their text.
-PLAIN_ARTICLES = ARTICLES.replace(" text AS content", " translate(text, '*_#>-`<[]&', '') AS content")
-
 # One payload per document: two records, alias field names, the list under varying keys.
 FEEDS = f"""
 SELECT doc_id AS feed_id, source AS account_keyword,
@@ -86,7 +82,7 @@ SELECT doc_id,
   '# ', {_SECTION}, '  ', chr(10), '分节前言', chr(10), '## 条目甲 ', {_s('doc_id')}, chr(10), chr(10),
   '日期: 2026-04-', lpad({_s('1 + doc_id % 28')}, 2, '0'), chr(10), text, chr(10), '### 小标题', chr(10),
   '重要性评分: ', {_s('doc_id % 130')}, '/100', chr(10), '排序依据: 规则', chr(10), '![配图](https://e.com/x.png)', chr(10),
-  '# 图书馆信息', chr(10), '##   条目乙', chr(10), chr(10), substring(text, 1, 200), chr(10), '# ', chr(10), '## ', chr(10), '尾行') AS text
+  '# 图书馆信息', chr(10), '##   条目乙', chr(10), chr(10), text, chr(10), '# ', chr(10), '## ', chr(10), '尾行') AS text
 FROM {{documents}}
 """
 
@@ -215,7 +211,7 @@ FROM {{documents}}
 
 FEED_GROUPS = """
 SELECT user_id AS feed_group, event_id, CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 WHEN 'purchase' THEN 2 WHEN 'error' THEN 3 ELSE 4 END AS prio
-FROM {events} WHERE value > 60
+FROM {events}
 """
 
 DECISION_LOG = """
@@ -239,21 +235,8 @@ FROM {{documents}}
 """
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give text work on a table of very few splits every core.
-
-    A scan with at least as many splits as cores, as any large table has, is left as it is:
-    there every filter belongs in the scan. Here the always-true filter, which is not deterministic
-    for Catalyst, keeps costly text filters above the exchange, on all cores.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores).where(F.spark_partition_id() >= 0)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

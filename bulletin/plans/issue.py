@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from bulletin import rules
 from bulletin.functions.dates import RunClock, format_publish, inline_date
-from bulletin.functions.text import feed_summary, filter_snippet, raw_clean
+from bulletin.functions.text import clean_markdown, feed_summary, filter_snippet, raw_clean
 from bulletin.operators.decisions import kept
 from bulletin.operators.dedup import dedupe_articles
 from bulletin.operators.filters import mark_items
+from bulletin.operators.pages import article_details
 from bulletin.operators.ranking import rank_in_section, section_selection, topk_per_section
 from bulletin.operators.scoring import account_section, with_rule_score
-from bulletin.operators.sections import section_ord
+from bulletin.operators.sections import placed_sections, section_ord
 from bulletin.operators.shorten import shorten
 from bulletin.operators.temporal import publish_prefilter, publish_recency, temporal_relevance
 from bulletin.plans.render import render_articles, render_digest, render_ranked
@@ -28,10 +29,10 @@ def scored_notices(notices: DataFrame, clock: RunClock, clean: bool = True) -> D
 
 
 def ranked_issue(notices: DataFrame, sections: DataFrame, clock: RunClock) -> DataFrame:
-    """Every recent notice by rank, as ordered blocks."""
+    """Every recent notice by rank, as ordered blocks. Bodies are cleaned where they are printed."""
     ranks = rank_in_section(scored_notices(notices, clock))
-    bodies = notices.select("notice_id", "title", raw_clean(F.col("content")).alias("content"))
-    return render_ranked(ranks, bodies, sections)
+    blocks = render_ranked(ranks, notices, placed_sections(notices, sections), body=raw_clean(F.col("content")))
+    return blocks
 
 
 def selected_issue(notices: DataFrame, clock: RunClock, clean: bool = True) -> DataFrame:
@@ -47,29 +48,51 @@ def final_items(items: DataFrame, clock: RunClock) -> DataFrame:
 
 
 def full_issue(notices: DataFrame, sections: DataFrame, clock: RunClock, clean: bool = True) -> DataFrame:
-    """Rank, select, filter by time, shorten, complete, render: one text per section."""
+    """Rank, select, filter by time, shorten, render: one text per section.
+
+    Every listed section and every section of the notices is printed; one that no item
+    reaches has the lead for empty sections.
+    """
     best = selected_issue(notices, clock, clean).drop("rank", "score", "reason", "tags")
-    return render_digest(final_items(best, clock), sections, complete=True)
+    return render_digest(final_items(best, clock), placed_sections(notices, sections))
 
 
 def refilter_issue(items: DataFrame, sections: DataFrame, clock: RunClock) -> DataFrame:
     """A stored digest again through the time filter and the section cut, without scores."""
-    return render_digest(final_items(items, clock), sections)
-
-
-def account_feed(articles: DataFrame, clock: RunClock, model_filter: bool = False) -> DataFrame:
-    """Account articles: deduplicated, recent, in time, marked, filed and rendered as blocks."""
-    unique = dedupe_articles(articles)
-    recent = kept(publish_prefilter(unique, clock))
+    return render_digest(final_items(items, clock), placed_sections(items, sections))
+
+
+def account_feed(
+    articles: DataFrame, clock: RunClock, model_filter: bool = False, pages: DataFrame | None = None, notes: DataFrame | None = None
+) -> DataFrame:
+    """Account articles: deduplicated, recent, in time, cleaned, marked, filed and rendered as blocks.
+
+    Blocks are printed in the order (section_ord, age, ordinal): newest first, articles
+    without a time last, feed order among equals. ``pages`` (url, html) bring the texts of
+    articles that a list names only; ``notes`` (notice_id, notes: array of picture texts)
+    count for the time filter and the snippet. A feed that ends empty prints one placeholder.
+    """
+    # Winners are chosen on the narrow columns; the text comes by id.
+    narrow = articles.select("notice_id", "ordinal", "mid", "idx", "url", "publish_ts")
+    recent_ids = kept(publish_prefilter(dedupe_articles(narrow), clock)).select("notice_id")
+    recent = articles.join(recent_ids, "notice_id", "left_semi")
+    if pages is not None:
+        recent = article_details(recent, pages)
+    if notes is None:
+        recent = recent.withColumn("notes", F.array().cast("array<string>"))
+    else:
+        recent = recent.join(notes, "notice_id", "left").withColumn("notes", F.coalesce("notes", F.array().cast("array<string>")))
     text = F.concat_ws(
-        "\n", *[F.nullif(F.col(c), F.lit("")) for c in ("title", "digest", "publish_text", "content")]
+        "\n",
+        *[F.nullif(F.col(c), F.lit("")) for c in ("title", "digest", "publish_text", "content")],
+        F.nullif(F.array_join("notes", "\n"), F.lit("")),
     )
     fallback = format_publish(F.col("publish_ts"), F.col("publish_text"), clock.zone)
     in_time = kept(temporal_relevance(recent, clock, text=text, fallback=fallback)).drop("basis")
-    no_notes = F.array().cast("array<string>")
-    staged = in_time.withColumns(
+    cleaned = in_time.withColumns({c: clean_markdown(F.col(c)) for c in ("content", "digest")})
+    staged = cleaned.withColumns(
         {
-            "snippet": filter_snippet(F.col("digest"), F.col("content"), no_notes),
+            "snippet": filter_snippet(F.col("digest"), F.col("content"), F.col("notes")),
             "summary": feed_summary(F.col("digest"), F.col("content")),
         }
     )
@@ -80,4 +103,12 @@ def account_feed(articles: DataFrame, clock: RunClock, model_filter: bool = Fals
         "section", account_section(F.col("account"), F.col("title"), F.col("digest"), F.col("content"))
     )
     filed = filed.withColumn("section_ord", section_ord(rules.ACCOUNT_SECTIONS, F.col("section")))
-    return render_articles(filed, zone=clock.zone).select("section", "section_ord", "ordinal", "text")
+    age = -F.coalesce(F.col("publish_ts"), F.lit(0)).cast("bigint")
+    blocks = render_articles(filed.withColumn("age", age), zone=clock.zone).select("section", "section_ord", "age", "ordinal", "text")
+    empty = F.concat(F.lit(f"## {rules.PLACEHOLDER_TITLE}\n\n{rules.ACCOUNT_EMPTY_BODY}"))
+    any_block = blocks.limit(1).agg(F.count(F.lit(1)).alias("n")).scalar()
+    placeholder = articles.sparkSession.range(1).where(any_block == 0).select(
+        F.lit(rules.OTHER_SECTION).alias("section"), F.lit(len(rules.ACCOUNT_SECTIONS)).alias("section_ord"),
+        F.lit(0).cast("bigint").alias("age"), F.lit(0).cast(dict(blocks.dtypes)["ordinal"]).alias("ordinal"), empty.alias("text"),
+    )
+    return blocks.unionByName(placeholder)

@@ -6,6 +6,8 @@ functions) so that agreement means something. Only the rule lists are shared.
 
 from __future__ import annotations
 
+import re
+
 from bulletin import rules
 from bulletin.functions.basics import CJK, DIGIT, FULLWIDTH_DIGITS, LINE_BREAK, WORD, WS, WS_CHARS
 from bulletin.functions.dates import ANY_DATE, CLOCK, FULL_DATE, FULL_STAMP, LOOSE_FULL_STAMP, SHORT_DATE, SHORT_STAMP, SIGNAL
@@ -250,7 +252,7 @@ def rule(title: str, snippet: str) -> str:
     return f"CASE WHEN {any_of(t, rules.FORCE_NO_WORDS)} THEN false WHEN {any_of(t, rules.FORCE_YES_WORDS)} THEN true END"
 
 
-_RULE = rule("title", "substr(content, 1, 60)")
+_RULE = rule("title", "content")
 add("keyword_rules", f"SELECT notice_id, {_RULE} AS decision FROM {NOTICES} n")
 _ASKED = f"(SELECT n.*, {_RULE} AS r, quality = 1 AS m FROM {NOTICES} n LEFT JOIN labels ON doc_id = notice_id)"
 add(
@@ -380,7 +382,8 @@ def names(values: list[str]) -> str:
     return "(SELECT * FROM (VALUES " + ", ".join(f"({lit(x)}, {i})" for i, x in enumerate(values, start=1)) + ") s(section, section_ord))"
 
 
-ISSUE = names(["教务通知", "物理系学术报告", "图书馆信息", "家园网信息", "其他公众号信息", "学生会信息"])
+ISSUE_NAMES = ["教务通知", "物理系学术报告", "图书馆信息", "家园网信息", "其他公众号信息", "学生会信息"]
+ISSUE = names(ISSUE_NAMES)
 add(
     "section_leads",
     f"SELECT section, items, {_LEAD('section', 'items')} AS lead FROM (SELECT s.section, count(n.notice_id) AS items FROM {ISSUE} s LEFT JOIN {NOTICES} n USING (section) GROUP BY 1) x",
@@ -406,7 +409,7 @@ add(
     "stage_errors",
     f"""SELECT section, '占位卡片' AS title, '本次抓取未成功。' || {NL} || {NL} || '原因: ' || arg_min(trim(error), stage_ord) AS content
  FROM {v(I.STAGE_ERRORS)} e JOIN (VALUES ('crawl_info', '教务通知'), ('crawl_myhome', '家园网信息'), ('crawl_lib', '新清华学堂')) t(stage, section) USING (stage)
- WHERE trim(error) <> '' AND section <> '家园网信息' GROUP BY 1""",
+ WHERE trim(error) <> '' AND section NOT IN (SELECT section FROM {NOTICES} n) GROUP BY 1""",
 )
 
 # --- dedup -------------------------------------------------------------------
@@ -440,9 +443,22 @@ add(
 )
 add(
     "merge_by_title",
-    f"""SELECT title, 0 AS part, string_agg(date, ',' ORDER BY ordinal DESC) AS dates, arg_max(location, ordinal) AS location, arg_max(price, ordinal) AS price,
+    f"""SELECT title, count(*) AS n_dates, arg_max(location, ordinal) AS location, arg_max(price, ordinal) AS price,
  arg_max(absolute_src, ordinal) AS absolute_src FROM {v(I.HALL)} h GROUP BY 1""",
 )
+add("title_dates", f"SELECT title, date, -ordinal AS place FROM {v(I.HALL)} h")
+add(
+    "event_blocks",
+    f"""WITH h AS (SELECT *, max(ordinal) OVER (PARTITION BY title) AS last_at, count(*) OVER (PARTITION BY title) AS n FROM {v(I.HALL)} x)
+ SELECT title, last_at AS ordinal, 0 AS part, 0 AS place, '## ' || title || {NL} || {NL} || '日期:' AS text FROM h WHERE ordinal = last_at AND n > 1
+ UNION ALL SELECT title, last_at, 1, -ordinal, CASE WHEN n = 1 THEN '## ' || title || {NL} || {NL} || '日期: ' || date ELSE date END FROM h
+ UNION ALL SELECT title, last_at, 2, 0, '地点: ' || location || {NL} || {NL} || '票价:' || {NL} || price || {NL} || {NL} || '![](' || absolute_src || ')' FROM h WHERE ordinal = last_at""",
+)
+add(
+    "duplicate_titles",
+    f"""SELECT ordinal, keep, CASE WHEN keep THEN 'crawler_selected' ELSE 'duplicate_title' END AS reason
+ FROM (SELECT ordinal, ordinal = max(ordinal) OVER (PARTITION BY title) AS keep FROM {v(I.HALL)} h) x""",
+)
 add(
     "distinct_signals",
     f"""WITH {signal_rows(NOTICES, _TEXT, inline('content'))} SELECT notice_id, kind, raw, {minute('parsed')} AS parsed, context FROM sig
@@ -475,7 +491,7 @@ add(
     "section_buckets",
     f"""SELECT section, section_ord, count(f.ordinal) AS items, min(f.ordinal) AS first_ordinal, max(f.ordinal) AS last_ordinal,
  CASE WHEN count(f.ordinal) = 0 THEN 'empty' ELSE 'kept' END AS status, CASE WHEN count(f.ordinal) = 0 THEN 'no_visible_wechat_items' ELSE 'assigned_wechat_section' END AS reason
- FROM {names([*rules.ACCOUNT_SECTIONS, '空栏目'])} s LEFT JOIN (SELECT * FROM {_FILED} g WHERE title NOT LIKE '百团招新%') f USING (section) GROUP BY 1, 2""",
+ FROM {names([*rules.ACCOUNT_SECTIONS, '空栏目'])} s LEFT JOIN {_FILED} f USING (section) GROUP BY 1, 2""",
 )
 
 # --- ranking -----------------------------------------------------------------
@@ -514,8 +530,8 @@ add(
 _of = lambda feed, n, section: f"SELECT '{feed}' AS feed, {n} AS feed_ord, notice_id, title, section, CAST(NULL AS VARCHAR) AS price, CAST(NULL AS VARCHAR) AS url FROM {NOTICES} n WHERE section = '{section}'"
 add(
     "union_feeds",
-    f"""{_of('info', 1, '教务通知')} UNION ALL {_of('lib', 3, '图书馆信息')} UNION ALL SELECT 'hall', 4, ordinal, title, NULL, price, NULL FROM {v(I.HALL)} h
- UNION ALL {_of('physics', 5, '物理系学术报告')} UNION ALL SELECT 'accounts', 6, notice_id, title, NULL, NULL, url FROM {ARTICLES} a""",
+    f"""{_of('info', 1, '教务通知')} UNION ALL {_of('myhome', 2, '家园网信息')} UNION ALL {_of('lib', 4, '图书馆信息')} UNION ALL SELECT 'hall', 5, ordinal, title, NULL, price, NULL FROM {v(I.HALL)} h
+ UNION ALL {_of('physics', 6, '物理系学术报告')} UNION ALL SELECT 'accounts', 7, notice_id, title, NULL, NULL, url FROM {ARTICLES} a UNION ALL {_of('other', 8, '其他公众号信息')}""",
 )
 add(
     "complete_sections",
@@ -524,8 +540,8 @@ add(
 )
 add(
     "fallback_issue",
-    f"""SELECT 0 AS section_ord, '周报' AS section, '本期说明' AS title, string_agg('- ' || stage || ': ' || error, {NL} ORDER BY stage_ord) AS content FROM {v(I.STAGE_ERRORS)} e WHERE error <> ''
- UNION ALL SELECT section_ord, section, '占位卡片', '等待下次抓取结果。' FROM {names(rules.FALLBACK_SECTIONS)} s""",
+    f"""SELECT 'empty' AS run, * FROM (SELECT 0 AS section_ord, '周报' AS section, '本期说明' AS title, {lit(rules.FALLBACK_PREFACE).replace(chr(10), "' || chr(10) || '")} || string_agg('- ' || stage || ': ' || error, {NL} ORDER BY stage_ord) AS content FROM {v(I.STAGE_ERRORS)} e WHERE error <> ''
+ UNION ALL SELECT section_ord, section, '占位卡片', '等待下次抓取结果。' FROM {names(rules.FALLBACK_SECTIONS)} s) x""",
 )
 
 # --- scoring -----------------------------------------------------------------
@@ -593,7 +609,7 @@ _no_images = swap(swap("dirty", r"!\[[^\]]*\]\([^)]*\)"), rf"\[图片文字{WS}*
 add("strip_images", f"SELECT doc_id, {_no_images} AS cleaned FROM {DIRTY} d")
 add(
     "normalize_headings",
-    f"""WITH l AS (SELECT doc_id, title, unnest(string_split_regex(replace(dirty, '<div class="a">', ''), {lit(LINE_BREAK)})) AS line, generate_subscripts(string_split_regex(replace(dirty, '<div class="a">', ''), {lit(LINE_BREAK)}), 1) AS n FROM {DIRTY} d),
+    f"""WITH l AS (SELECT doc_id, title, unnest(string_split_regex(dirty, {lit(LINE_BREAK)})) AS line, generate_subscripts(string_split_regex(dirty, {lit(LINE_BREAK)}), 1) AS n FROM {DIRTY} d),
  f AS (SELECT *, min(n) FILTER (WHERE {trim('line')} <> '') OVER (PARTITION BY doc_id) AS f FROM l),
  g AS (SELECT doc_id, n, n = f AND starts_with({trim('line')}, '#') AND {trim(swap(trim('line'), f'^#+{WS}*'))} = {trim('title')} AS is_title,
   CASE WHEN regexp_matches(line, '^{WS}*#') AND {trim(swap(trim('line'), f'^#+{WS}*'))} <> '' THEN '### ' || {trim(swap(trim('line'), f'^#+{WS}*'))} ELSE line END AS line FROM f)
@@ -609,6 +625,38 @@ add(
     f"""SELECT doc_id, line_no, substr({trim('line')}, 1, 160) AS sample FROM (SELECT doc_id, unnest(string_split_regex(dirty, {lit(LINE_BREAK)})) AS line,
  generate_subscripts(string_split_regex(dirty, {lit(LINE_BREAK)}), 1) AS line_no FROM {DIRTY} d) x WHERE regexp_matches(line, {lit(rules.AUDIT_PATTERNS)})""",
 )
+
+
+def _pairs_out(x: str, mark: str, width: int) -> str:
+    """``**word**`` without its marks: runs of exactly ``width`` marks become a private character, which then pairs up."""
+    m, run = re.escape(mark), re.escape(mark * width)
+    for _ in range(2):  # neighbouring runs share the character between them
+        x = swap(x, f"(^|[^{m}]){run}([^{m}]|$)", "\\1\ue000\\2")
+    x = swap(x, f"\ue000([^{m}\ue000\n]+)\ue000", "\\1")
+    return f"replace({x}, '\ue000', {lit(mark * width)})"
+
+
+def clean(x: str) -> str:
+    """Markup, then Markdown, then stray marks; the test texts hold no character references."""
+    x = swap(f"replace({x}, chr(65279), '')", r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>", " ")
+    x = swap(x, r"(?i)<br\s*/?>", "\n")
+    x = swap(swap(x, r"(?i)</?(?:" + "|".join(rules.BLOCK_TAGS) + r")[^>]*>", "\n"), r"<[^>]+>", " ")
+    x = swap(swap(x, r"!\[([^\]]*)\]\([^)]*\)", "\\1"), r"\[([^\]]+)\]\([^)]*\)", "\\1")
+    x = swap(swap(x, r"`{1,3}([^`]+)`{1,3}", "\\1"), rf"(?m)^{WS}{{0,3}}>{WS}?")
+    x = swap(swap(x, rf"(?m)^{WS}*[-*_]{{3,}}{WS}*$"), rf"(?m)^{WS}*#{{1,6}}{WS}*([^#\n]+?){WS}*$", "### \\1")
+    for mark, width in (("*", 2), ("_", 2), ("*", 1), ("_", 1)):
+        x = _pairs_out(x, mark, width)
+    x = swap(x, r"\\([*_#`>\-])", "\\1")
+    x = trim(swap(swap(swap(x, r"\n[ \t]+", "\n"), r"[ \t]+\n", "\n"), r"\n{3,}", "\n\n"))
+    return trim(swap(swap(swap(x, r"(?m)^[ \t]*\*{3,}[ \t]*$"), r"\*{4,}"), r"\n[ \t\n]*\n", "\n\n"))
+
+
+def raw_cleaned(x: str) -> str:
+    bare = swap(swap(x, r"!\[[^\]]*\]\([^)]*\)"), rf"\[图片文字{WS}*{DIGIT}+\][^\n]*")
+    return trim(swap(clean(bare), r"\n{3,}", "\n\n"))
+
+
+add("clean_markdown", f"SELECT doc_id, {clean('dirty')} AS cleaned FROM {DIRTY} d")
 _begin = f"""least(CASE WHEN strpos(content, '**报告题目') > 0 THEN strpos(content, '**报告题目') END, CASE WHEN strpos(content, '报告题目：') > 0 THEN strpos(content, '报告题目：') END,
  CASE WHEN strpos(content, '### ' || title) > 0 THEN strpos(content, '### ' || title) END, CASE WHEN strpos(content, title) > 0 THEN strpos(content, title) END)"""
 _end = "least(" + ", ".join(f"CASE WHEN strpos(c, {lit(m)}) > 1 THEN strpos(c, {lit(m)}) END" for m in rules.REPORT_END_MARKERS) + ")"
@@ -674,7 +722,7 @@ def shortened(source: str) -> str:
 add("compress_body", f"SELECT notice_id, body FROM {shortened(REPORTS)} s")
 add(
     "fallback_summary",
-    f"""SELECT notice_id, substr({collapse("coalesce(nullif(digest, ''), content)")}, 1, 100) AS feed_summary, {clip(_space('content'), '70')} AS digest_summary FROM {v(I.PLAIN_ARTICLES)} a""",
+    f"""SELECT notice_id, substr({collapse("coalesce(nullif(digest, ''), content)")}, 1, 100) AS feed_summary, {clip(_space('content'), '70')} AS digest_summary FROM {ARTICLES} a""",
 )
 add("repair_mojibake", f"SELECT doc_id, text || {NL} || '学术报告：时间地点' || {NL} || '正常行' AS text FROM documents")
 add(
@@ -695,8 +743,8 @@ def fit(x: str, chars: int, limit: int, dots: str = "") -> str:
 _sizes = ", ".join(f"length({c}) AS {c}_chars, strlen({c}) AS {c}_bytes" for c in ("title", "author", "digest", "source_url"))
 add(
     "fit_field",
-    f"""WITH a AS (SELECT notice_id, CASE WHEN notice_id % 10 = 0 THEN '周报' ELSE {collapse("'通知 ' || title || '  关于本学期各项安排的详细通知与说明' || substr(content, 1, 30)")} END AS t0, {collapse('account')} AS a0,
- {collapse("digest || ' ' || substr(content, 1, 300)")} AS d0, CASE WHEN notice_id % 3 = 0 THEN url ELSE '' END AS source_url FROM {ARTICLES} a),
+    f"""WITH a AS (SELECT notice_id, CASE WHEN notice_id % 10 = 0 THEN '周报' ELSE {collapse("'通知 ' || title || '  关于本学期各项安排的详细通知与说明' || content")} END AS t0, {collapse('account')} AS a0,
+ {collapse("digest || ' ' || content")} AS d0, CASE WHEN notice_id % 3 = 0 THEN url ELSE '' END AS source_url FROM {ARTICLES} a),
  b AS (SELECT notice_id, {fit('t0', 32, 64)} AS title, {fit('a0', 4, 12)} AS author, {fit('d0', 54, 120, '...')} AS digest, source_url FROM a) SELECT *, {_sizes} FROM b""",
 )
 _label_shape = rf"^([^:：]{{1,12}})[:：]{WS}*([^\n]+)"
@@ -742,7 +790,7 @@ add(
 )
 add(
     "decision_requests",
-    f"""SELECT notice_id, concat_ws({NL}, '站点: ' || section, '标题: ' || title, '已知日期: ' || nullif({inline('content')}, ''), '正文与摘要: ' || nullif(substr(content, 1, 60), ''), '筛选规则:') AS prompt
+    f"""SELECT notice_id, concat_ws({NL}, '站点: ' || section, '标题: ' || title, '已知日期: ' || nullif({inline('content')}, ''), '正文与摘要: ' || nullif(content, ''), '筛选规则:') AS prompt
  FROM {NOTICES} n WHERE {_RULE} IS NULL""",
 )
 add(
@@ -753,18 +801,48 @@ add(
 )
 add(
     "selection_responses",
-    f"""WITH i AS (SELECT notice_id, section, row_number() OVER (PARTITION BY section ORDER BY ordinal) AS item_index, count(*) OVER (PARTITION BY section) AS n FROM {NOTICES} n)
- SELECT section, notice_id, item_index, CASE WHEN section = '家园网信息' THEN item_index WHEN item_index = n THEN 1 WHEN item_index = 2 THEN 2 WHEN item_index = 1 THEN 3 ELSE 4 END AS pick,
- CASE WHEN section = '家园网信息' THEN 'fallback_max_items_per_section' ELSE 'llm_section_selection' END AS reason
- FROM i WHERE (section = '家园网信息' AND item_index <= 4) OR (section <> '家园网信息' AND item_index IN (n, 2, 1, n - 1))""",
+    f"""WITH i AS (SELECT notice_id, section, row_number() OVER (PARTITION BY section ORDER BY ordinal) AS item_index, count(*) OVER (PARTITION BY section) AS n,
+  CASE section WHEN '物理系学术报告' THEN 4 WHEN '其他公众号信息' THEN 5 END AS own FROM {NOTICES} n)
+ SELECT section, notice_id, item_index, CASE WHEN own > 0 OR section = '家园网信息' THEN item_index WHEN item_index = n THEN 1 WHEN item_index = 2 THEN 2 WHEN item_index = 1 THEN 3 ELSE 4 END AS pick,
+ CASE WHEN own > 0 THEN 'section_rule' WHEN section = '家园网信息' THEN 'fallback_max_items_per_section' ELSE 'llm_section_selection' END AS reason
+ FROM i WHERE CASE WHEN own > 0 THEN item_index <= own WHEN section = '家园网信息' THEN item_index <= 4 ELSE item_index IN (n, 2, 1, n - 1) END""",
+)
+add(
+    "selection_requests",
+    f"""WITH i AS (SELECT *, row_number() OVER (PARTITION BY section ORDER BY ordinal) AS item_index FROM {NOTICES} n WHERE section NOT IN ('物理系学术报告', '其他公众号信息')),
+ c AS (SELECT section, item_index, (item_index - 1) // 40 AS chunk, item_index || '. 标题: ' || title || {NL} || '发布日期: ' || {inline('content')} || {NL} || '正文摘录: ' || substr({_space('content')}, 1, 500) AS c FROM i)
+ SELECT section, chunk, count(*) AS items, '版块: ' || section || {NL} || {NL} || string_agg(c, {NL} || {NL} ORDER BY item_index) AS prompt FROM c GROUP BY 1, 2""",
 )
-_RAW = f"CASE WHEN doc_id % 2 = 0 THEN '  摘要' || {NL} || substr(text, 1, 300) ELSE '' END"
+add("summary_requests", f"SELECT notice_id, '标题: ' || title || {NL} || '来源: ' || section || {NL} || '正文:' || {NL} || substr(content, 1, 2500) AS prompt FROM {NOTICES} n")
+add("clean_requests", f"SELECT notice_id, 'Source: crawler' || {NL} || {NL} || 'Markdown:' || {NL} || substr({clean('content')}, 1, 3000) AS prompt FROM {NOTICES} n")
+add(
+    "report_requests",
+    f"""SELECT notice_id, '页面标题：' || title || {NL} || '发布日期：' || {inline('content')} || {NL} || '链接：' || url || {NL} || '原文如下：' || {NL} || substr(content, 1, 3000) AS prompt FROM {REPORTS} r""",
+)
+
+
+def quality(x: str) -> str:
+    return f"({count(trim(x), CJK)} * 3 + length({trim(x)}) - {count(trim(x), '(?i)' + rules.NOISE_WORDS)} * 20 - {count(trim(x), '<[a-zA-Z/][^>]*>')} * 10)"
+
+
+_heading = lambda line: trim(swap(trim(line), f"^#+{WS}*"))
+add(
+    "gated_clean",
+    f"""WITH g AS (SELECT notice_id, section, title, own, cand, section <> '物理系学术报告' AND cand IS NOT NULL AND own <> '' AND coalesce({quality('cand')} >= {quality('own')}, false) AS accepted
+  FROM (SELECT notice_id, section, title, {clean('content')} AS own, CASE notice_id % 3 WHEN 1 THEN {clean("'整理：' || content")} WHEN 2 THEN '整理要点' END AS cand FROM {NOTICES} n) x),
+ l AS (SELECT notice_id, title, accepted, unnest(string_split_regex(CASE WHEN accepted THEN cand ELSE own END, {lit(LINE_BREAK)})) AS line,
+   generate_subscripts(string_split_regex(CASE WHEN accepted THEN cand ELSE own END, {lit(LINE_BREAK)}), 1) AS n FROM g),
+ f AS (SELECT *, n = min(n) FILTER (WHERE {trim('line')} <> '') OVER (PARTITION BY notice_id) AND starts_with({trim('line')}, '#') AND {_heading('line')} = {trim('title')} AS is_title FROM l),
+ b AS (SELECT notice_id, accepted, coalesce(string_agg(CASE WHEN regexp_matches(line, '^{WS}*#') AND {_heading('line')} <> '' THEN '### ' || {_heading('line')} ELSE line END, {NL} ORDER BY n) FILTER (WHERE NOT is_title), '') AS body FROM f GROUP BY ALL)
+ SELECT notice_id, accepted, {clean(trim('body'))} AS content FROM b""",
+)
+_RAW = f"CASE WHEN doc_id % 2 = 0 THEN '  摘要' || {NL} || text ELSE '' END"
 add(
     "summary_responses",
     f"""SELECT doc_id, coalesce(nullif(substr({collapse(_RAW)}, 1, 100), ''), substr({collapse('text')}, 1, 100)) AS feed_summary,
  {clip(_space(f"coalesce(nullif({_RAW}, ''), {clip(_space('text'), '70')})"), '70')} AS digest_summary FROM documents""",
 )
-_PROMPT = f"('标题: ' || title || {NL} || substr(content, 1, 40))"
+_PROMPT = f"('标题: ' || title || {NL} || content)"
 _ANSWER = f"CASE WHEN length({_PROMPT}) % 7 = 0 THEN NULL WHEN length({_PROMPT}) % 2 = 1 THEN 'YES' ELSE 'NO' END"
 add(
     "model_call",
@@ -782,33 +860,44 @@ add(
 )
 
 
-def digest_sql(ctes: str, source: str, extra: str = "") -> str:
-    """Rendered sections of the rows in ``source`` that survive the time filter."""
+def digest_sql(ctes: str, source: str, every: str) -> str:
+    """Rendered sections of the rows in ``source`` that survive the time filter; all sections of ``every`` are printed."""
     cut = f"""{ctes}, live AS (SELECT * EXCLUDE (reason, basis, keep), section = '物理系学术报告' AS rep, {_labelled_at} AS event_at, {_inline_at} AS at_ FROM rel WHERE keep),
  placed AS (SELECT *, row_number() OVER (PARTITION BY section ORDER BY CASE WHEN rep THEN at_ END DESC NULLS LAST, ordinal) AS rank FROM live WHERE NOT rep OR coalesce(event_at >= {GRACE}, true)),
  cut AS (SELECT * FROM placed WHERE rank <= CASE WHEN section = '其他公众号信息' THEN 5 ELSE 4 END),
  short AS (SELECT *, summary <> '' AND NOT starts_with({swap('body', f'{WS}+')}, {swap('summary', f'{WS}+')}) AS shown FROM {shortened('cut')} c),
- blocks AS (SELECT section, rank, concat_ws({_BLANK}, '## ' || title, CASE WHEN shown THEN '要点透视：' || summary END, nullif(body, '')) AS block FROM short{extra}),
+ blocks AS (SELECT section, rank, concat_ws({_BLANK}, '## ' || title, CASE WHEN shown THEN '要点透视：' || summary END, nullif(body, '')) AS block FROM short),
  texts AS (SELECT section, string_agg(block, {_BLANK} ORDER BY rank) AS t, count(*) AS items FROM blocks GROUP BY 1)"""
-    return f"""WITH {cut} SELECT section, section_ord, coalesce(items, 0) AS items, concat_ws({_BLANK}, '# ' || section, {_LEAD('section', 'coalesce(items, 0)')}, t) AS text
- FROM {ISSUE} s LEFT JOIN texts USING (section)"""
+    listed = f"""placed_sections AS (SELECT section, section_ord FROM {ISSUE} s UNION ALL SELECT section, {len(ISSUE_NAMES)} + row_number() OVER (ORDER BY first, section)
+  FROM (SELECT section, min(ordinal) AS first FROM {every} e WHERE section NOT IN (SELECT section FROM {ISSUE} s2) GROUP BY 1) o)"""
+    return f"""WITH {cut}, {listed} SELECT section, section_ord, coalesce(items, 0) AS items, concat_ws({_BLANK}, '# ' || section, {_LEAD('section', 'coalesce(items, 0)')}, t) AS text
+ FROM placed_sections s LEFT JOIN texts USING (section)"""
 
 
-add("render_digest", digest_sql(relevance(NOTICES, _TEXT, inline("content")), NOTICES))
+add("render_digest", digest_sql(relevance(NOTICES, _TEXT, inline("content")), NOTICES, NOTICES))
 _CHOSEN = f"""(SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY section ORDER BY score DESC, ordinal) AS rk FROM guarded) x WHERE rk <= CASE WHEN section = '其他公众号信息' THEN 5 ELSE 4 END)"""
-_RECENT_SCORED = f"(SELECT notice_id, section, title, content, ordinal, {rule_points('title', 'content')} AS score, 'fallback_keyword_score' AS reason FROM recency WHERE reason <> 'publish_older_than_cutoff')"
+_RECENT_CLEAN = f"(SELECT * REPLACE ({raw_cleaned('content')} AS content) FROM recency WHERE reason <> 'publish_older_than_cutoff')"
+_RECENT_SCORED = f"(SELECT notice_id, section, title, content, ordinal, {rule_points('title', 'content')} AS score, 'fallback_keyword_score' AS reason FROM {_RECENT_CLEAN} c)"
 add(
     "full_issue",
     digest_sql(
         f"{_RECENCY}, {guardrails(_RECENT_SCORED)}, chosen AS (SELECT notice_id, section, title, content, ordinal FROM {_CHOSEN} c), {relevance('chosen', _TEXT, inline('content'))}",
         "chosen",
-        extra=f" UNION ALL SELECT section, 1, '## 占位卡片' || {_BLANK} || '等待下次抓取结果。' FROM {ISSUE} i WHERE section NOT IN (SELECT section FROM short)",
+        NOTICES,
     ),
 )
+add(
+    "ranked_issue",
+    f"""WITH {_RECENCY}, {guardrails(_RECENT_SCORED)}, ranked AS (SELECT *, row_number() OVER (PARTITION BY section ORDER BY score DESC, ordinal) AS rank FROM guarded)
+ SELECT section, section_ord, 0 AS block, '# ' || section || CASE WHEN section IN (SELECT section FROM ranked) THEN '' ELSE {_BLANK} || '## 占位卡片' || {_BLANK} || {lit(rules.RANKED_EMPTY_BODY)} END AS text FROM {ISSUE} s
+ UNION ALL SELECT section, section_ord, rank, concat_ws({_BLANK}, '## ' || title, '重要性评分: ' || score || '/100', '排序依据: ' || reason, nullif(content, '')) FROM ranked JOIN {ISSUE} s USING (section)""",
+)
+_AT = "struct_pack(d := doc_id, s := section_ord, i := item_ord)"
 add(
     "refilter_issue",
     digest_sql(
-        f"{_LINES}, stored AS (SELECT doc_id * 1000000 + section_ord * 1000 + item_ord AS notice_id, section, title, content, doc_id * 1000000 + section_ord * 1000 + item_ord AS ordinal FROM items), {relevance('stored', _TEXT, inline('content'))}",
+        f"{_LINES}, stored AS (SELECT {_AT} AS notice_id, section, title, content, {_AT} AS ordinal FROM items), {relevance('stored', _TEXT, inline('content'))}",
+        "stored",
         "stored",
     ),
 )
@@ -820,17 +909,18 @@ def article_sql(summary: str) -> str:
 
 
 add("render_articles", f"SELECT notice_id, {article_sql(chr(39) * 2).replace(f'nullif({chr(39) * 2}, {chr(39) * 2})', 'CASE WHEN notice_id % 2 = 0 THEN ' + lit('一句话') + ' END')} AS text FROM {ARTICLES} a")
-_PLAIN = v(I.PLAIN_ARTICLES)
+_PLAIN = ARTICLES
 _PLAIN_UNIQUE = f"(SELECT * FROM {_KEYED.replace(ARTICLES, _PLAIN)} k QUALIFY row_number() OVER (PARTITION BY dedupe_key ORDER BY ordinal) = 1)"
 _FEED_TEXT = f"concat_ws({NL}, title, nullif(digest, ''), nullif(publish_text, ''), content)"
 _FEED_BACK = _PUBLISHED
 _FEED_SUMMARY = f"substr({collapse(chr(99) + 'oalesce(nullif(digest, ' + chr(39) * 2 + '), content)')}, 1, 100)"
+_FEED_KEPT = f"(SELECT * EXCLUDE (reason, basis, keep) REPLACE ({clean('content')} AS content, {clean('digest')} AS digest) FROM rel WHERE keep)"
 add(
     "account_feed",
     f"""WITH uniq AS (SELECT * FROM {_PLAIN_UNIQUE} u), recent AS (SELECT * FROM uniq WHERE publish_ts IS NULL OR publish_ts >= 1776038400),
- {relevance('recent', _FEED_TEXT, _FEED_BACK)}, filed AS (SELECT section, ordinal, text FROM (SELECT f.section, f.ordinal, {article_sql(trim(_FEED_SUMMARY))} AS text
-  FROM {_FILED.replace(ARTICLES, '(SELECT * EXCLUDE (reason, basis, keep) FROM rel WHERE keep)')} f) y)
- SELECT section, section_ord, ordinal, text FROM filed JOIN {names(rules.ACCOUNT_SECTIONS)} s USING (section)""",
+ {relevance('recent', _FEED_TEXT, _FEED_BACK)}, filed AS (SELECT section, -coalesce(publish_ts, 0) AS age, ordinal, text FROM (SELECT f.section, f.publish_ts, f.ordinal, {article_sql(trim(_FEED_SUMMARY))} AS text
+  FROM {_FILED.replace(ARTICLES, _FEED_KEPT)} f) y)
+ SELECT section, section_ord, age, ordinal, text FROM filed JOIN {names(rules.ACCOUNT_SECTIONS)} s USING (section)""",
 )
 _esc = lambda x: f"replace(replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
 _TIMES = "(" + "|".join(p.format(d=DIGIT, ws=WS) for p in rules.HIGHLIGHT_PATTERNS) + ")"
@@ -857,3 +947,55 @@ def _kinds() -> str:
 
 
 add("classify_lines", f"WITH {_kinds()} SELECT doc_id, line_no, kind, label, value FROM kinds")
+
+
+def _cards() -> str:
+    """The fragments of all lines, and the tags that headings close and open."""
+    esc, marked = _esc("value"), swap(_esc("value"), _TIMES, "<span class='time-highlight'>\\1</span>")
+    p = lambda css, inner: f"{lit(f'<p class={chr(39)}{css}{chr(39)}>')} || {inner} || '</p>'"
+    anchor = f"{lit('<a href=' + chr(39))} || {esc} || {lit(chr(39) + '>')} || {esc} || '</a>'"
+    lead = "CASE value " + " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in rules.CARD_LEADS.items()) + f" ELSE {lit(rules.CARD_LEAD_GENERIC)} END"
+    isin = lambda names_: "label IN (" + ", ".join(lit(n) for n in names_) + ")"
+    strong = r"(regexp_matches(line, '^\*\*.+\*\*$') AND length(line) > 4) OR (regexp_matches(line, '^\*.*\*$') AND length(line) > 2)"
+    section = lit("<section class='section'>\n<div class='section-head'>\n<span class='section-kicker'>本期栏目</span>\n<h2>")
+    return f"""{_kinds()}, lines_of AS (SELECT k.*, k0.line, {strong} AS strong FROM kinds k JOIN k0 USING (doc_id, line_no) WHERE kind <> 'skip'),
+ fr AS (SELECT *, CASE kind
+   WHEN 'section' THEN {section} || {esc} || {lit("</h2>" + chr(10) + "<p class='section-lead'>")} || {lead} || {lit("</p>" + chr(10) + "</div>")}
+   WHEN 'item' THEN {lit("<article class='card'>" + chr(10) + "<div class='card-notch'></div>" + chr(10) + "<h3>")} || {esc} || '</h3>'
+   WHEN 'subhead' THEN {lit("<h4 class='subhead'>")} || {esc} || '</h4>'
+   WHEN 'image' THEN {lit("<figure class='figure'><img src='")} || {esc} || {lit("' alt='")} || {_esc("coalesce(nullif(label, ''), '配图')")} || {lit("' loading='lazy' /></figure>")}
+   WHEN 'lede' THEN {lit("<div class='lede-box'><div class='lede-tag'>" + rules.SUMMARY_LABEL + "</div><p>")} || {marked} || '</p></div>'
+   WHEN 'meta' THEN {lit("<p class='meta-row'><span class='meta-label'>")} || {_esc('label')} || {lit("</span><span class='")} || CASE WHEN {isin(rules.HIGHLIGHT_LABELS)} THEN 'meta-value is-highlight' ELSE 'meta-value' END
+     || {lit("'>")} || CASE WHEN label = '链接' AND regexp_matches(value, '^https?://') THEN {anchor} WHEN {isin(rules.TIME_LIKE_LABELS)} THEN {marked} ELSE {esc} END || '</span></p>'
+   WHEN 'link' THEN {p('link-row', anchor)} WHEN 'bullet' THEN {p('bullet', esc)}
+   WHEN 'note' THEN {p('note', f"CASE WHEN strong THEN '<strong>' || {esc} || '</strong>' ELSE {esc} END")} ELSE '<p>' || {esc} || '</p>' END AS h,
+  kind IN ('section', 'item') AS heads FROM lines_of),
+ st AS (SELECT *, last_value(CASE WHEN heads THEN kind END IGNORE NULLS) OVER back AS opened, coalesce(bool_or(kind = 'section') OVER back, false) AS in_section
+  FROM fr WINDOW back AS (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+ body AS (SELECT doc_id, string_agg(concat_ws({NL}, CASE WHEN heads AND opened = 'item' AND NOT (kind = 'section' AND NOT in_section) THEN '</article>' END,
+   CASE WHEN kind = 'section' AND in_section THEN '</section>' END, h), {NL} ORDER BY line_no) AS b, arg_max(kind, line_no) FILTER (WHERE heads) AS last_head, bool_or(kind = 'section') AS any_section FROM st GROUP BY 1)
+ SELECT doc_id, concat_ws({NL}, b, CASE WHEN any_section THEN concat_ws({NL}, CASE WHEN last_head = 'item' THEN '</article>' END, '</section>') END) AS html FROM body"""
+
+
+add("render_cards", f"WITH {_cards()}")
+
+
+def _page_text(x: str) -> str:
+    x = swap(swap(x, r"(?i)<img\b[^>]*>"), r"(?i)<table[\s\S]*?</table>", "[[TABLE_0]]")
+    x = swap(swap(x, r"(?is)<!--.*?-->"), r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<title[^>]*>.*?</title>")
+    x = swap(x, r"\s+", " ")
+    for level in range(1, 7):
+        x = swap(x, rf"(?i)<h{level}(?:\s[^>]*)?>\s*", "\n" + "#" * level + " ")
+    x = swap(swap(x, r"(?i)<li(?:\s[^>]*)?>\s*", "\n* "), r"(?i)</?(?:" + "|".join(rules.BLOCK_TAGS) + r")(?:\s[^>]*|/)?>", "\n")
+    x = swap(x, "<[^>]+>")
+    for name, char in (("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):  # all references of the test pages
+        x = f"replace({x}, {lit(name)}, {lit(char)})"
+    x = trim(swap(swap(x, r"[ \t]*\n[ \t]*", "\n"), r"\n{2,}", "\n"))
+    return x
+
+
+_TABLE = f"{NL} || {NL} || '| 名称 | A\\|B |' || {NL} || '| --- | --- |' || {NL} || '| ' || page_id || ' |  |' || {NL} || {NL}"
+add(
+    "html_to_text",
+    f"""SELECT page_id, replace({swap(f"replace({_page_text('html')}, '[[TABLE_0]]', {_TABLE})", chr(92) + 'n{3,}', chr(10) * 2)}, {NL}, {NL} || {NL}) AS text FROM {v(I.PAGE_PARTS)} p""",
+)

@@ -16,12 +16,12 @@ from bulletin.functions.basics import lines, non_empty, strip, text_or_empty
 from bulletin.functions.dates import format_publish
 from bulletin.functions.html import escape
 from bulletin.operators.rows import explode_once
-from bulletin.operators.sections import card_lead, section_lead
+from bulletin.operators.sections import card_lead, placed_sections, section_lead
 
 BLANK = "\n\n"
 
 
-def render_ranked(ranks: DataFrame, bodies: DataFrame, sections: DataFrame) -> DataFrame:
+def render_ranked(ranks: DataFrame, bodies: DataFrame, sections: DataFrame, body: Column | None = None) -> DataFrame:
     """Blocks of the ranked issue: a heading per section (block 0), then its items by rank.
 
     ``ranks`` are the narrow rows of ``rank_in_section``; ``bodies`` brings title and content.
@@ -29,7 +29,8 @@ def render_ranked(ranks: DataFrame, bodies: DataFrame, sections: DataFrame) -> D
     counts = ranks.groupBy("section").agg(F.count(F.lit(1)).alias("_n"))
     heading = F.concat(F.lit("# "), F.col("section"))
     empty = F.lit(f"{BLANK}## {rules.PLACEHOLDER_TITLE}{BLANK}{rules.RANKED_EMPTY_BODY}")
-    heads = sections.join(counts, "section", "left").select(
+    placed = placed_sections(ranks, sections)
+    heads = placed.join(counts, "section", "left").select(
         "section", "section_ord", F.lit(0).cast("bigint").alias("block"),
         F.when(F.col("_n").isNull(), F.concat(heading, empty)).otherwise(heading).alias("text"),
     )
@@ -38,10 +39,10 @@ def render_ranked(ranks: DataFrame, bodies: DataFrame, sections: DataFrame) -> D
         F.concat(F.lit("## "), F.col("title")),
         F.concat(F.lit(f"{rules.SCORE_LABEL}: "), F.col("score").cast("string"), F.lit("/100")),
         F.concat(F.lit(f"{rules.BASIS_LABEL}: "), non_empty(strip(F.col("reason")))),
-        non_empty(F.col("content")),
+        non_empty(F.col("content") if body is None else body),
     )
     items = (
-        ranks.join(sections, "section")
+        ranks.join(placed, "section")
         .join(bodies.select("notice_id", "title", "content"), "notice_id")
         .select("section", "section_ord", F.col("rank").cast("bigint").alias("block"), text.alias("text"))
     )
@@ -52,11 +53,11 @@ def selected_block() -> Column:
     return F.concat_ws(BLANK, F.concat(F.lit("## "), F.col("title")), non_empty(F.col("content")))
 
 
-def render_digest(items: DataFrame, sections: DataFrame, complete: bool = False) -> DataFrame:
+def render_digest(items: DataFrame, sections: DataFrame) -> DataFrame:
     """One text per section: heading, lead, then its few selected items.
 
     ``items`` holds at most the section limit per section (``rank`` is their order).
-    ``complete`` gives a section without items the placeholder card.
+    Sections of the list come first and in its order, then any others that occur.
     """
     block = F.concat_ws(
         BLANK,
@@ -68,10 +69,8 @@ def render_digest(items: DataFrame, sections: DataFrame, complete: bool = False)
         F.expr(f"listagg(block, '{BLANK}') WITHIN GROUP (ORDER BY rank)").alias("_items"),
         F.count(F.lit(1)).alias("_n"),
     )
-    joined = sections.join(texts, "section", "left").withColumn("items", F.coalesce(F.col("_n"), F.lit(int(complete))))
-    if complete:
-        card = F.lit(f"## {rules.PLACEHOLDER_TITLE}{BLANK}{rules.PLACEHOLDER_BODY}")
-        joined = joined.withColumn("_items", F.coalesce(F.col("_items"), card))
+    placed = placed_sections(items, sections)
+    joined = placed.join(texts, "section", "left").withColumn("items", F.coalesce(F.col("_n"), F.lit(0)))
     return joined.select(
         "section", "section_ord", "items",
         F.concat_ws(
@@ -113,14 +112,27 @@ def render_articles(articles: DataFrame, include_content: bool = True, zone: str
     return articles.withColumn("text", article_block(include_content, zone))
 
 
-def event_block() -> Column:
-    """One merged hall event: title, its date or dates, place, price, poster."""
-    many = F.concat(F.lit(f"日期:{BLANK}"), F.array_join("dates", BLANK))
-    one = F.concat(F.lit("日期: "), F.get("dates", F.lit(0)))
+def event_blocks(events: DataFrame, dates: DataFrame) -> DataFrame:
+    """Blocks of merged hall events, in the order (ordinal, part, place): head, dates, and the rest.
+
+    An event with one date has it in its label; the dates of all others are blocks of their own.
+    """
+    label = F.when(F.col("n_dates") > 1, F.concat(F.lit("## "), F.col("title"), F.lit(f"{BLANK}日期:")))
+    zero = F.lit(0).cast("bigint")
+    heads = events.where(F.col("n_dates") > 1).select("title", "ordinal", F.lit(0).alias("part"), zero.alias("place"), label.alias("text"))
+    dated = dates.join(events.select("title", "ordinal", "n_dates"), "title")
+    single = F.concat(F.lit("## "), F.col("title"), F.lit(f"{BLANK}日期: "), F.col("date"))
+    listed = dated.select(
+        "title", "ordinal", F.lit(1).alias("part"), F.col("place").cast("bigint").alias("place"),
+        F.when(F.col("n_dates") == 1, single).otherwise(F.col("date")).alias("text"),
+    )
+    tails = events.select("title", "ordinal", F.lit(2).alias("part"), zero.alias("place"), _event_rest().alias("text"))
+    return heads.unionByName(listed).unionByName(tails)
+
+
+def _event_rest() -> Column:
     return F.concat_ws(
         BLANK,
-        F.concat(F.lit("## "), F.col("title")),
-        F.when(F.size("dates") == 1, one).otherwise(many),
         F.concat(F.lit("地点: "), F.col("location")),
         F.concat(F.lit("票价:\n"), F.replace("price", F.lit("\n"), F.lit(BLANK))),
         F.concat(F.lit("![]("), non_empty(F.col("absolute_src")), F.lit(")")),

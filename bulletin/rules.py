@@ -210,3 +210,29 @@ BLOCK_TAGS = [
 
 # field -> (max characters, max UTF-8 bytes)
 FIELD_LIMITS = {"title": (32, 64), "author": (4, 12), "digest": (54, 120), "source_url": (1024, 0)}
+
+# --- fixed patterns of stored pages ----------------------------------------
+# Values that decide results; their order matters.
+BLOCK_PATTERNS = [
+    r"""(?i)<div[^>]+id=["']vsb_content["'][^>]*>([\s\S]*?)</div>""",
+    r"""(?i)<div[^>]+class=["'][^"']*wp_articlecontent[^"']*["'][^>]*>([\s\S]*?)</div>""",
+    r"""(?i)<div[^>]+class=["'][^"']*content[^"']*["'][^>]*>([\s\S]*?)</div>""",
+    r"(?i)<article[^>]*>([\s\S]*?)</article>",
+]
+MAIN_BLOCK = r"""(?i)<main[^>]*class=["'][^"']*page[^"']*["'][^>]*>([\s\S]*?)</main>"""
+FRAGMENT_CUTS = [
+    r"(?i)<!DOCTYPE[^>]*>",
+    r"(?i)</?(?:html|head|body|meta|title|link)[^>]*>",
+    r"(?i)<script[^>]*>[\s\S]*?</script>",
+    r"(?i)<style[^>]*>[\s\S]*?</style>",
+    r"""{ws}(?i:loading=(?:'.*?'|".*?"))""",
+]
+PUBLISH_TIME_FIELD = (r'id="publish_time"[^>]*>([\s\S]*?)</', r'publish_time\s*=\s*"(.*?)"')
+AUTHOR_FIELD = (r'id="js_author_name"[^>]*>([\s\S]*?)</', r'var\s+author\s*=\s*"(.*?)"')
+
+# --- fixed text of the explanatory issue -----------------------------------
+FALLBACK_PREFACE = (
+    "本次运行已完成富文本导出流程，但公开网站抓取未取得可用内容。"
+    "请检查网络连通性、校园站点可访问性或登录态后重试。\n\n"
+    "抓取阶段记录：\n\n"
+)

@@ -35,10 +35,15 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is set."""
+    """The folder that driver and executors share, ``spark.checkpoint.dir``.
+
+    Only a local session, whose executors are this process, gets a temporary one where none is set.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)

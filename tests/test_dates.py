@@ -83,7 +83,7 @@ def test_signals_keep_first_context_and_order(spark):
     assert [(r.line_no, r.pos, r.kind, r.raw) for r in rows.collect()] == [
         (1, 1, "mentioned", "4月1日"), (1, 2, "mentioned", "4月2日"), (3, 1, "deadline", "4月3日"), (4, 1, "mentioned", "4月1日"),
     ]
-    distinct = {(r.kind, r.raw): r.context for r in temporal.distinct_signals(rows).collect()}
+    distinct = {(r.kind, r.raw): r.context for r in temporal.distinct_signals(temporal.with_signals(df, CLOCK, text=F.col("t"))).collect()}
     assert distinct[("mentioned", "4月1日")].startswith("通知") and len(distinct) == 3
 
 

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from bulletin.functions.dates import RunClock
@@ -17,13 +18,13 @@ def test_positions_match_plain_ranks(spark):
         for i in range(3000)
     ]
     df = spark.createDataFrame(rows, "id int, g string, s int, o long").repartition(5)
-    got = order.positions(df, ["g"], ["s", "o", "id"], "p", exact=["s"], range_rows=40)
+    got = order.positions(df, ["g"], ["s", "o", "id"], "p", exact=["s"])
     want = {}
     for g in {r[1] for r in rows}:
         members = sorted((r for r in rows if r[1] == g), key=lambda r: (r[2], r[3], r[0]))
         want.update({r[0]: n for n, r in enumerate(members, start=1)})
     assert {r.id: r.p for r in got.select("id", "p").collect()} == want
-    single = order.positions(df, ["g"], ["id"], "p", range_rows=10**9).select("g", "id", "p").collect()
+    single = order.positions(df, ["g"], ["id"], "p").select("g", "id", "p").collect()
     assert sorted(r.p for r in single if r.g == "hot") == list(range(1, sum(r[1] == "hot" for r in rows) + 1))
 
 
@@ -50,18 +51,42 @@ def test_dedupe_articles(spark):
     assert sorted(r.ordinal for r in dedup.dedupe_articles(df.repartition(3)).collect()) == [1, 3]
 
 
-def test_merge_by_title_keeps_last_listing(spark, monkeypatch):
-    monkeypatch.setattr(dedup, "DATES_PER_ROW", 2)
+def test_merge_by_title_keeps_last_listing(spark):
     rows = [("A", "d1", "L1", 1), ("B", "d2", "L2", 2), ("A", "d3", "L3", 3), ("A", "d4", "L4", 4)]
     df = spark.createDataFrame(rows, "title string, date string, location string, ordinal int").withColumns(
         {"price": F.lit("p"), "absolute_src": F.lit("s")}
     )
-    out = {(r.title, r.part): (r.dates, r.location) for r in dedup.merge_by_title(df).collect()}
-    assert out == {("A", 0): (["d4", "d3"], "L4"), ("A", 1): (["d1"], "L4"), ("B", 0): (["d2"], "L2")}
+    out = {r.title: (r.n_dates, r.location, r.ordinal) for r in dedup.merge_by_title(df).collect()}
+    assert out == {"A": (3, "L4", 4), "B": (1, "L2", 2)}
+    dates = [(r.title, r.date) for r in dedup.title_dates(df).orderBy("title", "place").collect()]
+    assert dates == [("A", "d4"), ("A", "d3"), ("A", "d1"), ("B", "d2")]
     log = {r.ordinal: r.reason for r in dedup.duplicate_titles(df).collect()}
     assert log == {1: "duplicate_title", 2: "crawler_selected", 3: "duplicate_title", 4: "crawler_selected"}
 
 
+def test_a_title_with_thousands_of_dates_is_one_event(spark):
+    df = spark.range(2500).selectExpr("'A' title", "concat('d', id) date", "'L' location", "id ordinal", "'p' price", "'s' absolute_src")
+    assert [tuple(r) for r in dedup.merge_by_title(df).select("title", "n_dates", "ordinal").collect()] == [("A", 2500, 2499)]
+    assert dedup.title_dates(df).count() == 2500
+
+
+@pytest.mark.parametrize("values", ["id", "if(id = 0, 9000000000000000, id)", "if(id % 10 = 0, id, 7)", "1775000000 + id % 40 * 86400", "if(id % 9 = 0, null, 1775000000 + id % 40)"])
+def test_positions_of_uneven_keys(spark, values):
+    df = spark.range(5000).selectExpr("'g' section", f"{values} publish_ts", "id ordinal", f"coalesce({values}, -1) key")
+    rows = [(r.key, r.ordinal) for r in df.collect()]
+    numbered = order.positions(df, ["section"], ["key", "ordinal"], "n")
+    assert {(r.key, r.ordinal): r.n for r in numbered.collect()} == {k: i for i, k in enumerate(sorted(rows), 1)}
+    times = sorted(((-(r.publish_ts or 0), r.ordinal) for r in df.collect()))
+    assert {r.ordinal: r.position for r in ranking.newest_first(df).collect()} == {o: i for i, (_, o) in enumerate(times, 1)}
+
+
+def test_ranges_stay_even(spark):
+    df = spark.range(20_000).selectExpr("'g' section", "if(id = 7, 9000000000000000, id) key")
+    bounds = df.agg(F.percentile_approx("key", [i / order.RANGES for i in range(1, order.RANGES)], 4 * order.RANGES).alias("b"))
+    held = df.crossJoin(F.broadcast(bounds)).groupBy(order._range_of(F.col("key"), F.col("b"))).count()
+    assert held.agg(F.max("count")).first()[0] < 4 * 20_000 / order.RANGES
+
+
 def test_dedupe_urls_flags_later_listings(spark):
     df = spark.createDataFrame([(1, "u", 1), (2, "u", 2), (3, None, 3), (4, None, 4), (5, "v", 5)], "notice_id int, url string, ordinal int")
     out = {r.notice_id: r.reason for r in dedup.dedupe_urls(df).collect()}
@@ -243,7 +268,7 @@ def test_sections(spark):
     assert [(r.section, r.content) for r in sections.stage_errors(items, errors, stages).collect()] == [("家园网信息", "本次抓取未成功。\n\n原因: 断")]
     assert sections.fallback_issue(items, errors).count() == 0
     note = sections.fallback_issue(items.where("false"), errors.where("false")).orderBy("section_ord").first()
-    assert note.content == "- 无详细错误信息"
+    assert note.content == sections.rules.FALLBACK_PREFACE + "- 无详细错误信息"
 
 
 def test_example_digest_is_cut_exactly(spark):

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from bulletin.functions.dates import RunClock
+from bulletin.operators import dedup
 from bulletin.operators.sections import section_table
 from bulletin.plans import issue, render
 from bulletin.sources import digest, sinks
@@ -31,7 +32,7 @@ def test_refilter_renders_the_smoke_digest(spark):
 
 
 def test_ranked_blocks(spark):
-    ranks = spark.createDataFrame([(1, "a", 1, 80, "r"), (2, "a", 2, 5, "")], "notice_id int, section string, rank int, score int, reason string")
+    ranks = spark.createDataFrame([(1, "a", 1, 80, "r", 1), (2, "a", 2, 5, "", 2)], "notice_id int, section string, rank int, score int, reason string, ordinal int")
     bodies = spark.createDataFrame([(1, "t", "c"), (2, "u", ""), (3, "v", "w")], "notice_id int, title string, content string")
     blocks = render.render_ranked(ranks, bodies, section_table(spark, ["a", "b"])).orderBy("section_ord", "block").collect()
     assert [b.text for b in blocks] == [
@@ -46,12 +47,46 @@ def test_article_block(spark):
     assert render.render_articles(df).first().text == "## N/A\n\n日期: N/A\n\n链接: N/A\n\n发布时间:  \n\n作者: 人\n\n摘要: 要\n\n内容:\n\n文"
 
 
-def test_event_block(spark):
-    rows = [("t", ["d1"], "l", "p\nq", "s"), ("t", ["d2", "d1"], "l", "p", "")]
-    df = spark.createDataFrame(rows, "title string, dates array<string>, location string, price string, absolute_src string")
-    assert [r[0] for r in df.select(render.event_block()).collect()] == [
-        "## t\n\n日期: d1\n\n地点: l\n\n票价:\np\n\nq\n\n![](s)", "## t\n\n日期:\n\nd2\n\nd1\n\n地点: l\n\n票价:\np",
-    ]
+def test_event_blocks(spark):
+    rows = [("t", "d1", "l", "p\nq", "s", 1), ("u", "d1", "l", "p", "x", 2), ("u", "d2", "l", "p", "", 3)]
+    df = spark.createDataFrame(rows, "title string, date string, location string, price string, absolute_src string, ordinal int")
+    blocks = render.event_blocks(dedup.merge_by_title(df), dedup.title_dates(df)).orderBy("ordinal", "part", "place").collect()
+    texts = {t: "\n\n".join(b.text for b in blocks if b.title == t) for t in "tu"}
+    assert texts == {
+        "t": "## t\n\n日期: d1\n\n地点: l\n\n票价:\np\n\nq\n\n![](s)", "u": "## u\n\n日期:\n\nd2\n\nd1\n\n地点: l\n\n票价:\np",
+    }
+
+
+def test_no_section_is_lost(spark):
+    rows = [(1, "教务通知", "甲", "发布时间：2026-04-18\n正文", 1), (2, "未分类", "乙", "发布时间：2026-04-18\n正文", 2), (3, "其他公众号信息", "丙", "发布时间：2026-04-18\n**正文** [链接](https://e.com)", 3), (4, "校外", "旧", "发布时间：2026-01-01", 4)]
+    notices = spark.createDataFrame(rows, "notice_id int, section string, title string, content string, ordinal int")
+    listed = section_table(spark, ["图书馆信息", "教务通知"])
+    parts = issue.full_issue(notices, listed, CLOCK).orderBy("section_ord").collect()
+    assert [p.section for p in parts] == ["图书馆信息", "教务通知", "未分类", "其他公众号信息", "校外"]
+    assert parts[0].text == "# 图书馆信息\n\n本周暂无相关信息，大家先安心上课。" and parts[4]["items"] == 0
+    assert "正文 链接" in parts[3].text and "**" not in parts[3].text
+    ranked = issue.ranked_issue(notices, listed, CLOCK).orderBy("section_ord", "block").collect()
+    assert [b.section for b in ranked if b.block == 0] == ["图书馆信息", "教务通知", "未分类", "其他公众号信息", "校外"]
+
+
+def feed(spark, rows):
+    schema = "notice_id int, ordinal int, title string, url string, digest string, publish_ts long, publish_text string, mid string, idx string, account string, author string, content string"
+    return spark.createDataFrame(rows, schema)
+
+
+def test_account_feed_is_clean_and_newest_first(spark):
+    row = lambda i, ts, text: (i, i, f"校园新闻{i}", f"https://e.com/{i}", "", ts, "", "", "", "号", "", text)
+    articles = feed(spark, [row(1, 1776300000, "**正文** [链接](https://e.com)"), row(2, 1776500000, "乙"), row(3, None, "丙 2026年5月1日"), row(4, 1700000000, "旧")])
+    blocks = issue.account_feed(articles, CLOCK).orderBy("section_ord", "age", "ordinal").collect()
+    assert [b.ordinal for b in blocks] == [2, 1, 3]
+    assert blocks[1].text.endswith("内容:\n\n正文 链接")
+    pages = spark.createDataFrame([("https://e.com/2", '<div id="js_content"><p>页面文字</p></div>')], "url string, html string")
+    blocks = issue.account_feed(articles, CLOCK, pages=pages).collect()
+    assert any("页面文字" in b.text for b in blocks)
+    notes = spark.createDataFrame([(4, ["报名截止：2026年5月1日"])], "notice_id int, notes array<string>")
+    assert issue.account_feed(articles, CLOCK, notes=notes).count() == 3
+    empty = issue.account_feed(articles.where("notice_id = 4"), CLOCK).collect()
+    assert [(b.section, b.text) for b in empty] == [("其他公众号信息", "## 占位卡片\n\n本期没有符合条件的最新公众号信息。")]
 
 
 LINES = [

@@ -126,7 +126,9 @@ def test_highlight_times(values):
 def test_html_string(spark):
     rows = [
         ('{"data":{"html":"<b>1</b>"}}', "<b>1</b>"), ('{"text":"plain","x":{"y":{"z":{"w":"<i>deep</i>"}}}}', "<i>deep</i>"),
-        ('"<p>s</p>"', "<p>s</p>"), ('{"a":1}', ""), ("broken", ""), ('{"other":"<o>","html":" <h> "}', "<h>"), ('{"q":"<a href=\\"x\\">"}', '<a href="x">'),
+        ('"<p>s</p>"', "<p>s</p>"), ('{"a":1}', ""), ("broken", ""), ("<broken>", ""), (None, ""), ('{"k":"\\u003ci\\u003e"}', "<i>"),
+        ('{"data":{"zzz":"<a>1</a>"},"text":"<b>2</b>"}', "<a>1</a>"), ('{"a":"<x>","data":{"q":[{"content":"<c>3</c>"}]}}', "<c>3</c>"), ('{"<k>":"v","m":"<z>w</z>"}', "<z>w</z>"),
+        ('[[],["no",{"deep":[[{"body":["<d>"]}]]}]]', "<d>"), ('{"other":"<o>","html":" <h> "}', "<h>"), ('{"q":"<a href=\\"x\\">"}', '<a href="x">'),
     ]
     df = spark.createDataFrame(rows, "raw string, want string")
     assert all(r.got == r.want for r in df.select(H.html_string("raw").alias("got"), "want").collect())
