@@ -138,7 +138,7 @@ class Page:
             if not gone:
                 self.tags.append(tag)
                 self.parents.append(stack[-1])
-            if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
+            if tag in VOID:
                 if not gone and tag in ("br", "td", "th"):
                     self.pieces.append((stack[-1], " "))
                 continue

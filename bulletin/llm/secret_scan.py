@@ -90,7 +90,9 @@ def default_samples(docs: DataFrame, sample_docs: int = 400, id_col: str = "doc_
     chosen = chosen.orderBy(F.xxhash64("_id", F.lit(3)), "_id", F.xxhash64("_t")).limit(sample_docs)
     digest = F.sha2(F.coalesce("_id", F.lit("")), 256)
     values = F.flatten(F.array(*[F.transform(s, lambda x: x["value"]) for s in base_spans(F.col("_t")).values()]))
-    made = F.concat(values, F.array(digest, F.regexp_replace(F.base64(F.unhex(digest)), r"\s", "")))
+    longer = F.sha2(F.concat(F.lit("x"), F.coalesce("_id", F.lit(""))), 512)
+    packed = [F.regexp_replace(F.base64(F.unhex(d)), r"\s", "") for d in (digest, longer)]
+    made = F.concat(values, F.array(digest, *packed))
     words = F.filter(F.regexp_extract_all("_t", F.lit("[A-Za-z]+"), F.lit(0)), lambda w: F.char_length(w).between(3, 19))
     pairs = lambda ws: F.transform(ws, lambda w, i: F.concat(w, F.lit("_"), F.coalesce(F.get(ws, i + 1), F.lit(""))))
     ordinary = let(words, lambda ws: F.concat(ws, pairs(ws)))
@@ -99,23 +101,29 @@ def default_samples(docs: DataFrame, sample_docs: int = 400, id_col: str = "doc_
     )
 
 
-def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
+def train(samples: DataFrame, weight: float = 10.0, floor: float = 0.01) -> list[float]:
     """Log-likelihood ratios of all transitions, row by row; characters outside ALPHABET are skipped.
 
-    `samples` has `text` and `random`; null texts and labels are left out. The driver gets
-    the counts of two tables of fixed size.
+    A transition's probability leans on how often its second character occurs at all, as
+    `weight` observations; of that, `floor` is spread evenly, so that a character which
+    neither class knows speaks for neither. `samples` has `text` and `random`; null texts
+    and labels are left out. The driver gets the counts of two tables of fixed size.
     """
     n = len(ALPHABET)
     rows = samples.filter("text is not null and random is not null and char_length(text) > 1")
     pair = F.explode(F.transform(F.sequence(F.lit(1), F.char_length("text") - 1), lambda i: F.substring("text", i, F.lit(2))))
     counted = rows.select("random", pair.alias("pair")).filter(F.col("pair").rlike(f"^[{RUN}]{{2}}$")).groupBy("random", "pair").count()
-    tables = {True: [[smoothing] * n for _ in range(n)], False: [[smoothing] * n for _ in range(n)]}
+    tables = {random: [[0.0] * n for _ in range(n)] for random in (True, False)}
     for random, pair, count in counted.collect():
         tables[random][ALPHABET.index(pair[0])][ALPHABET.index(pair[1])] += count
-    ratio = []
-    for random, ordinary in zip(tables[True], tables[False], strict=True):
-        ratio += [math.log(x / sum(random)) - math.log(y / sum(ordinary)) for x, y in zip(random, ordinary, strict=True)]
-    return ratio
+
+    def probabilities(table: list[list[float]]) -> list[float]:
+        seen = [sum(row[b] for row in table) for b in range(n)]
+        total = sum(seen)
+        own = [(1 - floor) * (x / total if total else 1 / n) + floor / n for x in seen]
+        return [(row[b] + weight * own[b]) / (sum(row) + weight) for row in table for b in range(n)]
+
+    return [math.log(x / y) for x, y in zip(probabilities(tables[True]), probabilities(tables[False]), strict=True)]
 
 
 def ratio_of(text: Column, model: list[float]) -> Column:

@@ -86,8 +86,9 @@ def shard(docs: DataFrame, max_bytes: int = 64 << 20, id_col: str = "doc_id", te
     slots = leaves.withColumn("_first", F.when(coarse > 0, F.expr(f"shiftright(prefix, depth - {slot_depth})")).otherwise(F.expr(f"shiftleft(prefix, {slot_depth} - depth)")))
     slots = slots.withColumn("_last", F.when(coarse > 0, F.col("_first")).otherwise(F.col("_first") + F.expr(f"shiftleft(1L, {slot_depth} - depth)") - 1))
     slots = settle(slots.select("*", F.explode(F.sequence("_first", "_last")).alias("_slot")).drop("_first", "_last"), "shard-slots")
+    slots = slots.withColumnsRenamed({"depth": "_depth", "prefix": "_prefix", "pages": "_pages"})
     rows = keyed.withColumn("_slot", F.expr(f"shiftright(_key, {HASH_BITS - slot_depth})"))
-    found = rows.join(slots, (rows["_slot"] == slots["_slot"]) & (F.expr(f"shiftright(_key, cast({HASH_BITS} - depth as int))") == slots["prefix"]))
-    bits = F.when(F.col("depth") == 0, F.lit("")).otherwise(F.lpad(F.bin("prefix"), F.col("depth"), F.lit("0")))
-    page = F.when(F.col("pages") > 1, F.concat(F.lit("+"), F.pmod(F.monotonically_increasing_id(), F.col("pages")).cast("string"))).otherwise("")
+    found = rows.join(slots, (rows["_slot"] == slots["_slot"]) & (F.expr(f"shiftright(_key, cast({HASH_BITS} - _depth as int))") == slots["_prefix"]))
+    bits = F.when(F.col("_depth") == 0, F.lit("")).otherwise(F.lpad(F.bin("_prefix"), F.col("_depth"), F.lit("0")))
+    page = F.when(F.col("_pages") > 1, F.concat(F.lit("+"), F.pmod(F.monotonically_increasing_id(), F.col("_pages")).cast("string"))).otherwise("")
     return found.select(*[docs[n] for n in names], F.concat(bits, page).alias("shard"), "shard_bytes", "shard_docs")
