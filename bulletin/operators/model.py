@@ -225,6 +225,9 @@ def gated_clean(items: DataFrame, responses: DataFrame) -> DataFrame:
 def model_call(requests: DataFrame, call: Callable[[list[str]], list[str | None]], key: str, attempts: int = 2) -> DataFrame:
     """Run the user's batch function over ``prompt``; failed or empty replies are retried once, then NULL.
 
+    ``error`` keeps what the last attempt of a failed batch raised, so a provider that is
+    down does not look like one that said nothing.
+
     Write the result as a table before using it twice: a lost executor must not repeat calls.
     """
     key_type = dict(requests.dtypes)[key]
@@ -232,17 +235,21 @@ def model_call(requests: DataFrame, call: Callable[[list[str]], list[str | None]
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             replies: list[str | None] = [None] * len(batch)
+            errors: list[str | None] = [None] * len(batch)
             pending = list(range(len(batch)))
             for _ in range(attempts):
                 if not pending:
                     break
                 try:
                     answers = call([batch["prompt"].iloc[i] for i in pending])
-                except Exception:  # a failing provider counts as "no reply"
+                except Exception as problem:  # a failing provider counts as "no reply"
+                    for i in pending:
+                        errors[i] = f"{type(problem).__name__}: {problem}"
                     continue
                 for i, answer in zip(pending, answers):
-                    replies[i] = answer or None
+                    replies[i], errors[i] = answer or None, None
                 pending = [i for i in pending if replies[i] is None]
-            yield pd.DataFrame({key: batch[key], "raw": pd.Series(replies, dtype="object", index=batch.index)})
+            texts = {name: pd.Series(values, dtype="object", index=batch.index) for name, values in (("raw", replies), ("error", errors))}
+            yield pd.DataFrame({key: batch[key], **texts})
 
-    return requests.select(key, "prompt").mapInPandas(run, f"{key} {key_type}, raw string")
+    return requests.select(key, "prompt").mapInPandas(run, f"{key} {key_type}, raw string, error string")

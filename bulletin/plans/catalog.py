@@ -887,7 +887,7 @@ def _keyword_answer(prompts: list[str]) -> list[str | None]:
 @on(I.NOTICES)
 def model_call(notices: DataFrame) -> DataFrame:
     requests = notices.select("notice_id", F.concat(F.lit("标题: "), "title", F.lit("\n"), F.col("content")).alias("prompt"))
-    return model.decision_responses(model.model_call(requests, _keyword_answer, "notice_id"))
+    return model.decision_responses(model.model_call(requests, _keyword_answer, "notice_id").drop("error"))
 
 
 # --- rendering ---------------------------------------------------------------

@@ -239,7 +239,8 @@ def test_model_call_retries_then_gives_up(spark):
     df = spark.createDataFrame([(1, "yes"), (2, "silent"), (3, "no")], "notice_id int, prompt string").coalesce(1)
     assert {r.notice_id: r.raw for r in model.model_call(df, flaky, "notice_id").collect()} == {1: "YES", 2: None, 3: "NO"}
     failing = spark.createDataFrame([(1, "boom")], "notice_id int, prompt string")
-    assert model.model_call(failing, flaky, "notice_id").first().raw is None
+    lost = model.model_call(failing, flaky, "notice_id").first()
+    assert lost.raw is None and lost.error == "RuntimeError: provider down"
 
 
 def test_gated_clean(spark):
