@@ -37,7 +37,7 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def parts(offsets: np.ndarray, weight: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def parts(offsets: np.ndarray, weight: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of values of about `weight` bytes, one value at least."""
     lo = 0
     while lo < len(offsets) - 1:
