@@ -87,7 +87,11 @@ def default_samples(docs: DataFrame, sample_docs: int = 400, id_col: str = "doc_
     base 64. Ordinary: their words, and pairs of words joined as in identifiers.
     """
     chosen = docs.select(F.col(id_col).cast("string").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
-    chosen = chosen.orderBy(F.xxhash64("_id", F.lit(3)), "_id", F.xxhash64("_t")).limit(sample_docs)
+    # A cut on the lot first, so that a task hands on few of its rows whatever their number.
+    lots = 1_000_003
+    share = min(1.0, 8 * sample_docs / max(docs.count(), 1))
+    chosen = chosen.withColumn("_lot", F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(lots))).filter(F.col("_lot") <= share * lots)
+    chosen = chosen.orderBy("_lot", "_id", F.xxhash64("_t")).limit(sample_docs)
     digest = F.sha2(F.coalesce("_id", F.lit("")), 256)
     values = F.flatten(F.array(*[F.transform(s, lambda x: x["value"]) for s in base_spans(F.col("_t")).values()]))
     longer = F.sha2(F.concat(F.lit("x"), F.coalesce("_id", F.lit(""))), 512)
