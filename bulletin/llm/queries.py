@@ -157,26 +157,3 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes, {_BASE32} AS payload_dige
   CASE WHEN page_id <> max(page_id) OVER w THEN max(page_id) OVER w END AS refers_to
 FROM p WINDOW w AS (PARTITION BY html)
 """
-
-ORACLES["op1_repeats"] = """
-WITH d AS (
-  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
-), b AS (
-  SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS x, substr(h, 2 * i + 1, 100) AS k FROM d, unnest(range(0, length(h) // 2)) AS t(i)
-), f AS (
-  SELECT k, min(doc_id) AS first FROM b WHERE length(k) = 100 GROUP BY 1
-), s AS (
-  SELECT b.doc_id, b.i, b.x, coalesce(f.first < b.doc_id, false) AS again FROM b LEFT JOIN f USING (k)
-), c AS (
-  SELECT doc_id, i, x, coalesce(max(CASE WHEN again THEN i END) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) > i - 50, false) AS gone FROM s
-), e AS (
-  SELECT *, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY i) AS opens FROM c
-), r AS (
-  SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
-    coalesce(string_agg(x, '' ORDER BY i) FILTER (WHERE NOT gone), '') AS kept
-  FROM e GROUP BY 1
-)
-SELECT d.doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
-FROM d LEFT JOIN r USING (doc_id)
-"""
