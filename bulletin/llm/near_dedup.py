@@ -11,9 +11,10 @@ its number of shingles rather than that times the places.
 Signatures are banded. Exact copies are one text from the start. In a bucket every text is
 held against the bucket's best-connected text, then all that is in another class against
 the best of the others, and what still crosses classes once more within the texts that
-share a second band. So candidates grow with the members of buckets, not with their pairs.
-All of them are verified by exact multiset overlap, and verified links are joined to
-classes.
+share a second band. These rounds only save work: whatever bucket holds several classes
+after them, its members are held against each other exactly, by a join on the rarest
+shingles of every text that no pair at the threshold can do without. All candidates are
+verified by exact multiset overlap, and verified links are joined to classes.
 """
 
 from __future__ import annotations
@@ -32,6 +33,10 @@ from bulletin.llm.shingling import BASE, U64, mix, shingle_bags
 _G1, _G2, _G3 = U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB)
 
 
+#: Counts that order shingles by rarity are kept for so many leading bits of their hash.
+SLOT_BITS = 18
+
+
 def _times(n: int, factor: np.uint64) -> np.uint64:
     return U64(n * int(factor) & (2**64 - 1))
 
@@ -189,6 +194,79 @@ def _meeting(open_: DataFrame, texts: DataFrame) -> DataFrame:
     return each.join(crossed, "meet").filter("label <> _lead.label").select(F.col("_lead.tid").alias("leader"), "tid")
 
 
+def _spread(size: int):
+    """How many texts hold a shingle of each slot, per task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in batches:
+            for _, _, _, value, _ in shingle_bags(batch.column("text"), size):
+                counts += np.bincount((value >> U64(64 - SLOT_BITS)).astype(np.int64), minlength=len(counts))
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["slot", "n"])
+
+    return run
+
+
+def _rarest(size: int, similarity: float, shared):
+    """The first shingles of every text, rare ones before common ones: `num, class, token, rest, total`.
+
+    `rest` is the weight of the text from that shingle on. A shingle is left out once the
+    rest is too light for an overlap at `similarity`.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rarity = shared.value
+        for batch in batches:
+            for lo, hi, owner, value, times in shingle_bags(batch.column("text"), size):
+                order = np.lexsort((value, rarity[(value >> U64(64 - SLOT_BITS)).astype(np.int64)], owner))
+                value, times = value[order], times[order]
+                total = np.bincount(owner, weights=times, minlength=hi - lo).astype(np.int64)
+                ahead = np.cumsum(times) - times
+                rest = total[owner] - (ahead - (np.cumsum(total) - total)[owner])
+                at = np.flatnonzero(rest >= similarity * total[owner] - 1e-6)
+                rows = pa.array(owner[at])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("num").slice(lo, hi - lo).take(rows), batch.column("class").slice(lo, hi - lo).take(rows),
+                        pa.array(value[at].view(np.int64)), pa.array(rest[at]), pa.array(total[owner[at]]),
+                    ],
+                    ["num", "class", "token", "rest", "total"],
+                )
+
+    return run
+
+
+def _completion(open_: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
+    """All pairs of texts of different classes in `open_` that can reach `similarity`: none that does is left out.
+
+    Shingles have one order, the rare ones first (by counts of a table of fixed size; any
+    order is right). The overlap of two texts is at most what either has from their first
+    common shingle on, so at that shingle both rests are `similarity / (1 + similarity)` of
+    the two totals or more. Texts that share only a common passage differ in all shingles
+    before it and do not meet.
+    """
+    spark = open_.sparkSession
+    known = settle(open_.select("tid", "label").distinct().withColumn("num", F.monotonically_increasing_id()), "near-numbers")
+    classes = known.groupBy("label").agg(F.min("num").alias("class"))
+    laid = settle(known.join(classes, "label").join(texts, "tid").select("num", "class", "text"), "near-open-texts")
+    table = laid.mapInArrow(_spread(size), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    rarity = np.zeros(1 << SLOT_BITS, np.int64)
+    rarity[table["slot"].to_numpy()] = table["n"].to_numpy()
+    shared = spark.sparkContext.broadcast(rarity)
+    first = settle(laid.mapInArrow(_rarest(size, similarity, shared), "num long, class long, token long, rest long, total long"), "near-rarest")
+    crossed = first.groupBy("token").agg(F.min("class").alias("_lo"), F.max("class").alias("_hi")).filter("_lo <> _hi").select("token")
+    first = settle(first.join(crossed, "token", "left_semi"), "near-crossing")
+    a = first.select("token", *[F.col(c).alias(f"_{c}") for c in ("num", "class", "rest", "total")])
+    share = similarity / (1 + similarity)
+    meet = a.join(first, "token").filter(
+        f"_num < num and _class <> class and least(_rest, rest) >= {share!r} * (_total + total) - 1e-6"
+    )
+    pairs = meet.select("_num", "num").distinct()
+    left = known.select(F.col("num").alias("_num"), F.col("tid").alias("leader"))
+    return pairs.join(left, "_num").join(known.select("num", "tid"), "num").select("leader", "tid")
+
+
 def near_duplicates(
     docs: DataFrame, similarity: float = 0.8, size: int = 5, bands: int = 24, rows: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -217,12 +295,19 @@ def near_duplicates(
     pairs = inside.join(best, ["band", "key"]).select(F.col("_lead.tid").alias("leader"), "tid").filter("leader <> tid").distinct()
     done = settle(pairs, "near-pairs")
     links = settle(verified(done, fetched, similarity, size), "near-links")
-    for narrow in (False, True):
+    for step in ("second", "meeting", "completion"):
         labels = components(links.select(F.col("leader").alias("a"), F.col("tid").alias("b")))
         classed = inside.join(labels, "tid", "left").withColumn("label", F.coalesce("label", "tid"))
         split = classed.groupBy("band", "key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo <> _hi").select("band", "key")
         open_ = settle(classed.join(split, ["band", "key"]), "near-open")
-        pairs = _meeting(open_, texts) if narrow else _second_best(open_)
+        if step == "second":
+            pairs = _second_best(open_)
+        elif step == "meeting":
+            pairs = _meeting(open_, texts)
+        elif open_.isEmpty():
+            break
+        else:
+            pairs = _completion(open_, fetched, similarity, size)
         known = done.unionByName(done.select(F.col("tid").alias("leader"), F.col("leader").alias("tid")))
         pairs = settle(pairs.distinct().join(known, ["leader", "tid"], "left_anti"), "near-pairs")
         done = done.unionByName(pairs)

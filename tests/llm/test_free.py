@@ -246,6 +246,20 @@ def test_near_duplicate_classes_against_all_pairs(spark):
     assert left.columns == ["doc_id", "text", "tid"] and left.count() == len(classes)
 
 
+def test_links_inside_a_template_family_just_under_the_threshold(spark):
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(6))
+    template, texts = [word() for _ in range(260)], []
+    for _ in range(150):
+        own = [word() for _ in range(36)]
+        texts += [" ".join(template + own), " ".join(template + own[:8] + [word() for _ in range(24)] + own[32:])]
+    bags = [bag(t) for t in texts]
+    assert all(jaccard(bags[2 * i], bags[2 * i + 1]) >= 0.8 for i in range(150))
+    assert all(0.74 < jaccard(bags[i], bags[j]) < 0.8 for i in range(300) for j in range(i) if i // 2 != j // 2)
+    got = near_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.class_id, r.class_size) for r in got} == {i: (i - i % 2, 2) for i in range(300)}
+
+
 def test_bag_signatures_estimate_weighted_jaccard():
     import pyarrow as pa
 
