@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][^\s/>]*)((?>\"[^\"]{0,65536}\"|'[^']{0,65536}'|[^'\">])*+)>"
-    r"|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)",
+    r"|<(/?)([A-Za-z][^\s/>]*)",
     re.S,
 )
+STOP = re.compile("[\"'>]")
 ATTRIBUTE = re.compile(r"""([A-Za-z][\w:-]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 MARK = re.compile(r"[a-z]+|\d+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -87,8 +87,31 @@ class Page:
     def __init__(self, html: str) -> None:
         self.tags, self.parents, self.ends = ["#page"], [0], [0]
         self.pieces: list[tuple[int, str | None]] = []
+        self.unclosed: set[int | str] = set()
         self._read(html)
 
+    def _attributes(self, html: str, at: int) -> tuple[str, int]:
+        """The attributes of a tag whose name ends at `at`, and its end. With an unclosed quote it ends at the first `>`.
+
+        Places and quotes from which no end was found are remembered, which keeps the scan linear.
+        """
+        here, seen = at, []
+        while here not in self.unclosed:
+            seen.append(here)
+            found = STOP.search(html, here)
+            if not found:
+                break
+            if found[0] == ">":
+                return html[at : found.start()], found.end()
+            close = -1 if found[0] in self.unclosed else html.find(found[0], found.end())
+            if close < 0:
+                self.unclosed.add(found[0])
+                break
+            here = close + 1
+        self.unclosed.update(seen)
+        end = html.find(">", at)
+        return (html[at:end], end + 1) if end >= 0 else (html[at:], len(html))
+
     def _read(self, html: str) -> None:
         stack = [0]
         cut = 0  # stack height at which a cut began
@@ -103,13 +126,14 @@ class Page:
             at = end
             if not found:
                 break
-            tag = found[2] or found[5]
+            tag = found[2]
             if not tag:
                 if found[0].startswith("<![CDATA[") and not cut:
                     self.pieces.append((stack[-1], found[0][9:].removesuffix("]]>")))
                 continue
             tag = tag.lower()
-            if found[1] or found[4]:
+            attributes, at = self._attributes(html, at)
+            if found[1]:
                 depth = len(names) - 1
                 while depth and names[depth] != tag:
                     depth -= 1
@@ -121,7 +145,6 @@ class Page:
                 if tag in BLOCKS and not cut:
                     self.pieces.append((stack[-1], None))
                 continue
-            attributes = found[3] or found[6] or ""
             closes, bars = ENDS.get(tag, ((), ()))
             while closes:
                 depth = len(names) - 1

@@ -183,6 +183,15 @@ def test_density_finds_the_story_without_marks():
     assert "link 3" not in text and "next" not in text
 
 
+@pytest.mark.parametrize("size", [10, 70_000])
+def test_long_attribute_values_stay_in_their_tag(size):
+    value = "{\"a\": \"</div><p>x > y\"}" + "z" * size
+    story = "The council met on Monday and agreed on the new plan for the harbour. " * 5
+    html = f"<body><div><div data-state='{value}'><p>{story}</p></div><p>{story}</p></div></body>"
+    assert html_density.main_text(html) == "\n\n".join([story.strip()] * 2)
+    assert html_density.main_text(f'<p class="open>{story}</p>') == story.strip()
+
+
 def test_extract_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<article>é</article>", "old"), (1, "u", None, None)], "page_id long, url string, html string, text string")
     rows = html_density.extract(pages).select("page_id", "text", "n_chars").collect()
