@@ -5,8 +5,9 @@ characters and link tags. A node's density sum adds up its children's densities.
 with the largest sum is the heart of the content; the least density on its path to the
 body is the threshold. Every subtree that reaches the threshold gives its own largest-sum
 node as content, which keeps headings and sections beside the heart. Parts that mark
-themselves as menus, adverts, forms, comments and the like are cut before. Inside an
-<article> or <main> the whole element counts.
+themselves as menus, adverts, forms, comments and the like are cut before; a class or id
+does not cut a part that holds an <article> or <main> or most of the body's text outside
+links (unless it lies beside a <main> that has text). Inside an <article> or <main> the whole element counts.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ FURNITURE = frozenset(
     "comment comments disqus respond reply replies newsletter subscribe subscription social share sharing related recommended "
     "widget widgets toolbar pagination pager login signup search outbrain taboola".split()
 )
+#: What such a name says of the page does not make it furniture.
+LAYOUT = tuple(f"{word}{sign}" for word in ("no", "not", "has", "with", "without") for sign in "-_")
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 #: Opening one of these ends an open element of the second set, unless one of the third lies between.
 ENDS = {
@@ -63,7 +66,7 @@ ENDS = {
 
 
 def is_furniture(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is cut. `inside`: within an <article> or <main>, whose header holds the title."""
+    """Whether an element is cut whatever it holds. `inside`: within an <article> or <main>, whose header holds the title."""
     if tag in CUT:
         return True
     if tag == "header":
@@ -72,12 +75,20 @@ def is_furniture(tag: str, attributes: str, inside: bool) -> bool:
         return False
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
-        if name in ("class", "id"):
-            words = MARK.findall(value)
+        if name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
+            return True
+    return False
+
+
+def is_marked(tag: str, attributes: str, inside: bool) -> bool:
+    """Whether the class or id has a word of furniture; `no-`, `has-`, `with-` and the like only describe a layout."""
+    if not attributes or tag in ("html", "body", "article", "main"):
+        return False
+    for name, a, b, c in ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            words = [w for part in (a or b or c).lower().split() if not part.startswith(LAYOUT) for w in MARK.findall(part)]
             if not FURNITURE.isdisjoint(words) or ("header" in words and not inside and not tag[1:].isdigit()):
                 return True
-        elif name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
     return False
 
 
@@ -88,7 +99,42 @@ class Page:
         self.tags, self.parents, self.ends = ["#page"], [0], [0]
         self.pieces: list[tuple[int, str | None]] = []
         self.unclosed: set[int | str] = set()
+        self.marked: list[int] = []
         self._read(html)
+        self.pieces = [(node, text if text is None else unescape(text)) for node, text in self.pieces]
+        if self.marked:
+            self._drop_marked()
+
+    def _drop_marked(self) -> None:
+        """Cut the marked elements that hold neither an <article> or <main> nor most of the text outside links."""
+        n = len(self.tags)
+        plain, home, linked = [0] * n, [t in ("article", "main") for t in self.tags], [t == "a" for t in self.tags]
+        for i in range(1, n):
+            linked[i] = linked[i] or linked[self.parents[i]]
+        for node, text in self.pieces:
+            if text and not linked[node]:
+                plain[node] += len("".join(text.split()))
+        for i in range(n - 1, 0, -1):
+            up = self.parents[i]
+            plain[up] += plain[i]
+            home[up] = home[up] or home[i]
+        all_ = plain[self.tags.index("body") if "body" in self.tags else 0]
+        # Where a <main> has text, a marked part beside it is no story, however long.
+        stated = any(self.tags[i] == "main" and plain[i] for i in range(n))
+        within = [t == "main" for t in self.tags]
+        for i in range(1, n):
+            within[i] = within[i] or within[self.parents[i]]
+        gone = [False] * n
+        for i in self.marked:
+            gone[i] = not home[i] and (2 * plain[i] <= all_ or stated and not within[i])
+        number, kept = [0] * n, [0]
+        for i in range(1, n):
+            gone[i] = gone[i] or gone[self.parents[i]]
+            if not gone[i]:
+                number[i] = len(kept)
+                kept.append(i)
+        self.tags, self.parents = [self.tags[i] for i in kept], [number[self.parents[i]] for i in kept]
+        self.pieces = [(number[node], text) for node, text in self.pieces if not gone[node]]
 
     def _attributes(self, html: str, at: int) -> tuple[str, int]:
         """The attributes of a tag whose name ends at `at`, and its end. With an unclosed quote it ends at the first `>`.
@@ -161,6 +207,8 @@ class Page:
             if not gone:
                 self.tags.append(tag)
                 self.parents.append(stack[-1])
+                if is_marked(tag, attributes, home > 0):
+                    self.marked.append(len(self.tags) - 1)
             if tag in VOID:
                 if not gone and tag in ("br", "td", "th"):
                     self.pieces.append((stack[-1], " "))
@@ -188,7 +236,7 @@ class Page:
         linked = [False] * n
         for i in range(1, n):
             linked[i] = linked[self.parents[i]] or self.tags[i] == "a"
-        pieces = [(node, text if text is None else unescape(text)) for node, text in self.pieces]
+        pieces = self.pieces
         for node, text in pieces:
             if text:
                 size = len("".join(text.split()))

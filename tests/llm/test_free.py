@@ -183,6 +183,16 @@ def test_density_finds_the_story_without_marks():
     assert "link 3" not in text and "next" not in text
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    ['<div class="content no-sidebar">', '<div id="page" class="has-banner">', '<div class="layout with-nav">', '<section class="alert-news">', '<div class="related"><article>'],
+)
+def test_a_marked_wrapper_does_not_cut_the_story(wrapper):
+    story = "The council met on Monday and agreed on the new plan for the harbour. " * 5
+    html = f'<body><div class="menu">Menu <a href="/">home</a></div>{wrapper}<p>{story}</p><div class="share">Share this</div></body>'
+    assert html_density.main_text(html) == story.strip()
+
+
 @pytest.mark.parametrize("size", [10, 70_000])
 def test_long_attribute_values_stay_in_their_tag(size):
     value = "{\"a\": \"</div><p>x > y\"}" + "z" * size
