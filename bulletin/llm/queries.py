@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bulletin.llm import decontaminate, exact_dedup, html_density, language_id, mixing, near_dedup, repeats, secret_scan, sharding, warc
+from bulletin.llm import (
+    centroids, decontaminate, exact_dedup, fingerprints, html_density, language_id, lexical_search, mixing, near_dedup, repeats, secret_scan,
+    sharding, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -157,3 +160,83 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes, {_BASE32} AS payload_dige
   CASE WHEN page_id <> max(page_id) OVER w THEN max(page_id) OVER w END AS refers_to
 FROM p WINDOW w AS (PARTITION BY html)
 """
+
+
+@_query
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_search"] = r"""
+WITH terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), held AS (
+  SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL
+), docs AS (
+  SELECT doc_id, sum(tf)::BIGINT AS n FROM held GROUP BY ALL
+), corpus AS (
+  SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM docs
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM held, corpus WHERE term IN (SELECT term FROM asked) GROUP BY term
+), impacts AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))) AS impact
+  FROM held JOIN weights USING (term) JOIN docs USING (doc_id), corpus
+), scored AS (
+  SELECT item_id, doc_id, sum(impact)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY ALL
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
+
+@_query
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_neighbours(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def _rounds(rounds: int) -> str:
+    """Assignment and mean of every round, as common table expressions."""
+    out = []
+    for r in range(rounds + 1):
+        out.append(f"""pairs{r} AS (
+  SELECT p.vec_id, c.cluster, c.v AS center, p.v, list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS distance
+  FROM points p, centers{r} c
+), near{r} AS (
+  SELECT vec_id, v, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance FROM pairs{r} GROUP BY vec_id, v
+)""")
+        if r < rounds:
+            out.append(f"""means{r} AS (
+  SELECT cluster, list(mean ORDER BY place) AS v FROM (
+    SELECT cluster, place, floor(sum(x)::DOUBLE / count(*))::BIGINT AS mean
+    FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS place FROM near{r}) y GROUP BY ALL
+  ) x GROUP BY cluster
+), centers{r + 1} AS (
+  SELECT c.cluster, coalesce(m.v, c.v) AS v FROM centers{r} c LEFT JOIN means{r} m USING (cluster)
+)""")
+    return ", ".join(out)
+
+
+# The sums of the test tables are far below 2^53, so that a floor in doubles is exact.
+ORACLES["op13_clusters"] = f"""
+WITH points AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), centers0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster, v FROM points ORDER BY sha256('1:' || vec_id) LIMIT 16
+), {_rounds(3)}
+SELECT n.vec_id, n.cluster::INTEGER AS cluster, n.distance, (sum(n.distance) OVER (PARTITION BY n.cluster))::BIGINT AS cluster_inertia,
+  (sum(n.distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM near3 n JOIN centers3 c USING (cluster)
+"""
