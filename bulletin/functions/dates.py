@@ -73,11 +73,74 @@ class RunClock:
     def epoch(self, moment: dt.datetime) -> int:
         return int(moment.replace(tzinfo=ZoneInfo(self.zone)).timestamp())
 
+    # What the operators read: constants here, columns in an ``IssueClock``.
+
+    @property
+    def today(self) -> Column:
+        return F.lit(self.run_date)
+
+    @property
+    def year_mark(self) -> Column:
+        return F.lit(f"{self.year}年")
+
+    @property
+    def cutoff_at(self) -> Column:
+        return ntz(self.cutoff)
+
+    def before_now(self, span: dt.timedelta = dt.timedelta(0)) -> Column:
+        return ntz(self.now - span)
+
+    def epoch_of(self, days_limit: int | None = None) -> Column:
+        return F.lit(self.epoch(self.now - dt.timedelta(days=max(int(days_limit), 0)) if days_limit else self.cutoff))
+
+
+@dataclass(frozen=True)
+class IssueClock:
+    """The clock of the issue that a row belongs to: columns ``issue_date`` and ``issue_cutoff``."""
+
+    zone: str = "UTC"
+
+    @property
+    def today(self) -> Column:
+        return F.col("issue_date")
+
+    @property
+    def year_mark(self) -> Column:
+        return F.concat(F.year("issue_date").cast("string"), F.lit("年"))
+
+    @property
+    def cutoff_at(self) -> Column:
+        return F.col("issue_cutoff")
+
+    def before_now(self, span: dt.timedelta = dt.timedelta(0)) -> Column:
+        return self.today.cast("timestamp_ntz") - F.lit(span)
+
+    def epoch_of(self, days_limit: int | None = None) -> Column:
+        at = self.before_now(dt.timedelta(days=max(int(days_limit), 0))) if days_limit else self.cutoff_at
+        start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return F.timestamp_diff("SECOND", start, F.convert_timezone(F.lit(self.zone), F.lit("UTC"), at))
+
+
+Clock = RunClock | IssueClock
+
 
 def ntz(moment: dt.datetime) -> Column:
     return F.lit(moment.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
 
+def run_day(text: Column) -> Column:
+    """A run date written ``yyyy-MM-dd`` or ``yyyyMMdd``; anything else is NULL."""
+    bare = strip(text)
+    shape = F.when(bare.rlike(r"^[0-9]{8}\z"), "yyyyMMdd").when(bare.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"), "yyyy-M-d")
+    return F.when(shape.isNotNull(), F.try_to_timestamp(bare, shape)).cast("date")
+
+
+def issue_cutoff(day: Column, override: Column | None = None) -> Column:
+    """The time since which a notice counts as recent: the override, else a week before the run date."""
+    usual = day.cast("timestamp_ntz") - F.lit(dt.timedelta(days=rules.ISSUE_DAYS))
+    return usual if override is None else F.coalesce(override, usual)
+
+
 def iso_minute(col: Column) -> Column:
     return F.date_format(col, ISO_MINUTE)
 
@@ -100,7 +163,7 @@ def _stamp(matched: Column, hour: int, minute: int) -> Column:
     return let(find_all(matched, f"{D}+"), build)
 
 
-def parse_datetime_text(text: Column, clock: RunClock) -> Column:
+def parse_datetime_text(text: Column, clock: Clock) -> Column:
     """First full date, else first month-day in the run year; an impossible date is NULL.
 
     A full date wins even when it is impossible, and ``2026年4月25日13:30`` has no
@@ -108,7 +171,7 @@ def parse_datetime_text(text: Column, clock: RunClock) -> Column:
     """
     full = find(text, FULL_STAMP, 0)
     short = find(text, SHORT_STAMP, 0)
-    return _stamp(F.coalesce(full, F.concat(F.lit(f"{clock.year}年"), short)), 0, 0)
+    return _stamp(F.coalesce(full, F.concat(clock.year_mark, short)), 0, 0)
 
 
 def parse_datetime_eod(text: Column) -> Column:
@@ -158,7 +221,8 @@ def labelled_datetime(text: Column, labels: list[str]) -> Column:
     )
 
 
-def _detected_days(text: Column, clock: RunClock) -> Column:
+def detected_days(text: Column, clock: Clock) -> Column:
+    """Days of all full dates, and of all month-days in the run year."""
     # The short pattern runs over the same text, so 2025年12月3日 also yields 12-03
     # of the run year.
     found = F.concat(
@@ -169,24 +233,23 @@ def _detected_days(text: Column, clock: RunClock) -> Column:
     return F.filter(parsed, lambda day: day.isNotNull())
 
 
-def all_dates_past(text: Column, clock: RunClock) -> Column:
+def all_dates_past(text: Column, clock: Clock) -> Column:
     """At least one date is detected and all lie before the run date."""
-    today = F.lit(clock.run_date)
-    return let(_detected_days(text, clock), lambda days: (F.size(days) > 0) & F.forall(days, lambda d: d < today))
+    return let(detected_days(text, clock), lambda days: (F.size(days) > 0) & F.forall(days, lambda d: d < clock.today))
 
 
-def has_current_or_future_date(text: Column, clock: RunClock) -> Column:
-    return F.exists(_detected_days(text, clock), lambda d: d >= F.lit(clock.run_date))
+def has_current_or_future_date(text: Column, clock: Clock) -> Column:
+    return F.exists(detected_days(text, clock), lambda d: d >= clock.today)
 
 
-def older_than_cutoff(date_text: Column, clock: RunClock) -> Column:
-    return F.coalesce(parse_datetime_text(date_text, clock) < ntz(clock.cutoff), F.lit(False))
+def older_than_cutoff(date_text: Column, clock: Clock) -> Column:
+    return F.coalesce(parse_datetime_text(date_text, clock) < clock.cutoff_at, F.lit(False))
 
 
-def next_week_window(day: Column, clock: RunClock) -> Column:
+def next_week_window(day: Column, clock: Clock) -> Column:
     """Strictly inside the seven days that follow next Monday."""
-    ahead = (0 - clock.run_date.weekday()) % 7
-    since = F.datediff(F.lit(clock.run_date), day)
+    ahead = F.pmod(-F.weekday(clock.today), F.lit(7))
+    since = F.datediff(clock.today, day)
     return (since > -(ahead + 7)) & (since < -ahead)
 
 
@@ -232,7 +295,7 @@ def line_kind(line: Column) -> Column:
     )
 
 
-def _signal_time(raw: Column, kind: Column, clock: RunClock) -> Column:
+def _signal_time(raw: Column, kind: Column, clock: Clock) -> Column:
     """Deadlines and events without a written time end at 23:59."""
     return let(
         parse_datetime_text(raw, clock),
@@ -243,7 +306,7 @@ def _signal_time(raw: Column, kind: Column, clock: RunClock) -> Column:
     )
 
 
-def signals(text: Column, clock: RunClock, fallback: Column | None = None) -> Column:
+def signals(text: Column, clock: Clock, fallback: Column | None = None) -> Column:
     """Every date of a text as array<struct<line_no, pos, kind, raw, parsed, context>>.
 
     Built inside the row: no shuffle, and lines without a date cost one regex test.

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bulletin import rules
 from bulletin.functions.basics import strip, text_or_empty
-from bulletin.functions.dates import RunClock, first_stamp_eod
+from bulletin.functions.dates import Clock, first_stamp_eod
 from bulletin.operators.decisions import decide
 from bulletin.operators.order import positions, top_k
 from bulletin.operators.rows import settle
@@ -46,7 +48,7 @@ def section_limit(section: Column) -> Column:
     return F.when(section.eqNullSafe(F.lit(rules.OTHER_SECTION)), rules.ACCOUNT_LIMIT).otherwise(rules.SECTION_LIMIT)
 
 
-def topk_per_section(df: DataFrame) -> DataFrame:
+def topk_per_section(df: DataFrame, by: Sequence[str] = SECTION) -> DataFrame:
     """Best items of each section by score: 4, or 5 for other accounts; placeholders excluded.
 
     The literal outer bound prunes each map partition to its own best rows before the shuffle.
@@ -54,7 +56,7 @@ def topk_per_section(df: DataFrame) -> DataFrame:
     title = strip(text_or_empty(F.col("title")))
     real = df.where((title != "") & (title != rules.PLACEHOLDER_TITLE))
     widest = max(rules.SECTION_LIMIT, rules.ACCOUNT_LIMIT)
-    ranked = top_k(real, SECTION, [F.col("score").desc(), F.col("ordinal")], widest, rank="rank")
+    ranked = top_k(real, by, [F.col("score").desc(), F.col("ordinal")], widest, rank="rank")
     return ranked.where(F.col("rank") <= section_limit(F.col("section")))
 
 
@@ -66,7 +68,7 @@ def _flag(df: DataFrame, head: DataFrame, reason: Column, key: str = "notice_id"
     return decide(joined, is_kept, F.when(is_kept, "selected_for_final_markdown").otherwise(reason), "section_filter").drop("_chosen")
 
 
-def latest_events_topk(df: DataFrame, clock: RunClock, k: int = rules.SECTION_LIMIT) -> DataFrame:
+def latest_events_topk(df: DataFrame, clock: Clock, k: int = rules.SECTION_LIMIT) -> DataFrame:
     """Reports: expired ones out, latest date first, undated last; ``k`` per section stay."""
     judged = expired_event(df, clock).withColumnRenamed("reason", "_expiry").drop("stage")
     open_items = judged.where(F.col("keep")).withColumn("_at", first_stamp_eod(F.col("content")))
@@ -89,7 +91,7 @@ def first_n(df: DataFrame) -> DataFrame:
     return _flag(df, head, reason)
 
 
-def section_selection(df: DataFrame, clock: RunClock) -> DataFrame:
+def section_selection(df: DataFrame, clock: Clock, by: Sequence[str] = SECTION) -> DataFrame:
     """The final cut of a digest: reports by date, everything else by feed order.
 
     Rows travel whole through one bounded rank, so the input is read once.
@@ -98,5 +100,5 @@ def section_selection(df: DataFrame, clock: RunClock) -> DataFrame:
     expired = is_report & event_expired(F.col("content"), clock)
     placed = df.where(~expired).withColumn("_at", F.when(is_report, first_stamp_eod(F.col("content"))))
     widest = max(rules.SECTION_LIMIT, rules.ACCOUNT_LIMIT)
-    head = top_k(placed, SECTION, [F.col("_at").desc_nulls_last(), F.col("ordinal")], widest, rank="rank")
+    head = top_k(placed, by, [F.col("_at").desc_nulls_last(), F.col("ordinal")], widest, rank="rank")
     return head.where(F.col("rank") <= section_limit(F.col("section"))).drop("_at")

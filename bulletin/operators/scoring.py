@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bulletin import rules
 from bulletin.functions.basics import clamp_score, fold, has_any, has_words, let, strip, text_or_empty
-from bulletin.functions.dates import RunClock, all_dates_past
+from bulletin.functions.dates import Clock, all_dates_past
 
 
 def with_folded(df: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def expired_cap(df: DataFrame) -> DataFrame:
     return _without_folded(with_folded(df).withColumn("cap", _expired_bound(F.col("_title"), F.col("_text"))))
 
 
-def guardrail_rules(clock: RunClock) -> list[tuple[str, Column, str, Column]]:
+def guardrail_rules(clock: Clock) -> list[tuple[str, Column, str, Column]]:
     """(tag, condition, "cap" or "floor", bound) in the order they apply, over folded columns."""
     section, title, text, head = (F.col(c) for c in ("section", "_title", "_text", "_head"))
     publicity = has_words(text, rules.PUBLICITY)
@@ -83,7 +83,7 @@ def guardrail_rules(clock: RunClock) -> list[tuple[str, Column, str, Column]]:
     ]
 
 
-def score_guardrails(df: DataFrame, clock: RunClock) -> DataFrame:
+def score_guardrails(df: DataFrame, clock: Clock) -> DataFrame:
     """Apply caps and floors in order to ``score`` and note them in ``reason`` and ``tags``.
 
     Floors come after the general caps and therefore beat them; the library caps come last.
@@ -91,7 +91,7 @@ def score_guardrails(df: DataFrame, clock: RunClock) -> DataFrame:
     return _without_folded(_guarded(with_folded(df), clock))
 
 
-def _guarded(df: DataFrame, clock: RunClock) -> DataFrame:
+def _guarded(df: DataFrame, clock: Clock) -> DataFrame:
     steps = guardrail_rules(clock)
     # Conditions first, as plain boolean columns; least/greatest skip the NULL of a rule that is off.
     staged = df.withColumn("_g", F.struct(*[cond.alias(f"c{i}") for i, (_, cond, _, _) in enumerate(steps)]))
@@ -114,7 +114,7 @@ def _guarded(df: DataFrame, clock: RunClock) -> DataFrame:
     ).drop("_g")
 
 
-def with_rule_score(df: DataFrame, clock: RunClock) -> DataFrame:
+def with_rule_score(df: DataFrame, clock: Clock) -> DataFrame:
     """Rule score, its reason and the guardrails."""
     scored = with_folded(df).withColumns(
         {"score": points(F.col("_text")), "reason": F.lit(rules.BASE_SCORE_REASON)}

@@ -28,17 +28,18 @@ def section_ord(names: Sequence[str], section: Column) -> Column:
     ).cast("int")
 
 
-def placed_sections(items: DataFrame, sections: DataFrame) -> DataFrame:
+def placed_sections(items: DataFrame, sections: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Every section of the list, then those of ``items`` that it lacks, by their first item.
 
-    Section names are few; only they meet in one task.
+    Section names are few; only they meet in one task. ``by`` names columns of both tables
+    (the issue) inside which sections are placed.
     """
-    own = items.where(F.col("section").isNotNull()).groupBy("section").agg(F.min("ordinal").alias("_first"))
-    extra = own.join(sections, "section", "left_anti")
+    own = items.where(F.col("section").isNotNull()).groupBy(*by, "section").agg(F.min("ordinal").alias("_first"))
+    extra = own.join(sections, [*by, "section"], "left_anti")
     last = sections.agg(F.coalesce(F.max("section_ord"), F.lit(0)).alias("n")).scalar()
-    place = F.row_number().over(Window.orderBy("_first", "section")) + last
-    listed = sections.select("section", F.col("section_ord").cast("int").alias("section_ord"))
-    return listed.unionByName(extra.select("section", place.cast("int").alias("section_ord")))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("_first", "section")) + last
+    listed = sections.select(*by, "section", F.col("section_ord").cast("int").alias("section_ord"))
+    return listed.unionByName(extra.select(*by, "section", place.cast("int").alias("section_ord")))
 
 
 def _mapped(section: Column, leads: dict[str, str]) -> Column:

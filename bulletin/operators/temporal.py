@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from bulletin import rules
 from bulletin.functions import dates as D
 from bulletin.functions.basics import let, text_or_empty
-from bulletin.functions.dates import RunClock
+from bulletin.functions.dates import Clock
 from bulletin.operators.decisions import decide
 from bulletin.operators.rows import explode_once
 
@@ -19,7 +19,7 @@ def notice_text() -> Column:
     return F.concat(text_or_empty(F.col("title")), F.lit("\n"), text_or_empty(F.col("content")))
 
 
-def with_signals(df: DataFrame, clock: RunClock, text: Column | None = None, fallback: Column | None = None) -> DataFrame:
+def with_signals(df: DataFrame, clock: Clock, text: Column | None = None, fallback: Column | None = None) -> DataFrame:
     return df.withColumn("signals", D.signals(notice_text() if text is None else text, clock, fallback))
 
 
@@ -48,15 +48,14 @@ def latest_signals(df: DataFrame, key: str = "notice_id") -> DataFrame:
 
 
 def temporal_relevance(
-    df: DataFrame, clock: RunClock, text: Column | None = None, fallback: Column | None = None
+    df: DataFrame, clock: Clock, text: Column | None = None, fallback: Column | None = None
 ) -> DataFrame:
     """Deadline beats event beats publish date; the latest of the deciding kind is the basis.
 
     Everything is one expression inside the row: no shuffle, and a filter on ``keep``
     that Catalyst pushes down still evaluates it once.
     """
-    now, cutoff = D.ntz(clock.now), D.ntz(clock.cutoff)
-    grace = D.ntz(clock.now - dt.timedelta(hours=rules.EVENT_GRACE_HOURS))
+    now, cutoff, grace = clock.before_now(), clock.cutoff_at, _event_limit(clock)
 
     def judge(latest: Column) -> Column:
         deadline, event, publish = latest["deadline"], latest["event"], latest["publish"]
@@ -86,9 +85,9 @@ def _from_verdict(df: DataFrame, verdict: Column, dropped: tuple[str, ...], stag
     return decide(staged.withColumn("basis", F.col("_v.basis")), ~reason.isin(*dropped), reason, stage).drop("_v")
 
 
-def publish_recency(df: DataFrame, clock: RunClock) -> DataFrame:
+def publish_recency(df: DataFrame, clock: Clock) -> DataFrame:
     """Recent, undated, or old with a date still to come."""
-    cutoff = D.ntz(clock.cutoff)
+    cutoff = clock.cutoff_at
 
     def judge(p: Column) -> Column:
         ahead = D.has_current_or_future_date(F.col("content"), clock)
@@ -107,11 +106,12 @@ def publish_recency(df: DataFrame, clock: RunClock) -> DataFrame:
     return _from_verdict(df, verdict, ("publish_older_than_cutoff",), "ranked_raw_publish_filter")
 
 
-def publish_prefilter(df: DataFrame, clock: RunClock, days_limit: int | None = None, column: str = "publish_ts") -> DataFrame:
+def publish_prefilter(df: DataFrame, clock: Clock, days_limit: int | None = None, column: str = "publish_ts") -> DataFrame:
     """Epoch or timestamp against the cutoff; the comparison is on the raw column, so scans can use it."""
-    cutoff = clock.now - dt.timedelta(days=max(int(days_limit), 0)) if days_limit else clock.cutoff
-    is_time = dict(df.dtypes)[column].startswith("timestamp")
-    bound = D.ntz(cutoff) if is_time else F.lit(clock.epoch(cutoff))
+    if dict(df.dtypes)[column].startswith("timestamp"):
+        bound = clock.before_now(dt.timedelta(days=max(int(days_limit), 0))) if days_limit else clock.cutoff_at
+    else:
+        bound = clock.epoch_of(days_limit)
     ts = F.col(column)
     reason = (
         F.when(ts.isNull(), "publish_time_missing_keep_for_review")
@@ -121,16 +121,16 @@ def publish_prefilter(df: DataFrame, clock: RunClock, days_limit: int | None = N
     return decide(df, ts.isNull() | (ts >= bound), reason, "publish_prefilter")
 
 
-def _event_limit(clock: RunClock) -> Column:
-    return D.ntz(clock.now - dt.timedelta(hours=rules.EVENT_GRACE_HOURS))
+def _event_limit(clock: Clock) -> Column:
+    return clock.before_now(dt.timedelta(hours=rules.EVENT_GRACE_HOURS))
 
 
-def event_expired(content: Column, clock: RunClock) -> Column:
+def event_expired(content: Column, clock: Clock) -> Column:
     """The labelled event time is more than half a day past; no readable time is not."""
     return F.coalesce(D.labelled_datetime(content, rules.EVENT_LABELS) < _event_limit(clock), F.lit(False))
 
 
-def expired_event(df: DataFrame, clock: RunClock) -> DataFrame:
+def expired_event(df: DataFrame, clock: Clock) -> DataFrame:
     """Flag items whose labelled event is over, keeping the time as ``event_at``."""
     staged = df.withColumn("event_at", D.labelled_datetime(F.col("content"), rules.EVENT_LABELS))
     gone = F.coalesce(F.col("event_at") < _event_limit(clock), F.lit(False))

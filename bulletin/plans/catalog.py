@@ -19,6 +19,7 @@ from bulletin.functions import text as X
 from bulletin.functions import urls as U
 from bulletin.functions.basics import find_all
 from bulletin.operators import decisions as dec
+from bulletin.operators import issues as issue_rows
 from bulletin.operators import dedup, filters, joins, model, pages, ranking, reports, scoring, sections, temporal
 from bulletin.plans import inputs as I
 from bulletin.plans import issue, render
@@ -544,6 +545,24 @@ def section_classifier(articles: DataFrame) -> DataFrame:
 # --- dates -------------------------------------------------------------------
 
 
+@on(I.RUNS)
+def run_clock(runs: DataFrame) -> DataFrame:
+    day = D.run_day(F.col("run_date"))
+    return runs.select("run_id", day.alias("run_day"), D.iso_minute(day.cast("timestamp_ntz")).alias("now"))
+
+
+@on(I.RUNS)
+def issue_cutoff(runs: DataFrame) -> DataFrame:
+    override = F.col("cutoff").cast("timestamp_ntz")
+    return runs.select("run_id", D.iso_minute(D.issue_cutoff(D.run_day(F.col("run_date")), override)).alias("cutoff"))
+
+
+@on(I.RUNS)
+def issue_table(runs: DataFrame) -> DataFrame:
+    issues = issue_rows.issues_of(runs.withColumn("cutoff", F.col("cutoff").cast("timestamp_ntz")), cutoff="cutoff")
+    return issues.select("issue_date", D.iso_minute(F.col("issue_cutoff")).alias("cutoff"))
+
+
 @on(I.DATE_TEXTS)
 def parse_datetime_text(rows: DataFrame) -> DataFrame:
     return rows.select("notice_id", D.iso_minute(D.parse_datetime_text(F.col("text"), CLOCK)).alias("parsed"))
@@ -934,6 +953,20 @@ def full_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return issue.full_issue(I.view(spark, sf_dir, I.NOTICES), issue_sections(spark), CLOCK)
 
 
+@query
+def full_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    issues = issue_rows.issue_table(spark, [D.RunClock.of(day) for day in I.RUN_DATES])
+    return issue.full_issues(I.view(spark, sf_dir, I.NOTICES), issues, issue_sections(spark))
+
+
+@on(I.NOTICES)
+def issue_notices(notices: DataFrame) -> DataFrame:
+    """How many notices each of three issues takes up, by the reason of its own clock."""
+    issues = issue_rows.issue_table(notices.sparkSession, [D.RunClock.of(day) for day in I.RUN_DATES])
+    judged_ = temporal.publish_recency(issue_rows.issue_notices(notices, issues), D.IssueClock())
+    return judged_.where("keep").groupBy("issue_date", "section", "reason").agg(F.count(F.lit(1)).alias("notices"))
+
+
 @query
 def ranked_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return issue.ranked_issue(I.view(spark, sf_dir, I.NOTICES), issue_sections(spark), CLOCK)

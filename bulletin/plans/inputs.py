@@ -12,6 +12,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 RUN_DATE = "2026-04-20"
+#: Issues of a run over several weeks.
+RUN_DATES = ["2026-03-30", "2026-04-13", RUN_DATE]
 
 _SECTION = (
     "CASE doc_id % 5 WHEN 0 THEN '教务通知' WHEN 1 THEN '物理系学术报告' WHEN 2 THEN '图书馆信息' "
@@ -155,6 +157,16 @@ SELECT o_orderkey AS notice_id, o_orderdate AS at,
 FROM {{orders}}
 """
 
+# Run dates as a scheduler writes them, some unreadable, some with a cutoff of their own.
+RUNS = f"""
+SELECT o_orderkey AS run_id,
+ CASE o_orderkey % 5 WHEN 0 THEN replace(CAST(CAST(o_orderdate AS DATE) AS VARCHAR(10)), '-', '') WHEN 1 THEN concat(' ', CAST(CAST(o_orderdate AS DATE) AS VARCHAR(10)), ' ')
+  WHEN 2 THEN concat({_s('year(o_orderdate)')}, '-', {_s('month(o_orderdate)')}, '-', {_s('day(o_orderdate)')}) WHEN 3 THEN o_orderpriority
+  ELSE concat({_s('year(o_orderdate)')}, '-13-40') END AS run_date,
+ CASE WHEN o_orderkey % 4 = 0 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) - INTERVAL '36' HOUR END AS cutoff
+FROM {{orders}}
+"""
+
 LINKS = f"""
 SELECT o_orderkey AS notice_id,
  concat(CASE o_orderkey % 4 WHEN 0 THEN 'https://Mp.example.com/s' WHEN 1 THEN '//m.example.com/p' WHEN 2 THEN '/local/p' ELSE 'HTTP://example.org' END,

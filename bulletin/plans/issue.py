@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bulletin import rules
-from bulletin.functions.dates import RunClock, format_publish, inline_date
+from bulletin.functions.dates import Clock, IssueClock, RunClock, format_publish, inline_date
 from bulletin.functions.text import clean_markdown, feed_summary, filter_snippet, raw_clean
 from bulletin.operators.decisions import kept
 from bulletin.operators.dedup import dedupe_articles
 from bulletin.operators.filters import mark_items
+from bulletin.operators.issues import ISSUE, issue_notices, sections_per_issue
 from bulletin.operators.pages import article_details
-from bulletin.operators.ranking import rank_in_section, section_selection, topk_per_section
+from bulletin.operators.ranking import SECTION, rank_in_section, section_selection, topk_per_section
 from bulletin.operators.scoring import account_section, with_rule_score
 from bulletin.operators.sections import placed_sections, section_ord
 from bulletin.operators.shorten import shorten
@@ -20,7 +23,7 @@ from bulletin.operators.temporal import publish_prefilter, publish_recency, temp
 from bulletin.plans.render import render_articles, render_digest, render_ranked
 
 
-def scored_notices(notices: DataFrame, clock: RunClock, clean: bool = True) -> DataFrame:
+def scored_notices(notices: DataFrame, clock: Clock, clean: bool = True) -> DataFrame:
     """Recent notices, cleaned, with guarded rule scores."""
     recent = kept(publish_recency(notices, clock)).drop("basis")
     if clean:
@@ -35,16 +38,16 @@ def ranked_issue(notices: DataFrame, sections: DataFrame, clock: RunClock) -> Da
     return blocks
 
 
-def selected_issue(notices: DataFrame, clock: RunClock, clean: bool = True) -> DataFrame:
+def selected_issue(notices: DataFrame, clock: Clock, clean: bool = True, by: Sequence[str] = SECTION) -> DataFrame:
     """The best few of each section. The bound on rank prunes before the only shuffle."""
-    return topk_per_section(scored_notices(notices, clock, clean))
+    return topk_per_section(scored_notices(notices, clock, clean), by)
 
 
-def final_items(items: DataFrame, clock: RunClock) -> DataFrame:
+def final_items(items: DataFrame, clock: Clock, by: Sequence[str] = SECTION) -> DataFrame:
     """Time filter, section cut and shortening: what the digest prints."""
     fallback: Column = inline_date(F.col("content"))
     in_time = kept(temporal_relevance(items, clock, fallback=fallback)).drop("basis")
-    return shorten(section_selection(in_time, clock))
+    return shorten(section_selection(in_time, clock, by))
 
 
 def full_issue(notices: DataFrame, sections: DataFrame, clock: RunClock, clean: bool = True) -> DataFrame:
@@ -57,6 +60,20 @@ def full_issue(notices: DataFrame, sections: DataFrame, clock: RunClock, clean:
     return render_digest(final_items(best, clock), placed_sections(notices, sections))
 
 
+def full_issues(notices: DataFrame, issues: DataFrame, sections: DataFrame, clean: bool = True) -> DataFrame:
+    """``full_issue`` of every issue of a table (issue_date, issue_cutoff), in one run.
+
+    The notices are read once. Each meets the issues it is live in, is judged by the clock
+    of each, and the best few are kept per issue and section before anything is shuffled.
+    """
+    by, clock = [*ISSUE, *SECTION], IssueClock()
+    live = issue_notices(notices, issues)
+    best = selected_issue(live, clock, clean, by).drop("rank", "score", "reason", "tags")
+    # Sections that only the notices name are printed in every issue, as in a run of its own.
+    listed = sections_per_issue(issues, placed_sections(notices, sections))
+    return render_digest(final_items(best, clock, by), listed, ISSUE)
+
+
 def refilter_issue(items: DataFrame, sections: DataFrame, clock: RunClock) -> DataFrame:
     """A stored digest again through the time filter and the section cut, without scores."""
     return render_digest(final_items(items, clock), placed_sections(items, sections))

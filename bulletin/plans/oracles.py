@@ -6,6 +6,7 @@ functions) so that agreement means something. Only the rule lists are shared.
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from bulletin import rules
@@ -980,6 +981,25 @@ def _cards() -> str:
 add("render_cards", f"WITH {_cards()}")
 
 
+def at_run(day: str, sql: str) -> str:
+    """A query written for the usual run date, for another one of the same year."""
+    now = dt.date.fromisoformat(day)
+    times = {
+        "TIMESTAMP '2026-04-20'": f"TIMESTAMP '{now}'", "TIMESTAMP '2026-04-13'": f"TIMESTAMP '{now - dt.timedelta(days=7)}'",
+        "TIMESTAMP '2026-04-19 12:00:00'": f"TIMESTAMP '{now - dt.timedelta(days=1)} 12:00:00'", "DATE '2026-04-20'": f"DATE '{now}'",
+    }
+    return re.sub("|".join(map(re.escape, times)), lambda m: times[m[0]], sql)
+
+
+add("full_issues", " UNION ALL ".join(f"SELECT DATE '{day}' AS issue_date, * FROM ({at_run(day, ORACLES['full_issue'])}) r" for day in I.RUN_DATES))
+_KEPT_COUNTS = f"WITH {_RECENCY} SELECT section, reason, count(*) AS notices FROM recency WHERE reason <> 'publish_older_than_cutoff' GROUP BY ALL"
+add("issue_notices", " UNION ALL ".join(f"SELECT DATE '{day}' AS issue_date, * FROM ({at_run(day, _KEPT_COUNTS)}) r" for day in I.RUN_DATES))
+_RUNS = f"""(SELECT *, coalesce(try_strptime(trim(run_date), '%Y%m%d'), try_strptime(trim(run_date), '%Y-%m-%d')) AS at_run FROM {v(I.RUNS)} r)"""
+add("run_clock", f"SELECT run_id, CAST(at_run AS DATE) AS run_day, {minute('at_run')} AS now FROM {_RUNS} r")
+add("issue_cutoff", f"SELECT run_id, {minute('coalesce(cutoff, at_run - INTERVAL 7 DAY)')} AS cutoff FROM {_RUNS} r")
+add("issue_table", f"""SELECT CAST(at_run AS DATE) AS issue_date, {minute("min(coalesce(cutoff, at_run - INTERVAL 7 DAY))")} AS cutoff FROM {_RUNS} r WHERE at_run IS NOT NULL GROUP BY 1""")
+
+
 def _page_text(x: str) -> str:
     x = swap(swap(x, r"(?i)<img\b[^>]*>"), r"(?i)<table[\s\S]*?</table>", "[[TABLE_0]]")
     x = swap(swap(x, r"(?is)<!--.*?-->"), r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<title[^>]*>.*?</title>")
@@ -988,7 +1008,7 @@ def _page_text(x: str) -> str:
         x = swap(x, rf"(?i)<h{level}(?:\s[^>]*)?>\s*", "\n" + "#" * level + " ")
     x = swap(swap(x, r"(?i)<li(?:\s[^>]*)?>\s*", "\n* "), r"(?i)</?(?:" + "|".join(rules.BLOCK_TAGS) + r")(?:\s[^>]*|/)?>", "\n")
     x = swap(x, "<[^>]+>")
-    for name, char in (("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):  # all references of the test pages
+    for name, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):  # all references of the test pages
         x = f"replace({x}, {lit(name)}, {lit(char)})"
     x = trim(swap(swap(x, r"[ \t]*\n[ \t]*", "\n"), r"\n{2,}", "\n"))
     return x

@@ -7,6 +7,8 @@ bounded by the per-section limit is joined into one text.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,11 +55,12 @@ def selected_block() -> Column:
     return F.concat_ws(BLANK, F.concat(F.lit("## "), F.col("title")), non_empty(F.col("content")))
 
 
-def render_digest(items: DataFrame, sections: DataFrame) -> DataFrame:
+def render_digest(items: DataFrame, sections: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One text per section: heading, lead, then its few selected items.
 
     ``items`` holds at most the section limit per section (``rank`` is their order).
-    Sections of the list come first and in its order, then any others that occur.
+    Sections of the list come first and in its order, then any others that occur. With
+    ``by`` (the issue), both tables have these columns and every value has its own digest.
     """
     block = F.concat_ws(
         BLANK,
@@ -65,14 +68,14 @@ def render_digest(items: DataFrame, sections: DataFrame) -> DataFrame:
         F.when(F.col("show_summary"), F.concat(F.lit(f"{rules.SUMMARY_LABEL}："), F.col("summary"))),
         non_empty(F.col("content")),
     )
-    texts = items.select("section", "rank", block.alias("block")).groupBy("section").agg(
+    texts = items.select(*by, "section", "rank", block.alias("block")).groupBy(*by, "section").agg(
         F.expr(f"listagg(block, '{BLANK}') WITHIN GROUP (ORDER BY rank)").alias("_items"),
         F.count(F.lit(1)).alias("_n"),
     )
-    placed = placed_sections(items, sections)
-    joined = placed.join(texts, "section", "left").withColumn("items", F.coalesce(F.col("_n"), F.lit(0)))
+    placed = placed_sections(items, sections, by)
+    joined = placed.join(texts, [*by, "section"], "left").withColumn("items", F.coalesce(F.col("_n"), F.lit(0)))
     return joined.select(
-        "section", "section_ord", "items",
+        *by, "section", "section_ord", "items",
         F.concat_ws(
             BLANK, F.concat(F.lit("# "), F.col("section")), section_lead(F.col("section"), F.col("items")), F.col("_items")
         ).alias("text"),
