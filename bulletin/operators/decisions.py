@@ -7,6 +7,8 @@ from the same plan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,24 @@ def kept(df: DataFrame) -> DataFrame:
     return df.where(F.col("keep")).drop("keep", "reason", "stage")
 
 
+def through(df: DataFrame, *stages: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Every row with the decision that ended its way: of the first filter that drops it, else of the last.
+
+    One pass gives items (``kept``) and log (``decisions``), which then agree by construction.
+    A filter can leave out work on rows that are already dropped by asking ``undropped()``.
+    """
+    out = df.withColumn("_end", F.struct(F.lit(True).alias("keep"), F.lit("").alias("reason"), F.lit("").alias("stage")))
+    for stage in stages:
+        now = F.struct("keep", "reason", "stage")
+        out = stage(out).withColumn("_end", F.when(undropped(), now).otherwise(F.col("_end"))).drop("keep", "reason", "stage")
+    return out.select("*", "_end.keep", "_end.reason", "_end.stage").drop("_end")
+
+
+def undropped() -> Column:
+    """Inside ``through``: no filter has dropped the row so far."""
+    return F.col("_end.keep")
+
+
 def decisions(df: DataFrame, details: Column | None = None, time: str = "") -> DataFrame:
     """Decision log rows of a filter; missing descriptive columns are empty. ``time`` is the run's, as text."""
     have = set(df.columns)

@@ -20,12 +20,14 @@ from bulletin.functions import urls as U
 from bulletin.functions.basics import find_all
 from bulletin.operators import decisions as dec
 from bulletin.operators import issues as issue_rows
-from bulletin.operators import dedup, filters, joins, model, pages, ranking, reports, scoring, sections, temporal
+from bulletin.operators import dedup, filters, joins, memory, model, pages, ranking, reports, scoring, sections, temporal
 from bulletin.plans import inputs as I
 from bulletin.plans import issue, render
 from bulletin.plans.inputs import table
 from bulletin.session import checkpoint_dir
-from bulletin.sources import digest, feeds, sinks
+from bulletin.sources import decision_log as logs
+from bulletin.sources import digest, feeds, issue_files as stored, sinks
+from bulletin.streaming import ingest as stream
 
 CLOCK = D.RunClock.of(I.RUN_DATE)
 EVENT_CLOCK = D.RunClock.of("2024-01-22")
@@ -173,6 +175,40 @@ def write_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("notice_id bigint, section string, title string, content string").json(target)
 
 
+@query
+def decision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that is written twice and another one: each record once, in all its columns."""
+    target = f"{checkpoint_dir(spark)}/bulletin-log-{uuid.uuid4().hex}"
+    filtered = temporal.publish_recency(I.view(spark, sf_dir, I.NOTICES), CLOCK).withColumns(
+        {
+            "date": F.col("publish_date"), "source": F.col("account"),
+            "url": F.concat(F.lit("https://e.com/"), F.col("notice_id").cast("string")),
+        }
+    )
+    log = dec.decisions(filtered, F.create_map(F.lit("basis"), "basis", F.lit("id"), F.col("notice_id").cast("string")), "2026-04-20 00:00")
+    for run, part in (("weekly", log.where("status = 'kept'")), ("weekly", log), ("kept only", log.where("status = 'kept'"))):
+        logs.commit_decisions(part, target, run)
+    back = logs.read_decisions(spark, target)
+    return back.withColumns({"basis": F.col("details")["basis"], "id": F.col("details")["id"].cast("bigint")}).drop("details")
+
+
+@query
+def issue_file_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests stored as files, one of them per document; some cannot be read."""
+    folder = f"{checkpoint_dir(spark)}/bulletin-files-{uuid.uuid4().hex}"
+    n = F.col("doc_id")
+    day = F.date_format(F.date_add(F.lit("2026-03-01").cast("date"), (n % 60).cast("int")), "yyyyMMdd")
+    name = F.concat(F.lit("d"), (n % 7).cast("string"), F.lit("/"), n.cast("string"), F.lit("/issue_"), day, F.lit("_0830_raw.md"))
+    data = F.concat(F.encode("text", "UTF-8"), F.when(n % 50 == 7, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit(""))))
+    sinks.write_named_files(I.view(spark, sf_dir, I.DIGESTS).select(name.alias("name"), data.alias("data")), folder)
+    recent = stored.read_issue_files(spark, folder).where(F.col("issue_ts") >= D.ntz(CLOCK.cutoff))
+    ident = F.regexp_extract("doc_path", r"/([0-9]+)/[^/]*\z", 1).cast("bigint")
+    docs = recent.withColumn("doc_id", ident)
+    items = digest.read_digest_items(docs.where("error IS NULL"), "doc_id")
+    broken = docs.where("error IS NOT NULL").select("doc_id", F.lit("unreadable").alias("section"))
+    return items.unionByName(broken, allowMissingColumns=True)
+
+
 # --- filters -----------------------------------------------------------------
 
 
@@ -281,6 +317,19 @@ def previous_issue_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.previous_issue_anti(notices, old).select("notice_id", "title_key")
 
 
+@query
+def issue_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two issues, each without what the issues of the four weeks before it printed."""
+    folder = f"{checkpoint_dir(spark)}/bulletin-history-{uuid.uuid4().hex}"
+    notices = I.view(spark, sf_dir, I.NOTICES)
+    for digit, day in ((3, "2026-04-13"), (4, "2026-04-06"), (5, "2026-02-02"), (6, "2026-03-23")):
+        memory.remember(notices.where(F.col("notice_id") % 10 == digit), folder, day)
+    issues = issue_rows.issue_table(spark, [D.RunClock.of("2026-04-13"), CLOCK])
+    pairs = dec.kept(temporal.publish_recency(issue_rows.issue_notices(notices, issues), D.IssueClock()))
+    seen = memory.remembered(memory.history(spark, folder), issues)
+    return memory.drop_remembered(pairs, seen).select("issue_date", "notice_id", "title_key")
+
+
 def _indexed_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     notices = I.view(spark, sf_dir, I.NOTICES)
     scored = notices.withColumns(
@@ -977,6 +1026,28 @@ def account_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return issue.account_feed(I.view(spark, sf_dir, I.ARTICLES), CLOCK)
 
 
+@on(I.ARTICLES)
+def article_decisions(articles: DataFrame) -> DataFrame:
+    """The log of the account feed, from the same pass as its items."""
+    judged_ = issue.judged_articles(dedup.dedupe_articles(articles), CLOCK)
+    log = dec.decisions(judged_.withColumnRenamed("account", "source"), F.create_map(F.lit("id"), F.col("notice_id").cast("string")))
+    return log.select(F.col("details")["id"].cast("bigint").alias("notice_id"), "section", "title", "status", "reason", "stage", "url", "source")
+
+
+@query
+def ingest_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The account feed in two arrivals that overlap: the second delivers everything again."""
+    base = f"{checkpoint_dir(spark)}/bulletin-ingest-{uuid.uuid4().hex}"
+    articles = dedup.dedupe_articles(I.view(spark, sf_dir, I.ARTICLES)).drop("dedupe_key")
+    articles = articles.withColumn("fetched_at", F.lit(f"{I.RUN_DATE} 00:00:00").cast("timestamp"))
+    for part in (articles.where(F.col("notice_id") % 3 != 0), articles):
+        part.write.mode("append").parquet(f"{base}/landing")
+        arriving = stream.landed(spark, f"{base}/landing", articles.schema)
+        stream.ingest(arriving, f"{base}/out", f"{base}/progress", CLOCK).awaitTermination()
+    items = stream.ingested_items(spark, f"{base}/out")
+    return items.select("notice_id", "section", "publish_ts", F.md5(F.encode("content", "UTF-8")).alias("content_md5"))
+
+
 @query
 def refilter_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = digest.read_digest_items(I.view(spark, sf_dir, I.DIGESTS), "doc_id")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from bulletin import rules
 from bulletin.functions.dates import Clock, IssueClock, RunClock, format_publish, inline_date
 from bulletin.functions.text import clean_markdown, feed_summary, filter_snippet, raw_clean
-from bulletin.operators.decisions import kept
+from bulletin.operators.decisions import kept, through, undropped
 from bulletin.operators.dedup import dedupe_articles
 from bulletin.operators.filters import mark_items
 from bulletin.operators.issues import ISSUE, issue_notices, sections_per_issue
@@ -79,46 +79,62 @@ def refilter_issue(items: DataFrame, sections: DataFrame, clock: RunClock) -> Da
     return render_digest(final_items(items, clock), placed_sections(items, sections))
 
 
-def account_feed(
-    articles: DataFrame, clock: RunClock, model_filter: bool = False, pages: DataFrame | None = None, notes: DataFrame | None = None
+def judged_articles(
+    articles: DataFrame, clock: Clock, model_filter: bool = False, pages: DataFrame | None = None, notes: DataFrame | None = None
 ) -> DataFrame:
-    """Account articles: deduplicated, recent, in time, cleaned, marked, filed and rendered as blocks.
+    """Distinct account articles, each with the decision that ended its way: ``keep``, ``reason``, ``stage``.
 
-    Blocks are printed in the order (section_ord, age, ordinal): newest first, articles
-    without a time last, feed order among equals. ``pages`` (url, html) bring the texts of
-    articles that a list names only; ``notes`` (notice_id, notes: array of picture texts)
-    count for the time filter and the snippet. A feed that ends empty prints one placeholder.
+    Those that are kept are cleaned and filed under a ``section``. ``pages`` (url, html)
+    bring the texts of articles that a list names only; ``notes`` (notice_id, notes: array
+    of picture texts) count for the time filter and the snippet.
     """
-    # Winners are chosen on the narrow columns; the text comes by id.
-    narrow = articles.select("notice_id", "ordinal", "mid", "idx", "url", "publish_ts")
-    recent_ids = kept(publish_prefilter(dedupe_articles(narrow), clock)).select("notice_id")
-    recent = articles.join(recent_ids, "notice_id", "left_semi")
     if pages is not None:
-        recent = article_details(recent, pages)
+        articles = article_details(articles, pages)
     if notes is None:
-        recent = recent.withColumn("notes", F.array().cast("array<string>"))
+        articles = articles.withColumn("notes", F.array().cast("array<string>"))
     else:
-        recent = recent.join(notes, "notice_id", "left").withColumn("notes", F.coalesce("notes", F.array().cast("array<string>")))
+        articles = articles.join(notes, "notice_id", "left").withColumn("notes", F.coalesce("notes", F.array().cast("array<string>")))
+    if "model_keep" not in articles.columns:
+        articles = articles.withColumn("model_keep", F.lit(None).cast("boolean"))
     text = F.concat_ws(
         "\n",
         *[F.nullif(F.col(c), F.lit("")) for c in ("title", "digest", "publish_text", "content")],
         F.nullif(F.array_join("notes", "\n"), F.lit("")),
     )
     fallback = format_publish(F.col("publish_ts"), F.col("publish_text"), clock.zone)
-    in_time = kept(temporal_relevance(recent, clock, text=text, fallback=fallback)).drop("basis")
-    cleaned = in_time.withColumns({c: clean_markdown(F.col(c)) for c in ("content", "digest")})
-    staged = cleaned.withColumns(
-        {
-            "snippet": filter_snippet(F.col("digest"), F.col("content"), F.col("notes")),
-            "summary": feed_summary(F.col("digest"), F.col("content")),
-        }
-    )
-    if "model_keep" not in staged.columns:
-        staged = staged.withColumn("model_keep", F.lit(None).cast("boolean"))
-    marked = kept(mark_items(staged, filter_on=model_filter))
-    filed = marked.withColumn(
-        "section", account_section(F.col("account"), F.col("title"), F.col("digest"), F.col("content"))
-    )
+
+    def in_time(df: DataFrame) -> DataFrame:
+        return temporal_relevance(df, clock, text=F.when(undropped(), text), fallback=fallback).drop("basis")
+
+    def marked(df: DataFrame) -> DataFrame:
+        cleaned = df.withColumns({c: F.when(undropped(), clean_markdown(F.col(c))).otherwise(F.col(c)) for c in ("content", "digest")})
+        staged = cleaned.withColumns(
+            {
+                "snippet": filter_snippet(F.col("digest"), F.col("content"), F.col("notes")),
+                "summary": feed_summary(F.col("digest"), F.col("content")),
+            }
+        )
+        return mark_items(staged, filter_on=model_filter)
+
+    judged = through(articles, lambda df: publish_prefilter(df, clock), in_time, marked)
+    section = account_section(F.col("account"), F.col("title"), F.col("digest"), F.col("content"))
+    return judged.withColumn("section", F.when(F.col("keep"), section))
+
+
+def account_feed(
+    articles: DataFrame, clock: RunClock, model_filter: bool = False, pages: DataFrame | None = None, notes: DataFrame | None = None
+) -> DataFrame:
+    """Account articles: deduplicated, recent, in time, cleaned, marked, filed and rendered as blocks.
+
+    Blocks are printed in the order (section_ord, age, ordinal): newest first, articles
+    without a time last, feed order among equals. ``pages`` and ``notes`` as in
+    ``judged_articles``. A feed that ends empty prints one placeholder.
+    """
+    # Winners are chosen on the narrow columns; the text comes by id.
+    narrow = articles.select("notice_id", "ordinal", "mid", "idx", "url", "publish_ts")
+    recent_ids = kept(publish_prefilter(dedupe_articles(narrow), clock)).select("notice_id")
+    recent = articles.join(recent_ids, "notice_id", "left_semi")
+    filed = kept(judged_articles(recent, clock, model_filter, pages, notes))
     filed = filed.withColumn("section_ord", section_ord(rules.ACCOUNT_SECTIONS, F.col("section")))
     age = -F.coalesce(F.col("publish_ts"), F.lit(0)).cast("bigint")
     blocks = render_articles(filed.withColumn("age", age), zone=clock.zone).select("section", "section_ord", "age", "ordinal", "text")

@@ -1000,6 +1000,35 @@ add("issue_cutoff", f"SELECT run_id, {minute('coalesce(cutoff, at_run - INTERVAL
 add("issue_table", f"""SELECT CAST(at_run AS DATE) AS issue_date, {minute("min(coalesce(cutoff, at_run - INTERVAL 7 DAY))")} AS cutoff FROM {_RUNS} r WHERE at_run IS NOT NULL GROUP BY 1""")
 
 
+_LOGGED = f"""SELECT '2026-04-20 00:00' AS time, n.section, n.title, CASE WHEN r.reason <> 'publish_older_than_cutoff' THEN 'kept' ELSE 'dropped' END AS status, r.reason,
+ 'ranked_raw_publish_filter' AS stage, CAST(n.publish_date AS VARCHAR) AS date, 'https://e.com/' || n.notice_id AS url, n.account AS source, r.basis, n.notice_id AS id
+ FROM {NOTICES} n JOIN recency r USING (notice_id)"""
+add("decision_log", f"WITH {_RECENCY}, logged AS ({_LOGGED}) SELECT 'weekly' AS run_id, * FROM logged UNION ALL SELECT 'kept only' AS run_id, * FROM logged WHERE status = 'kept'")
+_RECENT_FILE = "doc_id % 60 >= 43"  # 60 days from 2026-03-01 on, cutoff 2026-04-13
+add(
+    "issue_file_items",
+    f"""SELECT doc_id, section, section_ord, item_ord, title, content FROM ({ORACLES['read_digest_items']}) x WHERE {_RECENT_FILE} AND doc_id % 50 <> 7
+ UNION ALL SELECT doc_id, 'unreadable', NULL, NULL, NULL, NULL FROM documents WHERE {_RECENT_FILE} AND doc_id % 50 = 7""",
+)
+_LIVE = f"WITH {_RECENCY} SELECT notice_id, title FROM recency WHERE reason <> 'publish_older_than_cutoff'"
+add(
+    "issue_memory",
+    f"""SELECT DATE '2026-04-20' AS issue_date, notice_id, {_key('title')} AS title_key FROM ({_LIVE}) x WHERE notice_id % 10 NOT IN (3, 4, 6)
+ UNION ALL SELECT DATE '2026-04-13', notice_id, {_key('title')} FROM ({at_run('2026-04-13', _LIVE)}) x WHERE notice_id % 10 NOT IN (4, 6)""",
+)
+_FEED = f"WITH uniq AS (SELECT * FROM {_PLAIN_UNIQUE} u), recent AS (SELECT * FROM uniq WHERE publish_ts IS NULL OR publish_ts >= 1776038400), {relevance('recent', _FEED_TEXT, _FEED_BACK)}"
+_FEED_FILED = _FILED.replace(ARTICLES, _FEED_KEPT)
+add("ingest_articles", f"{_FEED} SELECT notice_id, section, publish_ts, md5(content) AS content_md5 FROM {_FEED_FILED} f")
+add(
+    "article_decisions",
+    f"""{_FEED}, filed AS (SELECT notice_id, section FROM {_FEED_FILED} f)
+ SELECT u.notice_id, coalesce(f.section, 'unknown') AS section, u.title, CASE WHEN r.keep THEN 'kept' ELSE 'dropped' END AS status,
+  CASE WHEN r.notice_id IS NULL THEN 'publish_older_than_cutoff' WHEN r.keep THEN 'after_temporal_filter' ELSE r.reason END AS reason,
+  CASE WHEN r.notice_id IS NULL THEN 'publish_prefilter' WHEN r.keep THEN 'mark_items' ELSE 'temporal_filter' END AS stage, u.url, u.account AS source
+ FROM uniq u LEFT JOIN rel r USING (notice_id) LEFT JOIN filed f USING (notice_id)""",
+)
+
+
 def _page_text(x: str) -> str:
     x = swap(swap(x, r"(?i)<img\b[^>]*>"), r"(?i)<table[\s\S]*?</table>", "[[TABLE_0]]")
     x = swap(swap(x, r"(?is)<!--.*?-->"), r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<title[^>]*>.*?</title>")
