@@ -91,29 +91,67 @@ def score_guardrails(df: DataFrame, clock: Clock) -> DataFrame:
     return _without_folded(_guarded(with_folded(df), clock))
 
 
-def _guarded(df: DataFrame, clock: Clock) -> DataFrame:
-    steps = guardrail_rules(clock)
+def _conditions(df: DataFrame, steps: list[tuple[str, Column, str, Column]]) -> DataFrame:
     # Conditions first, as plain boolean columns; least/greatest skip the NULL of a rule that is off.
-    staged = df.withColumn("_g", F.struct(*[cond.alias(f"c{i}") for i, (_, cond, _, _) in enumerate(steps)]))
-    adjusted, tags = F.col("score"), []
-    for i, (tag, _, kind, bound) in enumerate(steps):
-        on = F.col(f"_g.c{i}")
+    return df.withColumn("_g", F.struct(*[cond.alias(f"c{i}") for i, (_, cond, _, _) in enumerate(steps)]))
+
+
+def _moved(score: Column, steps: list[tuple[str, Column, str, Column]]) -> Column:
+    for i, (_, _, kind, bound) in enumerate(steps):
         move = F.least if kind == "cap" else F.greatest
-        adjusted = move(adjusted, F.when(on, bound))
-        tags.append(F.when(on, F.lit(tag)))
-    base = strip(text_or_empty(F.col("reason")))
-    joined = F.concat_ws(",", *tags)
-    suffix = F.concat(F.lit("score_guardrail="), joined)
-    with_tags = F.substring(F.concat_ws("；", F.nullif(base, F.lit("")), suffix), 1, rules.REASON_CHARS)
-    return staged.withColumns(
+        score = move(score, F.when(F.col(f"_g.c{i}"), bound))
+    return clamp_score(score)
+
+
+def _hits(steps: list[tuple[str, Column, str, Column]]) -> list[Column]:
+    return [F.when(F.col(f"_g.c{i}"), F.lit(tag)) for i, (tag, _, _, _) in enumerate(steps)]
+
+
+def _reason(reason: Column, tags: Column) -> Column:
+    """The reason with the tags of the guardrails that hit, joined by commas."""
+    base = strip(text_or_empty(reason))
+    with_tags = F.substring(F.concat_ws("；", F.nullif(base, F.lit("")), F.concat(F.lit("score_guardrail="), tags)), 1, rules.REASON_CHARS)
+    return F.when(tags == "", base).otherwise(with_tags)
+
+
+def _guarded(df: DataFrame, clock: Clock) -> DataFrame:
+    steps = guardrail_rules(clock)
+    tags = _hits(steps)
+    return _conditions(df, steps).withColumns(
         {
-            "score": clamp_score(adjusted),
-            "reason": F.when(joined == "", base).otherwise(with_tags),
+            "score": _moved(F.col("score"), steps),
+            "reason": _reason(F.col("reason"), F.concat_ws(",", *tags)),
             "tags": F.array_compact(F.array(*tags)),
         }
     ).drop("_g")
 
 
+def with_score_bounds(df: DataFrame, clock: Clock) -> DataFrame:
+    """Rule points as ``score``, and what the guardrails will make of any score: ``low``, ``high``, ``tags``.
+
+    Caps and floors one after another are one clamp, whose ends are what becomes of 0 and of
+    100. So a score that arrives later, such as a model's, needs the bounds and not the text.
+    """
+    steps = guardrail_rules(clock)
+    staged = _conditions(with_folded(df), steps).withColumns(
+        {
+            "score": points(F.col("_text")), "reason": F.lit(rules.BASE_SCORE_REASON),
+            "low": _moved(F.lit(0), steps), "high": _moved(F.lit(100), steps), "tags": F.array_compact(F.array(*_hits(steps))),
+        }
+    )
+    return _without_folded(staged.drop("_g"))
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """Apply the bounds of ``with_score_bounds`` to ``score`` and note the tags in ``reason``."""
+    return df.withColumns(
+        {
+            "score": F.least(F.greatest(clamp_score(F.col("score")), F.col("low")), F.col("high")),
+            "reason": _reason(F.col("reason"), F.array_join("tags", ",")),
+        }
+    ).drop("low", "high")
+
+
 def with_rule_score(df: DataFrame, clock: Clock) -> DataFrame:
     """Rule score, its reason and the guardrails."""
     scored = with_folded(df).withColumns(

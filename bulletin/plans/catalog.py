@@ -19,10 +19,12 @@ from bulletin.functions import text as X
 from bulletin.functions import urls as U
 from bulletin.functions.basics import find_all
 from bulletin.operators import decisions as dec
+from bulletin.operators import feeds as feed_runs
 from bulletin.operators import issues as issue_rows
 from bulletin.operators import dedup, filters, joins, memory, model, pages, ranking, reports, scoring, sections, temporal
 from bulletin.plans import inputs as I
 from bulletin.plans import issue, render
+from bulletin.plans import run as runs
 from bulletin.plans.inputs import table
 from bulletin.session import checkpoint_dir
 from bulletin.sources import decision_log as logs
@@ -533,6 +535,37 @@ def union_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sections.union_feeds(feed_list).select("feed", "feed_ord", "notice_id", "title", "section", "price", "url")
 
 
+def _five_feeds(spark: SparkSession, sf_dir: str) -> feed_runs.Collected:
+    """Five feeds, one of them corrupt at its last row."""
+    notices = I.view(spark, sf_dir, I.NOTICES).select("notice_id", "title", "section", "ordinal")
+    of = lambda name: notices.where(F.col("section") == name)
+    hall = I.view(spark, sf_dir, I.HALL)
+    last = hall.agg(F.max("ordinal")).scalar()
+    torn = F.when(F.col("ordinal") == last, F.raise_error(F.lit("连接超时"))).otherwise(F.col("title"))
+    builders = {
+        "crawl_info": lambda: of("教务通知"), "crawl_hall": lambda: hall.select(F.col("ordinal").alias("notice_id"), torn.alias("title")),
+        "crawl_lib": lambda: of("图书馆信息"), "crawl_myhome": lambda: spark.read.parquet(f"{sf_dir}/no-such-feed.parquet"), "crawl_physics": lambda: of("物理系学术报告"),
+    }
+    return feed_runs.collect_feeds(spark, list(builders.items()))
+
+
+@query
+def collected_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of the feeds that work, beside one record per feed that does not."""
+    got = _five_feeds(spark, sf_dir)
+    errors = got.errors.select(F.col("stage").alias("feed"), F.col("stage_ord").alias("feed_ord"), F.lit("error").alias("kind"))
+    items = got.items.select("feed", "feed_ord", "notice_id", "title", "section", F.lit("item").alias("kind"))
+    return items.unionByName(errors, allowMissingColumns=True)
+
+
+@query
+def section_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = _five_feeds(spark, sf_dir)
+    told = got.errors.withColumn("error", F.concat(F.lit("第"), F.col("stage_ord").cast("string"), F.lit("个来源")))
+    stages = spark.createDataFrame(rules.STAGE_SECTIONS, "stage string, section string")
+    return feed_runs.placeholders(got.items, told, stages, sections.section_table(spark))
+
+
 @query
 def complete_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     notices = I.view(spark, sf_dir, I.NOTICES)
@@ -1002,6 +1035,24 @@ def full_issue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return issue.full_issue(I.view(spark, sf_dir, I.NOTICES), issue_sections(spark), CLOCK)
 
 
+def _issue_run(spark: SparkSession, sf_dir: str) -> runs.IssueRun:
+    notices = I.view(spark, sf_dir, I.NOTICES).withColumn("source", F.col("account"))
+    earlier = notices.where(F.col("notice_id") % 10 == 3).select("title")
+    replies = runs.Replies(scores=I.view(spark, sf_dir, I.SCORE_REPLIES))
+    return runs.issue_run(notices, issue_sections(spark), CLOCK, replies, earlier, I.view(spark, sf_dir, I.STAGE_ERRORS))
+
+
+@query
+def issue_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _issue_run(spark, sf_dir).sections
+
+
+@query
+def issue_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _issue_run(spark, sf_dir).log
+    return log.withColumns({"id": F.col("details")["id"].cast("bigint"), "tags": F.col("details")["tags"]}).drop("details", "time")
+
+
 @query
 def full_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     issues = issue_rows.issue_table(spark, [D.RunClock.of(day) for day in I.RUN_DATES])

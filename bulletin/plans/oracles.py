@@ -1029,6 +1029,39 @@ add(
 )
 
 
+add(
+    "collected_feeds",
+    f"""SELECT feed, feed_ord, notice_id, title, n.section, 'item' AS kind FROM {NOTICES} n
+  JOIN (VALUES ('crawl_info', 1, '教务通知'), ('crawl_lib', 3, '图书馆信息'), ('crawl_physics', 5, '物理系学术报告')) f(feed, feed_ord, section) USING (section)
+ UNION ALL SELECT feed, feed_ord, NULL, NULL, NULL, 'error' FROM (VALUES ('crawl_hall', 2), ('crawl_myhome', 4)) f(feed, feed_ord)""",
+)
+_HELD = ("教务通知", "图书馆信息", "物理系学术报告")
+add(
+    "section_placeholders",
+    f"""SELECT section, '占位卡片' AS title, CASE WHEN section = '家园网信息' THEN {lit(rules.ERROR_BODY)} || {_BLANK} || '原因: 第4个来源' ELSE {lit(rules.PLACEHOLDER_BODY)} END AS content,
+ CASE WHEN section = '家园网信息' THEN 'error' ELSE 'empty' END AS kind FROM {names(rules.REQUIRED_SECTIONS)} s WHERE section NOT IN ({', '.join(map(lit, _HELD))})""",
+)
+_NEW_INDEXED = f"(SELECT *, row_number() OVER (PARTITION BY section ORDER BY ordinal) AS item_index FROM {_RECENT_SCORED} y WHERE notice_id % 10 <> 3)"
+_NEW_APPLIED = f"(SELECT i.* REPLACE (coalesce(r.score, i.score) AS score, coalesce(r.reason, i.reason) AS reason) FROM {_NEW_INDEXED} i LEFT JOIN {_REPLIES} r USING (section, item_index))"
+_RUN = f"{_RECENCY}, {guardrails(_NEW_APPLIED)}, chosen AS (SELECT notice_id, section, title, content, ordinal FROM {_CHOSEN} c), {relevance('chosen', _TEXT, inline('content'))}"
+_RUN_TEXTS = digest_sql(_RUN, "chosen", NOTICES)
+add("issue_run", _RUN_TEXTS)
+_RUN_CTES, _RUN_SELECT = _RUN_TEXTS.rsplit(" SELECT section, section_ord,", 1)
+add(
+    "issue_log",
+    f"""{_RUN_CTES}, printed AS (SELECT section, section_ord,{_RUN_SELECT}), ends AS (
+  SELECT n.notice_id AS id, n.section, n.title, n.account AS source, g.tags, c2.notice_id IS NOT NULL AS kept,
+   CASE WHEN r.reason = 'publish_older_than_cutoff' THEN r.reason WHEN n.notice_id % 10 = 3 THEN 'in_previous_issue' WHEN c1.notice_id IS NULL THEN 'below_section_best' WHEN NOT l.keep THEN l.reason
+    WHEN c2.notice_id IS NOT NULL THEN 'selected_for_final_markdown' WHEN n.section = '其他公众号信息' THEN 'max_wechat_items' WHEN n.section <> '物理系学术报告' THEN 'fallback_max_items_per_section'
+    WHEN p.notice_id IS NULL THEN 'expired_physics_event' ELSE 'max_items_per_section' END AS reason,
+   CASE WHEN r.reason = 'publish_older_than_cutoff' THEN 'ranked_raw_publish_filter' WHEN n.notice_id % 10 = 3 THEN 'previous_issue' WHEN c1.notice_id IS NULL THEN 'ranked_selection' WHEN NOT l.keep THEN 'temporal_filter' ELSE 'section_filter' END AS stage
+  FROM {NOTICES} n JOIN recency r USING (notice_id) LEFT JOIN guarded g USING (notice_id) LEFT JOIN chosen c1 USING (notice_id) LEFT JOIN rel l USING (notice_id) LEFT JOIN placed p USING (notice_id) LEFT JOIN cut c2 USING (notice_id))
+ SELECT section, title, CASE WHEN kept THEN 'kept' ELSE 'dropped' END AS status, reason, stage, '' AS date, '' AS url, source, id, tags FROM ends
+ UNION ALL SELECT section, '', 'empty', 'no_item_printed', 'render_digest', '', '', '', NULL, NULL FROM printed WHERE items = 0
+ UNION ALL SELECT 'unknown', '', 'error', error, 'crawl', '', '', stage, NULL, NULL FROM {v(I.STAGE_ERRORS)} e WHERE error <> ''""",
+)
+
+
 def _page_text(x: str) -> str:
     x = swap(swap(x, r"(?i)<img\b[^>]*>"), r"(?i)<table[\s\S]*?</table>", "[[TABLE_0]]")
     x = swap(swap(x, r"(?is)<!--.*?-->"), r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<title[^>]*>.*?</title>")

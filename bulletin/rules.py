@@ -148,6 +148,8 @@ HUMAN_SCORE_LABEL = "物理系本科生偏好评分"
 SUMMARY_LABEL = "要点透视"
 EXAMPLES_HEAD = "当前版块人工评分样例："
 PLACEHOLDER_BODY = "等待下次抓取结果。"
+#: Characters of an error that a record keeps.
+ERROR_CHARS = 500
 ERROR_BODY = "本次抓取未成功。"
 RANKED_EMPTY_BODY = "本版块 raw 模式未抓取到一周内发布的条目。"
 ACCOUNT_EMPTY_BODY = "本期没有符合条件的最新公众号信息。"
