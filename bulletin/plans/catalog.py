@@ -21,7 +21,7 @@ from bulletin.functions.basics import find_all
 from bulletin.operators import decisions as dec
 from bulletin.operators import feeds as feed_runs
 from bulletin.operators import issues as issue_rows
-from bulletin.operators import dedup, filters, joins, memory, model, pages, ranking, reports, scoring, sections, temporal
+from bulletin.operators import dedup, filters, headings, joins, memory, model, pages, ranking, reports, scoring, sections, temporal
 from bulletin.plans import inputs as I
 from bulletin.plans import issue, render
 from bulletin.plans import run as runs
@@ -149,6 +149,24 @@ def load_preferences(docs: DataFrame) -> DataFrame:
     return digest.load_preferences(docs, "doc_id").select("doc_id", "section", "title", "score", "reason")
 
 
+SAMPLED = ["教务通知", "图书馆信息", "家园网信息", "物理系学术报告"]
+
+
+@on(I.TENDENCIES)
+def section_blocks(docs: DataFrame) -> DataFrame:
+    return headings.section_blocks(docs, SAMPLED, "doc_id")
+
+
+@on(I.TENDENCIES)
+def section_samples(docs: DataFrame) -> DataFrame:
+    return headings.section_samples(docs, SAMPLED, "doc_id").drop("item_ord")
+
+
+@on(I.TENDENCIES)
+def sample_digest(docs: DataFrame) -> DataFrame:
+    return headings.sample_digest(docs, SAMPLED, "doc_id")
+
+
 @query
 def issue_ts_from_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat(

@@ -99,6 +99,20 @@ SELECT doc_id,
 FROM {{documents}}
 """
 
+# Sections at every level, some twice, some by another name, with whole texts between them.
+TENDENCIES = f"""
+SELECT doc_id,
+ concat(CASE doc_id % 3 WHEN 0 THEN concat('前言', chr(10)) ELSE '' END,
+  CASE doc_id % 4 WHEN 0 THEN '# 教务 通知' WHEN 1 THEN '##  图书馆' WHEN 2 THEN '### 家园网信息' ELSE '# 物理系学术报告' END, chr(10), '导语', chr(10),
+  CASE WHEN doc_id % 4 IN (0, 3) THEN concat('## 样例 ', {_s('doc_id')}, chr(10), text, chr(10), '### 细节', chr(10),
+     CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN concat('物理系本科生偏好评分：', {_s('doc_id % 140')}, '（备注', {_s('doc_id')}, '）') ELSE concat('重要性评分: ', {_s('doc_id % 101')}, '/100') END, chr(10),
+     CASE WHEN doc_id % 7 = 0 THEN concat('理由：说明', {_s('doc_id')}) ELSE '' END, chr(10), '## 第二条', chr(10), '重要性评分：', {_s('doc_id % 50')}, chr(10), '####  不是标题', chr(10))
+   ELSE concat('### 说明', chr(10), CASE WHEN doc_id % 8 < 5 THEN '重要性评分的写法' ELSE '' END, chr(10), chr(10), chr(10), chr(10), text, chr(10)) END,
+  CASE doc_id % 4 WHEN 1 THEN '## 别的' WHEN 2 THEN '## 更高一级' ELSE '# 另一栏' END, chr(10), '## 外面的', chr(10), '重要性评分: 77', chr(10),
+  '# 教务通知', chr(10), '## 重复的', chr(10), '重要性评分: 1', chr(10)) AS text
+FROM {{documents}}
+"""
+
 REPORTS = f"""
 SELECT doc_id AS notice_id, doc_id AS ordinal, {_SECTION} AS section,
  concat(CASE doc_id % 6 WHEN 0 THEN '学术报告' WHEN 1 THEN '招聘信息报告' WHEN 2 THEN 'Colloquium' WHEN 3 THEN '通知'

@@ -1062,6 +1062,31 @@ add(
 )
 
 
+_SECTION_BLOCKS = f"""hlines AS (SELECT doc_id, unnest(string_split(text, {NL})) AS line, generate_subscripts(string_split(text, {NL}), 1) AS n FROM {v(I.TENDENCIES)} t),
+ heads AS (SELECT *, length(regexp_extract(line, '^(#{{1,3}})[ \\t].*\\S', 1)) AS level, {swap("regexp_extract(line, '^#{1,3}[ ' || chr(9) || '](.*)', 1)", f'{WS}+')} AS key FROM hlines),
+ wanted AS (SELECT * FROM (VALUES ('教务通知', '教务通知'), ('图书馆信息', '图书馆信息'), ('图书馆信息', '图书馆'), ('家园网信息', '家园网信息'), ('物理系学术报告', '物理系学术报告')) w(section, key)),
+ starts AS (SELECT doc_id, w.section, min(n) AS n0, arg_min(level, n) AS l0 FROM heads JOIN wanted w USING (key) WHERE level > 0 GROUP BY 1, 2),
+ spans AS (SELECT s.*, (SELECT min(h.n) FROM heads h WHERE h.doc_id = s.doc_id AND h.n > s.n0 AND h.level BETWEEN 1 AND s.l0) AS n1 FROM starts s),
+ inner_lines AS (SELECT s.doc_id, s.section, h.n, h.line FROM spans s JOIN heads h ON h.doc_id = s.doc_id AND h.n > s.n0 AND h.n < coalesce(s.n1, 1000000000)),
+ sblocks AS (SELECT s.doc_id, s.section, {swap(trim(f"coalesce((SELECT string_agg(i.line, {NL} ORDER BY i.n) FROM inner_lines i WHERE i.doc_id = s.doc_id AND i.section = s.section), '')"), chr(92) + 'n{3,}', chr(10) * 2)} AS block FROM spans s)"""
+add("section_blocks", f"WITH {_SECTION_BLOCKS} SELECT * FROM sblocks")
+_human = rf"{rules.HUMAN_SCORE_LABEL}[：:]{WS}*({DIGIT}{{1,3}})(?:{WS}*/{WS}*100)?(?:[（(]([^）)]*)[）)])?"
+_machine = rf"{rules.SCORE_LABEL}[：:]{WS}*({DIGIT}{{1,3}})"
+_SECTION_SAMPLES = f"""{_SECTION_BLOCKS}, slines AS (SELECT doc_id, section, unnest(string_split(block, {NL})) AS line, generate_subscripts(string_split(block, {NL}), 1) AS n FROM sblocks
+   WHERE contains(block, '重要性评分') OR contains(block, '物理系本科生偏好评分')),
+ sitems AS (SELECT *, sum(CAST(regexp_matches(line, '^## .*\\S') AS INT)) OVER (PARTITION BY doc_id, section ORDER BY n) AS item FROM slines),
+ sbodies AS (SELECT doc_id, section, item, {trim("substr(arg_min(line, n), 4)")} AS title, string_agg(line, {NL} ORDER BY n) AS body FROM sitems WHERE item > 0 GROUP BY 1, 2, 3),
+ sread AS (SELECT *, coalesce({first('body', _human, 1)}, {first('body', _machine, 1)}) AS s, coalesce({trim(first('body', '(?:原因|理由|排序依据)[：:]' + WS + '*([^' + chr(92) + 'n]+)', 1))}, {trim(first('body', _human, 2))}, '') AS reason FROM sbodies),
+ samples AS (SELECT doc_id, section, item, title, least(100, CAST(s AS INT)) AS score, reason FROM sread WHERE s IS NOT NULL)"""
+add("section_samples", f"WITH {_SECTION_SAMPLES} SELECT doc_id, section, title, score, reason FROM samples")
+add(
+    "sample_digest",
+    f"""WITH {_SECTION_SAMPLES}, told AS (SELECT section, substr({lit(rules.EXAMPLES_HEAD)} || {NL} || string_agg('- ' || title || ' => ' || score || '/100' || CASE WHEN reason <> '' THEN '；' || reason ELSE '' END, {NL} ORDER BY doc_id, item), 1, 3200) AS lines FROM samples GROUP BY 1),
+ raw AS (SELECT section, substr(arg_min(block, doc_id), 1, 3000) AS head FROM sblocks WHERE contains(block, '重要性评分') OR contains(block, '物理系本科生偏好评分') GROUP BY 1)
+ SELECT section, coalesce(lines, head) AS examples FROM raw LEFT JOIN told USING (section)""",
+)
+
+
 def _page_text(x: str) -> str:
     x = swap(swap(x, r"(?i)<img\b[^>]*>"), r"(?i)<table[\s\S]*?</table>", "[[TABLE_0]]")
     x = swap(swap(x, r"(?is)<!--.*?-->"), r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<title[^>]*>.*?</title>")

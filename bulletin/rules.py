@@ -137,6 +137,8 @@ FEED_SUMMARY_CHARS = 100
 SNIPPET_CHARS = 3000
 EXAMPLE_CHARS = 3200
 EXAMPLE_SECTION_CHARS = 3000
+#: Other names of a section in a preference corpus.
+SECTION_ALIASES = {LIBRARY_SECTION: ["图书馆"]}
 RANKING_BODY_CHARS = 900
 MODEL_REASON_CHARS = 120
 REPORT_SUMMARY_CHARS = 1800

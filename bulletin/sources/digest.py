@@ -21,11 +21,18 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _first_line(block: Column, marker: int) -> Column:
-    return strip(F.substring(F.substring_index(block, "\n", 1), F.lit(marker + 1), F.length(block)))
+def first_line(block: Column, marker: Column) -> Column:
+    """The first line after a marker of so many characters."""
+    return strip(F.substring(F.substring_index(block, "\n", 1), marker + 1, F.length(block)))
 
 
-def _rest(block: Column) -> Column:
+def cut_at(text: Column, start: str, opening: str) -> Column:
+    """A text cut before every match of ``start``; piece 0 is what precedes the first, empty where it opens the text."""
+    return let(text, lambda t: F.when(t.rlike(opening), F.concat(F.array(F.lit("")), F.split(t, start))).otherwise(F.split(t, start)))
+
+
+def rest_of(block: Column) -> Column:
+    """All lines but the first."""
     at = F.instr(block, F.lit("\n"))
     return F.when(at > 0, F.substring(block, at + 1, F.length(block))).otherwise("")
 
@@ -37,22 +44,19 @@ def read_digest_items(documents: DataFrame, doc: str = "doc_path") -> DataFrame:
     parsed where it was read: no window, no shuffle.
     """
     # The outer explode keeps Catalyst from evaluating the split twice (see operators.rows).
-    # Text before the first heading is piece 0; where there is none, an empty piece keeps the numbering.
-    cut = lambda text, start, marker: let(
-        text, lambda t: F.when(t.rlike(rf"^{marker} [^\n]*\S"), F.concat(F.array(F.lit("")), F.split(t, start))).otherwise(F.split(t, start))
-    )
+    cut = lambda text, start, marker: cut_at(text, start, rf"^{marker} [^\n]*\S")
     sections = documents.select(doc, F.posexplode_outer(cut(unix_lines(F.col("text")), SECTION_START, "#")).alias("section_ord", "block"))
     headed = F.col("section_ord") > 0
     named = sections.select(
         doc,
         "section_ord",
-        F.when(headed, _first_line(F.col("block"), 2)).otherwise(rules.UNFILED_SECTION).alias("section"),
+        F.when(headed, first_line(F.col("block"), F.lit(2))).otherwise(rules.UNFILED_SECTION).alias("section"),
         F.posexplode_outer(cut(F.col("block"), ITEM_START, "##")).alias("item_ord", "item"),
     )
     return named.where(F.col("item_ord") > 0).select(
         doc, "section", "section_ord", "item_ord",
-        _first_line(F.col("item"), 3).alias("title"),
-        strip(_rest(F.col("item"))).alias("content"),
+        first_line(F.col("item"), F.lit(3)).alias("title"),
+        strip(rest_of(F.col("item"))).alias("content"),
     )
 
 
@@ -62,7 +66,12 @@ def load_preferences(documents: DataFrame, doc: str = "doc_path") -> DataFrame:
     The human score wins over the machine score; a reason line wins over the remark in
     brackets; items without a score are skipped.
     """
-    items = read_digest_items(documents, doc)
+    items = read_digest_items(documents, doc).withColumn("section", F.regexp_replace("section", f"{WS}+", ""))
+    return scored(items, [doc, "section", "section_ord", "item_ord", "title"])
+
+
+def scored(items: DataFrame, carry: list[str]) -> DataFrame:
+    """Items with a score in their ``content``, as ``score`` and ``reason``."""
     content = F.col("content")
     human = rf"{rules.HUMAN_SCORE_LABEL}[：:]{WS}*({D}{{1,3}})(?:{WS}*/{WS}*100)?(?:[（(]([^）)]*)[）)])?"
     machine = rf"{rules.SCORE_LABEL}[：:]{WS}*({D}{{1,3}})"
@@ -72,9 +81,7 @@ def load_preferences(documents: DataFrame, doc: str = "doc_path") -> DataFrame:
         strip(F.when(find(content, human).isNotNull(), F.regexp_extract(content, human, 2))),
     )
     return items.where(score.isNotNull()).select(
-        doc,
-        F.regexp_replace("section", f"{WS}+", "").alias("section"),
-        "section_ord", "item_ord", "title",
+        *carry,
         clamp_score(F.translate(score, FULLWIDTH_DIGITS, "0123456789").cast("int")).alias("score"),
         text_or_empty(reason).alias("reason"),
     )
