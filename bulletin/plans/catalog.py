@@ -21,7 +21,7 @@ from bulletin.functions.basics import find_all
 from bulletin.operators import decisions as dec
 from bulletin.operators import feeds as feed_runs
 from bulletin.operators import issues as issue_rows
-from bulletin.operators import dedup, filters, headings, joins, memory, model, pages, ranking, reports, scoring, sections, temporal
+from bulletin.operators import calls, dedup, filters, headings, joins, memory, model, pages, ranking, reports, scoring, sections, temporal
 from bulletin.plans import inputs as I
 from bulletin.plans import issue, render
 from bulletin.plans import run as runs
@@ -1009,6 +1009,17 @@ def model_call(notices: DataFrame) -> DataFrame:
     return model.decision_responses(model.model_call(requests, _keyword_answer, "notice_id").drop("error"))
 
 
+@query
+def resumed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the notices are asked about, then all of them: what is answered is not asked again."""
+    store = f"{checkpoint_dir(spark)}/bulletin-replies-{uuid.uuid4().hex}"
+    n = F.col("notice_id")
+    prompt = F.concat(F.lit("标题: "), F.col("title"), F.lit("\n"), F.col("content"))
+    requests = I.view(spark, sf_dir, I.NOTICES).select("notice_id", prompt.alias("prompt"))
+    calls.resumable_call(requests.where(n % 2 == 0), _keyword_answer, "notice_id", store, tasks=8)
+    return calls.resumable_call(requests, _keyword_answer, "notice_id", store, tasks=8)
+
+
 # --- rendering ---------------------------------------------------------------
 
 

@@ -1087,6 +1087,13 @@ add(
 )
 
 
+add(
+    "resumed_calls",
+    f"""SELECT notice_id, {_ANSWER} AS raw, CASE WHEN {_ANSWER} IS NULL THEN 'empty reply' END AS error,
+ CASE WHEN {_ANSWER} IS NULL AND notice_id % 2 = 0 THEN 2 ELSE 1 END AS asked FROM {NOTICES} n""",
+)
+
+
 def _page_text(x: str) -> str:
     x = swap(swap(x, r"(?i)<img\b[^>]*>"), r"(?i)<table[\s\S]*?</table>", "[[TABLE_0]]")
     x = swap(swap(x, r"(?is)<!--.*?-->"), r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<title[^>]*>.*?</title>")
