@@ -81,16 +81,17 @@ def example_digest(preferences: DataFrame) -> DataFrame:
 def image_annotations(notices: DataFrame, images: DataFrame) -> DataFrame:
     """Replace image tokens: tables and QR codes stay images, other images become their text or go.
 
-    The annotations of a notice travel as one small map, so the text itself is joined
-    once and never exploded.
+    The annotations of a notice travel as one small array, so the text itself is joined
+    once and never exploded. Where an image has several, the last by ``ordinal`` counts (the
+    greatest, without that column).
     """
-    notes = images.groupBy("notice_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("idx", F.struct("url", "ocr_text", "type")))).alias("_notes")
-    )
+    place = F.col("ordinal") if "ordinal" in images.columns else F.lit(0)
+    note = F.struct(F.col("idx").cast("int").alias("idx"), place.alias("at"), "url", "ocr_text", "type")
+    notes = images.where(F.col("idx").isNotNull()).groupBy("notice_id").agg(F.array_sort(F.collect_list(note)).alias("_notes"))
     joined = notices.join(notes, "notice_id", "left")
 
     def render(token):
-        note = F.try_element_at(F.col("_notes"), token.cast("int"))
+        note = F.try_element_at(F.filter("_notes", lambda n: n["idx"] == token.try_cast("int")), F.lit(-1))
         text = non_empty(strip(note["ocr_text"]))
         return (
             F.when(

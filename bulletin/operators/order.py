@@ -16,10 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bulletin.functions.basics import let
-
-#: Quantile ranges per key, and bounds that one coarse step skips.
-RANGES, RANGE_STEP = 256, 16
+#: Quantile ranges per key, a power of two.
+RANGES = 256
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -36,10 +34,10 @@ def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
 
 
 def _range_of(key: Column, bounds: Column) -> Column:
-    """Number of the quantile range that ``key`` lies in: a coarse step over the bounds, then a fine one."""
-    coarse = F.size(F.filter(bounds, lambda b, i: (i % RANGE_STEP == 0) & (b <= key)))
-    fine = lambda c: F.size(F.filter(F.slice(bounds, F.greatest(c - 1, F.lit(0)) * RANGE_STEP + 1, F.lit(RANGE_STEP)), lambda b: b <= key))
-    return let(coarse, lambda c: F.greatest(c - 1, F.lit(0)) * RANGE_STEP + fine(c)).cast("bigint")
+    """Number of the quantile range that ``key`` lies in: a binary search over the ascending bounds."""
+    steps = F.array(*[F.lit(RANGES >> e) for e in range(1, RANGES.bit_length())])
+    down = lambda lo, step: F.when(F.get(bounds, lo + step - 1) <= key, lo + step).otherwise(lo)
+    return F.aggregate(steps, F.lit(0), down).cast("bigint")
 
 
 def positions(

@@ -30,14 +30,19 @@ def signal_rows(df: DataFrame, key: str = "notice_id") -> DataFrame:
 
 def distinct_signals(df: DataFrame, key: str = "notice_id") -> DataFrame:
     """One row per (kind, raw, parsed) of a row made by ``with_signals``, with the first context. Work inside the row."""
-    same = lambda a, b: (a["kind"] == b["kind"]) & a["raw"].eqNullSafe(b["raw"]) & a["parsed"].eqNullSafe(b["parsed"])
-    place = lambda s: F.struct(s["line_no"], s["pos"])
-    earlier = lambda s: F.exists("signals", lambda o: same(o, s) & (place(o) < place(s)))
-    firsts = F.filter("signals", lambda s: ~earlier(s))
-    return df.select(key, F.explode(firsts).alias("s")).select(
-        key, *[F.col(f"s.{c}").alias(c) for c in ("kind", "raw", "parsed", "line_no", "pos", "context")]
+    # Equal signals are neighbours once sorted, the earliest first.
+    ordered = F.array_sort(
+        F.transform("signals", lambda s: F.struct(*[s[c].alias(c) for c in ("kind", "raw", "parsed", "line_no", "pos", "context")]))
     )
 
+    def firsts(found: Column) -> Column:
+        same = lambda s, i: F.forall(
+            F.slice(found, i, F.lit(1)), lambda o: (o["kind"] == s["kind"]) & o["raw"].eqNullSafe(s["raw"]) & o["parsed"].eqNullSafe(s["parsed"])
+        )
+        return F.filter(found, lambda s, i: (i == 0) | ~same(s, F.greatest(i, F.lit(1))))
+
+    return explode_once(df, [key], let(ordered, firsts), "_i", "s").select(key, "s.*")
+
 
 def latest_signals(df: DataFrame, key: str = "notice_id") -> DataFrame:
     """Latest parsed time per kind of every row that has a signal. Work inside the row."""

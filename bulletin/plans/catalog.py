@@ -869,12 +869,10 @@ def fit_field(articles: DataFrame) -> DataFrame:
         "digest": X.fit_field(F.concat("digest", F.lit(" "), "content"), "digest", fallback="已整理"),
         "source_url": X.fit_field(source, "source_url"),
     }
-    sizes = [
-        size(c).alias(f"{name}_{unit}")
-        for name, c in fields.items()
-        for unit, size in (("chars", F.length), ("bytes", F.octet_length))
-    ]
-    return articles.select("notice_id", *[c.alias(name) for name, c in fields.items()], *sizes)
+    # Fitted once, then measured.
+    fitted = articles.select("notice_id", *[c.alias(name) for name, c in fields.items()])
+    sizes = {"chars": F.length, "bytes": F.octet_length}
+    return fitted.select("*", *[size(name).alias(f"{name}_{unit}") for name in fields for unit, size in sizes.items()])
 
 
 @on(I.MARKED_ISSUES)

@@ -299,3 +299,24 @@ def test_article_details(spark):
     html = '<em id="publish_time"> 2026-04-01 </em><div id="js_content"><p>一&amp;二</p><img src=x><p>三</p></div>var author = "编";'
     out = {r.ordinal: (r.content, r.publish_text, r.author) for r in pages.article_details(articles, spark.createDataFrame([("u", html)], "url string, html string")).collect()}
     assert out == {1: ("一&二\n三", "2026-04-01", "编"), 2: ("", "", "")}
+
+
+def test_a_repeated_image_takes_its_last_annotation(spark):
+    notices = spark.createDataFrame([(1, "[[IMG_OCR_1]] [[IMG_OCR_2]] [[IMG_OCR_99999999999]]")], "notice_id int, content string")
+    notes = [(1, 1, "u", "旧", "OTHER", 1), (1, 1, "u", "新", "OTHER", 2), (1, None, "u", "无", "OTHER", 3), (1, 2, "u2", "", "TABLE", 4)]
+    images = spark.createDataFrame(notes, "notice_id int, idx int, url string, ocr_text string, type string, ordinal int")
+    want = "[图片文字 1] 新 ![图片2](u2)"
+    assert joins.image_annotations(notices, images).first().content == want
+    assert joins.image_annotations(notices, images.drop("ordinal")).first().content == max(want, want.replace("新", "旧"))
+
+
+def test_positions_with_every_kind_of_key(spark):
+    from bulletin.operators.order import positions
+
+    rows = [(g, k, i) for g in (1, 2) for i, k in enumerate([None, 5, 5, -(2**62), 2**62, 7, *range(300)])]
+    df = spark.createDataFrame(rows, "g int, k bigint, i int").repartition(5)
+    got = [tuple(r) for r in positions(df, ["g"], ["k", "i"], "at").collect()]
+    for g in (1, 2):
+        ordered = sorted((r for r in got if r[0] == g), key=lambda r: r[3])
+        assert [r[3] for r in ordered] == list(range(1, 307))
+        assert [(r[1], r[2]) for r in ordered] == sorted(((k, i) for h, k, i in rows if h == g), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
