@@ -16,11 +16,13 @@ from bulletin.operators.filters import mark_items
 from bulletin.operators.issues import ISSUE, issue_notices, sections_per_issue
 from bulletin.operators.pages import article_details
 from bulletin.operators.ranking import SECTION, rank_in_section, section_selection, topk_per_section
+from bulletin.operators.rows import settle
 from bulletin.operators.scoring import account_section, with_rule_score
 from bulletin.operators.sections import placed_sections, section_ord
 from bulletin.operators.shorten import shorten
 from bulletin.operators.temporal import publish_prefilter, publish_recency, temporal_relevance
 from bulletin.plans.render import render_articles, render_digest, render_ranked
+from bulletin.plans.run import issue_run
 
 
 def scored_notices(notices: DataFrame, clock: Clock, clean: bool = True) -> DataFrame:
@@ -56,8 +58,7 @@ def full_issue(notices: DataFrame, sections: DataFrame, clock: RunClock, clean:
     Every listed section and every section of the notices is printed; one that no item
     reaches has the lead for empty sections.
     """
-    best = selected_issue(notices, clock, clean).drop("rank", "score", "reason", "tags")
-    return render_digest(final_items(best, clock), placed_sections(notices, sections))
+    return issue_run(notices, sections, clock, clean=clean, explain=False).sections
 
 
 def full_issues(notices: DataFrame, issues: DataFrame, sections: DataFrame, clean: bool = True) -> DataFrame:
@@ -75,8 +76,15 @@ def full_issues(notices: DataFrame, issues: DataFrame, sections: DataFrame, clea
 
 
 def refilter_issue(items: DataFrame, sections: DataFrame, clock: RunClock) -> DataFrame:
-    """A stored digest again through the time filter and the section cut, without scores."""
-    return render_digest(final_items(items, clock), placed_sections(items, sections))
+    """A stored digest again through the time filter and the section cut, without scores.
+
+    Items are parsed and judged once; those in time are settled with their texts, and the
+    sections of all are read from the same rows.
+    """
+    judged = temporal_relevance(items, clock, fallback=inline_date(F.col("content")))
+    settled = settle(judged.select("notice_id", "section", "title", F.when(F.col("keep"), F.col("content")).alias("content"), "ordinal", "keep"))
+    live = settled.where("keep").drop("keep")
+    return render_digest(shorten(section_selection(live, clock)), placed_sections(settled, sections))
 
 
 def judged_articles(
@@ -138,10 +146,12 @@ def account_feed(
     filed = filed.withColumn("section_ord", section_ord(rules.ACCOUNT_SECTIONS, F.col("section")))
     age = -F.coalesce(F.col("publish_ts"), F.lit(0)).cast("bigint")
     blocks = render_articles(filed.withColumn("age", age), zone=clock.zone).select("section", "section_ord", "age", "ordinal", "text")
-    empty = F.concat(F.lit(f"## {rules.PLACEHOLDER_TITLE}\n\n{rules.ACCOUNT_EMPTY_BODY}"))
-    any_block = blocks.limit(1).agg(F.count(F.lit(1)).alias("n")).scalar()
-    placeholder = articles.sparkSession.range(1).where(any_block == 0).select(
+    # Written once: whoever orders the blocks reads them more than once.
+    blocks = settle(blocks)
+    if not blocks.isEmpty():
+        return blocks
+    empty = F.lit(f"## {rules.PLACEHOLDER_TITLE}\n\n{rules.ACCOUNT_EMPTY_BODY}")
+    return articles.sparkSession.range(1).select(
         F.lit(rules.OTHER_SECTION).alias("section"), F.lit(len(rules.ACCOUNT_SECTIONS)).alias("section_ord"),
         F.lit(0).cast("bigint").alias("age"), F.lit(0).cast(dict(blocks.dtypes)["ordinal"]).alias("ordinal"), empty.alias("text"),
     )
-    return blocks.unionByName(placeholder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -42,7 +43,11 @@ class IssueRun:
     """``sections``: one text per section. ``log``: one record per notice, and those of sections and feeds."""
 
     sections: DataFrame
-    log: DataFrame
+    records: Callable[[], DataFrame]
+
+    @property
+    def log(self) -> DataFrame:
+        return self.records()
 
 
 def already_printed(df: DataFrame, earlier: DataFrame | None) -> DataFrame:
@@ -78,7 +83,7 @@ def _cut(candidates: DataFrame, clock: RunClock, selections: DataFrame | None) -
 
 def issue_run(
     notices: DataFrame, sections: DataFrame, clock: RunClock, replies: Replies = Replies(), earlier: DataFrame | None = None,
-    errors: DataFrame | None = None, clean: bool = True, time: str = "", brand: str = "",
+    errors: DataFrame | None = None, clean: bool = True, time: str = "", brand: str = "", explain: bool = True,
 ) -> IssueRun:
     """Rank, select, filter by time, cut, shorten and render; every notice leaves one record.
 
@@ -86,13 +91,14 @@ def issue_run(
     lists and the log read those. Only the few selected notices are read again, by id.
 
     ``errors`` (stage, error, stage_ord) become records; a run without any notice prints the
-    explanatory issue instead. Sections are printed as in ``full_issue``.
+    explanatory issue instead, if it is to ``explain`` itself. Every listed section and every
+    section of the notices is printed; one that no item reaches has the lead for empty sections.
     """
     judged = settle(_judged_notices(notices, clock, earlier, clean))
     alive = judged.where("keep")
     if replies.scores is not None:
         alive = apply_scores(item_index(alive), score_responses(replies.scores)).drop("item_index")
-    best = settle(topk_per_section(bounded(alive)).select("notice_id", "score", "rank"))
+    best = topk_per_section(bounded(alive)).select("notice_id", "score", "rank")
 
     # The selected notices with their texts: at most a handful per section.
     chosen = notices.join(best.select("notice_id"), "notice_id", "left_semi")
@@ -102,7 +108,7 @@ def issue_run(
     in_time = temporal_relevance(chosen, clock, fallback=inline_date(F.col("content"))).drop("basis")
     timed = settle(in_time.withColumnRenamed("reason", "why"))
     candidates = timed.where("keep").drop("keep", "why", "stage")
-    cut = settle(_cut(candidates, clock, replies.selections))
+    cut = _cut(candidates, clock, replies.selections)
 
     items = candidates.join(cut, "notice_id")
     if replies.summaries is not None:
@@ -112,7 +118,7 @@ def issue_run(
     texts = render_digest(shorten(items), placed_sections(judged, sections))
     if errors is None:
         errors = notices.sparkSession.createDataFrame([], "stage string, error string, stage_ord int")
-    return IssueRun(_or_fallback(texts, judged, errors, brand), _log(judged, best, timed, cut, texts, errors, clock, time))
+    return IssueRun(_or_fallback(texts, judged, errors, brand) if explain else texts, lambda: _log(judged, best, timed, cut, texts, errors, clock, time))
 
 
 def _or_fallback(texts: DataFrame, judged: DataFrame, errors: DataFrame, brand: str) -> DataFrame:
