@@ -28,6 +28,7 @@ HEADLINE = [
     "canonical_url", "clean_markdown", "repair_mojibake", "clip_units", "compress_body", "fit_field", "build_report",
     "ranking_requests", "score_responses", "scored_items", "gated_clean", "render_ranked", "render_digest",
     "classify_lines", "render_cards", "full_issue", "account_feed", "refilter_issue",
+    "full_issues", "issue_run", "issue_log", "ingest_articles", "decision_log", "issue_memory", "section_samples", "resumed_calls",
 ]
 
 
