@@ -4,16 +4,23 @@ For every node of the page's tree: characters per tag, adjusted for the share of
 characters and link tags. A node's density sum adds up its children's densities. The node
 with the largest sum is the heart of the content; the least density on its path to the
 body is the threshold. Every subtree that reaches the threshold gives its own largest-sum
-node as content, which keeps headings and sections beside the heart. Parts that mark
-themselves as menus, adverts, forms, comments and the like are cut before; a class or id
-does not cut a part that holds an <article> or <main> or most of the body's text outside
-links (unless it lies beside a <main> that has text). Inside an <article> or <main> the whole element counts.
+node as content, which keeps headings and sections beside the heart. Where the heart lies in
+an <article> or <main>, that element counts whole, and so does every <article> beside it
+that reaches the threshold.
+
+Menus, forms, scripts and the like are cut before by their tag. A class or id is evidence
+only, and the text that would be left decides. Marks of adverts, comments and consent
+notices cut unless what is left is both shorter and no story; other marks cut what is no
+longer than all that is left. Where a <main> has text or an <article> a story, no marked part beside
+it counts; an <article> keeps the marked part around it only where all articles of the page lie in such
+parts, and never within comments or adverts.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -47,8 +54,17 @@ FURNITURE = frozenset(
     "comment comments disqus respond reply replies newsletter subscribe subscription social share sharing related recommended "
     "widget widgets toolbar pagination pager login signup search outbrain taboola".split()
 )
+#: Of these, words of parts that never hold the story.
+FOREIGN = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr comment comments disqus respond "
+    "reply replies newsletter subscribe subscription outbrain taboola".split()
+)
 #: What such a name says of the page does not make it furniture.
 LAYOUT = tuple(f"{word}{sign}" for word in ("no", "not", "has", "with", "without") for sign in "-_")
+#: A name that ends in one of these is that of a whole page.
+WHOLE = frozenset("page site layout".split())
+#: Characters outside links, white space aside, from which what is left counts as a story.
+STORY_CHARS = 100
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 #: Opening one of these ends an open element of the second set, unless one of the third lies between.
 ENDS = {
@@ -80,16 +96,23 @@ def is_furniture(tag: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def is_marked(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether the class or id has a word of furniture; `no-`, `has-`, `with-` and the like only describe a layout."""
+def marks(tag: str, attributes: str, inside: bool) -> int:
+    """2: class or id has a word of FOREIGN; 1: another word of furniture; 0: neither.
+
+    `no-`, `has-`, `with-` and the like only describe a layout, and `promo-page` is a kind of page.
+    """
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return 0
+    found = 0
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         if name.lower() in ("class", "id"):
-            words = [w for part in (a or b or c).lower().split() if not part.startswith(LAYOUT) for w in MARK.findall(part)]
-            if not FURNITURE.isdisjoint(words) or ("header" in words and not inside and not tag[1:].isdigit()):
-                return True
-    return False
+            for part in (a or b or c).lower().split():
+                words = [] if part.startswith(LAYOUT) else MARK.findall(part)
+                if not FOREIGN.isdisjoint(words):
+                    return 2
+                if words and words[-1] not in WHOLE and not FURNITURE.isdisjoint(words) or "header" in words and not inside and not tag[1:].isdigit():
+                    found = 1
+    return found
 
 
 class Page:
@@ -99,34 +122,53 @@ class Page:
         self.tags, self.parents, self.ends = ["#page"], [0], [0]
         self.pieces: list[tuple[int, str | None]] = []
         self.unclosed: set[int | str] = set()
-        self.marked: list[int] = []
+        self.marked: dict[int, int] = {}
         self._read(html)
         self.pieces = [(node, text if text is None else unescape(text)) for node, text in self.pieces]
         if self.marked:
             self._drop_marked()
 
     def _drop_marked(self) -> None:
-        """Cut the marked elements that hold neither an <article> or <main> nor most of the text outside links."""
-        n = len(self.tags)
-        plain, home, linked = [0] * n, [t in ("article", "main") for t in self.tags], [t == "a" for t in self.tags]
+        """Cut the marked elements, but for those without which no story is left."""
+        n, tags, parents = len(self.tags), self.tags, self.parents
+        linked, within, foreign = [t == "a" for t in tags], [t == "main" for t in tags], [False] * n
+        article = [t == "article" for t in tags]
+        owner = [0] * n  # the innermost marked element around a node, 0: none
         for i in range(1, n):
-            linked[i] = linked[i] or linked[self.parents[i]]
+            up = parents[i]
+            linked[i] = linked[i] or linked[up]
+            within[i] = within[i] or within[up]
+            article[i] = article[i] or article[up]
+            foreign[i] = foreign[up] or self.marked.get(i) == 2
+            owner[i] = i if i in self.marked else owner[up]
+        # Text outside links by owner; its part in a <main>, and in an <article> without a marked part around it.
+        own, in_main, in_article = [0] * n, 0, 0
         for node, text in self.pieces:
             if text and not linked[node]:
-                plain[node] += len("".join(text.split()))
-        for i in range(n - 1, 0, -1):
-            up = self.parents[i]
-            plain[up] += plain[i]
-            home[up] = home[up] or home[i]
-        all_ = plain[self.tags.index("body") if "body" in self.tags else 0]
-        # Where a <main> has text, a marked part beside it is no story, however long.
-        stated = any(self.tags[i] == "main" and plain[i] for i in range(n))
-        within = [t == "main" for t in self.tags]
-        for i in range(1, n):
-            within[i] = within[i] or within[self.parents[i]]
-        gone = [False] * n
-        for i in self.marked:
-            gone[i] = not home[i] and (2 * plain[i] <= all_ or stated and not within[i])
+                size = len("".join(text.split()))
+                own[owner[node]] += size
+                in_main += size * within[node]
+                in_article += size * (article[node] and not owner[node])
+        # Where a <main> has text or an <article> a story, a marked part beside it is none, however long.
+        barred = {i for i in self.marked if in_main and not within[i] or in_article >= STORY_CHARS and not article[i]}
+        opened: set[int] = set()
+
+        def open_up(i: int) -> None:
+            """Keep a marked element and the marked ones around it; their own text then counts as left."""
+            while i and i not in opened:
+                opened.add(i)
+                own[0] += own[i]
+                i = owner[parents[i]]
+
+        articles = [i for i in range(1, n) if tags[i] == "article" and not foreign[i] and owner[i] not in barred]
+        if articles and all(owner[i] for i in articles):
+            for i in articles:
+                open_up(owner[i])
+        # The longest first, so that what it leaves open is known to the shorter ones.
+        for i in sorted(self.marked, key=lambda i: (self.marked[i], -own[i], i)):
+            if i not in opened and i not in barred and own[i] > own[0] and (own[0] < STORY_CHARS or not foreign[i]):
+                open_up(i)
+        gone = [i in self.marked and i not in opened for i in range(n)]
         number, kept = [0] * n, [0]
         for i in range(1, n):
             gone[i] = gone[i] or gone[self.parents[i]]
@@ -164,6 +206,7 @@ class Page:
         home = 0  # open <article> and <main> elements
         at, size = 0, len(html)
         names = ["#page"]
+        held: Counter[str] = Counter()  # open elements by name, so that no stack is searched in vain
         while at < size:
             found = TOKEN.search(html, at)
             start, end = found.span() if found else (size, size)
@@ -180,11 +223,12 @@ class Page:
             tag = tag.lower()
             attributes, at = self._attributes(html, at)
             if found[1]:
-                depth = len(names) - 1
+                depth = len(names) - 1 if held[tag] else 0
                 while depth and names[depth] != tag:
                     depth -= 1
                 if depth:
                     home -= sum(n in ("article", "main") for n in names[depth:])
+                    held.subtract(names[depth:])
                     del names[depth:], stack[depth:]
                     if cut and depth <= cut:
                         cut = 0
@@ -192,12 +236,13 @@ class Page:
                     self.pieces.append((stack[-1], None))
                 continue
             closes, bars = ENDS.get(tag, ((), ()))
-            while closes:
+            while any(held[t] for t in closes):
                 depth = len(names) - 1
                 while depth and names[depth] not in closes and names[depth] not in bars:
                     depth -= 1
                 if not depth or names[depth] in bars or (tag in BLOCKS and names[depth] == "p" and any(n in ("div", "section", "article") for n in names[depth + 1 :])):
                     break
+                held.subtract(names[depth:])
                 del names[depth:], stack[depth:]
                 if cut and depth <= cut:
                     cut = 0
@@ -207,8 +252,8 @@ class Page:
             if not gone:
                 self.tags.append(tag)
                 self.parents.append(stack[-1])
-                if is_marked(tag, attributes, home > 0):
-                    self.marked.append(len(self.tags) - 1)
+                if mark := marks(tag, attributes, home > 0):
+                    self.marked[len(self.tags) - 1] = mark
             if tag in VOID:
                 if not gone and tag in ("br", "td", "th"):
                     self.pieces.append((stack[-1], " "))
@@ -225,19 +270,19 @@ class Page:
                 self.pieces.append((stack[-1], " "))
             home += tag in ("article", "main")
             names.append(tag)
+            held[tag] += 1
             stack.append(stack[-1] if gone else len(self.tags) - 1)
             if gone and not cut:
                 cut = len(stack) - 1
 
-    def text(self) -> str:
-        """The main text; blocks are joined by a blank line."""
+    def densities(self) -> tuple[list[float], list[float]]:
+        """Link-adjusted characters per tag of every node, and the sum of its children's (a leaf: its own)."""
         n = len(self.tags)
         chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         linked = [False] * n
         for i in range(1, n):
             linked[i] = linked[self.parents[i]] or self.tags[i] == "a"
-        pieces = self.pieces
-        for node, text in pieces:
+        for node, text in self.pieces:
             if text:
                 size = len("".join(text.split()))
                 chars[node] += size
@@ -249,8 +294,6 @@ class Page:
             tags[up] += tags[i] + 1
             link_chars[up] += link_chars[i]
             link_tags[up] += link_tags[i] + (self.tags[i] == "a")
-        if not chars[0]:
-            return ""
         body = self.tags.index("body") if "body" in self.tags else 0
         all_chars, all_links = max(chars[body], 1), link_chars[body]
 
@@ -268,14 +311,23 @@ class Page:
         for i in range(1, n):
             sums[self.parents[i]] += dense[i]
             leaf[self.parents[i]] = False
-        sums = [dense[i] if leaf[i] else sums[i] for i in range(n)]
+        self.chars = chars
+        return dense, [dense[i] if leaf[i] else sums[i] for i in range(n)]
+
+    def text(self) -> str:
+        """The main text; blocks are joined by a blank line."""
+        n, pieces = len(self.tags), self.pieces
+        dense, sums = self.densities()
+        if not self.chars[0]:
+            return ""
+        body = self.tags.index("body") if "body" in self.tags else 0
         # Largest sum within each subtree; of equal ones the first in page order.
         best = list(range(n))
         for i in range(n - 1, 0, -1):
             up = self.parents[i]
             if sums[best[i]] > sums[best[up]] or sums[best[i]] == sums[best[up]] and best[i] < best[up] and best[up] != up:
                 best[up] = best[i]
-        heart = best[body] if chars[body] else best[0]
+        heart = best[body] if self.chars[body] else best[0]
         path = [heart]
         while path[-1] not in (0, body):
             path.append(self.parents[path[-1]])
@@ -283,7 +335,8 @@ class Page:
         content = [False] * n
         for i in path:
             if self.tags[i] in ("article", "main"):
-                content[i] = True
+                for j in range(1, n):
+                    content[j] = j == i or self.tags[i] == self.tags[j] == "article" and self.parents[i] == self.parents[j] and dense[j] >= threshold
                 break
         else:
             reached = [False] * n

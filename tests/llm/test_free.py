@@ -193,6 +193,106 @@ def test_a_marked_wrapper_does_not_cut_the_story(wrapper):
     assert html_density.main_text(html) == story.strip()
 
 
+LINE = "The council met on Monday and agreed on the new plan for the harbour. "
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        # Longer comments beside a story without a mark, and all in a wrapper that the comments give their name.
+        (f'<body><div><p>{LINE * 3}</p></div><div id="comments"><p>{"I do not agree at all. " * 40}</p></div></body>', [LINE * 3]),
+        (f'<body><article><p>{LINE * 3}</p><div id="comments"><article><p>{"So say I. " * 60}</p></article></div></article></body>', [LINE * 3]),
+        (f'<body><div class="cookie-consent"><p>{"We value your choice. " * 40}</p></div><div><p>{LINE * 3}</p></div></body>', [LINE * 3]),
+        (f'<body><div class="ad-box">{"Buy two, pay one. " * 40}</div><div><p>{LINE * 3}</p></div></body>', [LINE * 3]),
+        (f"<body><article><p>{LINE * 3}</p></article><article><p>{LINE * 5}</p></article></body>", [LINE * 3, LINE * 5]),
+        (f'<body><div class="promo-page"><p>{LINE * 3}</p></div><div><p>{LINE * 5}</p></div></body>', [LINE * 3, LINE * 5]),
+        # Teasers in an <article> of their own do not save the part around them, but the only article does.
+        (f'<body><article><p>{LINE * 3}</p></article><div class="related"><article><p>{LINE * 9}</p></article></div></body>', [LINE * 3]),
+        (f'<body><div class="widget"><article><p>{LINE * 3}</p></article></div><div class="social">{LINE * 2}</div></body>', [LINE * 3]),
+        # Of a page of marked parts alone, the longest that is not foreign.
+        (f'<body><div class="overlay"><p>{LINE * 2}</p><div class="ads">{LINE * 9}</div></div><div class="menu">Menu</div></body>', [LINE * 2]),
+        (f'<body><div class="comment-page"><p>{LINE * 2}</p></div></body>', [LINE * 2]),
+        ('<body><main><p>Short.</p></main><div class="sidebar"><p>' + LINE * 9 + "</p></div></body>", ["Short."]),
+    ],
+)
+def test_what_is_left_decides_on_marks(html, want):
+    assert html_density.main_text(html).split("\n\n") == [w.strip() for w in want]
+
+
+def plain_densities(html):
+    """Density and sum of each element by name, over a tree of nested lists built by the library parser."""
+    import math
+    from html.parser import HTMLParser
+
+    class Tree(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.root = self.at = {"tag": "#page", "kids": [], "up": None}
+
+        def handle_starttag(self, tag, attrs):
+            node = {"tag": tag, "kids": [], "up": self.at}
+            self.at["kids"].append(node)
+            self.at = node
+
+        def handle_endtag(self, tag):
+            self.at = self.at["up"]
+
+        def handle_data(self, data):
+            self.at["kids"].append(data)
+
+    tree = Tree()
+    tree.feed(html)
+
+    def measure(node, linked=False):
+        linked = linked or node["tag"] == "a"
+        c = t = lc = lt = 0
+        for kid in node["kids"]:
+            if isinstance(kid, str):
+                size = len("".join(kid.split()))
+                c, lc = c + size, lc + size * linked
+            else:
+                kc, kt, klc, klt = measure(kid, linked)
+                c, t, lc, lt = c + kc, t + kt + 1, lc + klc, lt + klt + (kid["tag"] == "a")
+        node["sizes"] = c, t, lc, lt
+        return node["sizes"]
+
+    measure(tree.root)
+    body = tree.root["kids"][0]
+    whole, _, links, _ = body["sizes"]
+
+    def density(node):
+        c, t, lc, lt = node["sizes"]
+        if not c:
+            return 0.0
+        t, n, lc1, lt1 = max(t, 1), max(c - lc, 1), max(lc, 1), max(lt, 1)
+        if c * t <= lc1 * lt1:
+            return 0.0
+        return c / t * math.log((c / lc1) * (t / lt1), math.log(c / n * lc1 + links / whole * c + math.e))
+
+    out = {}
+
+    def walk(node):
+        kids = [k for k in node["kids"] if not isinstance(k, str)]
+        out[node["tag"]] = density(node), sum(map(density, kids)) if kids else density(node)
+        for k in kids:
+            walk(k)
+
+    walk(body)
+    return out
+
+
+def test_densities_against_a_plain_tree():
+    html = f"<body><x1><x2><a>link one</a><x3>{LINE}</x3></x2><x4>{LINE * 4}<x5>more of it</x5></x4></x1><x6><x7><a>{LINE}</a></x7>x</x6></body>".replace("<a>", "<a>")
+    page = html_density.Page(html)
+    dense, sums = page.densities()
+    want = plain_densities(html)
+    got = {t: (dense[i], sums[i]) for i, t in enumerate(page.tags) if t in want}
+    assert got.keys() == want.keys()
+    assert all(got[t] == pytest.approx(want[t]) for t in want)
+    best = max(want, key=lambda t: want[t][1])
+    assert page.tags[max(range(len(sums)), key=sums.__getitem__)] == best
+
+
 @pytest.mark.parametrize("size", [10, 70_000])
 def test_long_attribute_values_stay_in_their_tag(size):
     value = "{\"a\": \"</div><p>x > y\"}" + "z" * size
