@@ -48,19 +48,27 @@ def int_array(values: list[int]) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def numbered(df: DataFrame, keys: list[Column], name: str, parts: int = 16) -> DataFrame:
-    """Add `ordinal`, the exact 0-based position in the order of `keys`, without a one-task sort.
+def running(df: DataFrame, keys: list[Column], size: Column, name: str, part_rows: int = 1 << 18) -> DataFrame:
+    """Add `before`, the exact sum of `size` over all rows that precede in the order of `keys`, without a one-task sort.
 
-    Rows are range-partitioned and settled; a partition's offset is the sum of the counts
-    before it (at most `parts` counts).
+    Rows are range-partitioned into about one range per `part_rows` rows and settled; the
+    totals of the ranges become offsets. Ties within `keys` are taken in any order, so keys
+    that tell rows apart make the result a function of the data.
     """
-    laid = settle(df.repartitionByRange(parts, *keys).withColumn("_part", F.spark_partition_id()), name)
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = laid.groupBy("_part").count().select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_part").orderBy(*keys)
+    parts = max(1, -(-df.count() // part_rows))
+    laid = df.withColumn("_size", size.cast("long")).repartitionByRange(parts, *keys)
+    laid = settle(laid.withColumn("_part", F.spark_partition_id()), name)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = laid.groupBy("_part").agg(F.sum("_size").alias("_sum")).select("_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        laid.withColumn("_in", F.row_number().over(inside) - 1)
+        laid.withColumn("_in", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
         .join(offsets, "_part")
-        .withColumn("ordinal", (F.col("_offset") + F.col("_in")).cast("long"))
-        .drop("_part", "_in", "_offset")
+        .withColumn("before", (F.col("_offset") + F.col("_in")).cast("long"))
+        .drop("_part", "_in", "_offset", "_size")
     )
+
+
+def numbered(df: DataFrame, keys: list[Column], name: str) -> DataFrame:
+    """Add `ordinal`, the exact 0-based position in the order of `keys`."""
+    return running(df, keys, F.lit(1), name).withColumnRenamed("before", "ordinal")

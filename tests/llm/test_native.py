@@ -79,6 +79,32 @@ def test_rows_of_one_key_are_dealt_out(spark):
     found = sharding.shard(frame(spark, rows), max_bytes=1000).collect()
     sizes = Counter(r.shard for r in found)
     assert sum(sizes.values()) == 50 and len(sizes) == 10 and max(sizes.values()) <= 10
+    assert all((r.shard_bytes, r.shard_docs) == (500, 5) for r in found)
+
+
+def test_pages_of_a_key_hold_their_own_bytes_and_do_not_move(spark):
+    rows = [(5, chr(97 + i % 26) * (i * 37 % 900), f"{i}") for i in range(120)] + [(5, "v" * 3000, "x"), (5, "u" * 700, "y"), (5, None, None)]
+    rows += [(i, "t" * 80, "z") for i in range(40)]
+    docs = frame(spark, rows)
+    found = sharding.shard(docs, max_bytes=1000).collect()
+    assert Counter((r.doc_id, r.text, r.source) for r in found) == Counter(rows)
+    held = defaultdict(list)
+    for r in found:
+        held[r.shard].append(len(r.text or ""))
+    assert all(sum(s) <= 1000 or len(s) == 1 for s in held.values())
+    assert all((r.shard_bytes, r.shard_docs) == (sum(held[r.shard]), len(held[r.shard])) for r in found)
+    # Pages of short rows are at least half full on average, and short rows share one only with short ones.
+    pages = [sum(s) for name, s in held.items() if "+" in name and "long" not in name]
+    assert sum(pages) / len(pages) > 400
+    again = sharding.shard(docs.repartition(7, "text"), max_bytes=1000).collect()
+    assert Counter(found) == Counter(again)
+
+
+def test_sharding_meets_any_column_name_and_type(spark):
+    docs = spark.createDataFrame([(1, "a" * 9, 3, {"k": 1}, [1]), (1, "b" * 9, 4, None, None)], "doc_id long, text string, _key int, _page map<string,int>, before array<int>")
+    found = sharding.shard(docs, max_bytes=10)
+    assert found.columns == [*docs.columns, "shard", "shard_bytes", "shard_docs"]
+    assert sorted((r._key, r.shard_bytes, r.shard_docs) for r in found.collect()) == [(3, 9, 1), (4, 9, 1)]
 
 
 def test_sharding_keeps_columns_and_replaces_its_own(spark):
