@@ -31,9 +31,8 @@ import pandas as pd
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from bulletin.llm.common import fresh_path, settle
+from bulletin.llm.common import fresh_path, running, settle
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "file string, shard long, records long, bytes long, sha256 string"
@@ -48,14 +47,11 @@ def sort_key(page_id: Column, sha1: Column) -> Column:
     return F.concat(F.coalesce(F.lpad(shifted, 20, F.lit("0")), F.lit("-" * 20)), sha1)
 
 
-def shard_bounds(narrow: DataFrame, shard_bytes: int, parts: int = 16) -> list[str]:
+def shard_bounds(narrow: DataFrame, shard_bytes: int) -> list[str]:
     """The first key of every shard but the first. Their number is total bytes over `shard_bytes`."""
-    laid = settle(narrow.repartitionByRange(parts, "key").withColumn("_part", F.spark_partition_id()), "warc-order")
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = laid.groupBy("_part").agg(F.sum("size").alias("_sum")).select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_part").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    total = F.col("_offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    shards = laid.join(offsets, "_part").select("key", F.floor(total / shard_bytes).alias("shard")).groupBy("shard").agg(F.min("key").alias("key"))
+    keys = settle(narrow.groupBy("key").agg(F.sum("size").alias("size")), "warc-keys")
+    total = running(keys, [F.col("key")], F.col("size"), "warc-order")
+    shards = total.groupBy(F.floor(F.col("before") / shard_bytes).alias("shard")).agg(F.min("key").alias("key"))
     return sorted({r["key"] for r in shards.filter("shard > 0").collect()})
 
 
@@ -199,7 +195,8 @@ def write_warc(
         base.select(sort_key(F.col("page_id"), F.sha1(F.col("html").cast("binary"))).alias("key"), F.lit(1).alias("kind"), "page_id", "url", "html")
     )
     rows = rows.withColumn("shard", shard_of("key"))
-    laid = rows.repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", "key", "kind", "url")
+    # By number rather than by hash: every shard is a task of its own.
+    laid = rows.repartitionById(len(bounds) + 1, F.col("shard").cast("int")).sortWithinPartitions("shard", "key", "kind", "url")
     manifest = f"{folder}/manifest"
     laid.mapInPandas(_write(folder, roll_bytes, date), MANIFEST).write.parquet(manifest)
     return Archive(folder, manifest)

@@ -136,6 +136,15 @@ def test_warc_round_trip(spark):
     assert manifest(archive) == manifest(again)
 
 
+def test_warc_shards_are_even_and_each_a_task_of_its_own(spark):
+    pages = spark.createDataFrame([(i, None, "x" * 100) for i in range(64)] + [(100, None, "y" * 50_000)], "page_id long, url string, html string")
+    archive = warc.write_warc(pages, shard_bytes=400, roll_bytes=1 << 30)
+    assert [r.records for r in archive.files(spark).orderBy("shard").collect()] == [4] * 16 + [1]
+    assert len(spark.read.parquet(archive.manifest).inputFiles()) == 17
+    (long,) = [r for r in warc.read_warc(spark, archive).collect() if r.page_id == 100]
+    assert long.payload_bytes == 50_000 and long.record_type == "response"
+
+
 def test_warc_without_revisits_and_empty(spark):
     pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
     rows = warc.read_warc(spark, warc.write_warc(pages, min_bytes=11)).collect()
