@@ -75,9 +75,8 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 
 def symbols(text: Column) -> Column:
-    """Positions of the characters in ALPHABET, 1-based."""
-    each = lambda i: F.instr(F.lit(ALPHABET), F.substring(text, i, F.lit(1)))
-    return F.transform(F.sequence(F.lit(1), F.char_length(text)), each)
+    """Positions of the characters in ALPHABET, 1-based; the text is cut into characters once, whatever its length."""
+    return F.transform(F.split(text, ""), lambda c: F.instr(F.lit(ALPHABET), c))
 
 
 def default_samples(docs: DataFrame, sample_docs: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -215,6 +215,20 @@ def test_learned_secrets_tell_random_strings_from_identifiers(spark):
     assert found == {0: "random:4:28", 1: "", 2: "assign:0:33", 3: ""}
 
 
+def test_codes_and_ratios_of_runs_of_any_length(spark):
+    from pyspark.sql import functions as F
+
+    table = [(i * 37 % 101) / 50 - 1 for i in range(len(secret_scan.ALPHABET) ** 2)]
+    texts = ["a", "ab", "Zk3v=/_-+", secret_scan.ALPHABET * 3_000]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = {r.i: (r.c, r.r) for r in docs.select("i", secret_scan.symbols(F.col("t")).alias("c"), secret_scan.ratio_of(F.col("t"), table).alias("r")).collect()}
+    for i, t in enumerate(texts):
+        codes = [secret_scan.ALPHABET.index(c) for c in t]
+        assert found[i][0] == [c + 1 for c in codes]
+        steps = [table[a * len(secret_scan.ALPHABET) + b] for a, b in zip(codes, codes[1:])]
+        assert found[i][1] == pytest.approx(sum(steps) / len(steps) if steps else 0.0)
+
+
 def weighted_windows(doc, item, size=5):
     w, v = lower(doc).split(), lower(item).split()
     q = min(size, len(v))
