@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from html.entities import html5
 
 from bulletin import rules
 from bulletin.functions.basics import CJK, DIGIT, FULLWIDTH_DIGITS, LINE_BREAK, WORD, WS, WS_CHARS
@@ -588,6 +589,29 @@ add("format_publish", f"SELECT notice_id, {_PUBLISHED} AS published FROM {ARTICL
 _space = lambda x: trim(swap(swap(swap(x, r"\r\n?", "\n"), r"\n{3,}", "\n\n"), r"[ \t]+", " "))
 add("normalize_space", f"SELECT doc_id, {_space('dirty')} AS cleaned FROM {DIRTY} d")
 
+_MAP = f"map([{', '.join(map(lit, html5))}], [{', '.join(map(lit, html5.values()))}])"
+_SHORT = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+_C1 = "[" + ", ".join(lit(bytes([i]).decode("cp1252", errors="ignore") or chr(i)) for i in range(0x80, 0xA0)) + "]"
+
+
+def one(x: str, name: str, body: str) -> str:
+    """``body`` with ``x`` under a name, evaluated once."""
+    return f"list_transform([{x}], lambda {name}: {body})[1]"
+
+
+def unescaped(x: str) -> str:
+    """Character references as HTML reads them: by name or number, some names also without their semicolon."""
+    digits = "CASE WHEN regexp_matches(s, '^#[xX]') THEN '0x' || regexp_extract(s, '^#[xX]0*([0-9a-fA-F]*)', 1) ELSE regexp_extract(s, '^#0*([0-9]*)', 1) END"
+    number = one(digits, "d", "CASE WHEN d IN ('', '0x') THEN 0 WHEN length(d) > 9 THEN 1114112 ELSE CAST(d AS BIGINT) END")
+    char = f"""CASE WHEN n = 0 OR n BETWEEN 55296 AND 57343 OR n > 1114111 THEN chr(65533) WHEN n BETWEEN 128 AND 159 THEN {_C1}[n - 127]
+ WHEN n BETWEEN 1 AND 8 OR n = 11 OR n BETWEEN 14 AND 31 OR n = 127 OR n BETWEEN 64976 AND 65007 OR n % 65536 >= 65534 THEN '' ELSE chr(CAST(n AS INT)) END"""
+    by_prefix = one(f"regexp_extract(s, '^(?:{_SHORT})')", "k", f"CASE WHEN k <> '' THEN {_MAP}[k] || substr(s, length(k) + 1) ELSE '&' || s END")
+    named = f"coalesce({_MAP}[s], {by_prefix})"
+    said = f"CASE WHEN s = '' THEN '&' WHEN s[1] = '#' THEN {one(number, 'n', char)} ELSE {named} END || substr(p, length(s) + 1)"
+    shape = lit("^(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)")
+    pieces = f"list_transform(string_split({x}, '&'), lambda p, i: CASE WHEN i = 1 THEN p ELSE {one(f'regexp_extract(p, {shape})', 's', said)} END)"
+    return f"array_to_string({pieces}, '')"
+
 
 def _fragment() -> str:
     x = trim(r"coalesce(nullif(regexp_extract(html, '(?i)<body[^>]*>([\s\S]*?)</body>', 1), ''), html)")
@@ -1101,9 +1125,7 @@ def _page_text(x: str) -> str:
     for level in range(1, 7):
         x = swap(x, rf"(?i)<h{level}(?:\s[^>]*)?>\s*", "\n" + "#" * level + " ")
     x = swap(swap(x, r"(?i)<li(?:\s[^>]*)?>\s*", "\n* "), r"(?i)</?(?:" + "|".join(rules.BLOCK_TAGS) + r")(?:\s[^>]*|/)?>", "\n")
-    x = swap(x, "<[^>]+>")
-    for name, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):  # all references of the test pages
-        x = f"replace({x}, {lit(name)}, {lit(char)})"
+    x = unescaped(swap(x, "<[^>]+>"))
     x = trim(swap(swap(x, r"[ \t]*\n[ \t]*", "\n"), r"\n{2,}", "\n"))
     return x
 
