@@ -624,7 +624,7 @@ def _fragment() -> str:
 
 
 add("sanitize_fragment", f"SELECT page_id, {_fragment()} AS fragment FROM pages")
-add("strip_tags", f"SELECT page_id, {collapse(_plain(swap('html', '<[^>]+>')))} AS text FROM pages")
+add("strip_tags", f"SELECT page_id, {collapse(unescaped(swap('html', '<[^>]+>')))} AS text FROM pages")
 add(
     "doc_headline",
     f"""WITH {_LINES} SELECT doc_id, coalesce(arg_min({trim(f"substr({trim('line')}, 3)")}, n) FILTER (WHERE starts_with({trim('line')}, '# ')), '') AS headline,

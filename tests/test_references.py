@@ -20,7 +20,7 @@ def test_sql_decodes_as_html_does():
     assert got == [html.unescape(t) for t in TEXTS]
 
 
-@pytest.mark.parametrize("name", ["html_to_text"])
+@pytest.mark.parametrize("name", ["html_to_text", "strip_tags"])
 def test_query_and_sql_agree(spark, tmp_path, name):
     pages = [(i, "https://e.com/", f"<h1>{t}</h1><p>b {t}<b>c</b></p>") for i, t in enumerate(TEXTS)]
     spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
