@@ -9,9 +9,12 @@ of the two middle characters, so that a gram, its suffixes down to two character
 their contexts lie in one part; tables of one and two characters go with every part. A
 worker holds a few parts at a time and looks a gram up once, whatever the number of parts;
 the driver gets the names of the languages only. A document gets the language of the lowest cross-entropy per
-character. It is rejected when that entropy is nearer to what the language's own documents
-show with their characters in random order than to what they show as written, with a
-margin of `z` standard deviations for short texts.
+character. It is rejected when that entropy is nearer to what the language's characters
+would show in random order than to what its training documents show as written, with a
+margin of `z` standard deviations for short texts. Both are exact, over all training
+documents: the first is the mean over every counted gram; the second is the expectation
+over characters drawn by their frequency (a space never follows a space), a sum over the
+grams and contexts of the model, since all others fall back to shorter ones.
 
 Null or letterless text gives `und`, score 0 and is rejected; with no training row at all,
 every text does. Null languages are not learned. Ties go to the first language in code
@@ -210,11 +213,7 @@ class Model:
             at = np.flatnonzero(part == r)
             high = high_tables(self.folder, r, len(self.langs))
             for j in range(len(self.langs)):
-                p = np.full(len(at), floor[j])
-                for k, (keys, value, contexts, weight) in enumerate([*low[j], *high[j]], 1):
-                    own = grams[at] & np.uint64((1 << 16 * k) - 1)
-                    p = _find(keys, value, hashed(own), 0.0) + _find(contexts, weight, hashed(own >> np.uint64(16)), 1.0) * p
-                out[at, j] = np.log(p)
+                out[at, j] = np.log(_interpolated([*low[j], *high[j]], floor[j], grams[at], ORDER))
         return out
 
     def index(self) -> GramIndex:
@@ -306,19 +305,17 @@ def _has_letter(text: str | None) -> bool:
 
 
 def train(
-    docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id",
-    part_grams: int = 1_000_000, calibration_docs: int = 400, z: float = 3.0,
+    docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
+    part_grams: int = 1_000_000, z: float = 3.0,
 ) -> Model:
     """Learn from the rows of `docs` that have a language and a text.
 
     The model has one part per `part_grams` grams (about 50 bytes each), of which a worker
-    holds four and reads others when it meets a gram for the first time. The rejection is
-    calibrated on at most `calibration_docs` documents per language, chosen by a hash of id.
+    holds four and reads others when it meets a gram for the first time.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
-    rows = rows.filter("lang is not null and text is not null")
-    counted = rows.select("lang", "text").mapInArrow(_count_grams, "lang string, gram long, n long")
+    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang is not null and text is not null")
+    counted = rows.mapInArrow(_count_grams, "lang string, gram long, n long")
     grams = settle(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-grams")
     langs = sorted((r[0] for r in grams.select("lang").distinct().collect()), key=lambda x: x.encode("utf-8"))
     model = Model(langs, fresh_path(spark, "language-model"), max(1, -(-grams.count() // part_grams)), z=z)
@@ -329,44 +326,92 @@ def train(
         last = lambda chars: F.col("gram").bitwiseAND(F.lit((1 << 16 * chars) - 1).cast("long")).alias("gram")
         low = grams.select("lang", last(3)).distinct().groupBy("lang", last(2)).agg(F.count("*").alias("n"))
         low.write.parquet(f"{model.folder}/low")
-    if langs:
-        # A bounded sample by hash: the hash threshold is set from the row count of each language.
-        sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
-        part = F.lit(0.0)
-        for lang in langs:
-            part = F.when(F.col("lang") == lang, F.lit(calibration_docs / sizes[lang])).otherwise(part)
-        draw = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1_000_003)) / 1_000_003.0
+        grams.groupBy("lang", last(1)).agg(F.sum("n").alias("n")).write.parquet(f"{model.folder}/ones")
         shared = spark.sparkContext.broadcast(model)
-        stats = rows.filter(draw < part).mapInArrow(_calibrate(shared), "lang string, n long, m double, s double, v double")
-        found = stats.groupBy("lang").agg(*[F.sum(c).alias(c) for c in ("n", "m", "s", "v")]).collect()
-        by = {r["lang"]: ((r["m"] + r["s"]) / 2 / r["n"], r["v"] / r["n"]) for r in found if r["n"]}
-        # A language whose documents all missed the sample is never rejected on entropy.
-        model.usual = np.array([by.get(x, (np.inf, 1.0)) for x in langs])
+        # One task per part: sums over its grams, which are whole whatever their number.
+        sums = spark.range(0, model.parts, 1, model.parts).mapInArrow(_calibrate(shared), "lang long, n double, said double, squares double, loose double")
+        found = sums.groupBy("lang").agg(*[F.sum(c).alias(c) for c in ("n", "said", "squares", "loose")]).orderBy("lang").collect()
+        mean = np.array([r["said"] / r["n"] for r in found])
+        model.usual = np.column_stack([(mean + [r["loose"] for r in found]) / 2, [max(r["squares"] / r["n"] - m**2, 0) for r, m in zip(found, mean)]])
     return model
 
 
+def _random_order(folder: str, langs: int) -> Iterator[np.ndarray]:
+    """Per language the probabilities of every character in random order: after a letter, anywhere, after a space."""
+    for chars, n in _by_language(f"{folder}/ones", langs):
+        after = np.zeros((3, 1 << 16))
+        after[0, chars] = n / n.sum()
+        spaces = after[0, SPACE]
+        after[2] = after[0] / (1 - spaces)
+        after[2, SPACE] = 0
+        after[1] = after[2] / (1 + spaces)
+        after[1, SPACE] = spaces / (1 + spaces)
+        yield after
+
+
+def _drawn(after: np.ndarray, grams: np.ndarray, size: int) -> np.ndarray:
+    """Probability of each string of `size` characters where characters come in random order."""
+    out, before = np.ones(len(grams)), None
+    for k in range(size)[::-1]:
+        char = ((grams >> np.uint64(16 * k)) & np.uint64(0xFFFF)).astype(np.int64)
+        out *= after[1, char] if before is None else np.where(before == SPACE, after[2, char], after[0, char])
+        before = char
+    return out
+
+
 def _calibrate(shared):
+    """Per part and language: sums over the counted grams as written, and the part's share of the expectation in random order."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        index, memo = model.index(), {}
+        langs = len(model.langs)
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            sums, squares, sizes = _score(model, texts, index, memo)
-            stirred = ["".join(np.random.default_rng(len(t)).permutation(list(t))) for t in texts]
-            loose, _, loose_sizes = _score(model, stirred, index, memo)
-            own, at = np.array([model.langs.index(x) for x in langs]), np.arange(len(langs))
-            mean = -sums[at, own] / np.maximum(sizes, 1)
-            frame = pd.DataFrame(
-                {
-                    "lang": langs, "n": 1, "m": mean, "s": -loose[at, own] / np.maximum(loose_sizes, 1),
-                    "v": np.maximum(squares[at, own] / np.maximum(sizes, 1) - mean**2, 0),
-                }
-            )[sizes >= 50]
-            yield pa.RecordBatch.from_pandas(frame.groupby("lang", as_index=False).sum(), preserve_index=False)
+            for part in batch.column(0).to_pylist():
+                low, floor = low_tables(model.folder, langs)
+                high = high_tables(model.folder, part, langs)
+                counted = zip(*(_by_language(f"{model.folder}/{x}", langs) for x in (f"high/part={part}", "low")), _random_order(model.folder, langs))
+                sums = []
+                for j, ((grams, n), (short, _), after) in enumerate(counted):
+                    tables = [*low[j], *high[j]]
+                    log_p = np.log(_interpolated(tables, floor[j], grams, ORDER))
+                    loose = _loose(tables, floor[j], grams, after, ORDER)
+                    # The short grams go with every part and count in the first.
+                    if part == 0:
+                        loose += _loose(tables, floor[j], short, after, 2) - np.log(floor[j])
+                    sums.append((j, float(n.sum()), -(n * log_p).sum(), (n * log_p**2).sum(), loose))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*sums), [pa.int64(), *[pa.float64()] * 4])], ["lang", "n", "said", "squares", "loose"]
+                )
 
     return run
 
 
+def _interpolated(tables: list[Table], floor: float, grams: np.ndarray, size: int) -> np.ndarray:
+    """Probability of the last character of each string of `size` characters."""
+    p = np.full(len(grams), floor)
+    for k, (keys, value, contexts, weight) in enumerate(tables[:size], 1):
+        own = grams & np.uint64((1 << 16 * k) - 1)
+        p = _find(keys, value, hashed(own), 0.0) + _find(contexts, weight, hashed(own >> np.uint64(16)), 1.0) * p
+    return p
+
+
+def _loose(tables: list[Table], floor: float, grams: np.ndarray, after: np.ndarray, size: int) -> float:
+    """What grams of `size` and one fewer characters add to the expected entropy beyond that of shorter ones.
+
+    An unseen gram has its suffix's probability times the weight of its context, or that
+    probability itself if its context is unseen too, so only seen grams and contexts add.
+    """
+    total = 0.0
+    for k in (size - 1, size):
+        seen = np.unique(grams & np.uint64((1 << 16 * k) - 1))
+        contexts = np.unique(seen >> np.uint64(16))
+        weight = lambda c: np.log(_find(tables[k - 1][2], tables[k - 1][3], hashed(c), 1.0))  # noqa: E731, B023
+        total -= (_drawn(after, contexts, k - 1) * weight(contexts)).sum()
+        unseen = weight(seen >> np.uint64(16)) + np.log(_interpolated(tables, floor, seen, k - 1))
+        total += (_drawn(after, seen, k) * (unseen - np.log(_interpolated(tables, floor, seen, k)))).sum()
+    return total
+
+
 def _predict(model: Model, texts: list[str | None], index: GramIndex, memo: dict) -> pd.DataFrame:
     n = len(texts)
     letter = np.fromiter((_has_letter(t) for t in texts), bool, n)

@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -487,6 +488,33 @@ def test_languages_against_dictionaries(spark, part_grams):
         assert found[i].cross_entropy == pytest.approx(min(entropy.values()), rel=1e-4)
 
 
+@pytest.mark.parametrize("part_grams", [1_000_000, 15])
+def test_the_rejection_is_calibrated_on_every_document(spark, part_grams):
+    r = random.Random(11)
+    texts = [" ".join("".join(r.choices("abc", [5, 2, 1], k=r.randrange(1, 4))) for _ in range(r.randrange(1, 30))) for _ in range(900)]
+    docs = spark.createDataFrame([*((i, t, "xx") for i, t in enumerate(texts)), (900, "some other words", "yy")], "doc_id long, text string, lang string")
+    model = language_id.train(docs, part_grams=part_grams)
+    assert (model.parts > 4) == (part_grams == 15)
+    grams, probability = dictionary_model(texts)
+    known = {g: -np.log(probability(g)) for t in texts for g in grams(t)}
+    said = np.array([known[g] for t in texts for g in grams(t)])
+    share = {c: n / len(said) for c, n in Counter(g[-1] for t in texts for g in grams(t)).items()}
+    space = share[" "]
+
+    def after(x, c):
+        return share[c] if x != " " else 0 if c == " " else share[c] / (1 - space)
+
+    loose = total = 0.0
+    for g in itertools.product("abc ", repeat=4):
+        p = space / (1 + space) if g[0] == " " else share[g[0]] / (1 - space) / (1 + space)
+        for x, c in zip(g, g[1:]):
+            p *= after(x, c)
+        total += p
+        loose -= p * np.log(probability("".join(g))) if p else 0
+    assert total == pytest.approx(1)
+    assert model.usual[0].tolist() == pytest.approx([(said.mean() + loose) / 2, said.var()], rel=1e-6)
+
+
 def test_a_small_language_among_many_grams_stays_learned(spark):
     r = random.Random(8)
     rows = [(i, "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(3000)), "zh") for i in range(40)]
