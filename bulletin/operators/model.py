@@ -34,12 +34,11 @@ def ranking_requests(df: DataFrame, chunk_items: int = CHUNK_ITEMS, measure: Dat
 def selection_requests(df: DataFrame, chunk_items: int = CHUNK_ITEMS, excerpt_chars: int = 500, measure: DataFrame | None = None) -> DataFrame:
     """Candidates of the sections that have more items than their limit; reports and accounts have rules of their own."""
     open_ = df.where(~F.col("section").isin(*OWN_RULE_SECTIONS))
-    crowded = open_.groupBy("section").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rules.SECTION_LIMIT).select("section")
     body = F.substring(normalize_space(F.col("content")), 1, excerpt_chars)
     candidate = F.concat(
         F.lit(". 标题: "), text_or_empty(F.col("title")), F.lit("\n发布日期: "), text_or_empty(F.col("date")), F.lit("\n正文摘录: "), body
     )
-    return _section_requests(open_.join(crowded, "section", "left_semi"), candidate, chunk_items, measure)
+    return _section_requests(open_, candidate, chunk_items, measure, more_than=rules.SECTION_LIMIT)
 
 
 def summary_requests(df: DataFrame, excerpt_chars: int = 2500) -> DataFrame:
@@ -70,10 +69,11 @@ def report_requests(df: DataFrame, excerpt_chars: int = 3000) -> DataFrame:
     )
 
 
-def _section_requests(df: DataFrame, candidate: Column, chunk_items: int, measure: DataFrame | None) -> DataFrame:
-    """Prompts of numbered candidates, ``chunk_items`` to a prompt; an unlimited chunk is one prompt per section."""
-    # Only the candidate's text travels through the numbering, not the whole body.
-    indexed = item_index(df.select("section", "ordinal", candidate.alias("_body")), measure)
+def _section_requests(df: DataFrame, candidate: Column, chunk_items: int, measure: DataFrame | None, more_than: int = 0) -> DataFrame:
+    """Prompts of numbered candidates, ``chunk_items`` to a prompt, of sections with more than ``more_than`` items; an unlimited chunk is one prompt per section."""
+    # Only the candidate's text travels through the numbering, not the whole body. The
+    # numbering also counts the sections: a join by section would deal whole texts to one task each.
+    indexed = item_index(df.select("section", "ordinal", candidate.alias("_body")), measure, total="_items").where(F.col("_items") > more_than)
     candidate = F.concat(F.col("item_index").cast("string"), F.col("_body"))
     chunked = indexed.select(
         "section", "item_index", F.floor((F.col("item_index") - 1) / chunk_items).cast("bigint").alias("chunk"),

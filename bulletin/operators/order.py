@@ -47,6 +47,7 @@ def positions(
     name: str,
     exact: Sequence[str] = (),
     measure: DataFrame | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """Add the 1-based position of every row inside its group, by integer ``keys`` ascending.
 
@@ -59,7 +60,8 @@ def positions(
     Keys named in ``exact`` have few values (a score) and are their own range. The
     quantiles of the others are one aggregate over ``measure`` (by default ``df``), read as a
     scalar subquery. They set ranges and never results, so ``measure`` may be any cheaper
-    table with the same keys, such as the rows before a filter.
+    table with the same keys, such as the rows before a filter. ``total`` names a column for
+    the number of rows of the group, from the same counts.
     """
     group, keys = list(group), list(keys)
     measured = [k for k in keys if k not in exact]
@@ -90,18 +92,18 @@ def positions(
     counts = keyed.groupBy("_path").agg(F.count(F.lit(1)).alias("_n"))
     counts = counts.withColumn("_coarse", F.struct(*[F.col(f"_path.{c}") for c in [*group, path[0]]]))
     inside = Window.partitionBy("_coarse").orderBy("_path").rowsBetween(before, -1)
-    ahead = (
-        Window.partitionBy(F.struct(*[F.col(f"_coarse.{c}") for c in group])).orderBy("_coarse").rowsBetween(before, -1)
-    )
+    whole = Window.partitionBy(F.struct(*[F.col(f"_coarse.{c}") for c in group]))
+    ahead = whole.orderBy("_coarse").rowsBetween(before, -1)
+    size = [F.sum("_n").over(whole).alias(total)] if total else []
     coarse = (
         counts.groupBy("_coarse")
         .agg(F.sum("_n").alias("_n"))
-        .select("_coarse", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+        .select("_coarse", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"), *size)
     )
     offsets = counts.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(coarse, "_coarse")
     local = Window.partitionBy("_path").orderBy(*keys)
     numbered = keyed.withColumn("_local", F.row_number().over(local))
-    out = numbered.join(offsets.select("_path", "_inside", "_ahead"), "_path")
+    out = numbered.join(offsets.select("_path", "_inside", "_ahead", *([total] if total else [])), "_path")
     return out.withColumn(name, (F.col("_local") + F.col("_inside") + F.col("_ahead")).cast("bigint")).drop(
         "_path", *[c for c in path if c.startswith("_range_")], "_local", "_inside", "_ahead"
     )

@@ -29,9 +29,9 @@ def rank_in_section(scored: DataFrame, carry: tuple[str, ...] = ("notice_id", "r
     return positions(worst, SECTION, ["_worst", "ordinal"], "rank", exact=["_worst"]).drop("_worst")
 
 
-def item_index(df: DataFrame, measure: DataFrame | None = None) -> DataFrame:
-    """1-based feed position inside the section."""
-    return positions(df, SECTION, ["ordinal"], "item_index", measure=measure)
+def item_index(df: DataFrame, measure: DataFrame | None = None, total: str | None = None) -> DataFrame:
+    """1-based feed position inside the section; ``total`` names a column for the section's number of items."""
+    return positions(df, SECTION, ["ordinal"], "item_index", measure=measure, total=total)
 
 
 def newest_first(df: DataFrame, measure: DataFrame | None = None) -> DataFrame:
