@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,20 +40,22 @@ def _readings(raw: bytes, charsets: list[str]) -> list[str]:
     return found or [raw.decode("utf-8", errors="replace")]
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _readings_batch(raw: pd.Series, header: pd.Series) -> pd.Series:
-    return pd.Series([None if r is None else _readings(bytes(r), ["utf-8", "gb18030", *([h] if h else [])]) for r, h in zip(raw, header)])
+@F.udf(T.ArrayType(T.StringType()), useArrow=False)
+def _readings_of(raw: bytes | None, header: str) -> list[str] | None:
+    """Page by page: an Arrow batch would hold thousands of pages and three readings of each at once."""
+    return None if raw is None else _readings(bytes(raw), ["utf-8", "gb18030", *([header] if header else [])])
 
 
 def decode_pages(df: DataFrame, raw: str = "raw", content_type: str = "content_type") -> DataFrame:
     """Page bytes to text: the readable reading among UTF-8, GB18030 and the declared charset.
 
-    Spark decodes no GB18030, hence one Arrow batch call; pure ASCII pages skip it.
+    Spark decodes no GB18030, hence a Python function, which sees one page at a time; pure
+    ASCII pages skip it.
     """
     charset = text_or_empty(find(F.col(content_type), r"(?i)charset=([\w-]+)"))
     as_text = F.col(raw).cast("string")
     ascii_only = F.is_valid_utf8(as_text) & (F.length(as_text) == F.octet_length(F.col(raw)))
-    decoded = let(_readings_batch(F.when(~ascii_only, F.col(raw)), charset), best_candidate)
+    decoded = let(_readings_of(F.when(~ascii_only, F.col(raw)), charset), best_candidate)
     return df.withColumn("html", F.coalesce(decoded, as_text))
 
 

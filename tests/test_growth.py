@@ -1,6 +1,6 @@
 """Steps whose tasks must not grow with one group, and work that is done once per row."""
 
-from bulletin.operators import model
+from bulletin.operators import model, pages
 
 
 def plan(df):
@@ -14,3 +14,12 @@ def test_selection_requests_deal_no_text_by_section(spark):
     assert "LeftSemi" not in plan(requests)
     found = {(r.section, r.chunk): r["items"] for r in requests.collect()}
     assert found == {("乙", 0): 3, ("乙", 1): 2, ("丙", 0): 3, ("丙", 1): 3, ("丙", 2): 3}
+
+
+def test_decode_pages_holds_no_batch_of_pages(spark):
+    texts = ["中文页面" * 50, "déjà vu", "plain"]
+    rows = [(i, t.encode("gb18030" if i == 0 else "utf-8"), "text/html") for i, t in enumerate(texts)] + [(3, None, None), (4, b"\xff\xfe\xfa", "charset=nope")]
+    df = pages.decode_pages(spark.createDataFrame(rows, "page_id int, raw binary, content_type string"))
+    assert "BatchEvalPython" in plan(df) and "ArrowEvalPython" not in plan(df)
+    found = {r.page_id: r.html for r in df.collect()}
+    assert found[0] == texts[0] and found[2] == texts[2] and found[3] is None and found[4]
