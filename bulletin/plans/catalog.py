@@ -134,9 +134,9 @@ def ocr_payload_text(replies: DataFrame) -> DataFrame:
     return replies.select("conv_id", "turn", pages.ocr_text(F.col("raw")).alias("text"))
 
 
-@on(I.HALL_PAGES)
-def event_listing(stored: DataFrame) -> DataFrame:
-    return pages.event_listing(stored)
+@query
+def event_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.event_listing(I.view(spark, sf_dir, I.HALL_PAGES, deal="c_custkey"))
 
 
 @on(I.FEED_GROUPS)

@@ -23,3 +23,15 @@ def test_decode_pages_holds_no_batch_of_pages(spark):
     assert "BatchEvalPython" in plan(df) and "ArrowEvalPython" not in plan(df)
     found = {r.page_id: r.html for r in df.collect()}
     assert found[0] == texts[0] and found[2] == texts[2] and found[3] is None and found[4]
+
+
+def test_event_listing_reads_one_row_group_in_many_tasks(spark, tmp_path):
+    from bulletin.plans.catalog import QUERIES
+
+    rows = [(i, f"C{i}", i % 5) for i in range(400)]
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    listed = QUERIES["event_listing"](spark, str(tmp_path))
+    # The poster's address is searched once, however often resolving names it.
+    assert plan(listed).count(r"<img\b") == 1
+    assert listed.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    assert listed.count() == 800
