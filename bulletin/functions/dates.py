@@ -96,21 +96,22 @@ class RunClock:
 
 @dataclass(frozen=True)
 class IssueClock:
-    """The clock of the issue that a row belongs to: columns ``issue_date`` and ``issue_cutoff``."""
+    """The clock of the issue that a row belongs to: columns ``issue_date`` and ``issue_cutoff``, or a struct of them."""
 
     zone: str = "UTC"
+    issue: Column | None = None
 
     @property
     def today(self) -> Column:
-        return F.col("issue_date")
+        return F.col("issue_date") if self.issue is None else self.issue["issue_date"]
 
     @property
     def year_mark(self) -> Column:
-        return F.concat(F.year("issue_date").cast("string"), F.lit("年"))
+        return F.concat(F.year(self.today).cast("string"), F.lit("年"))
 
     @property
     def cutoff_at(self) -> Column:
-        return F.col("issue_cutoff")
+        return F.col("issue_cutoff") if self.issue is None else self.issue["issue_cutoff"]
 
     def before_now(self, span: dt.timedelta = dt.timedelta(0)) -> Column:
         return self.today.cast("timestamp_ntz") - F.lit(span)
@@ -221,21 +222,33 @@ def labelled_datetime(text: Column, labels: list[str]) -> Column:
     )
 
 
-def detected_days(text: Column, clock: Clock) -> Column:
-    """Days of all full dates, and of all month-days in the run year."""
+def date_marks(text: Column) -> Column:
+    """All full dates, then all month-days, as written: what ``days_of`` reads by a clock."""
     # The short pattern runs over the same text, so 2025年12月3日 also yields 12-03
     # of the run year.
-    found = F.concat(
+    return F.concat(
         find_all(text_or_empty(text), LOOSE_FULL_STAMP),
         find_all(text_or_empty(text), SHORT_STAMP),
     )
-    parsed = F.transform(found, lambda raw: parse_datetime_text(raw, clock).cast("date"))
+
+
+def days_of(marks: Column, clock: Clock) -> Column:
+    parsed = F.transform(marks, lambda raw: parse_datetime_text(raw, clock).cast("date"))
     return F.filter(parsed, lambda day: day.isNotNull())
 
 
+def detected_days(text: Column, clock: Clock) -> Column:
+    """Days of all full dates, and of all month-days in the run year."""
+    return days_of(date_marks(text), clock)
+
+
+def all_marks_past(marks: Column, clock: Clock) -> Column:
+    return let(days_of(marks, clock), lambda days: (F.size(days) > 0) & F.forall(days, lambda d: d < clock.today))
+
+
 def all_dates_past(text: Column, clock: Clock) -> Column:
     """At least one date is detected and all lie before the run date."""
-    return let(detected_days(text, clock), lambda days: (F.size(days) > 0) & F.forall(days, lambda d: d < clock.today))
+    return all_marks_past(date_marks(text), clock)
 
 
 def has_current_or_future_date(text: Column, clock: Clock) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -26,3 +27,10 @@ def settle(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def store(df: DataFrame) -> DataFrame:
+    """Write rows once as files and read them back: their size is known then, so that few rows are broadcast by it."""
+    path = f"{checkpoint_dir(df.sparkSession)}/bulletin-rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bulletin import rules
 from bulletin.functions.basics import clamp_score, fold, has_any, has_words, let, strip, text_or_empty
-from bulletin.functions.dates import Clock, all_dates_past
+from bulletin.functions.dates import Clock, all_dates_past, date_marks
 
 
 def with_folded(df: DataFrame) -> DataFrame:
@@ -52,8 +52,11 @@ def expired_cap(df: DataFrame) -> DataFrame:
     return _without_folded(with_folded(df).withColumn("cap", _expired_bound(F.col("_title"), F.col("_text"))))
 
 
-def guardrail_rules(clock: Clock) -> list[tuple[str, Column, str, Column]]:
-    """(tag, condition, "cap" or "floor", bound) in the order they apply, over folded columns."""
+def guardrail_rules(clock: Clock | None) -> list[tuple[str, Column, str, Column]]:
+    """(tag, condition, "cap" or "floor", bound) in the order they apply, over folded columns.
+
+    The last depends on the run date; without a clock, it holds for every library item.
+    """
     section, title, text, head = (F.col(c) for c in ("section", "_title", "_text", "_head"))
     publicity = has_words(text, rules.PUBLICITY)
     library = section.eqNullSafe(F.lit(rules.LIBRARY_SECTION))
@@ -66,7 +69,7 @@ def guardrail_rules(clock: Clock) -> list[tuple[str, Column, str, Column]]:
         & ~has_words(title, rules.SHOWCASE)
     )
     # Folding moves no digit or date mark, so dates can be read from the folded text.
-    past = library & all_dates_past(text, clock)
+    past = library if clock is None else library & all_dates_past(text, clock)
     return [
         ("cap_general_culture_lecture", has_words(text, rules.CULTURE), "cap", F.lit(20)),
         ("cap_general_activity", has_words(text, rules.ACTIVITY), "cap", F.lit(35)),
@@ -142,6 +145,18 @@ def with_score_bounds(df: DataFrame, clock: Clock) -> DataFrame:
     return _without_folded(staged.drop("_g"))
 
 
+def with_dated_scores(df: DataFrame) -> DataFrame:
+    """Guarded rule scores for any run date: ``over`` where all dates of ``dates`` are past, ``open`` elsewhere.
+
+    ``dates`` are the date marks of library items, the only ones that a past date caps.
+    """
+    steps = guardrail_rules(None)
+    staged = _conditions(with_folded(df), steps).withColumn("score", points(F.col("_text")))
+    library = F.col("section").eqNullSafe(F.lit(rules.LIBRARY_SECTION))
+    scores = {"open": _moved(F.col("score"), steps[:-1]), "over": _moved(F.col("score"), steps), "dates": F.when(library, date_marks(F.col("_text")))}
+    return _without_folded(staged.withColumns(scores).drop("_g", "score"))
+
+
 def bounded(df: DataFrame) -> DataFrame:
     """Apply the bounds of ``with_score_bounds`` to ``score`` and note the tags in ``reason``."""
     return df.withColumns(

@@ -111,6 +111,12 @@ def publish_recency(df: DataFrame, clock: Clock) -> DataFrame:
     return _from_verdict(df, verdict, ("publish_older_than_cutoff",), "ranked_raw_publish_filter")
 
 
+def is_recent(published: Column, marks: Column, clock: Clock) -> Column:
+    """Whether ``publish_recency`` keeps a notice, from its publish date text and date marks."""
+    ahead = F.exists(D.days_of(marks, clock), lambda d: d >= clock.today)
+    return let(D.parse_datetime_text(published, clock), lambda at: at.isNull() | (at >= clock.cutoff_at) | F.coalesce(ahead, F.lit(False)))
+
+
 def publish_prefilter(df: DataFrame, clock: Clock, days_limit: int | None = None, column: str = "publish_ts") -> DataFrame:
     """Epoch or timestamp against the cutoff; the comparison is on the raw column, so scans can use it."""
     if dict(df.dtypes)[column].startswith("timestamp"):

@@ -35,3 +35,18 @@ def test_event_listing_reads_one_row_group_in_many_tasks(spark, tmp_path):
     assert plan(listed).count(r"<img\b") == 1
     assert listed.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
     assert listed.count() == 800
+
+
+def test_issue_scores_are_narrow_and_those_of_each_run(spark):
+    from bulletin.functions.text import raw_clean
+    from bulletin.operators import issues
+    from bulletin.plans import issue
+    from pyspark.sql import functions as F
+    from test_issues import CLOCKS, notices
+
+    together = issues.issue_scores(notices(spark), issues.issue_table(spark, CLOCKS), raw_clean(F.col("content")))
+    assert "content" not in together.columns
+    rows = together.collect()
+    for clock in CLOCKS:
+        alone = {(r.notice_id, r.score) for r in issue.scored_notices(notices(spark), clock).collect()}
+        assert {(r.notice_id, r.score) for r in rows if r.issue_date == clock.run_date} == alone
