@@ -14,7 +14,9 @@ the best of the others, and what still crosses classes once more within the text
 share a second band. These rounds only save work: whatever bucket holds several classes
 after them, its members are held against each other exactly, by a join on the rarest
 shingles of every text that no pair at the threshold can do without. All candidates are
-verified by exact multiset overlap, and verified links are joined to classes.
+verified by exact multiset overlap. The links of the first round are joined to classes;
+those of a later round link classes, so that it joins these few only, and a round without
+a link leaves classes and buckets as they are.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,13 +108,13 @@ def _sign(bands: int, rows: int, size: int):
 
 
 def _verify(size: int, similarity: float):
-    """Rows sorted by (leader, salt, member last): a leader's bag is kept while its members stream by."""
+    """Rows sorted by (leader, salt, member last): a leader's bag is kept while its members stream by. Gives `a, b` of the members that reach `similarity`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, bag = None, None
         for batch in batches:
-            leaders, tids, heads = batch.column("leader").to_pylist(), batch.column("tid").to_pylist(), batch.column("head").to_pylist()
-            out: list[tuple] = []
+            leaders, heads = batch.column("leader").to_pylist(), batch.column("head").to_pylist()
+            near: list[int] = []
             for lo, hi, owner, value, times in shingle_bags(batch.column("text"), size):
                 edge = np.searchsorted(owner, np.arange(hi - lo + 1))
                 for i in range(hi - lo):
@@ -128,54 +129,73 @@ def _verify(size: int, similarity: float):
                     at[at == len(keys)] = 0
                     shared = np.minimum(m[at], n)[keys[at] == own].sum() if len(keys) and len(own) else 0
                     union = total + n.sum() - shared
-                    out.append((held, tids[lo + i], shared / union if union else 0.0))
-            frame = pd.DataFrame(out, columns=["leader", "tid", "similarity"])
-            frame = frame[frame["similarity"] >= similarity]
-            yield pa.RecordBatch.from_pandas(
-                frame, pa.schema([("leader", pa.string()), ("tid", pa.string()), ("similarity", pa.float64())]), preserve_index=False
-            )
+                    if union and shared / union >= similarity:
+                        near.append(lo + i)
+            rows = pa.array(near, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(rows) for c in ("a", "b")], ["a", "b"])
 
     return run
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float, size: int, run: int = 400) -> DataFrame:
-    """The `pairs` (leader, tid) at `similarity` or more; a leader's members are dealt out in runs of about `run`."""
+    """`a, b` of the `pairs` (leader, tid, a, b) at `similarity` or more; a leader's members are dealt out in runs of about `run`."""
     counts = pairs.groupBy("leader").agg(F.ceil(F.count("*") / run).cast("int").alias("_salts"))
     counts = settle(counts, "near-leaders")
     heads = counts.select("leader", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("salt"), F.col("leader").alias("tid"), F.lit(True).alias("head"))
     members = pairs.join(counts, "leader").select(
-        "leader", F.pmod(F.xxhash64("tid"), F.col("_salts")).cast("int").alias("salt"), "tid", F.lit(False).alias("head")
+        "leader", F.pmod(F.xxhash64("tid"), F.col("_salts")).cast("int").alias("salt"), "tid", F.lit(False).alias("head"), "a", "b"
     )
-    rows = heads.unionByName(members).join(texts, "tid")
+    rows = heads.unionByName(members, allowMissingColumns=True).join(texts, "tid")
     laid = rows.repartition("leader", "salt").sortWithinPartitions("leader", "salt", F.col("head").desc())
-    return laid.mapInArrow(_verify(size, similarity), "leader string, tid string, similarity double")
+    return laid.mapInArrow(_verify(size, similarity), "a string, b string")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """`tid, label` for every vertex of `edges` (a, b): the smallest vertex that it reaches.
 
-    Every round takes the smallest label among neighbours and then the label of the label.
+    Every round takes the smallest label among a vertex and its neighbours and then the label of the label.
     """
-    both = settle(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "near-edges")
-    labels = settle(both.groupBy("a").agg(F.min("b").alias("_m")).select(F.col("a").alias("tid"), F.least("a", "_m").alias("label")), "near-labels")
+    both = edges.select("a", "b").union(edges.select("b", "a")).union(edges.select("a", F.col("a").alias("b"))).union(edges.select(F.col("b").alias("a"), "b"))
+    both = settle(both.distinct(), "near-edges")
+    labels = settle(both.groupBy(F.col("a").alias("tid")).agg(F.min("b").alias("label")), "near-labels")
     while True:
-        near = both.join(labels, both["b"] == labels["tid"]).groupBy("a").agg(F.min("label").alias("_near"))
-        step = labels.join(near, labels["tid"] == near["a"]).select("tid", "label", F.least("label", "_near").alias("_new"))
+        own = F.max(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("label")
+        near = both.join(labels, both["b"] == labels["tid"]).groupBy("a").agg(own, F.min("label").alias("_near"))
         jump = labels.select(F.col("tid").alias("_t"), F.col("label").alias("_up"))
-        step = step.join(jump, F.col("_new") == F.col("_t")).select("tid", "label", F.least("_new", "_up").alias("_new"))
+        step = near.join(jump, F.col("_near") == F.col("_t")).select(F.col("a").alias("tid"), "label", F.least("_near", "_up").alias("_new"))
         step = settle(step, "near-labels")
-        moved = step.filter("_new <> label").limit(1).count()
         labels = step.select("tid", F.col("_new").alias("label"))
-        if not moved:
+        if step.filter("_new <> label").isEmpty():
             return labels
 
 
+def _relabelled(classed: DataFrame, classes: DataFrame) -> DataFrame:
+    """`classed` with the labels that `classes` (tid, label) has for its labels."""
+    found = classes.select(F.col("tid").alias("label"), F.col("label").alias("_to"))
+    return classed.join(found, "label", "left").withColumn("label", F.coalesce("_to", "label")).drop("_to")
+
+
+def _crossing(classed: DataFrame) -> DataFrame:
+    """The rows of the buckets that hold several classes."""
+    split = classed.groupBy("band", "key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo <> _hi").select("band", "key")
+    return settle(classed.join(split, ["band", "key"]), "near-open")
+
+
+def _unseen(pairs: DataFrame, done: DataFrame) -> DataFrame:
+    """Each of `pairs` (leader, tid, a, b) once, whichever leads, without those that `done` has."""
+    ends = [F.least("leader", "tid").alias("_lo"), F.greatest("leader", "tid").alias("_hi")]
+    each = pairs.groupBy(*ends).agg(F.min(F.struct("leader", "tid", "a", "b")).alias("_pair"))
+    return each.join(done.select(*ends), ["_lo", "_hi"], "left_anti").select("_pair.*")
+
+
 def _second_best(open_: DataFrame) -> DataFrame:
     """The best text outside the class of the bucket's leader, against all of the other classes."""
     lead = open_.groupBy("band", "key").agg(F.max(F.struct("degree", "tid", "label")).alias("_lead"))
     rest = open_.join(lead, ["band", "key"]).filter("label <> _lead.label")
     second = rest.groupBy("band", "key").agg(F.max(F.struct("degree", "tid", "label")).alias("_second"))
-    return open_.join(second, ["band", "key"]).filter("label <> _second.label").select(F.col("_second.tid").alias("leader"), "tid")
+    return open_.join(second, ["band", "key"]).filter("label <> _second.label").select(
+        F.col("_second.tid").alias("leader"), "tid", F.col("_second.label").alias("a"), F.col("label").alias("b")
+    )
 
 
 def _meeting(open_: DataFrame, texts: DataFrame) -> DataFrame:
@@ -191,7 +211,9 @@ def _meeting(open_: DataFrame, texts: DataFrame) -> DataFrame:
     each = each.filter("band <> _band").select(F.xxhash64(both).alias("meet"), "tid", "label")
     lead = F.max(F.struct(F.xxhash64("meet", "tid").alias("lot"), F.col("tid"), F.col("label"))).alias("_lead")
     crossed = each.groupBy("meet").agg(lead, F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo <> _hi").select("meet", "_lead")
-    return each.join(crossed, "meet").filter("label <> _lead.label").select(F.col("_lead.tid").alias("leader"), "tid")
+    return each.join(crossed, "meet").filter("label <> _lead.label").select(
+        F.col("_lead.tid").alias("leader"), "tid", F.col("_lead.label").alias("a"), F.col("label").alias("b")
+    )
 
 
 def _spread(size: int):
@@ -263,21 +285,12 @@ def _completion(open_: DataFrame, texts: DataFrame, similarity: float, size: int
         f"_num < num and _class <> class and least(_rest, rest) >= {share!r} * (_total + total) - 1e-6"
     )
     pairs = meet.select("_num", "num").distinct()
-    left = known.select(F.col("num").alias("_num"), F.col("tid").alias("leader"))
-    return pairs.join(left, "_num").join(known.select("num", "tid"), "num").select("leader", "tid")
+    left = known.select(F.col("num").alias("_num"), F.col("tid").alias("leader"), F.col("label").alias("a"))
+    return pairs.join(left, "_num").join(known.select("num", "tid", F.col("label").alias("b")), "num").select("leader", "tid", "a", "b")
 
 
-def near_duplicates(
-    docs: DataFrame, similarity: float = 0.8, size: int = 5, bands: int = 24, rows: int = 4, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """One row per row of `docs`: `doc_id, class_id, class_texts, class_size, keep, tid`.
-
-    `class_id` is the smallest id of the class, `keep` marks one row of it (among rows that
-    tie on that id, one of them), `class_texts` counts distinct texts and `class_size` rows.
-    Texts without a word are copies of each other only if they are equal byte by byte.
-    Null ids are the largest. At a similarity of 0.8 a pair misses all bands with a
-    probability of 3e-6.
-    """
+def _classed(docs: DataFrame, similarity: float, size: int, bands: int, rows: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """`doc_id, tid` of every row, and of every text `tid, first, copies, label`: texts of a class have one label."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("tid"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     signed = settle(base.mapInArrow(_sign(bands, rows, size), "doc_id long, tid string, bands array<bigint>"), "near-signatures")
     texts = settle(signed.groupBy("tid").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("bands").alias("bands")), "near-texts")
@@ -293,33 +306,43 @@ def near_duplicates(
 
     best = inside.groupBy("band", "key").agg(F.max(F.struct("degree", "tid")).alias("_lead"))
     pairs = inside.join(best, ["band", "key"]).select(F.col("_lead.tid").alias("leader"), "tid").filter("leader <> tid").distinct()
-    done = settle(pairs, "near-pairs")
-    links = settle(verified(done, fetched, similarity, size), "near-links")
-    for step in ("second", "meeting", "completion"):
-        labels = components(links.select(F.col("leader").alias("a"), F.col("tid").alias("b")))
-        classed = inside.join(labels, "tid", "left").withColumn("label", F.coalesce("label", "tid"))
-        split = classed.groupBy("band", "key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo <> _hi").select("band", "key")
-        open_ = settle(classed.join(split, ["band", "key"]), "near-open")
-        if step == "second":
-            pairs = _second_best(open_)
-        elif step == "meeting":
-            pairs = _meeting(open_, texts)
-        elif open_.isEmpty():
+    done = settle(pairs.select("leader", "tid", F.col("leader").alias("a"), F.col("tid").alias("b")), "near-pairs")
+    labels = components(settle(verified(done, fetched, similarity, size), "near-links"))
+    classed = texts.select("tid", "first", "copies", F.col("tid").alias("label"))
+    classed = _relabelled(classed, labels)
+    open_ = _crossing(_relabelled(inside.withColumn("label", F.col("tid")), labels))
+    for candidates in (_second_best, lambda x: _meeting(x, texts), lambda x: _completion(x, fetched, similarity, size)):
+        if open_.isEmpty():
             break
-        else:
-            pairs = _completion(open_, fetched, similarity, size)
-        known = done.unionByName(done.select(F.col("tid").alias("leader"), F.col("leader").alias("tid")))
-        pairs = settle(pairs.distinct().join(known, ["leader", "tid"], "left_anti"), "near-pairs")
+        pairs = settle(_unseen(candidates(open_), done), "near-pairs")
         done = done.unionByName(pairs)
-        links = settle(links.unionByName(verified(pairs, fetched, similarity, size)), "near-links")
-    labels = components(links.select(F.col("leader").alias("a"), F.col("tid").alias("b")))
-    classed = texts.join(labels, "tid", "left").select("tid", "first", "copies", F.coalesce("label", "tid").alias("label"))
-    # Among texts that tie on their first id the smaller digest decides.
-    heads = classed.groupBy("label").agg(
-        F.min(F.struct(F.col("first").isNull().alias("null"), F.col("first").alias("first"), F.col("tid").alias("tid"))).alias("head"), F.count("*").alias("class_texts"), F.sum("copies").alias("class_size")
-    )
+        links = settle(verified(pairs, fetched, similarity, size), "near-links")
+        if not links.isEmpty():
+            labels = components(links)
+            classed, open_ = _relabelled(classed, labels), _crossing(_relabelled(open_, labels))
+    return signed.select("doc_id", "tid"), classed
+
+
+def _heads(classed: DataFrame) -> DataFrame:
+    """Of every class `label, head, class_texts, class_size`; among texts that tie on their first id the smaller digest decides."""
+    head = F.min(F.struct(F.col("first").isNull().alias("null"), F.col("first").alias("first"), F.col("tid").alias("tid"))).alias("head")
+    return classed.groupBy("label").agg(head, F.count("*").alias("class_texts"), F.sum("copies").alias("class_size"))
+
+
+def near_duplicates(
+    docs: DataFrame, similarity: float = 0.8, size: int = 5, bands: int = 24, rows: int = 4, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per row of `docs`: `doc_id, class_id, class_texts, class_size, keep, tid`.
+
+    `class_id` is the smallest id of the class, `keep` marks one row of it (among rows that
+    tie on that id, one of them), `class_texts` counts distinct texts and `class_size` rows.
+    Texts without a word are copies of each other only if they are equal byte by byte.
+    Null ids are the largest. At a similarity of 0.8 a pair misses all bands with a
+    probability of 3e-6.
+    """
+    signed, classed = _classed(docs, similarity, size, bands, rows, id_col, text_col)
     classed = settle(
-        classed.join(heads, "label").select("tid", F.col("head.first").alias("class_id"), F.col("head.tid").alias("_head"), "class_texts", "class_size"),
+        classed.join(_heads(classed), "label").select("tid", F.col("head.first").alias("class_id"), F.col("head.tid").alias("_head"), "class_texts", "class_size"),
         "near-classes",
     )
     # One row of the head's rows with the smallest id, should equal rows repeat.
@@ -333,11 +356,13 @@ def near_duplicates(
     )
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame, similarity: float = 0.8, size: int = 5, bands: int = 24, rows: int = 4, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """`docs` with one document of each class, all columns as they were. Rows equal in id and text are one."""
-    kept = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    repeated = not kept.groupBy("doc_id", "tid").count().filter("count > 1").isEmpty()
-    kept = settle(kept.filter("keep").select(F.col("doc_id").alias("_d"), F.col("tid").alias("_t")), "near-kept")
+    signed, classed = _classed(docs, similarity, size, bands, rows, id_col, text_col)
+    repeated = not signed.groupBy("doc_id", "tid").count().filter("count > 1").isEmpty()
+    kept = settle(_heads(classed).select(F.col("head.first").alias("_d"), F.col("head.tid").alias("_t")), "near-kept")
     text = F.md5(F.coalesce(F.col(text_col), F.lit("")))
     found = docs.join(kept, (text == F.col("_t")) & F.col(id_col).cast("long").eqNullSafe(F.col("_d")))
     if repeated:

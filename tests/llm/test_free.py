@@ -390,6 +390,19 @@ def test_links_inside_a_template_family_just_under_the_threshold(spark):
     assert {r.doc_id: (r.class_id, r.class_size) for r in got} == {i: (i - i % 2, 2) for i in range(300)}
 
 
+def test_later_rounds_of_near_duplicates_join_only_their_own_links(spark, monkeypatch):
+    runs, components = [], near_dedup.components
+    monkeypatch.setattr(near_dedup, "components", lambda links: runs.append(links.count()) or components(links))
+    docs = spark.createDataFrame(near_rows(), "doc_id long, text string")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    left = near_dedup.drop_near_duplicates(docs)
+    # The driver keeps the plan and metrics of every query that is run: 54 when each round joined all links anew.
+    assert store.executionsCount() - before - len(runs) <= 40
+    assert runs[0] > 20 and all(0 < n < runs[0] / 2 for n in runs[1:])
+    assert left.count() == near_dedup.near_duplicates(docs).filter("keep").count()
+
+
 def test_bag_signatures_estimate_weighted_jaccard():
     import pyarrow as pa
 
