@@ -16,7 +16,8 @@ after them, its members are held against each other exactly, by a join on the ra
 shingles of every text that no pair at the threshold can do without. All candidates are
 verified by exact multiset overlap. The links of the first round are joined to classes;
 those of a later round link classes, so that it joins these few only, and a round without
-a link leaves classes and buckets as they are.
+a link leaves classes and buckets as they are. Rounds relabel the texts that share a bucket
+and the rows of open buckets; all texts get their label once, after the last round.
 """
 
 from __future__ import annotations
@@ -169,6 +170,11 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _labelled(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """`rows` with the labels that `classes` (tid, label) has for their texts; other texts are their own class."""
+    return rows.join(classes, "tid", "left").withColumn("label", F.coalesce("label", "tid"))
+
+
 def _relabelled(classed: DataFrame, classes: DataFrame) -> DataFrame:
     """`classed` with the labels that `classes` (tid, label) has for its labels."""
     found = classes.select(F.col("tid").alias("label"), F.col("label").alias("_to"))
@@ -177,6 +183,7 @@ def _relabelled(classed: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _crossing(classed: DataFrame) -> DataFrame:
     """The rows of the buckets that hold several classes."""
+    classed = settle(classed, "near-labelled")
     split = classed.groupBy("band", "key").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).filter("_lo <> _hi").select("band", "key")
     return settle(classed.join(split, ["band", "key"]), "near-open")
 
@@ -308,18 +315,20 @@ def _classed(docs: DataFrame, similarity: float, size: int, bands: int, rows: in
     pairs = inside.join(best, ["band", "key"]).select(F.col("_lead.tid").alias("leader"), "tid").filter("leader <> tid").distinct()
     done = settle(pairs.select("leader", "tid", F.col("leader").alias("a"), F.col("tid").alias("b")), "near-pairs")
     labels = components(settle(verified(done, fetched, similarity, size), "near-links"))
-    classed = texts.select("tid", "first", "copies", F.col("tid").alias("label"))
-    classed = _relabelled(classed, labels)
-    open_ = _crossing(_relabelled(inside.withColumn("label", F.col("tid")), labels))
+    named, rest, moved = _labelled(fetched.select("tid"), labels), _labelled(inside, labels), True
     for candidates in (_second_best, lambda x: _meeting(x, texts), lambda x: _completion(x, fetched, similarity, size)):
+        if moved:
+            open_ = _crossing(rest)
         if open_.isEmpty():
             break
         pairs = settle(_unseen(candidates(open_), done), "near-pairs")
         done = done.unionByName(pairs)
         links = settle(verified(pairs, fetched, similarity, size), "near-links")
-        if not links.isEmpty():
+        moved = not links.isEmpty()
+        if moved:
             labels = components(links)
-            classed, open_ = _relabelled(classed, labels), _crossing(_relabelled(open_, labels))
+            named, rest = _relabelled(named, labels), _relabelled(open_, labels)
+    classed = _labelled(texts.select("tid", "first", "copies"), named)
     return signed.select("doc_id", "tid"), classed
 
 

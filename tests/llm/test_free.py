@@ -403,6 +403,40 @@ def test_later_rounds_of_near_duplicates_join_only_their_own_links(spark, monkey
     assert left.count() == near_dedup.near_duplicates(docs).filter("keep").count()
 
 
+@pytest.mark.parametrize("find", [near_dedup.drop_near_duplicates])
+def test_near_duplicates_label_every_text_once_whatever_the_rounds(spark, monkeypatch, find):
+    sizes, settle, runs, components = Counter(), near_dedup.settle, [], near_dedup.components
+
+    def settled(df, name):
+        out = settle(df, name)
+        sizes[name] += out.count()
+        return out
+
+    monkeypatch.setattr(near_dedup, "settle", settled)
+    monkeypatch.setattr(near_dedup, "components", lambda links: runs.append(links) or components(links))
+    r = random.Random(11)
+    words = lambda n: [str(r.random()) for _ in range(n)]
+    template, texts = words(260), [" ".join(words(9)) for _ in range(2000)]
+    for _ in range(40):
+        own = words(36)
+        texts += [" ".join(template + own), " ".join(template + own[:8] + words(24) + own[32:])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    find(docs).write.format("noop").mode("overwrite").save()
+    made = 0
+    for i in range(before, store.executionsCount()):
+        x = store.executionsList().apply(i).executionId()
+        values, nodes = store.executionMetrics(x), store.planGraph(x).allNodes()
+        for node in map(nodes.apply, range(nodes.size())):
+            found = [m for m in map(node.metrics().apply, range(node.metrics().size())) if m.name() == "number of output rows"]
+            if "LeftOuter" in node.desc() and node.name().endswith("Join"):
+                made += sum(int(values.apply(m.accumulatorId()).replace(",", "")) for m in found if values.contains(m.accumulatorId()))
+    assert len(runs) > 1, "no later round found a link"
+    # All texts once, their bucket rows once, open rows once a round, and the few texts that share a bucket.
+    assert sizes["near-texts"] < made <= sizes["near-texts"] + sizes["near-members"] + sizes["near-open"] + (1 + len(runs)) * sizes["near-fetched"]
+
+
 def test_bag_signatures_estimate_weighted_jaccard():
     import pyarrow as pa
 
