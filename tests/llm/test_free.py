@@ -403,7 +403,7 @@ def test_later_rounds_of_near_duplicates_join_only_their_own_links(spark, monkey
     assert left.count() == near_dedup.near_duplicates(docs).filter("keep").count()
 
 
-@pytest.mark.parametrize("find", [near_dedup.drop_near_duplicates])
+@pytest.mark.parametrize("find", [near_dedup.drop_near_duplicates, near_dedup.near_duplicates])
 def test_near_duplicates_label_every_text_once_whatever_the_rounds(spark, monkeypatch, find):
     sizes, settle, runs, components = Counter(), near_dedup.settle, [], near_dedup.components
 
