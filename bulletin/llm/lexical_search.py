@@ -5,9 +5,11 @@ term's weight times its saturated frequency. A query is the 0/1 vector of its te
 score is an inner product of integers. Every task packs its documents into trees of
 balls: a node has a centroid c and a radius R over its documents, and none of them scores
 more than <q, c> + |q| R. The bound is computed in doubles and rounded up by more than the
-arithmetic can lose. A query descends best-first, from the subtree with the highest bound,
-scores leaves by exact integer sums, and stops at the first bound below its k-th best score
-(not at an equal one, which may hide a tie with a smaller id).
+arithmetic can lose. A query takes the leaves best-first, from the one with the highest bound,
+scores them by exact integer sums, and stops at the first bound below its k-th best score
+(not at an equal one, which may hide a tie with a smaller id). The queries of a block go
+through a tree in step, so that a leaf is scored once for all that have come to it; each
+takes one leaf, one more, then two, four and so on before its k-th best score is renewed.
 
 Queries come in blocks with a bounded vocabulary, each block against all documents. A task
 hands on k rows a query at most, and two rounds of top-k merge them.
@@ -15,13 +17,11 @@ hands on k rows a query at most, and two rounds of top-k merge them.
 
 from __future__ import annotations
 
-import heapq
-import re
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,13 +29,17 @@ from bulletin.llm.common import settle
 from bulletin.operators.order import top_k
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: The same in UTF-8: ASCII letters and digits, and all bytes of other characters.
-_TERM_BYTES = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: The same in UTF-8: what a byte becomes, a space if no term has it. All bytes of non-ASCII characters stay.
+_FOLDED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)).translate(bytes.maketrans(_UPPER.encode(), _LOWER.encode()))
+#: Bytes of texts that are cut into terms at a time, about.
+PIECE = 1 << 22
 #: Relative and absolute room above what sums of up to 2^20 products lose in doubles.
 ROOM, LEAST_ROOM = 1 + 1e-9, 1.0
 #: Entries of one tree, about.
 TREE_ENTRIES = 1 << 20
+#: Queries that go through a tree together, and numbers of a leaf that are laid out at a time.
+TOGETHER, PRODUCTS = 256, 1 << 20
 
 
 def terms(text: Column) -> Column:
@@ -58,29 +62,48 @@ def query_blocks(items: DataFrame, block_terms: int, item_col: str, text_col: st
         yield block
 
 
+def _folded(texts: pa.Array) -> Iterator[tuple[list[int], list[bytes]]]:
+    """The texts in UTF-8 with one case and spaces for separators, about PIECE bytes at a time: rows and their texts, a long one in pieces between terms."""
+    rows, pieces, size = [], [], 0
+    for row, text in enumerate(texts):
+        data, rest = memoryview(text.as_buffer() if text.is_valid else b""), b""
+        for lo in range(0, len(data), PIECE):
+            piece = rest + data[lo : lo + PIECE].tobytes().translate(_FOLDED)
+            end = piece.rfind(b" ") + 1 if lo + PIECE < len(data) else len(piece)
+            rows.append(row)
+            pieces.append(piece[:end])
+            rest, size = piece[end:], size + end
+            if size >= PIECE:
+                yield rows, pieces
+                rows, pieces, size = [], [], 0
+    yield rows, pieces
+
+
 def _counted(vocabulary: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """`doc_id, n, term, tf`: the length of every document with a term, and its query terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = {t.encode(): i for i, t in enumerate(vocabulary)}
+        known = pa.array(vocabulary, pa.string())
         for batch in batches:
-            ids, lengths, found, times, sizes = [], [], [], [], [0]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                data = memoryview(text.as_buffer()) if text.is_valid else b""
-                # One match at a time: a very long text costs its distinct terms only.
-                tally = Counter(m[0].lower() for m in _TERM_BYTES.finditer(data))
-                if not tally:
-                    continue
-                held = sorted((number[t], c) for t, c in tally.items() if t in number)
-                ids.append(doc_id)
-                lengths.append(tally.total())
-                found.extend(i for i, _ in held)
-                times.extend(c for _, c in held)
-                sizes.append(len(found))
-            offsets = pa.array(sizes, pa.int32())
+            lengths, keys, times = np.zeros(len(batch), np.int64), [], []
+            for rows, pieces in _folded(batch.column("text")):
+                words = pc.ascii_split_whitespace(pa.array(pieces, pa.binary()).cast(pa.string(), safe=False))
+                row, word = np.array(rows, np.int64)[pc.list_parent_indices(words).to_numpy()], words.flatten()
+                # What is left of a separator at either end is empty.
+                lengths += np.bincount(row[pc.not_equal(word, "").to_numpy(zero_copy_only=False)], minlength=len(batch))
+                number = pc.index_in(word, value_set=known)
+                held = row[number.is_valid().to_numpy(zero_copy_only=False)] * len(known) + number.drop_null().to_numpy()
+                key, n = np.unique(held, return_counts=True)
+                keys.append(key)
+                times.append(n)
+            key, where = np.unique(np.concatenate(keys), return_inverse=True)
+            times = np.bincount(where, np.concatenate(times), len(key)).astype(np.int64)
+            full = np.flatnonzero(lengths)
+            sizes = np.bincount(key // len(known), minlength=len(batch))[full]
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
             columns = [
-                pa.array(ids, pa.int64()), pa.array(lengths, pa.int64()),
-                pa.ListArray.from_arrays(offsets, pa.array(found, pa.int32())), pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64())),
+                batch.column("doc_id").take(pa.array(full)), pa.array(lengths[full]),
+                pa.ListArray.from_arrays(offsets, pa.array(key % len(known), pa.int32())), pa.ListArray.from_arrays(offsets, pa.array(times)),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "term", "tf"])
 
@@ -110,6 +133,19 @@ class Sparse:
             out[held] = np.add.reduceat(numbers, self.ptr[held])
         return out
 
+    def products(self, queries: np.ndarray, some: np.ndarray) -> np.ndarray:
+        """Rows x `some` of the queries (columns of 0/1), for rows without negative numbers: in doubles if those hold every sum exactly, else in integers."""
+        kind = np.float64 if self.sums(self.values).max(initial=0) < 1 << 53 else np.int64
+        held, at = np.unique(self.at, return_inverse=True)
+        row, width = np.repeat(np.arange(len(self)), np.diff(self.ptr)), max(PRODUCTS // max(len(self), 1), 1)
+        out = np.zeros((len(self), len(some)), np.int64)
+        for lo in range(0, len(held), width):
+            own = slice(None) if len(held) <= width else (at >= lo) & (at < lo + width)
+            dense = np.zeros((len(self), min(width, len(held) - lo)), kind)
+            dense[row[own], at[own] - lo] = self.values[own]
+            out += (dense @ queries[np.ix_(held[lo : lo + width], some)].astype(kind)).astype(np.int64)
+        return out
+
     def squared_distances(self, point: np.ndarray) -> np.ndarray:
         """To a dense point, in doubles, never negative."""
         v, p = self.values.astype(float), point[self.at]
@@ -197,17 +233,34 @@ class Best:
 
 def descend(tree: BallTree, bound: np.ndarray, mask: np.ndarray, ids: np.ndarray, null: np.ndarray, best: Best) -> int:
     """Search one tree best-first for one query; returns the number of documents scored."""
-    scored, open_nodes = 0, [(-bound[0], 0)]
-    while open_nodes and -open_nodes[0][0] >= best.least:
-        _, node = heapq.heappop(open_nodes)
-        if tree.leaves[node] is None:
-            for child in tree.children[node]:
-                if bound[child] >= best.least:
-                    heapq.heappush(open_nodes, (-bound[child], child))
-        else:
-            own, rows = tree.leaves[node]
-            best.offer(rows.sums(np.where(mask[rows.at], rows.values, 0)), ids[own], null[own])
-            scored += len(own)
+    return int(descend_together(tree, bound[:, None], mask[:, None], ids, null, [best])[0])
+
+
+def descend_together(tree: BallTree, bound: np.ndarray, queries: np.ndarray, ids: np.ndarray, null: np.ndarray, best: list[Best]) -> np.ndarray:
+    """Search one tree best-first for queries (columns of 0/1, as those of `bound`); returns the number of documents scored for each."""
+    leaves = np.flatnonzero([leaf is not None for leaf in tree.leaves])
+    order = np.argsort(-bound[leaves], axis=0, kind="stable")
+    bound = np.take_along_axis(bound[leaves], order, 0)
+    scored = np.zeros(len(best), np.int64)
+    at = 0
+    while at < len(leaves):
+        ahead = slice(at, max(2 * at, 1))
+        going = bound[ahead] >= np.array([b.least for b in best])
+        if not going.any():
+            break
+        scores = np.zeros((len(best), len(ids)), np.int64)
+        turn, query = np.nonzero(going)
+        leaf = order[ahead][turn, query]
+        for i in np.unique(leaf):
+            own, rows = tree.leaves[leaves[i]]
+            here = query[leaf == i]
+            scored[here] += len(own)
+            scores[here[:, None], own] = rows.products(queries, here).T
+        for q in np.flatnonzero(going.any(0)):
+            # Documents of leaves that were not scored have 0, which no query takes.
+            good = np.flatnonzero(scores[q] >= best[q].least)
+            best[q].offer(scores[q, good], ids[good], null[good])
+        at = ahead.stop
     return scored
 
 
@@ -250,9 +303,9 @@ def _searched(
                 used, at = np.unique(rows.at, return_inverse=True)
                 tree = BallTree(Sparse(rows.ptr, at, rows.values), len(used), leaf)
                 own = masks[:, used]
-                bound = tree.bounds(own.T.astype(float))
-                for i in range(len(block)):
-                    scored[i] += descend(tree, bound[:, i], own[i], ids, null, best[i])
+                for some in (slice(i, i + TOGETHER) for i in range(0, len(block), TOGETHER)):
+                    queries = np.ascontiguousarray(own[some].T)
+                    scored[some] += descend_together(tree, tree.bounds(queries.astype(float)), queries, ids, null, best[some])
         sizes = [len(b.scores) for b in best]
         if sum(sizes):
             columns = [
