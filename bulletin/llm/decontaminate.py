@@ -4,7 +4,8 @@ Words are lower-cased runs of non-space; shingles are five consecutive words (al
 an item shorter than that). A window is as many words of a document as the item has. Only
 windows that share a shingle with an item can be similar to it, and of those the ones that
 start at a shared shingle suffice: moving a window right to its first shared shingle loses
-nothing. Windows get a 64-bit SimHash of their shingle multiset and are kept within
+nothing. The same shared shingles say which windows hold too few of them for the similarity;
+those are left out before their texts are read again. Windows get a 64-bit SimHash of their shingle multiset and are kept within
 `radius` bits of the item's; the radius + 1 blocks of the fingerprint tell at once when no
 block agrees, which cannot be within the radius. What is left is verified by the weighted
 Jaccard similarity of the two multisets.
@@ -43,6 +44,26 @@ def shingles(word_hashes: Column, size: int = SHINGLE) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), run)).otherwise(F.array().cast("array<bigint>"))
 
 
+def shingle_rows(rows: DataFrame, size: int) -> DataFrame:
+    """A row for each shingle of `_h`, the words' hashes: `_n` words, `_pos, _hash`. Hashed after the explosion, where Spark compiles it."""
+    places = F.when(F.size("_h") >= size, F.sequence(F.lit(0), F.size("_h") - size))
+    each = rows.select("*", F.size("_h").alias("_n"), F.explode(places).alias("_pos"))
+    return each.withColumn("_hash", F.xxhash64(*[F.get("_h", F.col("_pos") + k) for k in range(size)])).drop("_h")
+
+
+def full_windows(places: Column, doc_words: Column, item_words: Column, size: Column, similarity: float) -> Column:
+    """Starts of the windows that hold enough shared shingles for `similarity`, given the sorted places of all shared ones.
+
+    `c` of the shingles of window and item in common are a similarity of c / (all - c).
+    """
+    last = F.greatest(doc_words - item_words, F.lit(0))
+    own = F.least(doc_words, item_words) - size + 1
+    need = F.greatest(F.ceil((own + item_words - size + 1) * (similarity / (1 + similarity)) - 1e-6), F.lit(1)).cast("int")
+    # At the end of a document the window ends with it, and may begin before its first shared shingle.
+    ahead = F.filter(places, lambda p, i: (p < last) & (F.get(places, i + need - 1) < p + own))
+    return F.when(F.get(places, F.size(places) - need) >= last, F.concat(ahead, F.array(last))).otherwise(ahead)
+
+
 def fingerprint(hashes: Column) -> Column:
     """64-bit SimHash of a multiset of 64-bit hashes: a bit is set where most of them have it.
 
@@ -104,7 +125,7 @@ def matches(
     kinds = F.transform(F.array_distinct("shingles"), lambda h: F.struct(h.alias("hash"), F.size(F.filter("shingles", lambda x: x == h)).alias("n")))
     listed = settle(listed.withColumns({"kinds": kinds, "item_print": fingerprint(F.col("shingles"))}), "bench-items")
     # Of bounded size or not, Spark knows the size of the settled table and picks the join by it.
-    wanted = settle(listed.select("item_id", "item_words", "q", F.explode(F.array_distinct("shingles")).alias("_hash")), "bench-shingles")
+    wanted = settle(listed.select("item_id", "q", F.explode(F.array_distinct("shingles")).alias("_hash")), "bench-shingles")
     sizes = [r[0] for r in listed.select("q").distinct().collect()] or [SHINGLE]
 
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -113,20 +134,20 @@ def matches(
     hashes = F.transform(words(F.col("_text")), lambda w: F.xxhash64(w))
     hits = None
     for q in sizes:
-        each = keyed.select("doc_id", "key1", "key2", hashes.alias("_h")).select("doc_id", "key1", "key2", F.size("_h").alias("_n"), F.posexplode(shingles(F.col("_h"), q)).alias("_pos", "_hash"))
-        found = each.join(wanted.filter(F.col("q") == q), "_hash")
-        # At the end of a document the window ends with it.
-        start = F.greatest(F.least(F.col("_pos"), F.col("_n") - F.col("item_words")), F.lit(0))
-        found = found.select("doc_id", "key1", "key2", "item_id", start.alias("_start"))
+        each = shingle_rows(keyed.select("doc_id", "key1", "key2", hashes.alias("_h")), q)
+        found = each.join(wanted.filter(F.col("q") == q), "_hash").select("doc_id", "key1", "key2", "item_id", "_n", "_pos")
         hits = found if hits is None else hits.unionByName(found)
     names = "doc_id", "item_id", "similarity", "start_word", "key1", "key2"
-    hits = settle(hits.distinct(), "bench-hits")
+    hits = hits.groupBy("doc_id", "key1", "key2", "item_id", "_n").agg(F.sort_array(F.collect_set("_pos")).alias("_places"))
+    hits = hits.join(listed.select("item_id", "item_words", "q").distinct(), "item_id")
+    starts = full_windows(F.col("_places"), F.col("_n"), F.col("item_words"), F.col("q"), similarity)
+    hits = settle(hits.select("doc_id", "key1", "key2", "item_id", "item_words", "q", F.explode(starts).alias("_start")), "bench-hits")
     spots = settle(hits.select("doc_id", "key1", "key2").distinct(), "bench-spots")
     same = ["key1", "key2"]
     touched = keyed.withColumnRenamed("doc_id", "_id").join(spots, same).filter(F.col("_id").eqNullSafe(F.col("doc_id"))).drop("_id")
     touched = touched.dropDuplicates(["doc_id", *same]).select("doc_id", *same, hashes.alias("_h"))
     windows = touched.withColumnRenamed("doc_id", "_id").join(hits, same).filter(F.col("_id").eqNullSafe(F.col("doc_id"))).drop("_id")
-    windows = windows.join(listed, "item_id")
+    windows = windows.join(listed, ["item_id", "item_words", "q"])
     cut = None
     for q in sizes:
         part = F.slice("_h", F.col("_start") + 1, F.col("item_words"))
